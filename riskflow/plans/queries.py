@@ -249,3 +249,194 @@ def velocity_1day(spark, sf):
 @register("velocity_10min_hll", "D5a D8a (HLL++ distinct, rows-only)")
 def velocity_10min_hll(spark, sf):
     return velocity_features(_events_tx(spark, sf), "10 minutes", exact_distinct=False)
+
+
+# ---------------------------------------------------------------------------
+# SCD2 dimension, point-in-time fact, table tests
+# ---------------------------------------------------------------------------
+
+from riskflow.operators import checks as K  # noqa: E402
+from riskflow.operators import scd2 as S  # noqa: E402
+
+SPLIT_TS = dt.datetime(1998, 1, 1)
+
+SQL_TIER = """CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'HIGH' WHEN '2' THEN 'HIGH'
+    WHEN '3' THEN 'MEDIUM' WHEN '4' THEN 'LOW' WHEN '5' THEN 'LOW' END"""
+
+
+def _sql_dim(name: str, batch_expr: str, where: str = "TRUE") -> str:
+    """Closed form of applying batches in order: latest per (wallet, batch),
+    keep batches whose tier differs from the previous one, valid_to = next valid_from."""
+    return f"""
+  {name}_upd AS (
+    SELECT 'w-' || o_custkey AS wallet_id, {SQL_TIER} AS risk_tier, o_orderdate AS snapshot_ts,
+           o_orderkey AS tie, {batch_expr} AS batch
+    FROM orders WHERE {where}),
+  {name}_latest AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY wallet_id, batch
+                     ORDER BY snapshot_ts DESC, tie DESC) AS rn FROM {name}_upd) WHERE rn = 1),
+  {name}_kept AS (
+    SELECT * FROM (SELECT *, lag(risk_tier) OVER (PARTITION BY wallet_id ORDER BY batch) AS prev,
+                          row_number() OVER (PARTITION BY wallet_id ORDER BY batch) AS k
+                   FROM {name}_latest)
+    WHERE k = 1 OR prev IS DISTINCT FROM risk_tier),
+  {name} AS (
+    SELECT wallet_id, risk_tier, valid_from, valid_to, valid_to IS NULL AS is_current FROM (
+      SELECT wallet_id, risk_tier, snapshot_ts AS valid_from,
+             lead(snapshot_ts) OVER (PARTITION BY wallet_id ORDER BY batch) AS valid_to
+      FROM {name}_kept))"""
+
+
+SQL_TWO_BATCH = "CASE WHEN o_orderdate < TIMESTAMP '1998-01-01 00:00:00' THEN 1 ELSE 2 END"
+SQL_YEAR_BATCH = "year(o_orderdate)"
+
+SQL_FACTS = """facts AS (
+    SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS tx_id,
+           'w-' || o_custkey AS wallet_id, l_shipdate AS event_ts,
+           CAST(l_extendedprice AS DECIMAL(38,8)) AS value
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+SQL_PIT = """pit AS (
+    SELECT f.tx_id, f.wallet_id, f.event_ts, f.value, d.risk_tier AS wallet_risk_tier_at_event
+    FROM facts f LEFT JOIN dim d
+      ON d.wallet_id = f.wallet_id AND f.event_ts >= d.valid_from
+     AND (d.valid_to IS NULL OR f.event_ts < d.valid_to))"""
+
+
+def _updates(spark, sf, batch: str):
+    upd = D.tier_updates(D.table(spark, sf, "orders"))
+    if batch == "two":
+        b = F.when(F.col("snapshot_ts") < F.lit(SPLIT_TS).cast("timestamp_ntz"), 1).otherwise(2)
+    else:
+        b = F.year("snapshot_ts")
+    return upd.withColumn("batch", b)
+
+
+def _dim_yearly(spark, sf):
+    return S.scd2_rebuild(_updates(spark, sf, "yearly"), "batch", tie="tie")
+
+
+def _two_batch_states(spark, sf):
+    upd = _updates(spark, sf, "two")
+    dim0 = S.empty_dimension(spark)
+    dim1 = S.scd2_apply(dim0, upd.where("batch = 1"), tie="tie").checkpoint(eager=True)
+    dim2 = S.scd2_apply(dim1, upd.where("batch = 2"), tie="tie")
+    return dim1, dim2
+
+
+@register(
+    "scd2_two_batches",
+    "C1 C5 C7 G1 E2 A13 A14 A15",
+    "WITH" + _sql_dim("dim", SQL_TWO_BATCH) + "\nSELECT * FROM dim",
+)
+def scd2_two_batches(spark, sf):
+    return _two_batch_states(spark, sf)[1]
+
+
+@register(
+    "scd2_yearly_batches",
+    "C1 C5 C7 G1 E2 A13 A14 A15 (7 batches applied in order)",
+    "WITH" + _sql_dim("dim", SQL_YEAR_BATCH) + "\nSELECT * FROM dim",
+)
+def scd2_yearly_batches(spark, sf):
+    return S.scd2_apply_batches(S.empty_dimension(spark), _updates(spark, sf, "yearly"), "batch", tie="tie")
+
+
+@register(
+    "scd2_rebuild_yearly",
+    "E2 E4 (whole history in one job)",
+    "WITH" + _sql_dim("dim", SQL_YEAR_BATCH) + "\nSELECT * FROM dim",
+)
+def scd2_rebuild_yearly(spark, sf):
+    return _dim_yearly(spark, sf)
+
+
+@register(
+    "scd2_checks_doubled",
+    "J10 J11 E4 D12a G2",
+    "WITH" + _sql_dim("d1", SQL_TWO_BATCH, "o_orderdate < TIMESTAMP '1998-01-01 00:00:00'") + ","
+    + _sql_dim("d2", SQL_TWO_BATCH)
+    + """,
+  dims AS (SELECT * FROM d1 UNION ALL SELECT * FROM d2),
+  ordered AS (
+    SELECT wallet_id, valid_from, valid_to,
+           lead(valid_from) OVER (PARTITION BY wallet_id
+             ORDER BY valid_from ASC NULLS LAST, valid_to ASC NULLS LAST) AS next_from
+    FROM dims)
+SELECT wallet_id, 'overlapping_range' AS breach FROM ordered
+WHERE valid_to IS NOT NULL AND next_from IS NOT NULL AND valid_to > next_from
+UNION ALL
+SELECT wallet_id, 'multiple_current_rows' AS breach FROM dims WHERE is_current
+GROUP BY wallet_id HAVING count(*) > 1""",
+)
+def scd2_checks_doubled(spark, sf):
+    # A non-idempotent append of the state after each batch: the checks must flag it.
+    dim1, dim2 = _two_batch_states(spark, sf)
+    return K.scd2_breaches(dim1.unionByName(dim2))
+
+
+def _fact_pit(spark, sf, salted: bool = False):
+    facts = D.fact_transactions(D.table(spark, sf, "lineitem"), D.table(spark, sf, "orders"))
+    dim = _dim_yearly(spark, sf)
+    skew = None
+    if salted:
+        # Hot = more rows than an average shuffle partition holds.
+        skew = max(1, facts.count() // int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return S.point_in_time_join(facts, dim, rename={"risk_tier": "wallet_risk_tier_at_event"},
+                                skew_min_rows=skew)
+
+
+_PIT_SQL = "WITH" + _sql_dim("dim", SQL_YEAR_BATCH) + ",\n  " + SQL_FACTS + ",\n  " + SQL_PIT + "\n"
+
+
+@register("fact_point_in_time", "C2 B9 H6 H17", _PIT_SQL + "SELECT * FROM pit")
+def fact_point_in_time(spark, sf):
+    return _fact_pit(spark, sf)
+
+
+@register("fact_point_in_time_salted", "C2 (hot wallets salted)", _PIT_SQL + "SELECT * FROM pit")
+def fact_point_in_time_salted(spark, sf):
+    return _fact_pit(spark, sf, salted=True)
+
+
+@register(
+    "dq_not_null_fact",
+    "J8",
+    _PIT_SQL + """SELECT *, concat_ws(',',
+        CASE WHEN tx_id IS NULL THEN 'tx_id' END,
+        CASE WHEN wallet_id IS NULL THEN 'wallet_id' END,
+        CASE WHEN wallet_risk_tier_at_event IS NULL THEN 'wallet_risk_tier_at_event' END) AS null_columns
+    FROM pit WHERE tx_id IS NULL OR wallet_id IS NULL OR wallet_risk_tier_at_event IS NULL""",
+)
+def dq_not_null_fact(spark, sf):
+    return K.not_null_violations(_fact_pit(spark, sf), ["tx_id", "wallet_id", "wallet_risk_tier_at_event"])
+
+
+@register(
+    "dq_unique_lineitem",
+    "J9 D12a",
+    """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+    GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+)
+def dq_unique_lineitem(spark, sf):
+    return K.unique_violations(D.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register(
+    "dq_accepted_asset",
+    "J12 (accepted values)",
+    _with(SQL_TX) + "SELECT * FROM tx WHERE asset IS NOT NULL AND asset NOT IN ('CLICK', 'VIEW', 'PURCHASE')",
+)
+def dq_accepted_asset(spark, sf):
+    return K.accepted_values_violations(_events_tx(spark, sf), "asset", D.EVENT_ASSETS)
+
+
+@register(
+    "dq_relationship_wallet",
+    "J12 (relationship) C5",
+    "WITH" + _sql_dim("dim", SQL_YEAR_BATCH) + ",\n  " + SQL_TX.replace("tx AS", "tx AS", 1) + """
+    SELECT * FROM tx WHERE wallet_id NOT IN (SELECT wallet_id FROM dim WHERE is_current)""",
+)
+def dq_relationship_wallet(spark, sf):
+    cur = _dim_yearly(spark, sf).where("is_current")
+    return K.relationship_violations(_events_tx(spark, sf), cur, "wallet_id")
