@@ -121,23 +121,41 @@ def tier_updates(orders: DataFrame) -> DataFrame:
 
 def fact_transactions(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Line items as transactions of the ordering customer's wallet."""
-    li = lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice")
+    li = lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice")
     od = orders.select("o_orderkey", "o_custkey")
     return li.join(od, li.l_orderkey == od.o_orderkey, "inner").select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("tx_id"),
         F.concat(F.lit("w-"), F.col("o_custkey").cast("string")).alias("wallet_id"),
+        F.concat(F.lit("s-"), F.col("l_suppkey").cast("string")).alias("counterparty_id"),
         F.col("l_shipdate").alias("event_ts"),
         F.col("l_extendedprice").cast("decimal(38,8)").alias("value"),
     )
 
 
+def fact_labels(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Transaction labels for line items from the ordering customer:
+    HOUSEHOLD segment -> UNKNOWN, negative balance -> ILLICIT, else LICIT."""
+    li = lineitem.select("l_orderkey", "l_linenumber")
+    od = orders.select("o_orderkey", "o_custkey")
+    cu = customer.select("c_custkey", "c_acctbal", "c_mktsegment")
+    j = li.join(od, li.l_orderkey == od.o_orderkey, "inner").join(cu, F.col("o_custkey") == F.col("c_custkey"), "inner")
+    return j.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("tx_id"),
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", "UNKNOWN")
+        .when(F.col("c_acctbal") < 0, "ILLICIT")
+        .otherwise("LICIT")
+        .alias("fraud_label"),
+    )
+
+
 def scored_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents with a deterministic score in (0, 1) from their length."""
+    """Labelled documents with a deterministic score in [0, 1) from their length:
+    floor(1000 * n / (n + 2000)) / 1000, in integer arithmetic (exact everywhere)."""
     docs = documents.select("doc_id", "n_chars")
     return labels.select("doc_id", "quality").join(docs, "doc_id", "inner").select(
         F.col("doc_id"),
         F.col("quality").alias("label"),
-        F.round(F.col("n_chars") / (F.col("n_chars") + F.lit(2000.0)), 3).alias("score"),
+        (F.expr("(n_chars * 1000) div (n_chars + 2000)").cast("double") / F.lit(1000.0)).alias("score"),
     )
 
 

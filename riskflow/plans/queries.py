@@ -292,12 +292,12 @@ SQL_YEAR_BATCH = "year(o_orderdate)"
 
 SQL_FACTS = """facts AS (
     SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS tx_id,
-           'w-' || o_custkey AS wallet_id, l_shipdate AS event_ts,
+           'w-' || o_custkey AS wallet_id, 's-' || l_suppkey AS counterparty_id, l_shipdate AS event_ts,
            CAST(l_extendedprice AS DECIMAL(38,8)) AS value
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 SQL_PIT = """pit AS (
-    SELECT f.tx_id, f.wallet_id, f.event_ts, f.value, d.risk_tier AS wallet_risk_tier_at_event
+    SELECT f.tx_id, f.wallet_id, f.counterparty_id, f.event_ts, f.value, d.risk_tier AS wallet_risk_tier_at_event
     FROM facts f LEFT JOIN dim d
       ON d.wallet_id = f.wallet_id AND f.event_ts >= d.valid_from
      AND (d.valid_to IS NULL OR f.event_ts < d.valid_to))"""
@@ -440,3 +440,366 @@ def dq_accepted_asset(spark, sf):
 def dq_relationship_wallet(spark, sf):
     cur = _dim_yearly(spark, sf).where("is_current")
     return K.relationship_violations(_events_tx(spark, sf), cur, "wallet_id")
+
+
+# ---------------------------------------------------------------------------
+# Feature mart, model layer, serving views
+# ---------------------------------------------------------------------------
+
+from riskflow.operators import evidence as EV  # noqa: E402
+from riskflow.operators import features as FE  # noqa: E402
+from riskflow.operators import model as M  # noqa: E402
+from riskflow.operators import opsmetrics as OM  # noqa: E402
+from riskflow.operators import serving as SV  # noqa: E402
+
+SCORED_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
+METRICS_NOW = dt.datetime(2024, 2, 1, 12, 0, 0)
+METRICS_UNTIL = dt.date(2024, 2, 3)
+ALERT_MIN_TX = 2
+
+
+def _feature_sql(tx_cte: str, lbl_cte: str, round_avg: bool = True) -> str:
+    avg = "round(CAST(avg(value) AS DOUBLE), 6)" if round_avg else "CAST(avg(value) AS DOUBLE)"
+    return f"""{tx_cte},
+  {lbl_cte},
+  feats AS (
+    SELECT wallet_id, count(tx_id) AS tx_count, CAST(sum(value) AS DOUBLE) AS total_value,
+           {avg} AS avg_value, CAST(max(value) AS DOUBLE) AS max_value,
+           count(DISTINCT counterparty_id) AS distinct_counterparties,
+           count(DISTINCT CAST(event_ts AS DATE)) AS active_days, min(event_ts) AS first_seen_ts,
+           CASE WHEN count_if(fraud_label = 'ILLICIT') > 0 THEN 1
+                WHEN count_if(fraud_label = 'LICIT') > 0 THEN 0 END AS label
+    FROM tx LEFT JOIN lbl USING (tx_id) GROUP BY wallet_id)"""
+
+
+SQL_FACT_TX = """tx AS (
+    SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS tx_id,
+           'w-' || o_custkey AS wallet_id, 's-' || l_suppkey AS counterparty_id, l_shipdate AS event_ts,
+           CAST(l_extendedprice AS DECIMAL(38,8)) AS value
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+SQL_FACT_LBL = """lbl AS (
+    SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS tx_id,
+           CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'UNKNOWN' WHEN c_acctbal < 0 THEN 'ILLICIT'
+                ELSE 'LICIT' END AS fraud_label
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)"""
+
+
+def _event_features(spark, sf, exact=True):
+    ev = D.table(spark, sf, "events")
+    return FE.wallet_features(D.transactions(ev), D.transaction_labels(ev), exact_distinct=exact)
+
+
+def _model_features(spark, sf, exact=True):
+    li, od = D.table(spark, sf, "lineitem"), D.table(spark, sf, "orders")
+    cu = D.table(spark, sf, "customer")
+    return FE.wallet_features(D.fact_transactions(li, od), D.fact_labels(li, od, cu), exact_distinct=exact)
+
+
+@register("wallet_features", "D2a D3a D4a D11a C3 C4 K7 H5 H13",
+          "WITH " + _feature_sql(SQL_TX, SQL_LABELS) + "\nSELECT * FROM feats")
+def wallet_features_q(spark, sf):
+    return _event_features(spark, sf).withColumn("avg_value", F.round("avg_value", 6))
+
+
+@register("wallet_features_lineitem", "D2a D3a D4a K7 (model dataset)",
+          "WITH " + _feature_sql(SQL_FACT_TX, SQL_FACT_LBL) + "\nSELECT * FROM feats")
+def wallet_features_lineitem(spark, sf):
+    return _model_features(spark, sf).withColumn("avg_value", F.round("avg_value", 6))
+
+
+@register("wallet_features_hll", "D2a D8a (HLL++ distinct, rows-only)")
+def wallet_features_hll(spark, sf):
+    return _event_features(spark, sf, exact=False)
+
+
+@register(
+    "wallet_labels",
+    "D3a D4a D10a C3",
+    _with(SQL_TX, SQL_LABELS) + """
+    SELECT wallet_id, count_if(fraud_label = 'ILLICIT') AS n_illicit, count_if(fraud_label = 'LICIT') AS n_licit,
+           CASE WHEN count_if(fraud_label = 'ILLICIT') > 0 THEN 1
+                WHEN count_if(fraud_label = 'LICIT') > 0 THEN 0 END AS label
+    FROM tx LEFT JOIN lbl USING (tx_id) GROUP BY wallet_id""",
+)
+def wallet_labels_q(spark, sf):
+    ev = D.table(spark, sf, "events")
+    return FE.wallet_labels(D.transactions(ev), D.transaction_labels(ev))
+
+
+@register(
+    "time_split",
+    "K1 F1 B16",
+    "WITH " + _feature_sql(SQL_FACT_TX, SQL_FACT_LBL) + """,
+  r AS (SELECT wallet_id, first_seen_ts, label,
+               row_number() OVER (ORDER BY first_seen_ts, wallet_id) - 1 AS split_position,
+               count(*) OVER () AS n
+        FROM feats WHERE label IS NOT NULL)
+SELECT wallet_id, first_seen_ts, label, split_position,
+       CASE WHEN split_position < CAST(floor(n * (1.0::DOUBLE - 0.3::DOUBLE)) AS BIGINT)
+            THEN 'train' ELSE 'test' END AS split
+FROM r""",
+)
+def time_split_q(spark, sf):
+    feats = _model_features(spark, sf).select("wallet_id", "first_seen_ts", "label").na.drop(subset=["label"])
+    return M.split_frame(feats).select("wallet_id", "first_seen_ts", "label", "split_position", "split")
+
+
+SQL_SCORED_DOCS = """sd AS (
+    SELECT l.doc_id, l.quality AS label,
+           CAST((d.n_chars * 1000) // (d.n_chars + 2000) AS DOUBLE) / 1000.0::DOUBLE AS score
+    FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+
+@register(
+    "average_precision",
+    "K3",
+    _with(SQL_SCORED_DOCS) + """,
+  g AS (SELECT score, CAST(sum(label) AS BIGINT) AS tp, count(*) AS n FROM sd GROUP BY score),
+  c AS (SELECT tp, n,
+               sum(tp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_tp,
+               sum(n) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_n
+        FROM g)
+SELECT CAST(sum(n) AS BIGINT) AS n, CAST(sum(tp) AS BIGINT) AS n_pos,
+       round(sum(tp * (CAST(cum_tp AS DOUBLE) / cum_n)) / sum(tp), 10) AS average_precision
+FROM c""",
+)
+def average_precision_q(spark, sf):
+    sd = D.scored_documents(D.table(spark, sf, "documents"), D.table(spark, sf, "labels"))
+    return M.average_precision(sd).withColumn("average_precision", F.round("average_precision", 10))
+
+
+@register(
+    "precision_at_k",
+    "K4 F2",
+    _with(SQL_SCORED_DOCS) + """
+SELECT count(*) AS k, round(avg(CAST(label AS DOUBLE)), 10) AS precision_at_k
+FROM (SELECT * FROM sd ORDER BY score DESC, doc_id ASC LIMIT 50)""",
+)
+def precision_at_k_q(spark, sf):
+    sd = D.scored_documents(D.table(spark, sf, "documents"), D.table(spark, sf, "labels"))
+    return M.precision_at_k(sd, 50, key="doc_id").withColumn("precision_at_k", F.round("precision_at_k", 10))
+
+
+SQL_WALLET_SCORES = """sc AS (
+    SELECT wallet_id,
+           CAST(CAST(concat('0x', substr(md5(wallet_id), 1, 15)) AS BIGINT) % 1000 AS DOUBLE) / 1000.0::DOUBLE
+             AS fraud_score,
+           'hash-v1' AS model_version
+    FROM (SELECT DISTINCT 'w-' || user_id AS wallet_id FROM events))"""
+
+
+def _hash_scores(spark, sf):
+    wallets = D.transactions(D.table(spark, sf, "events")).select("wallet_id").distinct()
+    return D.wallet_scores(wallets)
+
+
+@register(
+    "top_risk",
+    "F3 L7 F2 H7",
+    _with(SQL_WALLET_SCORES) + "SELECT * FROM sc ORDER BY fraud_score DESC, wallet_id LIMIT 15",
+)
+def top_risk_q(spark, sf):
+    return SV.top_risk(_hash_scores(spark, sf))
+
+
+@register(
+    "risk_tier",
+    "B17",
+    _with(SQL_WALLET_SCORES)
+    + "SELECT *, CASE WHEN fraud_score > 0.7 THEN 'HIGH' ELSE 'LOW' END AS risk_tier FROM sc",
+)
+def risk_tier_q(spark, sf):
+    return SV.with_risk_tier(_hash_scores(spark, sf))
+
+
+def _trained(spark, sf):
+    feats = _model_features(spark, sf, exact=False).checkpoint(eager=True)
+    model, report = M.train_and_evaluate(feats, k=M.PRECISION_K, max_iter=10)
+    return feats, model, report
+
+
+@register("gbt_score", "K2 K6 A16 H20 (rows-only: model output)")
+def gbt_score_q(spark, sf):
+    feats, model, _ = _trained(spark, sf)
+    return M.score(model, feats, "gbt-v1", SCORED_AT)
+
+
+@register("model_eval", "K5 L8 D13a (rows-only: model output)")
+def model_eval_q(spark, sf):
+    feats, model, report = _trained(spark, sf)
+    scores = M.score(model, feats, "gbt-v1", SCORED_AT)
+    return SV.kpis(scores, M.report_frame(spark, report)).crossJoin(
+        M.report_frame(spark, report).select("n_train", "n_test", "split_ts"))
+
+
+@register("masked_fact", "B12 L9", _PIT_SQL + "SELECT * EXCLUDE (wallet_id, counterparty_id) FROM pit")
+def masked_fact_q(spark, sf):
+    return SV.masked_view(_fact_pit(spark, sf), SV.FACT_MASK)
+
+
+@register("masked_dim", "B13 L9",
+          "WITH" + _sql_dim("dim", SQL_YEAR_BATCH) + "\nSELECT * EXCLUDE (wallet_id) FROM dim")
+def masked_dim_q(spark, sf):
+    return SV.masked_view(_dim_yearly(spark, sf), SV.DIM_MASK)
+
+
+# ---------------------------------------------------------------------------
+# Evidence and reports for every wallet seen anywhere
+# ---------------------------------------------------------------------------
+
+
+def _evidence_inputs(spark, sf):
+    ev = D.table(spark, sf, "events")
+    tx = D.transactions(ev)
+    feats = FE.wallet_features(tx, D.transaction_labels(ev), exact_distinct=True)
+    dims = _dim_yearly(spark, sf)
+    scores = D.wallet_scores(tx.select("wallet_id").distinct())
+    alerts = velocity_features(tx, "10 minutes", exact_distinct=True).where(F.col("tx_count") >= ALERT_MIN_TX)
+    wallets = (
+        tx.select("wallet_id")
+        .unionByName(D.table(spark, sf, "customer").select(F.concat(F.lit("w-"), F.col("c_custkey").cast("string"))
+                                                         .alias("wallet_id")))
+        .unionByName(D.table(spark, sf, "supplier").select(F.concat(F.lit("s-"), F.col("s_suppkey").cast("string"))
+                                                         .alias("wallet_id")))
+        .distinct()
+    )
+    return wallets, feats, dims, scores, alerts
+
+
+def _fmt(col: str) -> str:
+    return f"CAST(round({col}, 6) AS VARCHAR)"
+
+
+SQL_EVIDENCE = (
+    "WITH " + _feature_sql(SQL_TX, SQL_LABELS, round_avg=False) + ",\n" + _sql_dim("dim", SQL_YEAR_BATCH) + ",\n  "
+    + SQL_WALLET_SCORES + f""",
+  alerts AS (
+    SELECT time_bucket(INTERVAL '10 minutes', event_ts) AS window_start, wallet_id,
+           count(tx_id) AS tx_count, sum(value) AS total_value
+    FROM tx GROUP BY 1, 2 HAVING count(tx_id) >= {ALERT_MIN_TX}),
+  facts AS (
+    SELECT wallet_id, 1 AS section, CAST(NULL AS TIMESTAMP) AS sort_ts, 0 AS sort_i,
+           'feature tx_count = ' || CAST(tx_count AS VARCHAR) AS fact FROM feats
+    UNION ALL SELECT wallet_id, 1, NULL, 1, 'feature total_value = ' || {_fmt('total_value')} FROM feats
+    UNION ALL SELECT wallet_id, 1, NULL, 2, 'feature avg_value = ' || {_fmt('avg_value')} FROM feats
+    UNION ALL SELECT wallet_id, 1, NULL, 3, 'feature max_value = ' || {_fmt('max_value')} FROM feats
+    UNION ALL SELECT wallet_id, 1, NULL, 4,
+           'feature distinct_counterparties = ' || CAST(distinct_counterparties AS VARCHAR) FROM feats
+    UNION ALL SELECT wallet_id, 1, NULL, 5, 'feature active_days = ' || CAST(active_days AS VARCHAR) FROM feats
+    UNION ALL SELECT wallet_id, 2, valid_from, 0,
+           'risk_tier ' || risk_tier || ' from ' || strftime(valid_from, '%Y-%m-%d %H:%M:%S') || ' to '
+           || coalesce(strftime(valid_to, '%Y-%m-%d %H:%M:%S'), 'now') FROM dim
+    UNION ALL SELECT wallet_id, 3, NULL, 0,
+           'fraud_score = ' || printf('%.3f', fraud_score) || ' (model ' || model_version || ')' FROM sc
+    UNION ALL SELECT wallet_id, 4, window_start, 0,
+           'alert: window ' || strftime(window_start, '%Y-%m-%d %H:%M:%S') || ' tx_count=' || CAST(tx_count AS VARCHAR)
+           || ' total_value=' || CAST(CAST(total_value AS DOUBLE) AS VARCHAR) FROM alerts),
+  numbered AS (
+    SELECT wallet_id, row_number() OVER (PARTITION BY wallet_id
+             ORDER BY section, sort_ts NULLS FIRST, sort_i, fact) AS fact_no, fact
+    FROM facts),
+  w AS (SELECT 'w-' || user_id AS wallet_id FROM events
+        UNION SELECT 'w-' || c_custkey FROM customer UNION SELECT 's-' || s_suppkey FROM supplier),
+  summary AS (
+    SELECT w.wallet_id,
+           (f.wallet_id IS NOT NULL OR coalesce(h.n, 0) > 0) AS found,
+           CAST(CASE WHEN f.wallet_id IS NOT NULL THEN 6 ELSE 0 END AS BIGINT) AS n_features,
+           CAST(coalesce(h.n, 0) AS BIGINT) AS n_history,
+           s.wallet_id IS NOT NULL AS has_score,
+           CAST(coalesce(a.n, 0) AS BIGINT) AS n_alerts
+    FROM w
+    LEFT JOIN feats f ON f.wallet_id = w.wallet_id
+    LEFT JOIN (SELECT wallet_id, count(*) AS n FROM dim GROUP BY 1) h ON h.wallet_id = w.wallet_id
+    LEFT JOIN sc s ON s.wallet_id = w.wallet_id
+    LEFT JOIN (SELECT wallet_id, count(*) AS n FROM alerts GROUP BY 1) a ON a.wallet_id = w.wallet_id),
+  found AS (SELECT wallet_id, n_features + n_history + CAST(has_score AS BIGINT) + n_alerts AS n_facts
+            FROM summary WHERE found)
+"""
+)
+
+
+@register("evidence_summary", "L1 L2 C8", SQL_EVIDENCE + "SELECT * FROM summary")
+def evidence_summary_q(spark, sf):
+    wallets, feats, dims, scores, alerts = _evidence_inputs(spark, sf)
+    return EV.wallet_evidence(wallets, feats, dims, scores, alerts)
+
+
+@register("evidence_facts", "L1 L3 F4 B14 B15 H18 C8", SQL_EVIDENCE + "SELECT * FROM numbered")
+def evidence_facts_q(spark, sf):
+    _, feats, dims, scores, alerts = _evidence_inputs(spark, sf)
+    return EV.evidence_facts(feats, dims, scores, alerts)
+
+
+@register(
+    "wallet_report",
+    "L4 L5 L6 H19",
+    SQL_EVIDENCE + f"""
+SELECT wallet_id, CAST(0 AS BIGINT) AS line_no, 'Analysis for wallet ' || wallet_id || ':' AS line FROM found
+UNION ALL
+SELECT n.wallet_id, CAST(n.fact_no AS BIGINT), '  [' || CAST(n.fact_no AS VARCHAR) || '] ' || n.fact
+FROM numbered n WHERE n.wallet_id IN (SELECT wallet_id FROM found)
+UNION ALL
+SELECT wallet_id, n_facts + 1, 'Question: {EV.DEFAULT_QUESTION}' FROM found
+UNION ALL
+SELECT wallet_id, n_facts + 2, '{EV.REPORT_CLOSING}' FROM found
+UNION ALL
+SELECT wallet_id, CAST(0 AS BIGINT), '{EV.REFUSAL.replace("'", "''")}' FROM summary WHERE NOT found""",
+)
+def wallet_report_q(spark, sf):
+    wallets, feats, dims, scores, alerts = _evidence_inputs(spark, sf)
+    summary = EV.wallet_evidence(wallets, feats, dims, scores, alerts)
+    facts = EV.evidence_facts(feats, dims, scores, alerts)
+    return EV.report_lines(summary, facts)
+
+
+# ---------------------------------------------------------------------------
+# Run metrics and alarm rules
+# ---------------------------------------------------------------------------
+
+
+def _metrics(spark, sf):
+    tagged = C.with_breaches(_normalized_events(spark, sf), D.EVENTS_CONTRACT)
+    tagged = tagged.withColumn("ingest_date", F.to_date("event_ts"))
+    return OM.daily_metrics_from_split(tagged, "ingest_date")
+
+
+SQL_METRICS = _with(SQL_RAW, SQL_NORM) + f""",
+  daily AS (
+    SELECT CAST(event_ts AS DATE) AS metric_date,
+           count_if({SQL_TX_BREACH} = '') AS silver_rows, count_if({SQL_TX_BREACH} <> '') AS quarantine_rows
+    FROM norm GROUP BY 1)
+"""
+
+
+@register("quarantine_trend", "M1 M4 D14a", SQL_METRICS + "SELECT * FROM daily")
+def quarantine_trend_q(spark, sf):
+    return OM.daily_trend(_metrics(spark, sf))
+
+
+@register(
+    "freshness_check",
+    "M2",
+    SQL_METRICS + """
+SELECT TIMESTAMP '2024-02-01 12:00:00' AS checked_at, last_written_at,
+       round(date_diff('microsecond', last_written_at, TIMESTAMP '2024-02-01 12:00:00') / 3600000000.0, 3)
+         AS age_hours,
+       coalesce(date_diff('microsecond', last_written_at, TIMESTAMP '2024-02-01 12:00:00') / 3600000000.0 > 26,
+                TRUE) AS breach
+FROM (SELECT max(CAST(metric_date AS TIMESTAMP) + INTERVAL 26 HOUR) AS last_written_at FROM daily)""",
+)
+def freshness_check_q(spark, sf):
+    return OM.freshness(_metrics(spark, sf), METRICS_NOW)
+
+
+@register(
+    "zero_row_days",
+    "M3",
+    SQL_METRICS + """,
+  spine AS (SELECT CAST(unnest(generate_series(CAST(min(metric_date) AS TIMESTAMP),
+                   TIMESTAMP '2024-02-03 00:00:00', INTERVAL 1 DAY)) AS DATE) AS day FROM daily)
+SELECT s.day, CAST(coalesce(d.silver_rows, 0) AS BIGINT) AS rows, coalesce(d.silver_rows, 0) < 1 AS breach
+FROM spine s LEFT JOIN daily d ON d.metric_date = s.day""",
+)
+def zero_row_days_q(spark, sf):
+    return OM.zero_row_days(_metrics(spark, sf), METRICS_UNTIL)
