@@ -99,9 +99,12 @@ def fit_gbt(train: DataFrame, features=FEATURE_COLUMNS, label: str = "label", ma
     from pyspark.ml.feature import VectorAssembler
 
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
-    gbt = GBTClassifier(featuresCol="_features", labelCol="_label", maxIter=max_iter, seed=seed,
-                        maxDepth=max_depth, probabilityCol="_prob", rawPredictionCol="_raw",
-                        predictionCol="_pred")
+    gbt = (
+        GBTClassifier(featuresCol="_features", labelCol="_label", maxIter=max_iter, seed=seed,
+                      maxDepth=max_depth, predictionCol="_pred")
+        .setProbabilityCol("_prob")
+        .setRawPredictionCol("_raw")
+    )
     data = train.withColumn("_label", F.col(label).cast("double"))
     return Pipeline(stages=[assembler, gbt]).fit(data)
 

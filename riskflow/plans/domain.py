@@ -166,3 +166,49 @@ def wallet_scores(wallets: DataFrame) -> DataFrame:
         md5_unit(F.col("wallet_id"), 1000).alias("fraud_score"),
         F.lit("hash-v1").alias("model_version"),
     )
+
+
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# Fixed value: a payload of an 'error' event arrives cut after this many characters.
+TRUNCATED_PAYLOAD_CHARS = 30
+
+
+def event_payloads(events: DataFrame) -> DataFrame:
+    """Events as JSON text in a ``value`` column (what a broker would carry).
+
+    Payloads of 'error' events arrive truncated (unparseable), so the parser's
+    corrupt branch sees real rows. Also keeps ``ts`` for ordering files.
+    """
+    ts = F.col("ts")
+    body = F.concat(
+        F.lit('{"tx_id":"tx-'), F.col("event_id").cast("string"),
+        F.lit('","wallet_id":"w-'), F.col("user_id").cast("string"),
+        F.lit('","counterparty_id":"'), _counterparty(),
+        F.lit('","value":'), F.col("value").cast("decimal(12,2)").cast("string"),
+        F.lit(',"asset":"'), F.upper("event_type"),
+        F.lit('","event_ts":"'), F.date_format(ts, ISO_MICROS),
+        F.lit('","produced_ts":"'), F.date_format(ts + F.expr("INTERVAL 2 SECONDS"), ISO_MICROS),
+        F.lit('"}'),
+    )
+    payload = F.when(F.col("event_type") == "error", F.substring(body, 1, TRUNCATED_PAYLOAD_CHARS)).otherwise(body)
+    return events.select(payload.alias("value"), ts, F.col("event_type"))
+
+
+def graph_feature_rows(events: DataFrame) -> DataFrame:
+    """Events shaped as a labelled-graph features export: tx_id, time_step, f0, extra anonymous columns."""
+    return events.select(
+        F.col("event_id").alias("tx_id"),
+        (F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) + 1).alias("time_step"),
+        (F.col("value") - F.lit(100.0)).alias("f0"),
+        F.col("user_id").alias("f1"),
+        F.length("props").alias("f2"),
+    )
+
+
+def graph_class_rows(events: DataFrame) -> DataFrame:
+    """Events shaped as a classes export: txId, class ('1' illicit, '2' licit, 'unknown')."""
+    return events.select(
+        F.col("event_id").cast("string").alias("txId"),
+        F.when(F.col("event_type") == "error", "1").when(F.col("event_type") == "purchase", "2")
+        .otherwise("unknown").alias("class"),
+    )

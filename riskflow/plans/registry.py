@@ -29,6 +29,6 @@ def register(name: str, operators: str, oracle: str | None = None):
 
 def all_queries() -> dict[str, Query]:
     # Importing the modules fills the registry.
-    from riskflow.plans import queries  # noqa: F401
+    from riskflow.plans import io_queries, queries  # noqa: F401
 
     return dict(_REGISTRY)

@@ -1,0 +1,23 @@
+from riskflow.sinks.tables import (
+    VersionedTable,
+    create_partitioned_table,
+    land_partition,
+    materialize_view,
+    merge_sql,
+    overwrite_partitions,
+    register_partition,
+    upsert_frame,
+    upsert_partitions,
+)
+
+__all__ = [
+    "VersionedTable",
+    "create_partitioned_table",
+    "land_partition",
+    "materialize_view",
+    "merge_sql",
+    "overwrite_partitions",
+    "register_partition",
+    "upsert_frame",
+    "upsert_partitions",
+]
