@@ -211,3 +211,40 @@ def stream_velocity_dedupe(spark, sf):
 def stream_dead_letter(spark, sf):
     work = _run_stream(spark, sf, dead_letter=True)
     return spark.read.parquet(f"{work}/dead")
+
+
+# ---------------------------------------------------------------------------
+# The daily batch job over every date of the extract (write-audit-publish)
+# ---------------------------------------------------------------------------
+
+from riskflow.plans import jobs as J  # noqa: E402
+from riskflow.plans.queries import SQL_NORM, SQL_TX_BREACH, SQL_TIER  # noqa: E402
+
+JOB_NOW = "2024-02-01 00:00:00"
+
+
+@register(
+    "batch_job_fact",
+    "N1 N2 N3 N4 A1 A10 A11 A15 A17 J7 M1 (published fact after all gates)",
+    _with(SQL_RAW, SQL_NORM) + f""",
+  silver AS (
+    SELECT * EXCLUDE (rn) FROM (
+      SELECT *, CAST(event_ts AS DATE) AS ingest_date,
+             row_number() OVER (PARTITION BY tx_id, CAST(event_ts AS DATE) ORDER BY event_ts DESC, wallet_id) AS rn
+      FROM norm WHERE {SQL_TX_BREACH} = '') WHERE rn = 1),
+  upd AS (SELECT 'w-' || o_custkey AS wallet_id, {SQL_TIER} AS risk_tier, o_orderdate AS snapshot_ts,
+                 o_orderkey AS tie FROM orders),
+  latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY wallet_id
+               ORDER BY snapshot_ts DESC, tie DESC) AS rn FROM upd) WHERE rn = 1)
+SELECT s.*, l.risk_tier AS wallet_risk_tier_at_event
+FROM silver s LEFT JOIN latest l ON l.wallet_id = s.wallet_id AND s.event_ts >= l.snapshot_ts""",
+)
+def batch_job_fact(spark, sf):
+    import datetime as dt
+
+    work = scratch_path(spark, "batch-job")
+    D.raw_transactions(D.table(spark, sf, "events")).write.parquet(f"{work}/extract")
+    updates = D.tier_updates(D.table(spark, sf, "orders"))
+    J.run_batch(spark, f"{work}/extract", f"{work}/lake", None, D.EVENTS_CONTRACT, updates,
+                now=dt.datetime.fromisoformat(JOB_NOW), written_at=dt.datetime.fromisoformat(JOB_NOW))
+    return J.published_fact(spark, f"{work}/lake")
