@@ -114,7 +114,7 @@ def json_event_parse(spark, sf):
     "upsert_merge",
     "A12 C6 (copy-on-write upsert, pure form)",
     """WITH upd AS (
-      SELECT s_suppkey, s_name, s_nationkey, round(s_acctbal * 1.1, 2) AS s_acctbal FROM supplier WHERE s_acctbal > 0
+      SELECT s_suppkey, s_name, s_nationkey, s_acctbal + 100.0::DOUBLE AS s_acctbal FROM supplier WHERE s_acctbal > 0
       UNION ALL
       SELECT -s_suppkey, s_name, s_nationkey, 0.0 FROM supplier WHERE s_acctbal < 0)
     SELECT * FROM supplier WHERE s_suppkey NOT IN (SELECT s_suppkey FROM upd)
@@ -122,7 +122,7 @@ def json_event_parse(spark, sf):
 )
 def upsert_merge(spark, sf):
     sup = D.table(spark, sf, "supplier")
-    changed = sup.where("s_acctbal > 0").withColumn("s_acctbal", F.round(F.col("s_acctbal") * 1.1, 2))
+    changed = sup.where("s_acctbal > 0").withColumn("s_acctbal", F.col("s_acctbal") + F.lit(100.0))
     new = sup.where("s_acctbal < 0").select(
         (-F.col("s_suppkey")).alias("s_suppkey"), "s_name", "s_nationkey", F.lit(0.0).alias("s_acctbal"))
     return T.upsert_frame(sup, changed.unionByName(new), ["s_suppkey"])
