@@ -54,15 +54,20 @@ def latest_snapshots(updates: DataFrame, keys, ts: str = "snapshot_ts", tie: str
     return latest_per_key(updates, keys, order)
 
 
-def scd2_apply(dims: DataFrame, updates: DataFrame, key: str = "wallet_id", attrs=("risk_tier",),
-               ts: str = "snapshot_ts", tie: str | None = None) -> DataFrame:
-    """New full state of the dimension after one batch of snapshots."""
+def scd2_step(current: DataFrame, updates: DataFrame, key: str = "wallet_id", attrs=("risk_tier",),
+              ts: str = "snapshot_ts", tie: str | None = None, reduced: bool = False) -> DataFrame:
+    """Rows emitted by one batch against the *current* rows only.
+
+    Output: kept current rows, rows closed by the batch (is_current false) and
+    rows opened by it. ``reduced``: updates already hold one row per key.
+    """
     attrs = list(attrs)
     cols = dim_columns(key, attrs)
-    ts_type = dict(dims.dtypes)[VALID_FROM]
-    upd = latest_snapshots(updates.where(F.col(key).isNotNull()), [key], ts, tie)
-    cur = dims.where(F.col(IS_CURRENT)).select(*cols, F.lit(True).alias("_c"))
-    hist = dims.where(~F.col(IS_CURRENT)).select(*cols)
+    ts_type = dict(current.dtypes)[VALID_FROM]
+    upd = updates.where(F.col(key).isNotNull())
+    if not reduced:
+        upd = latest_snapshots(upd, [key], ts, tie)
+    cur = current.where(F.col(IS_CURRENT)).select(*cols, F.lit(True).alias("_c"))
     u = upd.select(key, *[F.col(a).alias(f"_u_{a}") for a in attrs], F.col(ts).cast(ts_type).alias("_u_ts"),
                    F.lit(True).alias("_u"))
     j = cur.join(u, key, "full_outer")
@@ -72,9 +77,9 @@ def scd2_apply(dims: DataFrame, updates: DataFrame, key: str = "wallet_id", attr
     same = F.lit(True)
     for a in attrs:
         same = same & F.col(a).eqNullSafe(F.col(f"_u_{a}"))
-    stale = F.col("_u_ts") <= F.col(VALID_FROM)
-    keep = has_c & (~has_u | same | F.coalesce(stale, F.lit(False)))
-    change = has_c & has_u & ~same & ~F.coalesce(stale, F.lit(False))
+    stale = F.coalesce(F.col("_u_ts") <= F.col(VALID_FROM), F.lit(False))
+    keep = has_c & (~has_u | same | stale)
+    change = has_c & has_u & ~same & ~stale
     brand_new = ~has_c & has_u
 
     def row(attr_cols, vf, vt, cur_flag):
@@ -94,24 +99,41 @@ def scd2_apply(dims: DataFrame, updates: DataFrame, key: str = "wallet_id", attr
         .when(change, F.array(closed_row, opened_row))
         .when(brand_new, F.array(opened_row))
     )
-    new_rows = j.select(key, F.explode(emitted).alias("_r")).select(key, "_r.*")
-    return hist.unionByName(new_rows.select(*cols))
+    return j.select(key, F.explode(emitted).alias("_r")).select(key, "_r.*").select(*cols)
+
+
+def scd2_apply(dims: DataFrame, updates: DataFrame, key: str = "wallet_id", attrs=("risk_tier",),
+               ts: str = "snapshot_ts", tie: str | None = None) -> DataFrame:
+    """New full state of the dimension after one batch of snapshots."""
+    cols = dim_columns(key, list(attrs))
+    hist = dims.where(~F.col(IS_CURRENT)).select(*cols)
+    return hist.unionByName(scd2_step(dims, updates, key, attrs, ts, tie))
 
 
 def scd2_apply_batches(dims: DataFrame, updates: DataFrame, batch_col: str, key: str = "wallet_id",
                        attrs=("risk_tier",), ts: str = "snapshot_ts", tie: str | None = None) -> DataFrame:
     """Apply batches in ``batch_col`` order, cutting lineage after each batch.
 
-    Only the distinct batch ids reach the driver (one per batch). Each state
-    is checkpointed to the session's reliable checkpoint folder, so a lost
-    executor recomputes at most one batch.
+    Updates are reduced to one row per (key, batch) in one job first. Each
+    step then meets only the current rows; closed rows leave the loop at once
+    (checkpointed per batch), so history is never carried through later
+    batches. Only the distinct batch ids reach the driver.
     """
-    batches = [r[0] for r in updates.select(batch_col).distinct().orderBy(batch_col).collect()]
-    state = dims
+    cols = dim_columns(key, list(attrs))
+    reduced = latest_snapshots(updates.where(F.col(key).isNotNull()), [key, batch_col], ts, tie)
+    reduced = reduced.checkpoint(eager=True)
+    batches = [r[0] for r in reduced.select(batch_col).distinct().orderBy(batch_col).collect()]
+    closed_parts = [dims.where(~F.col(IS_CURRENT)).select(*cols)]
+    current = dims.where(F.col(IS_CURRENT)).select(*cols)
     for b in batches:
-        state = scd2_apply(state, updates.where(F.col(batch_col) == F.lit(b)), key, attrs, ts, tie)
-        state = state.checkpoint(eager=True)
-    return state
+        step = scd2_step(current, reduced.where(F.col(batch_col) == F.lit(b)), key, attrs, ts, tie, reduced=True)
+        step = step.checkpoint(eager=True)
+        closed_parts.append(step.where(~F.col(IS_CURRENT)))
+        current = step.where(F.col(IS_CURRENT))
+    out = current
+    for part in closed_parts:
+        out = out.unionByName(part)
+    return out
 
 
 def scd2_rebuild(updates: DataFrame, batch_col: str, key: str = "wallet_id", attrs=("risk_tier",),

@@ -11,7 +11,7 @@ Lake layout under ``lake_root``:
   bronze/transactions/ingest_date=...      landed extract
   silver/transactions/ingest_date=...      clean, deduplicated
   silver/quarantine/ingest_date=...        rule-breaking rows + reasons
-  gold/dim_wallet/version=<n>              SCD2 states
+  gold/dim_wallet/{closed,current}/batch=  SCD2 dimension, history appended per batch
   gold/fact_transaction/ingest_date=...    published fact
   ops/run_metrics/metric_date=...          counts per run
   _staging/...                             unpublished outputs
@@ -45,7 +45,7 @@ class BatchResult:
     silver_rows: int = 0
     quarantine_rows: int = 0
     fact_rows: int = 0
-    dim_version: int | None = None
+    dim_version: str | None = None
     published: str = ""
 
 
@@ -71,7 +71,9 @@ def _dates_of(df: DataFrame) -> list:
 def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_date=None,
               contract: C.Contract = C.TX_CONTRACT, updates: DataFrame | None = None, now=None,
               fmt: str = "parquet", date_from: str = "event_ts", tie: str | None = "tie",
-              written_at: _dt.datetime | None = None) -> BatchResult:
+              written_at: _dt.datetime | None = None, audit_on: str = "raw") -> BatchResult:
+    """``audit_on``: 'raw' audits the landed rows (duplicates/negatives halt the day, as the
+    original job does); 'silver' audits what would be published, after quarantine and dedupe."""
     lake = LakePaths(lake_root)
     result = BatchResult()
 
@@ -85,7 +87,8 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
         landed = extract.select(F.to_date(F.col(date_from)).alias(PARTITION)).distinct()
         bronze = bronze.join(F.broadcast(landed), PARTITION, "left_semi")  # one row per landed date
     norm = C.normalize(bronze, contract)
-    result.audit = C.audit(norm, contract, now=now, halt=True)
+    if audit_on == "raw":
+        result.audit = C.audit(norm, contract, now=now, halt=True)
 
     # 3. silver + quarantine (dedupe within each day's batch), counts observed on the writes
     tagged = C.with_breaches(norm, contract)
@@ -93,6 +96,8 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
     quarantine = tagged.where(F.col(C.BREACHES_COL) != "")
     order = [F.col(contract.event_time).desc()] + [F.col(c).asc() for c in ("wallet_id",) if c in clean.columns]
     silver = latest_per_key(clean, [*contract.key, PARTITION], order)
+    if audit_on == "silver":
+        result.audit = C.audit(silver, contract, now=now, halt=True)
     silver_obs, s_obs = OM.observed(silver, "silver_rows")
     quar_obs, q_obs = OM.observed(quarantine, "quarantine_rows")
     T.overwrite_partitions(silver_obs, lake.silver, PARTITION)
@@ -119,13 +124,13 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
     T.upsert_partitions(spark, lake.metrics, metrics, ["metric_name", "metric_date"], ["metric_date"],
                         lake.staging("metrics"))
 
-    # 5. SCD2 dimension: a new version per applied batch of snapshots
-    dim_table = T.VersionedTable(spark, lake.dim)
-    if updates is not None:
-        current = dim_table.read() if dim_table.exists() else S.empty_dimension(spark)
-        dim_table.write(S.scd2_apply(current, updates, tie=tie if tie in updates.columns else None))
-    result.dim_version = dim_table.current_version()
-    dim = dim_table.read() if dim_table.exists() else S.empty_dimension(spark)
+    # 5. SCD2 dimension: one batch of snapshots per run, keyed by the run's last date
+    dim_table = T.Scd2Table(spark, lake.dim)
+    batch_id = str(max(result.dates)) if result.dates else None
+    if updates is not None and batch_id is not None:
+        dim_table.apply(updates, batch_id, tie=tie if tie in updates.columns else None)
+    result.dim_version = batch_id
+    dim = dim_table.read(as_of=batch_id)
 
     # 6. fact rows for these dates, staged (not yet visible)
     fact = S.point_in_time_join(silver_back, dim, rename={"risk_tier": "wallet_risk_tier_at_event"})

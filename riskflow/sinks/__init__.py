@@ -1,4 +1,5 @@
 from riskflow.sinks.tables import (
+    Scd2Table,
     VersionedTable,
     create_partitioned_table,
     land_partition,
@@ -11,6 +12,7 @@ from riskflow.sinks.tables import (
 )
 
 __all__ = [
+    "Scd2Table",
     "VersionedTable",
     "create_partitioned_table",
     "land_partition",
