@@ -633,15 +633,21 @@ def model_eval_q(spark, sf):
         M.report_frame(spark, report).select("n_train", "n_test", "split_ts"))
 
 
-@register("masked_fact", "B12 L9", _PIT_SQL + "SELECT * EXCLUDE (wallet_id, counterparty_id) FROM pit")
+def _analyst_views(spark, sf, prefix):
+    SV.register_masked_views(spark, _fact_pit(spark, sf), _dim_yearly(spark, sf), prefix)
+
+
+@register("masked_fact", "B12 L9 A20 (analyst view)", _PIT_SQL + "SELECT * EXCLUDE (wallet_id, counterparty_id) FROM pit")
 def masked_fact_q(spark, sf):
-    return SV.masked_view(_fact_pit(spark, sf), SV.FACT_MASK)
+    _analyst_views(spark, sf, "analyst_q_")
+    return spark.table("analyst_q_fact_transaction")
 
 
-@register("masked_dim", "B13 L9",
+@register("masked_dim", "B13 L9 A20 (analyst view)",
           "WITH" + _sql_dim("dim", SQL_YEAR_BATCH) + "\nSELECT * EXCLUDE (wallet_id) FROM dim")
 def masked_dim_q(spark, sf):
-    return SV.masked_view(_dim_yearly(spark, sf), SV.DIM_MASK)
+    _analyst_views(spark, sf, "analyst_q_")
+    return spark.table("analyst_q_dim_wallet")
 
 
 # ---------------------------------------------------------------------------
