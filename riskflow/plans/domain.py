@@ -132,16 +132,22 @@ def fact_transactions(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def fact_labels(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Transaction labels for line items from the ordering customer:
-    HOUSEHOLD segment -> UNKNOWN, negative balance -> ILLICIT, else LICIT."""
-    li = lineitem.select("l_orderkey", "l_linenumber")
+def labelled_fact_transactions(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """``fact_transactions`` with ``fraud_label`` from the ordering customer carried inline
+    (HOUSEHOLD segment -> UNKNOWN, negative balance -> ILLICIT, else LICIT):
+    one join chain instead of joining the facts to labels derived from the same rows."""
+    li = lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice")
     od = orders.select("o_orderkey", "o_custkey")
     cu = customer.select("c_custkey", "c_acctbal", "c_mktsegment")
-    j = li.join(od, li.l_orderkey == od.o_orderkey, "inner").join(cu, F.col("o_custkey") == F.col("c_custkey"), "inner")
+    j = li.join(od, li.l_orderkey == od.o_orderkey, "inner").join(cu, F.col("o_custkey") == F.col("c_custkey"), "left")
     return j.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("tx_id"),
-        F.when(F.col("c_mktsegment") == "HOUSEHOLD", "UNKNOWN")
+        F.concat(F.lit("w-"), F.col("o_custkey").cast("string")).alias("wallet_id"),
+        F.concat(F.lit("s-"), F.col("l_suppkey").cast("string")).alias("counterparty_id"),
+        F.col("l_shipdate").alias("event_ts"),
+        F.col("l_extendedprice").cast("decimal(38,8)").alias("value"),
+        F.when(F.col("c_custkey").isNull(), F.lit(None).cast("string"))
+        .when(F.col("c_mktsegment") == "HOUSEHOLD", "UNKNOWN")
         .when(F.col("c_acctbal") < 0, "ILLICIT")
         .otherwise("LICIT")
         .alias("fraud_label"),

@@ -458,10 +458,12 @@ METRICS_UNTIL = dt.date(2024, 2, 3)
 ALERT_MIN_TX = 2
 
 
-def _feature_sql(tx_cte: str, lbl_cte: str, round_avg: bool = True) -> str:
+def _feature_sql(tx_cte: str, lbl_cte: str | None, round_avg: bool = True) -> str:
+    """Feature mart twin; with ``lbl_cte`` None the tx CTE carries fraud_label itself."""
     avg = "round(CAST(avg(value) AS DOUBLE), 6)" if round_avg else "CAST(avg(value) AS DOUBLE)"
-    return f"""{tx_cte},
-  {lbl_cte},
+    lbl = f"\n  {lbl_cte}," if lbl_cte else ""
+    src = "tx LEFT JOIN lbl USING (tx_id)" if lbl_cte else "tx"
+    return f"""{tx_cte},{lbl}
   feats AS (
     SELECT wallet_id, count(tx_id) AS tx_count, CAST(sum(value) AS DOUBLE) AS total_value,
            {avg} AS avg_value, CAST(max(value) AS DOUBLE) AS max_value,
@@ -469,7 +471,7 @@ def _feature_sql(tx_cte: str, lbl_cte: str, round_avg: bool = True) -> str:
            count(DISTINCT CAST(event_ts AS DATE)) AS active_days, min(event_ts) AS first_seen_ts,
            CASE WHEN count_if(fraud_label = 'ILLICIT') > 0 THEN 1
                 WHEN count_if(fraud_label = 'LICIT') > 0 THEN 0 END AS label
-    FROM tx LEFT JOIN lbl USING (tx_id) GROUP BY wallet_id)"""
+    FROM {src} GROUP BY wallet_id)"""
 
 
 SQL_FACT_TX = """tx AS (
@@ -478,12 +480,13 @@ SQL_FACT_TX = """tx AS (
            CAST(l_extendedprice AS DECIMAL(38,8)) AS value
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
-SQL_FACT_LBL = """lbl AS (
+SQL_FACT_TX_LABELLED = """tx AS (
     SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS tx_id,
-           CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'UNKNOWN' WHEN c_acctbal < 0 THEN 'ILLICIT'
-                ELSE 'LICIT' END AS fraud_label
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)"""
-
+           'w-' || o_custkey AS wallet_id, 's-' || l_suppkey AS counterparty_id, l_shipdate AS event_ts,
+           CAST(l_extendedprice AS DECIMAL(38,8)) AS value,
+           CASE WHEN c_custkey IS NULL THEN NULL WHEN c_mktsegment = 'HOUSEHOLD' THEN 'UNKNOWN'
+                WHEN c_acctbal < 0 THEN 'ILLICIT' ELSE 'LICIT' END AS fraud_label
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey)"""
 
 def _event_features(spark, sf, exact=True):
     ev = D.table(spark, sf, "events")
@@ -493,7 +496,7 @@ def _event_features(spark, sf, exact=True):
 def _model_features(spark, sf, exact=True):
     li, od = D.table(spark, sf, "lineitem"), D.table(spark, sf, "orders")
     cu = D.table(spark, sf, "customer")
-    return FE.wallet_features(D.fact_transactions(li, od), D.fact_labels(li, od, cu), exact_distinct=exact)
+    return FE.wallet_features(D.labelled_fact_transactions(li, od, cu), exact_distinct=exact)
 
 
 @register("wallet_features", "D2a D3a D4a D11a C3 C4 K7 H5 H13",
@@ -503,7 +506,7 @@ def wallet_features_q(spark, sf):
 
 
 @register("wallet_features_lineitem", "D2a D3a D4a K7 (model dataset)",
-          "WITH " + _feature_sql(SQL_FACT_TX, SQL_FACT_LBL) + "\nSELECT * FROM feats")
+          "WITH " + _feature_sql(SQL_FACT_TX_LABELLED, None) + "\nSELECT * FROM feats")
 def wallet_features_lineitem(spark, sf):
     return _model_features(spark, sf).withColumn("avg_value", F.round("avg_value", 6))
 
@@ -530,7 +533,7 @@ def wallet_labels_q(spark, sf):
 @register(
     "time_split",
     "K1 F1 B16",
-    "WITH " + _feature_sql(SQL_FACT_TX, SQL_FACT_LBL) + """,
+    "WITH " + _feature_sql(SQL_FACT_TX_LABELLED, None) + """,
   r AS (SELECT wallet_id, first_seen_ts, label,
                row_number() OVER (ORDER BY first_seen_ts, wallet_id) - 1 AS split_position,
                count(*) OVER () AS n
