@@ -44,9 +44,7 @@ class EvalReport:
 def time_split(df: DataFrame, ts_col: str = "first_seen_ts", key: str = "wallet_id",
                test_fraction: float = TEST_FRACTION, partitions: int | None = None):
     """Return (train, test, info). Raises ModelError when one side would be empty."""
-    ranked = global_positions(df, [F.col(ts_col), F.col(key)], "split_position", partitions)
-    ranked = ranked.checkpoint(eager=True)
-    n = ranked.count()
+    ranked, n = global_positions(df, [F.col(ts_col), F.col(key)], "split_position", partitions, with_total=True)
     cut = int(n * (1 - test_fraction))
     if cut == 0 or cut == n:
         raise ModelError(f"time_split degenerate: n={n}, test_fraction={test_fraction}")

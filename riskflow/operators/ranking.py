@@ -25,8 +25,8 @@ from riskflow.session import default_parallelism, ensure_checkpoint_dir
 
 PID, MID, LOCAL = "_rf_pid", "_rf_mid", "_rf_local"
 
-# Largest per-(partition, group) block table broadcast to the rows (rows).
-BROADCAST_BLOCKS_MAX = 2_000_000
+# Largest per-(partition, group) block table broadcast to the rows (~50 bytes a row).
+BROADCAST_BLOCKS_MAX = 200_000
 
 
 def _cols(order):
@@ -53,16 +53,24 @@ def _exclusive_offsets(per_part: DataFrame, cols) -> DataFrame:
     return per_part.select(PID, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_off_{c}") for c in cols])
 
 
-def global_positions(df: DataFrame, order, pos_col: str = "position", partitions: int | None = None) -> DataFrame:
-    """Adds ``pos_col``: the 0-based position of each row in ``order``."""
+def global_positions(df: DataFrame, order, pos_col: str = "position", partitions: int | None = None,
+                     with_total: bool = False):
+    """Adds ``pos_col``: the 0-based position of each row in ``order``.
+
+    ``with_total``: also return the row count (read from the per-partition counts).
+    """
     laid = range_layout(df, order, partitions)
-    counts = laid.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"))
+    counts = laid.groupBy(PID).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)  # <= P rows
     offsets = _exclusive_offsets(counts, ["_n"])
-    return (
+    out = (
         laid.join(F.broadcast(offsets), PID, "inner")  # one row per partition
         .withColumn(pos_col, F.col("_off__n") + F.col(LOCAL))
         .drop(PID, LOCAL, "_off__n")
     )
+    if not with_total:
+        return out
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    return out, int(total)
 
 
 def running_sums(df: DataFrame, order, cols, prefix: str = "cum_", partitions: int | None = None) -> DataFrame:

@@ -83,28 +83,46 @@ def _counterparty():
     )
 
 
-def transactions(events: DataFrame) -> DataFrame:
-    """Typed transactions in contract shape (no text round trip)."""
-    return events.select(
+def _typed_transactions(events: DataFrame, with_label: bool) -> DataFrame:
+    cols = [
         F.concat(F.lit("tx-"), F.col("event_id").cast("string")).alias("tx_id"),
         F.concat(F.lit("w-"), F.col("user_id").cast("string")).alias("wallet_id"),
         _counterparty().alias("counterparty_id"),
         F.col("ts").alias("event_ts"),
         F.col("value").cast("decimal(38,8)").alias("value"),
         F.upper("event_type").alias("asset"),
+    ]
+    if with_label:
+        cols.append(_event_label().alias("fraud_label"))
+    return events.select(*cols)
+
+
+def transactions(events: DataFrame) -> DataFrame:
+    """Typed transactions in contract shape (no text round trip)."""
+    return _typed_transactions(events, with_label=False)
+
+
+def _event_label():
+    return (
+        F.when(F.col("event_type") == "error", "ILLICIT")
+        .when(F.col("event_type") == "purchase", "LICIT")
+        .otherwise("UNKNOWN")
     )
 
 
 def transaction_labels(events: DataFrame) -> DataFrame:
+    """A separate label feed keyed by tx_id (joined to transactions on tx_id)."""
     return events.select(
         F.concat(F.lit("tx-"), F.col("event_id").cast("string")).alias("tx_id"),
-        F.when(F.col("event_type") == "error", "ILLICIT")
-        .when(F.col("event_type") == "purchase", "LICIT")
-        .otherwise("UNKNOWN")
-        .alias("fraud_label"),
+        _event_label().alias("fraud_label"),
     )
 
 
+def labelled_transactions(events: DataFrame) -> DataFrame:
+    """``transactions`` with the label carried on each row (no join needed)."""
+    return _typed_transactions(events, with_label=True)
+
+
 def tier_updates(orders: DataFrame) -> DataFrame:
     """Wallet tier snapshots: (wallet_id, risk_tier, snapshot_ts, tie)."""
     prio = F.substring("o_orderpriority", 1, 1)

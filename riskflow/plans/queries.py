@@ -661,7 +661,7 @@ def masked_dim_q(spark, sf):
 def _evidence_inputs(spark, sf):
     ev = D.table(spark, sf, "events")
     tx = D.transactions(ev)
-    feats = FE.wallet_features(tx, D.transaction_labels(ev), exact_distinct=True)
+    feats = FE.wallet_features(D.labelled_transactions(ev), exact_distinct=True)
     dims = _dim_yearly(spark, sf)
     scores = D.wallet_scores(tx.select("wallet_id").distinct())
     alerts = velocity_features(tx, "10 minutes", exact_distinct=True).where(F.col("tx_count") >= ALERT_MIN_TX)

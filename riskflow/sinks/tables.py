@@ -26,9 +26,17 @@ from riskflow.session import scratch_path
 from riskflow.sources.files import list_dirs, partition_value, path_exists
 
 
-def overwrite_partitions(df: DataFrame, root: str, partition_cols, fmt: str = "parquet") -> None:
-    """Replace the partitions present in ``df`` under ``root``; keep all others."""
+def overwrite_partitions(df: DataFrame, root: str, partition_cols, fmt: str = "parquet",
+                         rebalance: bool = True) -> None:
+    """Replace the partitions present in ``df`` under ``root``; keep all others.
+
+    ``rebalance``: shuffle rows by the partition columns first (REBALANCE hint), so
+    each date gets a few right-sized files instead of one file per task and date;
+    AQE splits a hot date over several tasks and merges small ones.
+    """
     cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
+    if rebalance:
+        df = df.hint("rebalance", *cols)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
