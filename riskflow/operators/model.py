@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from riskflow.errors import ModelError
 from riskflow.operators.features import FEATURE_COLUMNS
 from riskflow.operators.ranking import global_positions, running_sums
+from riskflow.session import materialize
 
 # Defaults of the evaluation.
 TEST_FRACTION = 0.3
@@ -134,7 +135,7 @@ def train_and_evaluate(features: DataFrame, k: int = PRECISION_K, test_fraction:
     train, test, info = time_split(labelled, key=key, test_fraction=test_fraction)
     model = fit_gbt(train, max_iter=max_iter, seed=seed)
     scored = score(model, test, "eval", _dt.datetime(1970, 1, 1), key=key, keep=("label",))
-    scored = scored.checkpoint(eager=True)
+    scored = materialize(scored, "eval-scores")
     ap = average_precision(scored, score="fraud_score").first()
     pk = precision_at_k(scored, k, score="fraud_score", key=key).first()
     split_ts = train.agg(F.max("first_seen_ts")).first()[0]

@@ -2,15 +2,17 @@
 
 A global ``row_number()`` or a running sum over an un-partitioned window
 pulls every row into one task. Here the rows are range-partitioned on the
-order, sorted inside each partition, and written once to the reliable
-checkpoint folder (so every later pass sees the same layout; range bounds
-come from sampling). Then:
+order, sorted inside each partition, tagged with partition id and
+in-partition index, and written once as a table in the shared checkpoint
+folder (so every later pass sees the same layout; range bounds come from
+sampling). Then:
 
   * per-partition counts/sums are a tiny table (one row per partition);
   * exclusive offsets over that table are a window over <= P rows;
   * a row's position = offset of its partition + its index inside it, where
     the index comes from ``monotonically_increasing_id`` (partition id in
-    the upper bits, row index in the lower 33 bits) - no extra shuffle.
+    the upper bits, row index in the lower 33 bits), computed in the same
+    stage as the sort - no extra shuffle.
 
 The order must be total (add a unique key as the last column) for results
 to be deterministic.
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.session import default_parallelism, ensure_checkpoint_dir
+from riskflow.session import default_parallelism, ensure_checkpoint_dir, materialize
 
 PID, MID, LOCAL = "_rf_pid", "_rf_mid", "_rf_local"
 
@@ -39,13 +41,17 @@ def range_layout(df: DataFrame, order, partitions: int | None = None) -> DataFra
     ensure_checkpoint_dir(spark)
     n = partitions or default_parallelism(spark)
     order = _cols(order)
-    laid = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
-    return (
-        laid.withColumn(PID, F.spark_partition_id())
+    laid = (
+        df.repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
+        .withColumn(PID, F.spark_partition_id())
         .withColumn(MID, F.monotonically_increasing_id())
         .withColumn(LOCAL, F.col(MID) - F.shiftleft(F.col(PID).cast("long"), 33))
         .drop(MID)
     )
+    # Partition id and in-partition index become data, so nothing later depends
+    # on how the written table is split when read back.
+    return materialize(laid, "range-layout")
 
 
 def _exclusive_offsets(per_part: DataFrame, cols) -> DataFrame:
@@ -60,7 +66,7 @@ def global_positions(df: DataFrame, order, pos_col: str = "position", partitions
     ``with_total``: also return the row count (read from the per-partition counts).
     """
     laid = range_layout(df, order, partitions)
-    counts = laid.groupBy(PID).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)  # <= P rows
+    counts = materialize(laid.groupBy(PID).agg(F.count(F.lit(1)).alias("_n")), "range-counts")  # <= P rows
     offsets = _exclusive_offsets(counts, ["_n"])
     out = (
         laid.join(F.broadcast(offsets), PID, "inner")  # one row per partition
@@ -97,7 +103,7 @@ def group_positions(df: DataFrame, groups, order, pos_col: str = "position", par
     blocks = laid.groupBy(PID, *groups).agg(F.min(LOCAL).alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*groups).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)  # <= P rows per group
     blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    blocks = blocks.checkpoint(eager=True)
+    blocks = materialize(blocks, "group-blocks")
     small = blocks.count() <= BROADCAST_BLOCKS_MAX
     right = F.broadcast(blocks) if small else blocks
     return (

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from riskflow.operators.dedupe import latest_per_key
 from riskflow.operators.skew import salted_join
+from riskflow.session import materialize
 
 VALID_FROM, VALID_TO, IS_CURRENT = "valid_from", "valid_to", "is_current"
 
@@ -116,18 +117,18 @@ def scd2_apply_batches(dims: DataFrame, updates: DataFrame, batch_col: str, key:
 
     Updates are reduced to one row per (key, batch) in one job first. Each
     step then meets only the current rows; closed rows leave the loop at once
-    (checkpointed per batch), so history is never carried through later
+    (written per batch), so history is never carried through later
     batches. Only the distinct batch ids reach the driver.
     """
     cols = dim_columns(key, list(attrs))
     reduced = latest_snapshots(updates.where(F.col(key).isNotNull()), [key, batch_col], ts, tie)
-    reduced = reduced.checkpoint(eager=True)
+    reduced = materialize(reduced, "scd2-reduced")
     batches = [r[0] for r in reduced.select(batch_col).distinct().orderBy(batch_col).collect()]
     closed_parts = [dims.where(~F.col(IS_CURRENT)).select(*cols)]
     current = dims.where(F.col(IS_CURRENT)).select(*cols)
     for b in batches:
         step = scd2_step(current, reduced.where(F.col(batch_col) == F.lit(b)), key, attrs, ts, tie, reduced=True)
-        step = step.checkpoint(eager=True)
+        step = materialize(step, "scd2-step")
         closed_parts.append(step.where(~F.col(IS_CURRENT)))
         current = step.where(F.col(IS_CURRENT))
     out = current

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.errors import ConfigError
+from riskflow.session import materialize
 
 SALT = "_rf_salt"
 N_SALT = "_rf_nsalt"
@@ -52,7 +53,7 @@ def salted_join(big: DataFrame, small: DataFrame, keys, how: str, extra_cond=Non
         if not min_rows:
             raise ConfigError("salted_join needs hot keys or min_rows")
         hot = hot_keys(big, keys, min_rows)
-    hot = hot.checkpoint(eager=True)
+    hot = materialize(hot, "hot-keys")
     n_hot = hot.count()
     if n_hot > MAX_HOT_KEYS:
         # Too many to broadcast safely: plain join, AQE splits skewed partitions.

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from riskflow.functions.hashing import md5_unit
 from riskflow.operators.contract import TX_CONTRACT, Contract, with_rules
+from riskflow.sources.files import read_table
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -62,7 +63,7 @@ LINEITEM_CONTRACT = Contract(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_transactions(events: DataFrame) -> DataFrame:

@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from riskflow.errors import DataQualityError
 from riskflow.operators import checks as K
 from riskflow.operators import contract as C
-from riskflow.operators import opsmetrics as OM
 from riskflow.operators import scd2 as S
 from riskflow.operators.dedupe import latest_per_key
 from riskflow.sinks import tables as T
@@ -98,12 +97,8 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
     silver = latest_per_key(clean, [*contract.key, PARTITION], order)
     if audit_on == "silver":
         result.audit = C.audit(silver, contract, now=now, halt=True)
-    silver_obs, s_obs = OM.observed(silver, "silver_rows")
-    quar_obs, q_obs = OM.observed(quarantine, "quarantine_rows")
-    T.overwrite_partitions(silver_obs, lake.silver, PARTITION)
-    T.overwrite_partitions(quar_obs, lake.quarantine, PARTITION)
-    result.silver_rows = int(s_obs.get["rows"])
-    result.quarantine_rows = int(q_obs.get["rows"])
+    result.silver_rows = T.overwrite_partitions(silver, lake.silver, PARTITION, count_rows=True)
+    result.quarantine_rows = T.overwrite_partitions(quarantine, lake.quarantine, PARTITION, count_rows=True)
 
     # 4. run metrics (keyed upsert: a rerun replaces its own rows)
     silver_back = FS.read_partition(spark, lake.silver, logical_date, PARTITION)
@@ -150,9 +145,7 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
         raise DataQualityError(f"mart tests failed: {failures}")
 
     # 8. publish: replace exactly the staged date partitions
-    fact_obs, f_obs = OM.observed(staged_fact, "fact_rows")
-    T.overwrite_partitions(fact_obs, lake.fact, PARTITION)
-    result.fact_rows = int(f_obs.get["rows"])
+    result.fact_rows = T.overwrite_partitions(staged_fact, lake.fact, PARTITION, count_rows=True)
     result.published = lake.fact
     return result
 

@@ -16,6 +16,7 @@ from riskflow.operators.dedupe import dedupe_transactions, latest_per_key
 from riskflow.operators.velocity import velocity_features
 from riskflow.plans import domain as D
 from riskflow.plans.registry import register
+from riskflow.session import materialize
 
 # Injected "now" values: audits and freshness rules never read the wall clock.
 EVENTS_AUDIT_NOW = dt.datetime(2024, 1, 20, 0, 0, 0)
@@ -319,7 +320,7 @@ def _dim_yearly(spark, sf):
 def _two_batch_states(spark, sf):
     upd = _updates(spark, sf, "two")
     dim0 = S.empty_dimension(spark)
-    dim1 = S.scd2_apply(dim0, upd.where("batch = 1"), tie="tie").checkpoint(eager=True)
+    dim1 = materialize(S.scd2_apply(dim0, upd.where("batch = 1"), tie="tie"), "scd2-batch1")
     dim2 = S.scd2_apply(dim1, upd.where("batch = 2"), tie="tie")
     return dim1, dim2
 
@@ -617,7 +618,7 @@ def risk_tier_q(spark, sf):
 
 
 def _trained(spark, sf):
-    feats = _model_features(spark, sf, exact=False).checkpoint(eager=True)
+    feats = materialize(_model_features(spark, sf, exact=False), "model-features")
     model, report = M.train_and_evaluate(feats, k=M.PRECISION_K, max_iter=10)
     return feats, model, report
 

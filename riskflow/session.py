@@ -87,3 +87,17 @@ def env_cpus(default: int = 8) -> int:
         return int(os.environ.get("BENCH_CPUS", default))
     except ValueError:
         return default
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as a Parquet table under the shared checkpoint folder.
+
+    One job, columnar files, and a plain scan afterwards; a lost executor
+    re-reads files instead of recomputing the plan. (A reliable RDD
+    checkpoint would run the plan twice - count, then write - and store
+    Java-serialized rows.)
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -18,25 +18,33 @@ statement to use instead.
 from __future__ import annotations
 
 import re
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.session import scratch_path
+from riskflow.session import materialize, scratch_path
 from riskflow.sources.files import list_dirs, partition_value, path_exists
 
 
 def overwrite_partitions(df: DataFrame, root: str, partition_cols, fmt: str = "parquet",
-                         rebalance: bool = True) -> None:
+                         rebalance: bool = True, count_rows: bool = False):
     """Replace the partitions present in ``df`` under ``root``; keep all others.
 
     ``rebalance``: shuffle rows by the partition columns first (REBALANCE hint), so
     each date gets a few right-sized files instead of one file per task and date;
     AQE splits a hot date over several tasks and merges small ones.
+    ``count_rows``: return the number of rows written, observed during the write
+    (no second pass). The observer sits above the rebalance so an empty input,
+    which AQE collapses, still reports 0.
     """
     cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     if rebalance:
         df = df.hint("rebalance", *cols)
+    obs = None
+    if count_rows:
+        obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -44,6 +52,7 @@ def overwrite_partitions(df: DataFrame, root: str, partition_cols, fmt: str = "p
         .format(fmt)
         .save(root)
     )
+    return int(obs.get["rows"]) if obs is not None else None
 
 
 def land_partition(df: DataFrame, root: str, logical_date=None, partition_col: str = "ingest_date",
@@ -227,6 +236,6 @@ class Scd2Table:
         from riskflow.operators.scd2 import IS_CURRENT, scd2_step
 
         step = scd2_step(self._current(before=batch_id), updates, self.key, self.attrs, ts, tie)
-        step = step.checkpoint(eager=True)  # one computation feeds both writes
+        step = materialize(step, "scd2-step")  # one computation feeds both writes
         step.where(~F.col(IS_CURRENT)).write.mode("overwrite").parquet(f"{self.root}/closed/batch={batch_id}")
         step.where(F.col(IS_CURRENT)).write.mode("overwrite").parquet(f"{self.root}/current/batch={batch_id}")
