@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from riskflow.functions.text import fixed3, ts_text, value_text
 from riskflow.operators.dedupe import latest_per_key
 from riskflow.operators.ranking import group_positions
+from riskflow.session import materialize
 
 # Masked and hidden fields, refusal and report texts.
 MASKED_FIELDS = ("counterparty_id",)
@@ -153,7 +154,9 @@ def report_lines(summary: DataFrame, facts: DataFrame, question: str = DEFAULT_Q
     """(wallet_id, line_no, line): header, numbered facts, question, closing; refusal if not found.
 
     ``summary`` is ``wallet_evidence`` output; ``facts`` is ``evidence_facts``.
+    The summary (one row per wallet) feeds five branches, so it is written once.
     """
+    summary = materialize(summary, "evidence-summary")
     found = summary.where("found").select(
         "wallet_id",
         (F.col("n_features") + F.col("n_history") + F.col("has_score").cast("long") + F.col("n_alerts"))

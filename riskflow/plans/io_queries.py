@@ -38,6 +38,27 @@ def bronze_land_and_scan(spark, sf):
     return FS.read_partition(spark, f"{work}/bronze")
 
 
+@register(
+    "bronze_catalog_partitions",
+    "A4 A5 A20 (partitions registered in the session catalog, read through the table)",
+    _with(SQL_RAW.replace("FROM events)", ", CAST(ts AS DATE) AS ingest_date FROM events)")) + "SELECT * FROM raw",
+)
+def bronze_catalog_partitions(spark, sf):
+    import uuid
+
+    work = scratch_path(spark, "bronze-catalog")
+    raw = D.raw_transactions(D.table(spark, sf, "events"))
+    T.land_partition(raw, f"{work}/bronze", date_from="event_ts")
+    table = f"bronze_tx_{uuid.uuid4().hex[:8]}"
+    T.create_partitioned_table(spark, table, f"{work}/bronze", ", ".join(f"{c} string" for c in raw.columns))
+    # Partition values come from the landed folders (one per date), registered twice: a rerun is a no-op.
+    for _ in range(2):
+        for d in FS.list_dirs(spark, f"{work}/bronze"):
+            if d.startswith("ingest_date="):
+                T.register_partition(spark, table, d.split("=", 1)[1], f"{work}/bronze/{d}")
+    return spark.table(table)
+
+
 SQL_GRAPH_TX = """
   g AS (SELECT CAST(event_id AS VARCHAR) AS tx_id,
                datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS day_offset,

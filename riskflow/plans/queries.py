@@ -659,13 +659,22 @@ def masked_dim_q(spark, sf):
 # ---------------------------------------------------------------------------
 
 
-def _evidence_inputs(spark, sf):
+def _evidence_inputs(spark, sf, shared: bool = False):
+    """Wallet set, mart, dimension, scores and alert windows for the evidence queries.
+
+    ``shared``: the inputs feed both the summary and the facts (the report), so
+    the mart, the dimension and the alert windows are written once instead of
+    being computed twice from the base tables.
+    """
     ev = D.table(spark, sf, "events")
     tx = D.transactions(ev)
-    feats = FE.wallet_features(D.labelled_transactions(ev), exact_distinct=True)
-    dims = _dim_yearly(spark, sf)
+    keep = (lambda df, name: materialize(df, name)) if shared else (lambda df, name: df)
+    feats = keep(FE.wallet_features(D.labelled_transactions(ev), exact_distinct=True), "ev-features")
+    dims = keep(_dim_yearly(spark, sf), "ev-dim")
     scores = D.wallet_scores(tx.select("wallet_id").distinct())
-    alerts = velocity_features(tx, "10 minutes", exact_distinct=True).where(F.col("tx_count") >= ALERT_MIN_TX)
+    alerts = keep(
+        velocity_features(tx, "10 minutes", exact_distinct=True).where(F.col("tx_count") >= ALERT_MIN_TX),
+        "ev-alerts")
     wallets = (
         tx.select("wallet_id")
         .unionByName(D.table(spark, sf, "customer").select(F.concat(F.lit("w-"), F.col("c_custkey").cast("string"))
@@ -757,7 +766,7 @@ UNION ALL
 SELECT wallet_id, CAST(0 AS BIGINT), '{EV.REFUSAL.replace("'", "''")}' FROM summary WHERE NOT found""",
 )
 def wallet_report_q(spark, sf):
-    wallets, feats, dims, scores, alerts = _evidence_inputs(spark, sf)
+    wallets, feats, dims, scores, alerts = _evidence_inputs(spark, sf, shared=True)
     summary = EV.wallet_evidence(wallets, feats, dims, scores, alerts)
     facts = EV.evidence_facts(feats, dims, scores, alerts)
     return EV.report_lines(summary, facts)
