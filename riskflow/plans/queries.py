@@ -196,7 +196,7 @@ def _audit_sql(source_cte: str, key_expr: str, key_ok: str, key_name: str, neg:
 
 @register(
     "audit_events",
-    "D1a D6a D7a D10a J1 J2 J3 J4 J5 J6 J7",
+    "D1a D6a D7a D10a G3 J1 J2 J3 J4 J5 J6 J7",
     _audit_sql(
         _with(SQL_RAW, SQL_NORM) + ", src AS (SELECT * FROM norm)",
         "tx_id", "tx_id IS NOT NULL", "tx_id", "value", "value", "event_ts", "2024-01-20 00:00:00",
