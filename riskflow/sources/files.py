@@ -62,27 +62,39 @@ def read_extract(spark: SparkSession, path: str, fmt: str = "parquet", schema=No
     return reader.load(files)
 
 
-def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer input splits than the session's parallelism.
+# Bytes of (compressed) input per spread partition; small tables are left alone.
+SPREAD_BYTES_PER_PARTITION = 256 * 1024
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total file bytes under ``path`` (driver-side listing, no job)."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def spread_scan(df: DataFrame, size_bytes: int | None = None, max_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer input splits than its size and the cluster warrant.
 
     Parquet splits only at row-group boundaries, so a file written as one big
     row group is read by one task and everything before the first shuffle runs
-    single-threaded. Counting splits is driver-side planning (no job); a
-    well-split table (the normal case at scale) is returned unchanged. The
-    spread is a round-robin repartition (sorted first, so a retried task sees
-    the same rows); filters and column pruning still reach the scan.
+    single-threaded. Target = min(parallelism, size / 256 KB): a well-split
+    table (the normal case at scale) and a small lookup table are returned
+    unchanged. Counting splits is driver-side planning (no job). The spread is
+    a round-robin repartition (sorted first, so a retried task sees the same
+    rows); filters and column pruning still reach the scan.
     """
     try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        cap = max_partitions or df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as is
         return df
-    return df.repartition(target) if splits < target else df
+    want = cap if size_bytes is None else min(cap, -(-size_bytes // SPREAD_BYTES_PER_PARTITION))
+    return df.repartition(want) if splits < want else df
 
 
 def read_table(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
     df = spark.read.parquet(path)
-    return spread_scan(df) if spread else df
+    return spread_scan(df, path_bytes(spark, path)) if spread else df
 
 
 def partition_value(d) -> str:

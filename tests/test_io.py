@@ -96,3 +96,14 @@ def test_upsert_frame(spark):
 
 def test_merge_sql_text():
     assert T.merge_sql("t", "s", ["a", "b"]).startswith("MERGE INTO t AS t USING s AS s ON t.a = s.a AND t.b = s.b")
+
+
+def test_spread_scan_follows_size(spark, work):
+    spark.range(50_000).selectExpr("id", "cast(id * 7 as string) s").coalesce(1).write.parquet(f"{work}/big")
+    spark.range(10).coalesce(1).write.parquet(f"{work}/small")
+    big = FS.read_table(spark, f"{work}/big")
+    small = FS.read_table(spark, f"{work}/small")
+    assert small.rdd.getNumPartitions() == 1  # a lookup table is not spread
+    assert big.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism,
+                                             -(-FS.path_bytes(spark, f"{work}/big") // FS.SPREAD_BYTES_PER_PARTITION))
+    assert big.count() == 50_000
