@@ -133,6 +133,8 @@ def train_and_evaluate(features: DataFrame, k: int = PRECISION_K, test_fraction:
     labelled = features.na.drop(subset=["label"])
     require_two_classes(labelled)
     train, test, info = time_split(labelled, key=key, test_fraction=test_fraction)
+    # Boosting passes over the training rows many times: read them from a written table.
+    train = materialize(train, "train-split")
     model = fit_gbt(train, max_iter=max_iter, seed=seed)
     scored = score(model, test, "eval", _dt.datetime(1970, 1, 1), key=key, keep=("label",))
     scored = materialize(scored, "eval-scores")

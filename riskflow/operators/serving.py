@@ -34,9 +34,25 @@ def top_risk(scores: DataFrame, k: int = TOP_RISK_K, score: str = "fraud_score",
     return top_k(scores, k, score, key)
 
 
-def kpis(scores: DataFrame, report_row: DataFrame | None = None) -> DataFrame:
-    """Headline numbers: wallets scored (+ pr_auc, precision_at_k, k when a report is given)."""
+def publish_scores(spark, scores: DataFrame, root: str, staging_root: str | None = None) -> None:
+    """Upsert scores keyed (wallet_id, model_version); each model version is one partition."""
+    from riskflow.sinks.tables import upsert_partitions
+
+    upsert_partitions(spark, root, scores, ["wallet_id", "model_version"], ["model_version"], staging_root)
+
+
+def kpis(scores: DataFrame, report=None) -> DataFrame:
+    """Headline numbers in one row: wallets scored, plus the evaluation report's
+    pr_auc, precision_at_k, k, n_train, n_test, split_ts when ``report`` (an EvalReport) is given."""
     counted = scores.agg(F.count_distinct("wallet_id").alias("wallets_scored"))
-    if report_row is None:
+    if report is None:
         return counted
-    return report_row.select("pr_auc", "precision_at_k", "k").crossJoin(counted)  # 1 x 1 rows
+    return counted.select(
+        F.lit(report.pr_auc).cast("double").alias("pr_auc"),
+        F.lit(report.precision_at_k).cast("double").alias("precision_at_k"),
+        F.lit(report.k).cast("int").alias("k"),
+        "wallets_scored",
+        F.lit(report.n_train).cast("long").alias("n_train"),
+        F.lit(report.n_test).cast("long").alias("n_test"),
+        F.lit(report.split_ts).alias("split_ts"),
+    )

@@ -184,6 +184,35 @@ def velocity_upsert_replay(spark, sf):
     return spark.read.parquet(f"{work}/t")
 
 
+@register(
+    "score_table_upsert",
+    "A16 A12 (scores keyed by wallet and model version, rescored wallets replaced)",
+    """WITH w1 AS (SELECT DISTINCT 'w-' || user_id AS wallet_id FROM events),
+      w2 AS (SELECT DISTINCT 'w-' || o_custkey AS wallet_id FROM orders),
+      s1 AS (SELECT wallet_id,
+                    CAST(CAST(concat('0x', substr(md5(wallet_id), 1, 15)) AS BIGINT) % 1000 AS DOUBLE)
+                      / 1000.0::DOUBLE AS fraud_score, 'hash-v1' AS model_version FROM w1),
+      s2 AS (SELECT wallet_id,
+                    CAST(CAST(concat('0x', substr(md5(wallet_id || '#2'), 1, 15)) AS BIGINT) % 1000 AS DOUBLE)
+                      / 1000.0::DOUBLE AS fraud_score, 'hash-v1' AS model_version FROM w2)
+    SELECT * FROM s1 WHERE wallet_id NOT IN (SELECT wallet_id FROM s2)
+    UNION ALL SELECT * FROM s2""",
+)
+def score_table_upsert(spark, sf):
+    from riskflow.functions.hashing import md5_unit
+    from riskflow.operators.serving import publish_scores
+
+    work = scratch_path(spark, "scores")
+    first = D.wallet_scores(_events_tx(spark, sf).select("wallet_id").distinct())
+    od = D.table(spark, sf, "orders")
+    rescored = od.select(F.concat(F.lit("w-"), F.col("o_custkey").cast("string")).alias("wallet_id")).distinct() \
+        .select("wallet_id", md5_unit(F.concat(F.col("wallet_id"), F.lit("#2")), 1000).alias("fraud_score"),
+                F.lit("hash-v1").alias("model_version"))
+    publish_scores(spark, first, f"{work}/scores", f"{work}/s1")
+    publish_scores(spark, rescored, f"{work}/scores", f"{work}/s2")
+    return spark.read.parquet(f"{work}/scores").select("wallet_id", "fraud_score", "model_version")
+
+
 # ---------------------------------------------------------------------------
 # Streams (rows-only: the stream's HLL distinct and watermark make SQL twins inexact)
 # ---------------------------------------------------------------------------

@@ -633,8 +633,7 @@ def gbt_score_q(spark, sf):
 def model_eval_q(spark, sf):
     feats, model, report = _trained(spark, sf)
     scores = M.score(model, feats, "gbt-v1", SCORED_AT)
-    return SV.kpis(scores, M.report_frame(spark, report)).crossJoin(
-        M.report_frame(spark, report).select("n_train", "n_test", "split_ts"))
+    return SV.kpis(scores, report)
 
 
 def _analyst_views(spark, sf, prefix):
