@@ -1,17 +1,19 @@
 """Run metrics as data, and the alarm rules as queries over them.
 
-Metrics rows: (metric_name, metric_value, metric_date, written_at). Counts
-come from ``DataFrame.observe`` on the writes, so recording them costs no
-second pass. The rules: freshness (age of the last silver write against an
-injected now; no metric at all is a breach) and zero-row days (a day spine
-left-joined to daily sums; a missing day is a breach).
+Metrics rows: (metric_name, metric_value, metric_date, written_at); names
+must be in ``METRIC_NAMES`` (a typo would never alarm). Write counts come
+from ``Observation`` on the writes (``sinks.tables.overwrite_partitions``), so
+recording them costs no second pass. The rules: freshness (age of the last
+silver write against an injected now; no metric at all is a breach) and
+zero-row days (a day spine left-joined to daily sums; a missing day is a
+breach).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.errors import ConfigError
@@ -37,17 +39,6 @@ def check_metric_name(name: str) -> str:
     return name
 
 
-def observed(df: DataFrame, name: str):
-    """Attach a row counter to ``df``; read ``obs.get['rows']`` after the action."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
-def metric_rows(spark, values: dict, metric_date: _dt.date, written_at: _dt.datetime) -> DataFrame:
-    rows = [(check_metric_name(k), float(v), metric_date, written_at) for k, v in values.items()]
-    return spark.createDataFrame(rows, METRICS_SCHEMA)
-
-
 def daily_metrics_from_split(tagged: DataFrame, day_col: str, breach_col: str = "breach_reasons",
                              written_lag_hours: int = 26) -> DataFrame:
     """Metric rows per day from a breach-tagged frame (what the daily job would have logged).

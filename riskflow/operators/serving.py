@@ -20,8 +20,11 @@ def masked_view(df: DataFrame, masked) -> DataFrame:
 
 
 def register_masked_views(spark, fact: DataFrame, dim: DataFrame, prefix: str = "analyst_") -> None:
-    masked_view(fact, FACT_MASK).createOrReplaceTempView(f"{prefix}fact_transaction")
-    masked_view(dim, DIM_MASK).createOrReplaceTempView(f"{prefix}dim_wallet")
+    """Analyst-safe views: the fact without wallet/counterparty ids, the dimension without wallet ids."""
+    from riskflow.sinks.tables import materialize_view
+
+    materialize_view(masked_view(fact, FACT_MASK), f"{prefix}fact_transaction")
+    materialize_view(masked_view(dim, DIM_MASK), f"{prefix}dim_wallet")
 
 
 def with_risk_tier(scores: DataFrame, score: str = "fraud_score", threshold: float = HIGH_RISK_THRESHOLD

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from riskflow.errors import DataQualityError
 from riskflow.operators import checks as K
 from riskflow.operators import contract as C
+from riskflow.operators import opsmetrics as OM
 from riskflow.operators import scd2 as S
 from riskflow.operators.dedupe import latest_per_key
 from riskflow.sinks import tables as T
@@ -109,12 +110,10 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
              F.count_if(F.col(C.BREACHES_COL) != "").cast("double").alias("quarantine_rows_written"))
     )
     stamp = F.lit(written_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
+    names = [OM.check_metric_name(n) for n in ("silver_rows_written", "quarantine_rows_written")]
     metrics = per_day.select(
-        F.explode(F.array(
-            F.struct(F.lit("silver_rows_written").alias("metric_name"), F.col("silver_rows_written").alias("v")),
-            F.struct(F.lit("quarantine_rows_written").alias("metric_name"),
-                     F.col("quarantine_rows_written").alias("v")),
-        )).alias("m"), "metric_date",
+        F.explode(F.array(*[F.struct(F.lit(n).alias("metric_name"), F.col(n).alias("v")) for n in names]))
+        .alias("m"), "metric_date",
     ).select("m.metric_name", F.col("m.v").alias("metric_value"), "metric_date", stamp.alias("written_at"))
     T.upsert_partitions(spark, lake.metrics, metrics, ["metric_name", "metric_date"], ["metric_date"],
                         lake.staging("metrics"))

@@ -8,7 +8,6 @@ chosen when the session has none (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -74,21 +73,10 @@ def local_path(path: str) -> str:
     return path
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
-
-
 def materialize(df, name: str = "stage"):
     """Cut lineage by writing ``df`` as a Parquet table under the shared checkpoint folder.
 

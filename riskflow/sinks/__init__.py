@@ -1,6 +1,5 @@
 from riskflow.sinks.tables import (
     Scd2Table,
-    VersionedTable,
     create_partitioned_table,
     land_partition,
     materialize_view,
@@ -13,7 +12,6 @@ from riskflow.sinks.tables import (
 
 __all__ = [
     "Scd2Table",
-    "VersionedTable",
     "create_partitioned_table",
     "land_partition",
     "materialize_view",

@@ -1,11 +1,11 @@
-"""Writers: partition overwrite, catalog registration, versioned tables, keyed upsert.
+"""Writers: partition overwrite, catalog registration, SCD2 batch tables, keyed upsert.
 
 All writes go through Spark's writer API. Reruns are safe:
   * ``overwrite_partitions`` replaces exactly the partitions present in the
     frame (dynamic overwrite), so landing a date twice gives the same rows and
     leaves other dates alone;
-  * ``VersionedTable`` writes each new state under ``version=<n>`` and readers
-    take the highest committed version; a failed write leaves the old one;
+  * ``Scd2Table`` writes each applied batch's closed and current rows under
+    ``batch=<id>``; a rerun of a batch overwrites the same folders;
   * ``upsert_partitions`` rewrites only the partitions an update batch touches
     (copy-on-write): target rows whose key is in the batch are replaced, new
     keys are added. Applying the same batch twice gives the same table.
@@ -17,7 +17,6 @@ statement to use instead.
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -99,42 +98,6 @@ def materialize_view(df: DataFrame, name: str, as_table: bool = False) -> DataFr
     return df.sparkSession.table(name)
 
 
-class VersionedTable:
-    """A table whose states are ``<root>/version=<n>``; the highest version is current."""
-
-    _V = re.compile(r"^version=(\d+)$")
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def versions(self) -> list:
-        out = []
-        for name in list_dirs(self.spark, self.root):
-            m = self._V.match(name)
-            if m:
-                out.append(int(m.group(1)))
-        return sorted(out)
-
-    def current_version(self):
-        v = self.versions()
-        return v[-1] if v else None
-
-    def exists(self) -> bool:
-        return self.current_version() is not None
-
-    def read(self, version: int | None = None) -> DataFrame:
-        v = self.current_version() if version is None else version
-        if v is None:
-            raise FileNotFoundError(f"no version under {self.root}")
-        return self.spark.read.parquet(f"{self.root}/version={v}")
-
-    def write(self, df: DataFrame) -> int:
-        """Write ``df`` as the next version (its folder appears only at job commit)."""
-        v = (self.current_version() or 0) + 1
-        df.write.mode("overwrite").parquet(f"{self.root}/version={v}")
-        return v
-
-
 def upsert_frame(target: DataFrame, updates: DataFrame, keys) -> DataFrame:
     """Insert-or-replace whole rows by ``keys`` (pure DataFrame form)."""
     keys = [keys] if isinstance(keys, str) else list(keys)

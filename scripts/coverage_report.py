@@ -57,12 +57,12 @@ IMPL = {
     "J9": "operators.checks.unique_violations", "J10": "operators.checks.scd2_breaches (overlaps)",
     "J11": "operators.checks.scd2_breaches (multiple current)", "J12": "operators.checks.relationship_violations, accepted_values_violations",
     "K1": "operators.model.time_split", "K2": "operators.model.fit_gbt", "K3": "operators.model.average_precision",
-    "K4": "operators.model.precision_at_k", "K5": "operators.model.EvalReport / report_frame", "K6": "operators.model.score",
+    "K4": "operators.model.precision_at_k", "K5": "operators.model.EvalReport, serving.kpis", "K6": "operators.model.score",
     "K7": "operators.features.wallet_features",
     "L1": "operators.evidence.evidence_facts", "L2": "operators.evidence.wallet_evidence (found)", "L3": "operators.evidence (fact order)",
     "L4": "operators.evidence.report_lines (REFUSAL)", "L5": "operators.evidence.report_lines", "L6": "operators.evidence (report for a wallet set), report_text",
     "L7": "operators.serving.top_risk", "L8": "operators.serving.kpis", "L9": "operators.serving.register_masked_views",
-    "M1": "plans.jobs.run_batch (run_metrics upsert)", "M2": "operators.opsmetrics.freshness", "M3": "operators.opsmetrics.zero_row_days",
+    "M1": "plans.jobs.run_batch (run_metrics upsert, opsmetrics.check_metric_name)", "M2": "operators.opsmetrics.freshness", "M3": "operators.opsmetrics.zero_row_days",
     "M4": "operators.opsmetrics.daily_trend",
     "N1": "plans.jobs.run_batch", "N2": "plans.jobs.run_batch (audit halt)", "N3": "plans.jobs.run_batch (staged publish)",
     "N4": "plans.jobs.backfill / run_batch(logical_date=None)", "N5": "streaming.velocity_stream.run_stream",

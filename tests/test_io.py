@@ -69,14 +69,6 @@ def test_register_partition_twice(spark, work):
     spark.sql("DROP TABLE bronze_tx_test")
 
 
-def test_versioned_table(spark, work):
-    vt = T.VersionedTable(spark, f"{work}/dim")
-    assert not vt.exists()
-    vt.write(extract(spark, 2, "a"))
-    vt.write(vt.read().unionByName(extract(spark, 1, "b")))  # reads v1 while writing v2
-    assert vt.versions() == [1, 2] and vt.read().count() == 3 and vt.read(1).count() == 2
-
-
 def test_upsert_partitions_replay(spark, work):
     schema = "k long, v string, d date"
     tgt = spark.createDataFrame([(1, "a", dt.date(2026, 1, 1)), (2, "b", dt.date(2026, 1, 2))], schema)

@@ -49,3 +49,16 @@ def test_registered_queries_have_no_python_udfs(spark):
             continue
         p = plan(fn(spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_no_cross_or_nested_loop_joins(spark):
+    """Every registered query joins on keys; none plans a cartesian or nested-loop join."""
+    import __spark_entry__ as E
+
+    slow = {"gbt_score", "model_eval", "stream_velocity", "stream_velocity_dedupe", "stream_dead_letter",
+            "batch_job_fact", "scd2_yearly_batches", "score_table_upsert", "velocity_upsert_replay"}
+    for name, fn in E.queries().items():
+        if name in slow:
+            continue
+        p = plan(fn(spark, SF))
+        assert "CartesianProduct" not in p and "NestedLoopJoin" not in p, name
