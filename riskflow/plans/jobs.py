@@ -82,10 +82,14 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
     T.land_partition(extract, lake.bronze, logical_date, PARTITION, None if logical_date else date_from)
 
     # 2. audit the landed rows; a breach halts before anything is published
-    bronze = FS.read_partition(spark, lake.bronze, logical_date, PARTITION)
-    if logical_date is None:
+    def this_run(df: DataFrame) -> DataFrame:
+        """Only the partitions landed by this run (one broadcast row per landed date)."""
+        if logical_date is not None:
+            return df
         landed = extract.select(F.to_date(F.col(date_from)).alias(PARTITION)).distinct()
-        bronze = bronze.join(F.broadcast(landed), PARTITION, "left_semi")  # one row per landed date
+        return df.join(F.broadcast(landed), PARTITION, "left_semi")
+
+    bronze = this_run(FS.read_partition(spark, lake.bronze, logical_date, PARTITION))
     norm = C.normalize(bronze, contract)
     if audit_on == "raw":
         result.audit = C.audit(norm, contract, now=now, halt=True)
@@ -101,18 +105,24 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
     result.silver_rows = T.overwrite_partitions(silver, lake.silver, PARTITION, count_rows=True)
     result.quarantine_rows = T.overwrite_partitions(quarantine, lake.quarantine, PARTITION, count_rows=True)
 
-    # 4. run metrics (keyed upsert: a rerun replaces its own rows)
-    silver_back = FS.read_partition(spark, lake.silver, logical_date, PARTITION)
+    # 4. run metrics per day from the written partitions (a count per partition; keyed upsert,
+    #    so a rerun replaces its own rows)
+    silver_back = this_run(FS.read_partition(spark, lake.silver, logical_date, PARTITION, silver.schema))
     result.dates = _dates_of(silver_back) if logical_date is None else [logical_date]
-    per_day = (
-        tagged.groupBy(F.col(PARTITION).alias("metric_date"))
-        .agg(F.count_if(F.col(C.BREACHES_COL) == "").cast("double").alias("silver_rows_written"),
-             F.count_if(F.col(C.BREACHES_COL) != "").cast("double").alias("quarantine_rows_written"))
-    )
+    per_day = silver_back.groupBy(F.col(PARTITION).alias("metric_date")).agg(
+        F.count(F.lit(1)).cast("double").alias("silver_rows_written"))
+    if FS.path_exists(spark, lake.quarantine):
+        q_back = this_run(FS.read_partition(spark, lake.quarantine, logical_date, PARTITION, quarantine.schema))
+        q_day = q_back.groupBy(F.col(PARTITION).alias("metric_date")).agg(
+            F.count(F.lit(1)).cast("double").alias("quarantine_rows_written"))
+        per_day = per_day.join(q_day, "metric_date", "full_outer")
+    else:
+        per_day = per_day.withColumn("quarantine_rows_written", F.lit(None).cast("double"))
     stamp = F.lit(written_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
     names = [OM.check_metric_name(n) for n in ("silver_rows_written", "quarantine_rows_written")]
     metrics = per_day.select(
-        F.explode(F.array(*[F.struct(F.lit(n).alias("metric_name"), F.col(n).alias("v")) for n in names]))
+        F.explode(F.array(*[F.struct(F.lit(n).alias("metric_name"),
+                                     F.coalesce(F.col(n), F.lit(0.0)).alias("v")) for n in names]))
         .alias("m"), "metric_date",
     ).select("m.metric_name", F.col("m.v").alias("metric_value"), "metric_date", stamp.alias("written_at"))
     T.upsert_partitions(spark, lake.metrics, metrics, ["metric_name", "metric_date"], ["metric_date"],

@@ -108,13 +108,15 @@ def partition_path(root: str, logical_date, partition_col: str = "ingest_date")
     return f"{root.rstrip('/')}/{partition_col}={partition_value(logical_date)}"
 
 
-def read_partition(spark: SparkSession, root: str, logical_date=None, partition_col: str = "ingest_date"
-                   ) -> DataFrame:
+def read_partition(spark: SparkSession, root: str, logical_date=None, partition_col: str = "ingest_date",
+                   schema=None) -> DataFrame:
     """Scan a partitioned dataset; with ``logical_date`` only that partition is listed/read.
 
     The partition column is kept (reading the leaf folder directly would drop it).
+    ``schema`` (including the partition column) skips inference, so a table
+    whose writes so far were all empty still reads as zero rows.
     """
-    df = spark.read.parquet(root)
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(root)
     if logical_date is not None:
         df = df.where(F.col(partition_col) == F.lit(partition_value(logical_date)).cast("date"))
     return df

@@ -55,3 +55,19 @@ def test_raw_audit_halts_on_duplicates(spark, work):
     with pytest.raises(DataQualityError) as e:
         J.run_batch(spark, day1(spark, work), f"{work}/lake", dt.date(2026, 7, 1), now=NOW)
     assert "tx_id not unique: 1 duplicate rows" in e.value.report.breaches
+
+
+def test_run_only_touches_its_dates(spark, work):
+    lake = f"{work}/lake"
+    x1 = extract(spark, f"{work}/a", [("t1", "w1", "c1", "2026-07-01 10:00:00", "1", "BTC")])
+    x2 = extract(spark, f"{work}/b", [("t2", "w1", "c1", "2026-07-02 10:00:00", "2", "BTC"),
+                                      ("t3", "w1", "c1", "2026-07-02 11:00:00", "3", "DOGE")])
+    J.run_batch(spark, x1, lake, None, now=NOW, written_at=NOW)
+    res = J.run_batch(spark, x2, lake, None, now=NOW, written_at=NOW)
+    assert res.dates == [dt.date(2026, 7, 2)] and res.fact_rows == 1  # day 1 not republished
+    m = {(r.metric_name, str(r.metric_date)): r.metric_value
+         for r in spark.read.parquet(f"{lake}/ops/run_metrics").collect()}
+    assert m[("silver_rows_written", "2026-07-01")] == 1.0
+    assert m[("quarantine_rows_written", "2026-07-01")] == 0.0
+    assert (m[("silver_rows_written", "2026-07-02")], m[("quarantine_rows_written", "2026-07-02")]) == (1.0, 1.0)
+    assert J.published_fact(spark, lake).count() == 2
