@@ -221,22 +221,23 @@ STREAM_GROUPS = 3
 FILES_PER_GROUP = 4
 
 
-def _write_stream_input(spark, sf, path: str, duplicate_purchases: bool = False) -> None:
-    """Payload files in time order: group g (a third of the days) is written after group g-1,
-    as exactly FILES_PER_GROUP files, so each micro-batch is one whole group."""
+def _write_stream_input(spark, sf, path: str, duplicate_purchases: bool = False, order=None) -> None:
+    """Payload files by time group: group g (a third of the days) is written as exactly
+    FILES_PER_GROUP files after the previous group, so each micro-batch is one whole group.
+    ``order`` changes the arrival order of the groups (late data)."""
     pl = D.event_payloads(D.table(spark, sf, "events"))
     if duplicate_purchases:  # redelivered messages
         pl = pl.unionByName(pl.where(F.col("event_type") == "purchase"))
     day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
     grp = F.least(F.floor(day / F.lit(31.0 / STREAM_GROUPS)), F.lit(STREAM_GROUPS - 1))
-    for g in range(STREAM_GROUPS):
+    for g in (order or range(STREAM_GROUPS)):
         (pl.where(grp == g).select("value").repartition(FILES_PER_GROUP)
          .write.mode("append").text(path))
 
 
-def _run_stream(spark, sf, dedupe_key=None, duplicate=False, dead_letter=False):
+def _run_stream(spark, sf, dedupe_key=None, duplicate=False, dead_letter=False, order=None):
     work = scratch_path(spark, "stream")
-    _write_stream_input(spark, sf, f"{work}/in", duplicate)
+    _write_stream_input(spark, sf, f"{work}/in", duplicate, order)
     raw = EVS.event_stream(spark, f"{work}/in", max_files_per_trigger=FILES_PER_GROUP)
     h = VS.run_stream(raw, f"{work}/velocity", f"{work}/ckpt", f"{work}/dead" if dead_letter else None,
                       available_now=True, dedupe_key=dedupe_key, staging_root=f"{work}/stage")
@@ -256,6 +257,15 @@ def stream_velocity_dedupe(spark, sf):
     return VS.read_velocity_table(spark, f"{work}/velocity")
 
 
+@register("stream_velocity_late", "I5 I1 (days arrive out of order; those behind the watermark are dropped; rows-only)")
+def stream_velocity_late(spark, sf):
+    # Arrival: last third of the days, then the first, then the middle third. The watermark
+    # takes effect one batch late, so the first third still counts; the middle third arrives
+    # behind the watermark set by the last third and is dropped.
+    work = _run_stream(spark, sf, order=[2, 0, 1])
+    return VS.read_velocity_table(spark, f"{work}/velocity")
+
+
 @register("stream_dead_letter", "A18 I9 (corrupt payloads kept)",
           _with(SQL_PAYLOADS) + "SELECT raw AS _raw FROM r WHERE NOT json_valid(raw)")
 def stream_dead_letter(spark, sf):

@@ -94,3 +94,15 @@ def test_stream_equals_batch_on_ordered_input(spark, work):
     batch = {(r.wallet_id, r.window_start.strftime("%H:%M")): r.tx_count
              for r in velocity_features(parse_events(df)).collect()}
     assert out == batch
+
+
+def test_registered_late_stream_drops_exactly_the_late_days(spark):
+    import __spark_entry__ as E
+
+    sf = "/root/testdata/sf0.001"
+    q = E.queries()
+    key = ("wallet_id", "window_start", "tx_count", "total_value", "max_single_value")
+    in_order = {tuple(r) for r in q["stream_velocity"](spark, sf).select(*key).collect()}
+    late = {tuple(r) for r in q["stream_velocity_late"](spark, sf).select(*key).collect()}
+    group = lambda ts: min(int((ts.date() - dt.date(2024, 1, 1)).days // (31.0 / 3)), 2)
+    assert late == {r for r in in_order if group(r[1]) != 1}
