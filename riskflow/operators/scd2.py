@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from riskflow.operators.dedupe import latest_per_key
 from riskflow.operators.skew import salted_join
-from riskflow.session import materialize
+from riskflow.session import materialize, scratch_path
 
 VALID_FROM, VALID_TO, IS_CURRENT = "valid_from", "valid_to", "is_current"
 
@@ -113,28 +113,35 @@ def scd2_apply(dims: DataFrame, updates: DataFrame, key: str = "wallet_id", attr
 
 def scd2_apply_batches(dims: DataFrame, updates: DataFrame, batch_col: str, key: str = "wallet_id",
                        attrs=("risk_tier",), ts: str = "snapshot_ts", tie: str | None = None) -> DataFrame:
-    """Apply batches in ``batch_col`` order, cutting lineage after each batch.
-
-    Updates are reduced to one row per (key, batch) in one job first. Each
-    step then meets only the current rows; closed rows leave the loop at once
-    (written per batch), so history is never carried through later
-    batches. Only the distinct batch ids reach the driver.
+    """Apply batches in ``batch_col`` order; equal to calling ``scd2_apply`` once per batch.
+
+    Updates are reduced to one row per (key, batch) in one job and written
+    partitioned by batch, so each step reads only its own batch. Each step
+    meets only the current rows and is written to ``_batch=<b>`` of one steps
+    table (lineage cut per batch); closed rows never re-enter later steps.
+    The result is one scan of that table: every closed row, plus the current
+    rows of the last batch. Only the distinct batch ids reach the driver.
     """
+    spark = dims.sparkSession
     cols = dim_columns(key, list(attrs))
     reduced = latest_snapshots(updates.where(F.col(key).isNotNull()), [key, batch_col], ts, tie)
-    reduced = materialize(reduced, "scd2-reduced")
+    reduced = materialize(reduced, "scd2-reduced", partition_by=batch_col)
     batches = [r[0] for r in reduced.select(batch_col).distinct().orderBy(batch_col).collect()]
-    closed_parts = [dims.where(~F.col(IS_CURRENT)).select(*cols)]
+    history = dims.where(~F.col(IS_CURRENT)).select(*cols)
+    if not batches:
+        return dims.select(*cols)
+    dim_schema = dims.select(*cols).schema
+    root = scratch_path(spark, "scd2-steps")
     current = dims.where(F.col(IS_CURRENT)).select(*cols)
     for b in batches:
         step = scd2_step(current, reduced.where(F.col(batch_col) == F.lit(b)), key, attrs, ts, tie, reduced=True)
-        step = materialize(step, "scd2-step")
-        closed_parts.append(step.where(~F.col(IS_CURRENT)))
-        current = step.where(F.col(IS_CURRENT))
-    out = current
-    for part in closed_parts:
-        out = out.unionByName(part)
-    return out
+        step.write.mode("overwrite").parquet(f"{root}/_batch={b}")
+        current = spark.read.schema(dim_schema).parquet(f"{root}/_batch={b}").where(F.col(IS_CURRENT))
+    steps_schema = T.StructType(dim_schema.fields + [T.StructField("_batch", reduced.schema[batch_col].dataType)])
+    steps = spark.read.schema(steps_schema).parquet(root)
+    last = F.lit(batches[-1]).cast(reduced.schema[batch_col].dataType)
+    final = steps.where(~F.col(IS_CURRENT) | (F.col("_batch") == last)).select(*cols)
+    return history.unionByName(final)
 
 
 def scd2_rebuild(updates: DataFrame, batch_col: str, key: str = "wallet_id", attrs=("risk_tier",),

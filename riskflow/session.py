@@ -77,15 +77,19 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", partition_by=None):
     """Cut lineage by writing ``df`` as a Parquet table under the shared checkpoint folder.
 
     One job, columnar files, and a plain scan afterwards; a lost executor
     re-reads files instead of recomputing the plan. (A reliable RDD
     checkpoint would run the plan twice - count, then write - and store
-    Java-serialized rows.)
+    Java-serialized rows.) ``partition_by``: write partitioned, so later
+    filters on those columns read only their folders.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -182,18 +182,29 @@ class Scd2Table:
         return self.spark.read.schema(self._schema()).parquet(f"{self.root}/current/batch={ids[-1]}")
 
     def read(self, as_of: str | None = None) -> DataFrame:
-        """Full dimension (history + current) as of the latest committed batch <= ``as_of``."""
+        """Full dimension (history + current) as of the latest committed batch <= ``as_of``.
+
+        One scan of the closed rows (batch folders pruned by ``batch <= last``)
+        plus the current rows of the last committed batch.
+        """
+        from pyspark.sql import types as T
+
         ids = [b for b in self.batches() if as_of is None or b <= as_of]
         if not ids:
             from riskflow.operators.scd2 import empty_dimension
 
             return empty_dimension(self.spark, self.key, self.attrs)
         last = ids[-1]
-        closed = [f"{self.root}/closed/batch={b}" for b in self._ids("closed") if b <= last]
         cur = self.spark.read.schema(self._schema()).parquet(f"{self.root}/current/batch={last}")
-        if not closed:
+        if not self._ids("closed"):
             return cur
-        return cur.unionByName(self.spark.read.schema(self._schema()).parquet(*closed))
+        with_batch = T.StructType(self._schema().fields + [T.StructField("batch", T.StringType())])
+        closed = (
+            self.spark.read.schema(with_batch).parquet(f"{self.root}/closed")
+            .where(F.col("batch") <= F.lit(last))
+            .drop("batch")
+        )
+        return cur.unionByName(closed)
 
     def apply(self, updates: DataFrame, batch_id: str, ts: str = "snapshot_ts", tie: str | None = None) -> None:
         from riskflow.operators.scd2 import IS_CURRENT, scd2_step
