@@ -12,7 +12,17 @@ from riskflow.operators import contract as C
 from riskflow.operators.dedupe import collapse_upsert_keys
 from riskflow.operators.velocity import velocity_features
 from riskflow.plans import domain as D
-from riskflow.plans.queries import SQL_RAW, SQL_TX, _events_tx, _velocity_sql, _with
+from riskflow.plans import jobs as J
+from riskflow.plans.queries import (
+    SQL_NORM,
+    SQL_RAW,
+    SQL_TIER,
+    SQL_TX,
+    SQL_TX_BREACH,
+    _events_tx,
+    _velocity_sql,
+    _with,
+)
 from riskflow.plans.registry import register
 from riskflow.session import scratch_path
 from riskflow.sinks import tables as T
@@ -277,8 +287,6 @@ def stream_dead_letter(spark, sf):
 # The daily batch job over every date of the extract (write-audit-publish)
 # ---------------------------------------------------------------------------
 
-from riskflow.plans import jobs as J  # noqa: E402
-from riskflow.plans.queries import SQL_NORM, SQL_TX_BREACH, SQL_TIER  # noqa: E402
 
 JOB_NOW = "2024-02-01 00:00:00"
 

@@ -11,7 +11,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from riskflow.operators import checks as K
 from riskflow.operators import contract as C
+from riskflow.operators import evidence as EV
+from riskflow.operators import features as FE
+from riskflow.operators import model as M
+from riskflow.operators import opsmetrics as OM
+from riskflow.operators import scd2 as S
+from riskflow.operators import serving as SV
 from riskflow.operators.dedupe import dedupe_transactions, latest_per_key
 from riskflow.operators.velocity import velocity_features
 from riskflow.plans import domain as D
@@ -256,8 +263,6 @@ def velocity_10min_hll(spark, sf):
 # SCD2 dimension, point-in-time fact, table tests
 # ---------------------------------------------------------------------------
 
-from riskflow.operators import checks as K  # noqa: E402
-from riskflow.operators import scd2 as S  # noqa: E402
 
 SPLIT_TS = dt.datetime(1998, 1, 1)
 
@@ -447,11 +452,6 @@ def dq_relationship_wallet(spark, sf):
 # Feature mart, model layer, serving views
 # ---------------------------------------------------------------------------
 
-from riskflow.operators import evidence as EV  # noqa: E402
-from riskflow.operators import features as FE  # noqa: E402
-from riskflow.operators import model as M  # noqa: E402
-from riskflow.operators import opsmetrics as OM  # noqa: E402
-from riskflow.operators import serving as SV  # noqa: E402
 
 SCORED_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
 METRICS_NOW = dt.datetime(2024, 2, 1, 12, 0, 0)
