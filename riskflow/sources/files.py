@@ -72,15 +72,17 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
 
-def spread_scan(df: DataFrame, size_bytes: int | None = None, max_partitions: int | None = None) -> DataFrame:
+def spread_scan(df: DataFrame, size_bytes=None, max_partitions: int | None = None) -> DataFrame:
     """Spread a scan that yields fewer input splits than its size and the cluster warrant.
 
     Parquet splits only at row-group boundaries, so a file written as one big
     row group is read by one task and everything before the first shuffle runs
     single-threaded. Target = min(parallelism, size / 256 KB): a well-split
     table (the normal case at scale) and a small lookup table are returned
-    unchanged. Counting splits is driver-side planning (no job). The spread is
-    a round-robin repartition (sorted first, so a retried task sees the same
+    unchanged. Counting splits is driver-side planning (no job); ``size_bytes``
+    may be a callable, evaluated only when the table has fewer splits than the
+    parallelism (so a large table is never listed twice). The spread is a
+    round-robin repartition (sorted first, so a retried task sees the same
     rows); filters and column pruning still reach the scan.
     """
     try:
@@ -88,13 +90,16 @@ def spread_scan(df: DataFrame, size_bytes: int | None = None, max_partitions: in
         splits = df.rdd.getNumPartitions()
     except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as is
         return df
-    want = cap if size_bytes is None else min(cap, -(-size_bytes // SPREAD_BYTES_PER_PARTITION))
+    if splits >= cap:
+        return df
+    size = size_bytes() if callable(size_bytes) else size_bytes
+    want = cap if size is None else min(cap, -(-size // SPREAD_BYTES_PER_PARTITION))
     return df.repartition(want) if splits < want else df
 
 
 def read_table(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
     df = spark.read.parquet(path)
-    return spread_scan(df, path_bytes(spark, path)) if spread else df
+    return spread_scan(df, lambda: path_bytes(spark, path)) if spread else df
 
 
 def partition_value(d) -> str:
