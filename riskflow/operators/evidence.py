@@ -187,3 +187,29 @@ def report_text(lines: DataFrame, wallet_ids) -> dict:
     for r in rows:
         out.setdefault(r["wallet_id"], []).append(r["line"])
     return {w: "\n".join(v) for w, v in out.items()}
+
+
+def explain_wallets(wallets: DataFrame, features: DataFrame, dims: DataFrame, scores: DataFrame | None = None,
+                    alerts: DataFrame | None = None, question: str = DEFAULT_QUESTION) -> DataFrame:
+    """Retrieve -> guard -> narrate for a set of wallets: report rows (wallet_id, line_no, line)."""
+    summary = wallet_evidence(wallets, features, dims, scores, alerts)
+    facts = evidence_facts(features, dims, scores, alerts)
+    return report_lines(summary, facts, question)
+
+
+def explain(wallet_ids, features: DataFrame, dims: DataFrame, scores: DataFrame | None = None,
+            alerts: DataFrame | None = None, question: str = DEFAULT_QUESTION) -> dict:
+    """Report text for a few named wallets (the caller's list bounds what reaches the driver).
+
+    Every source is first cut to those wallets with a broadcast semi-join, so a
+    lookup does not compute facts for the whole mart.
+    """
+    spark = features.sparkSession
+    ids = list(dict.fromkeys(wallet_ids))
+    wallets = spark.createDataFrame([(w,) for w in ids], "wallet_id string")
+
+    def only(df):
+        return None if df is None else df.join(F.broadcast(wallets), "wallet_id", "left_semi")
+
+    lines = explain_wallets(wallets, only(features), only(dims), only(scores), only(alerts), question)
+    return report_text(lines, ids)

@@ -766,9 +766,7 @@ SELECT wallet_id, CAST(0 AS BIGINT), '{EV.REFUSAL.replace("'", "''")}' FROM summ
 )
 def wallet_report_q(spark, sf):
     wallets, feats, dims, scores, alerts = _evidence_inputs(spark, sf, shared=True)
-    summary = EV.wallet_evidence(wallets, feats, dims, scores, alerts)
-    facts = EV.evidence_facts(feats, dims, scores, alerts)
-    return EV.report_lines(summary, facts)
+    return EV.explain_wallets(wallets, feats, dims, scores, alerts)
 
 
 # ---------------------------------------------------------------------------

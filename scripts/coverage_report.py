@@ -60,7 +60,7 @@ IMPL = {
     "K4": "operators.model.precision_at_k", "K5": "operators.model.EvalReport, serving.kpis", "K6": "operators.model.score",
     "K7": "operators.features.wallet_features",
     "L1": "operators.evidence.evidence_facts", "L2": "operators.evidence.wallet_evidence (found)", "L3": "operators.evidence (fact order)",
-    "L4": "operators.evidence.report_lines (REFUSAL)", "L5": "operators.evidence.report_lines", "L6": "operators.evidence (report for a wallet set), report_text",
+    "L4": "operators.evidence.report_lines (REFUSAL)", "L5": "operators.evidence.report_lines", "L6": "operators.evidence.explain_wallets, explain",
     "L7": "operators.serving.top_risk", "L8": "operators.serving.kpis", "L9": "operators.serving.register_masked_views",
     "M1": "plans.jobs.run_batch (run_metrics upsert, opsmetrics.check_metric_name)", "M2": "operators.opsmetrics.freshness", "M3": "operators.opsmetrics.zero_row_days",
     "M4": "operators.opsmetrics.daily_trend",
@@ -78,7 +78,7 @@ TESTS = {
     "J10": "test_scd2::test_checks_flag_overlap_and_multi_current", "K1": "test_features_model::test_time_split_no_leakage",
     "K2": "test_features_model::test_model_beats_base_rate_and_scores", "K3": "test_features_model::test_average_precision_with_ties",
     "K4": "test_features_model::test_precision_at_k", "L1": "test_evidence::test_facts_exact_and_ordered",
-    "L4": "test_evidence::test_report_and_refusal", "N2": "test_jobs::test_audit_breach_halts_before_publish",
+    "L4": "test_evidence::test_report_and_refusal", "L6": "test_evidence::test_explain_named_wallets", "N2": "test_jobs::test_audit_breach_halts_before_publish",
     "N4": "test_jobs::test_backfill_rerun_and_publish", "D5": "test_stream::test_duplicates_counted_unless_deduped",
     "G3": "test_contract::test_audit_schema_error",
 }

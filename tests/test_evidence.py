@@ -52,3 +52,11 @@ def test_found_needs_features_or_dimension(spark):
     w = spark.createDataFrame([("w-7",)], "wallet_id string")
     r = EV.wallet_evidence(w, feats, dims, only_score, alerts).first()
     assert r.found is False and r.has_score is True
+
+
+def test_explain_named_wallets(spark):
+    _, feats, dims, scores, alerts = inputs(spark)
+    out = EV.explain(["w-1", "w-404"], feats, dims, scores, alerts, question="Why?")
+    assert out["w-404"] == EV.REFUSAL
+    assert out["w-1"].split("\n")[-2] == "Question: Why?"
+    assert "  [5] fraud_score = 0.870 (model gbt-v1)" in out["w-1"]
