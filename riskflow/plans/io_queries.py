@@ -162,8 +162,8 @@ def upsert_merge(spark, sf):
 @register(
     "upsert_key_collapse",
     "E3 (collapse duplicate upsert keys, keep highest tx_count)",
-    _velocity_sql("10 minutes").replace("FROM tx GROUP BY 1, 2, 3", "FROM tx GROUP BY 1, 2, 3")
-    .replace("SELECT time_bucket", "SELECT time_bucket", 1),
+    # Collapsing (early batch U full aggregate) by key keeps the full aggregate: the velocity twin.
+    _velocity_sql("10 minutes"),
 )
 def upsert_key_collapse(spark, sf):
     tx = _events_tx(spark, sf)

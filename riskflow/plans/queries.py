@@ -440,7 +440,7 @@ def dq_accepted_asset(spark, sf):
 @register(
     "dq_relationship_wallet",
     "J12 (relationship) C5",
-    "WITH" + _sql_dim("dim", SQL_YEAR_BATCH) + ",\n  " + SQL_TX.replace("tx AS", "tx AS", 1) + """
+    "WITH" + _sql_dim("dim", SQL_YEAR_BATCH) + ",\n  " + SQL_TX + """
     SELECT * FROM tx WHERE wallet_id NOT IN (SELECT wallet_id FROM dim WHERE is_current)""",
 )
 def dq_relationship_wallet(spark, sf):
