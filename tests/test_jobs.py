@@ -71,3 +71,17 @@ def test_run_only_touches_its_dates(spark, work):
     assert m[("quarantine_rows_written", "2026-07-01")] == 0.0
     assert (m[("silver_rows_written", "2026-07-02")], m[("quarantine_rows_written", "2026-07-02")]) == (1.0, 1.0)
     assert J.published_fact(spark, lake).count() == 2
+
+
+def test_mart_tests_halt_on_duplicate_fact_rows(spark, work):
+    # Two rows with the same tx_id on the same day survive only if dedupe is bypassed:
+    # audit_on="silver" with a contract whose key is not tx_id lets them through to the fact.
+    from riskflow.operators.contract import with_rules
+
+    x = extract(spark, f"{work}/dup", [("t1", "w1", "c1", "2026-07-01 10:00:00", "1", "BTC"),
+                                       ("t1", "w2", "c1", "2026-07-01 10:00:00", "2", "BTC")])
+    loose = with_rules(TX_CONTRACT, key=("tx_id", "wallet_id"))
+    with pytest.raises(DataQualityError) as e:
+        J.run_batch(spark, x, f"{work}/lake", dt.date(2026, 7, 1), loose, now=NOW, audit_on="silver")
+    assert "tx_id not unique" in str(e.value)
+    assert not path_exists(spark, f"{work}/lake/gold/fact_transaction")
