@@ -71,3 +71,44 @@ def test_incremental_scd2_equals_rebuild(spark, batches):
     assert norm(inc) == norm(S.scd2_rebuild(u, "batch", tie="tie"))
     cur = inc.where("is_current").groupBy("wallet_id").count().where("count > 1").count()
     assert cur == 0
+
+
+version = st.tuples(st.sampled_from(["w1", "w2"]), st.sampled_from(["LOW", "HIGH"]), st.integers(0, 20))
+fact = st.tuples(st.sampled_from(["w1", "w2", "w3"]), st.integers(-2, 25))
+
+
+@SETTINGS
+@given(st.lists(st.lists(version, min_size=1, max_size=3), min_size=1, max_size=3),
+       st.lists(fact, min_size=1, max_size=15))
+def test_point_in_time_join_equals_brute_force(spark, batches, facts):
+    base = dt.datetime(2026, 1, 1)
+    dim = S.empty_dimension(spark)
+    for b, batch in enumerate(batches):
+        rows = [(w, t, base + dt.timedelta(days=b * 30 + d), i) for i, (w, t, d) in enumerate(batch)]
+        u = spark.createDataFrame(rows, "wallet_id string, risk_tier string, snapshot_ts timestamp_ntz, tie long")
+        dim = S.scd2_apply(dim, u, tie="tie")
+    dims = [tuple(r) for r in dim.collect()]
+    fr = [(f"t{i}", w, base + dt.timedelta(days=d * 4)) for i, (w, d) in enumerate(facts)]
+    fdf = spark.createDataFrame(fr, "tx_id string, wallet_id string, event_ts timestamp_ntz")
+    got = sorted((r.tx_id, r.risk_tier) for r in S.point_in_time_join(fdf, dim).collect())
+    want = []
+    for tx, w, ts in fr:
+        hits = [t for (dw, t, vf, vt, _) in dims if dw == w and vf <= ts and (vt is None or ts < vt)]
+        want += [(tx, t) for t in hits] or [(tx, None)]
+    assert got == sorted(want)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 8), st.sampled_from(["a", "b", "c"])), max_size=12),
+       st.lists(st.tuples(st.integers(0, 8), st.sampled_from(["x", "y"])), max_size=8, unique_by=lambda r: r[0]))
+def test_upsert_is_idempotent_and_keyed(spark, target, updates):
+    from riskflow.sinks.tables import upsert_frame
+
+    t = spark.createDataFrame(list({k: (k, v) for k, v in target}.values()), "k long, v string")
+    u = spark.createDataFrame(updates, "k long, v string")
+    once = upsert_frame(t, u, "k")
+    twice = upsert_frame(once, u, "k")
+    a, b = sorted(map(tuple, once.collect())), sorted(map(tuple, twice.collect()))
+    assert a == b
+    assert len({k for k, _ in a}) == len(a)
+    assert {k: v for k, v in a} == {**{k: v for k, v in target}, **{k: v for k, v in updates}}
