@@ -71,14 +71,17 @@ def _dates_of(df: DataFrame) -> list:
 def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_date=None,
               contract: C.Contract = C.TX_CONTRACT, updates: DataFrame | None = None, now=None,
               fmt: str = "parquet", date_from: str = "event_ts", tie: str | None = "tie",
-              written_at: _dt.datetime | None = None, audit_on: str = "raw") -> BatchResult:
+              written_at: _dt.datetime | None = None, audit_on: str = "raw",
+              extract_schema=None, extract_options: dict | None = None) -> BatchResult:
     """``audit_on``: 'raw' audits the landed rows (duplicates/negatives halt the day, as the
-    original job does); 'silver' audits what would be published, after quarantine and dedupe."""
+    original job does); 'silver' audits what would be published, after quarantine and dedupe.
+    ``fmt`` / ``extract_schema`` / ``extract_options``: how the raw extract is read (an explicit
+    schema avoids an inference pass over text extracts)."""
     lake = LakePaths(lake_root)
     result = BatchResult()
 
     # 1. land (validated, rerun-safe)
-    extract = FS.read_extract(spark, extract_path, fmt)
+    extract = FS.read_extract(spark, extract_path, fmt, extract_schema, extract_options)
     T.land_partition(extract, lake.bronze, logical_date, PARTITION, None if logical_date else date_from)
 
     # 2. audit the landed rows; a breach halts before anything is published

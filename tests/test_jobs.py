@@ -85,3 +85,18 @@ def test_mart_tests_halt_on_duplicate_fact_rows(spark, work):
         J.run_batch(spark, x, f"{work}/lake", dt.date(2026, 7, 1), loose, now=NOW, audit_on="silver")
     assert "tx_id not unique" in str(e.value)
     assert not path_exists(spark, f"{work}/lake/gold/fact_transaction")
+
+
+def test_csv_extract_with_schema(spark, work):
+    import os
+
+    from riskflow.session import local_path
+
+    p = local_path(f"{work}/csv")
+    os.makedirs(p, exist_ok=True)
+    with open(f"{p}/day.csv", "w") as fh:
+        fh.write("tx_id,wallet_id,counterparty_id,event_ts,value,asset\n"
+                 "t1,w1,c1,2026-07-01 10:00:00,10,btc\nt2,w2,c2,2026-07-01 11:00:00,-1,BTC\n")
+    res = J.run_batch(spark, f"{work}/csv", f"{work}/lake", dt.date(2026, 7, 1), now=NOW, audit_on="silver",
+                      fmt="csv", extract_schema=RAW, extract_options={"header": "true"})
+    assert (res.silver_rows, res.quarantine_rows, res.fact_rows) == (1, 1, 1)
