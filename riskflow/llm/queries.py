@@ -8,7 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskflow.llm import bucket_digest, byte_bpe, language_id, quality_ranking
+from riskflow.llm import (
+    bucket_digest,
+    byte_bpe,
+    decontamination,
+    edit_counts,
+    language_id,
+    license_scan,
+    near_dedup,
+    quality_ranking,
+    secret_scan,
+    warc_zip,
+)
 from riskflow.llm.common import id_remainder, table
 
 QUERIES: dict = {}
@@ -20,6 +31,44 @@ def query(fn):
     return fn
 
 
+@query
+def op1_warc_zip(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc_zip.archive_round_trip(pages).drop("url")
+
+
+ORACLES["op1_warc_zip"] = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_page FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+FROM f"""
+
+
+@query
+def op2_near_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs, words=4, percent=80)
+
+
+# Exact: every pair that shares a shingle, then the smallest id reachable over the links.
+ORACLES["op2_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles FROM w),
+n AS (SELECT doc_id, len(shingles) AS n FROM s),
+e AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM e a JOIN e b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * common >= 80 * (a.n + b.n - common)),
+reach AS (SELECT doc_id, doc_id AS other FROM n UNION SELECT reach.doc_id, link.y FROM reach JOIN link ON link.x = reach.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN least USING (doc_id)"""
+
+
 @query
 def op3_quality_ranking(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,11 +79,39 @@ def op3_quality_ranking(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op4_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLES["op4_license_scan"] = license_scan.oracle()
+
+
 @query
 def op5_bucket_digest(spark, sf_dir):
     return bucket_digest.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op6_secret_scan(spark, sf_dir):
+    found = secret_scan.findings(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return found.select("doc_id", F.col("start").cast("long").alias("start"), F.length("cand").cast("long").alias("n_chars"),
+                        F.sha2("cand", 256).alias("candidate_sha256"), "score", "is_secret")
+
+
+@query
+def op7_edit_counts(spark, sf_dir):
+    """Counts before and after three edits a document: a replacement, a deletion and an appended word."""
+    n = "cast(coalesce(length(text), 0) as int)"
+    docs = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "text",
+        f"array(named_struct('start', {n} div 3, 'length', 12L, 'replacement', coalesce(source, '')),"
+        f" named_struct('start', {n} * 2 div 3, 'length', 20L, 'replacement', ''),"
+        f" named_struct('start', cast({n} as long), 'length', 0L, 'replacement', concat(' ', coalesce(lang, '')))) edits")
+    rank_file, pattern = byte_bpe.default_tokenizer()
+    return edit_counts.count_edited(docs, rank_file, pattern)
+
+
 def held_out_language():
     return F.coalesce(id_remainder(F.col("doc_id"), 4) == 2, F.lit(False))
 
@@ -47,6 +124,12 @@ def op8_language_id(spark, sf_dir):
         "doc_id", held_out_language().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op9_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.summarize(decontamination.leaks(docs, table(spark, sf_dir, "benchmark")))
+
+
 @query
 def op10_byte_bpe(spark, sf_dir):
     rank_file, pattern = byte_bpe.default_tokenizer()
