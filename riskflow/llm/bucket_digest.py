@@ -25,7 +25,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import small_batches
+from riskflow.llm.common import ready_for_python
 
 BUCKETS = 128
 WINDOW = 5
@@ -124,7 +124,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     one row held at a time besides the current batch.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    ready_for_python(spark)
     docs = docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"coalesce(`{text_col}`, '') text")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = (_dealt_in_order(docs, tasks * ranges_per_task).repartition(tasks, "bucket")

@@ -21,7 +21,7 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
-from riskflow.llm.common import small_batches
+from riskflow.llm.common import ready_for_python
 
 PIECE_CHARS = 1 << 16
 
@@ -75,7 +75,7 @@ def tokenize(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_i
     ``rank_file`` must be readable at the same path on every executor (it is
     installed with the tokenizers package).
     """
-    small_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
 
     def run(batches):
         enc = encoding(rank_file, pattern)
@@ -99,7 +99,7 @@ def token_ids(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     Columns of these two names already present are replaced; the text column
     goes, as the ids decode to it byte by byte.
     """
-    small_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
     keep = [c for c in docs.columns if c.lower() not in ("text", "n_tokens", "token_ids")]
 
     def run(batches):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from functools import cache
 
 import numpy as np
@@ -10,15 +13,38 @@ from pyspark.sql import functions as F
 
 # Rows per Arrow batch handed to Python: documents can be long, so batches are short.
 ARROW_ROWS = 1000
+ARROW_BYTES = "32m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the memory of a Python task: at most ARROW_ROWS documents per batch."""
+_SHIPPED: set[str] = set()
+
+
+def ready_for_python(spark: SparkSession) -> None:
+    """Settings and code for Python tasks.
+
+    A batch holds at most ARROW_ROWS documents and about ARROW_BYTES, which bounds a task's memory.
+    The package goes to the executors with the application (once), so tasks
+    find it wherever the driver was started.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="riskflow-code-"), "riskflow.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(package):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
 
 
 def id_remainder(id_col: Column, n: int) -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import code_points, small_batches
+from riskflow.llm.common import code_points, ready_for_python
 
 Q = 6
 BUDGET = 0.1
@@ -194,7 +194,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, budget: float = BUD
           block_segments: int = BLOCK_SEGMENTS) -> DataFrame:
     """One row per document and benchmark segment found in it (see SCHEMA)."""
     spark = docs.sparkSession
-    small_batches(spark)
+    ready_for_python(spark)
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text")
     out = None
     for block in _blocks(benchmark, block_segments, size):
@@ -221,7 +221,7 @@ def _finder(shared):
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` in which no benchmark segment is found, with all their columns."""
     spark = docs.sparkSession
-    small_batches(spark)
+    ready_for_python(spark)
     at = docs.columns.index(text_col)
     opts = {"q": Q, "budget": BUDGET, "size": SEGMENT, "block_segments": BLOCK_SEGMENTS} | options
     for block in _blocks(benchmark, opts["block_segments"], opts["size"]):

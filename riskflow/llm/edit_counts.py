@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from riskflow.llm.byte_bpe import encoding
-from riskflow.llm.common import small_batches
+from riskflow.llm.common import ready_for_python
 
 LEAF = 128
 # The pattern looks at most two characters behind the end of a match ('ll, white space).
@@ -136,7 +136,7 @@ def count_edited(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
 
     ``edits`` is an array of structs (start, length, replacement) in code points.
     """
-    small_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_edits", pa.int32()),
                         ("edited_tokens", pa.int64()), ("edited_chars", pa.int64()), ("reencoded_chars", pa.int64())])
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import LOWER, UPPER, char_class_table, code_points, hash_order, small_batches
+from riskflow.llm.common import LOWER, UPPER, char_class_table, code_points, hash_order, ready_for_python
 
 # ISO 639-1 codes by family.
 FAMILIES = {
@@ -134,7 +134,7 @@ def train(docs: DataFrame, eligible, per_language: int = PER_LANGUAGE, id_col: s
           text_col: str = "text", lang_col: str = "lang") -> dict:
     """Fit on a bounded sample of the ``eligible`` (a Column) rows with a language and letters in the text."""
     spark = docs.sparkSession
-    small_batches(spark)
+    ready_for_python(spark)
     rows = docs.where(eligible & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
                       & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"))
@@ -171,7 +171,7 @@ def train(docs: DataFrame, eligible, per_language: int = PER_LANGUAGE, id_col: s
 
 def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred and score of every whole text."""
-    small_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -186,7 +186,7 @@ def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
 
 def keep_identified(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose language is determined, with all their columns."""
-    small_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 

@@ -17,8 +17,10 @@ From tables to components, without listing all pairs of a table entry:
    are dropped before the pairs are formed (nothing else is lost by it).
 3. Star rounds: the nodes of an entry are compared with one of them. Links
    join components; nodes already in one component need no comparison.
-4. What is still in one entry but in different components is compared pair by
-   pair. So every two nodes of an entry end in one component or are compared.
+4. Nodes of entries that still hold several components are met by an exact
+   prefix filter on their shingles, rarest first, across components, with an
+   exact bound on bit maps of the sets as part of the join. So every
+   two nodes of an entry end in one component or are proven not to be linked.
 Every candidate is confirmed on the full sets.
 
 Defined cases: rows that share a doc_id count as one document (linked if any of
@@ -36,13 +38,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from riskflow.llm.common import small_batches
+from riskflow.llm.common import ready_for_python
 from riskflow.session import materialize
 
 SUB = 10
 WIDTH = 2
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
 LARGE_ENTRY = 8  # entries beyond it are compared by stars first
 _WORD_CACHE = 200_000
 
@@ -95,7 +98,7 @@ def small_keys(shingles: np.ndarray, sub: int, width: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int, sub: int, width: int) -> DataFrame:
-    small_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()),
                         ("keys", pa.list_(pa.int64()))])
 
@@ -205,6 +208,64 @@ def _pair(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(_fits(percent)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
+def _rest_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of different components that can meet the threshold, by an exact prefix filter.
+
+    A set of n shingles that meets the threshold with another shares at least
+    ceil(percent / 100 * n) of them. In any order of the shingles the first
+    n - that + 1 of both sets then share one. The order here: shingles of one
+    component only (they match nothing outside), then the others, rarest first.
+    Most nodes have enough shingles of the first kind to be done with.
+    """
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):  # one document's rows at a time
+                members = np.frombuffer(batch.column(3)[i].as_py(), np.int64)
+                repeated = [pa.array(np.full(len(members), batch.column(k)[i].as_py())) for k in range(3)]
+                yield pa.RecordBatch.from_arrays([*repeated, pa.array(members)], names=["x", "xn", "cx", "shingle"])
+
+    rest = materialize(rest, "rest")
+    held = rest.join(sets, "node").select("node", "n", "component", "members").mapInArrow(
+        run, "x long, xn long, cx long, shingle long")
+    shared = materialize(held.groupBy("shingle").agg(F.count("*").alias("c"), F.min("cx").alias("low"), F.max("cx").alias("high"))
+                         .where("low <> high").select("shingle", "c"), "shared-shingles")
+    held = materialize(held.join(shared, "shingle"), "shared-places")
+    least = F.ceil(F.lit(percent) * F.col("xn") / 100)
+    able = (held.groupBy("x", "xn").agg(F.count("*").alias("inside")).where(F.col("inside") >= least)
+            .select("x", (F.col("xn") - F.col("inside")).alias("alone"), (F.col("xn") - least + 1).alias("slots")))
+    able = materialize(_bitmaps(able.join(sets, able["x"] == sets["node"])), "able")
+    order = Window.partitionBy("x").orderBy("c", "shingle")
+    prefix = materialize(held.join(able, "x").withColumn("place", F.col("alone") + F.row_number().over(order))
+                         .where("place <= slots").drop("c", "alone", "slots"), "prefixes")
+    other = prefix.select("shingle", *[F.col(c).alias(f"other_{c}") for c in prefix.columns if c != "shingle"])
+    # The least overlap of a pair of these sizes, and so the most shingles that may differ.
+    both = f"(({percent} * (xn + other_xn) + {99 + percent}) div {100 + percent})"
+    differ = " + ".join(f"bit_count({w} ^ other_{w})" for w in _BITMAP)
+    close = F.expr(f"x < other_x and cx <> other_cx and place <= xn - {both} + 1 and other_place <= other_xn - {both} + 1 "
+                   f"and {differ} <= xn + other_xn - 2 * {both}")
+    return prefix.join(other, "shingle").where(close).select("x", F.col("other_x").alias("y")).distinct()
+
+
+_BITMAP = [f"w{i}" for i in range(16)]
+
+
+def _bitmaps(rows: DataFrame) -> DataFrame:
+    """x, alone and slots with a 1024-bit map of the set: bits that differ are never more than the shingles that do."""
+    def run(batches):
+        for batch in batches:
+            words = np.zeros((batch.num_rows, 16), np.uint64)
+            for i, m in enumerate(batch.column(3).to_pylist()):
+                bits = np.zeros(1024, np.uint8)
+                bits[np.frombuffer(m, np.uint64) >> np.uint64(54)] = 1
+                words[i] = np.packbits(bits).view(np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], *[pa.array(words[:, i].view(np.int64)) for i in range(16)]],
+                names=["x", "alone", "slots", *_BITMAP])
+
+    return rows.select("x", "alone", "slots", "members").mapInArrow(
+        run, "x long, alone long, slots long, " + ", ".join(f"{w} long" for w in _BITMAP))
+
+
 def links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, sub: int, rounds: int = STAR_ROUNDS,
           large: int = LARGE_ENTRY) -> DataFrame | None:
     """node, component for all nodes linked with another; ``nodes`` has node, n, keys."""
@@ -242,21 +303,15 @@ def links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, sub: int,
                                          F.col("lead.component").alias("cy")), "split")
         if not split.limit(1).count():
             break
-        open_members = materialize(now.join(split.select("key"), "key", "left_semi").drop("component"), "open")
-        rows = now.join(split, "key").select("key", "size", F.col("node").alias("x"), F.col("n").alias("xn"),
-                                             F.col("component").alias("cx"), "y", "yn", "cy")
+        open_members = now.join(split.select("key"), "key", "left_semi").drop("component")
         if turn < rounds:
-            pairs = rows.where((F.col("size") > large) & (F.col("cx") != F.col("cy")))
+            rows = now.join(split, "key").select("size", F.col("node").alias("x"), F.col("n").alias("xn"),
+                                                 F.col("component").alias("cx"), "y", "yn", "cy")
+            pairs = _pair(rows.where((F.col("size") > large) & (F.col("cx") != F.col("cy"))), percent)
         else:
-            # The rest, pair by pair: nodes outside an entry's largest component against all others.
-            own = materialize(rows.select("key", "x", "xn", "cx"), "rest")
-            most = own.groupBy("key", "cx").agg(F.count("*").alias("c")).groupBy("key").agg(
-                F.max(F.struct("c", "cx")).alias("most")).select("key", F.col("most.cx").alias("main"))
-            most = materialize(most, "main")
-            outside = own.join(most, "key").where("cx <> main")
-            other = own.select("key", F.col("x").alias("y"), F.col("xn").alias("yn"), F.col("cx").alias("cy"))
-            pairs = outside.join(other, "key").where((F.col("cx") != F.col("cy")) & _fits(percent))
-        pairs = materialize(_pair(pairs, percent).join(done, ["x", "y"], "left_anti"), "pairs")
+            rest = now.join(split.select("key"), "key", "left_semi").select("node", "n", "component").distinct()
+            pairs = _rest_pairs(rest, sets, percent)
+        pairs = materialize(pairs.join(done, ["x", "y"], "left_anti"), "pairs")
         if pairs.limit(1).count():
             more = materialize(_confirmed(pairs, sets, percent), "confirmed")
             done = done.unionByName(pairs)

@@ -34,7 +34,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import small_batches
+from riskflow.llm.common import ready_for_python
 from riskflow.session import materialize, scratch_path
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -202,7 +202,7 @@ def _file_uri(root: str) -> str:
 
 def write_packages(records: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
     """Write (page_id, url, html, payload_digest, refers_to, record_type) rows; returns the committed package list."""
-    small_batches(records.sparkSession)
+    ready_for_python(records.sparkSession)
     folder = _file_uri(folder)
 
     def run(batches):
