@@ -6,7 +6,8 @@ a document if some passage is within k = floor(m * budget) edits of it. By the
 q-gram lemma such a passage shares at least m - q + 1 - k * q q-grams with the
 segment, and their offsets lie within a band of k + 1 diagonals on either side.
 The filter counts shared q-grams in overlapping diagonal bands, keeps the
-bands that reach the bound, and verifies them by banded alignment.
+bands that reach the bound, drops those whose region is out of reach by a
+bit-parallel edit distance, and verifies the rest by banded alignment.
 
 The benchmark is taken in blocks of at most ``block_segments`` segments, each
 broadcast (that many segments of at most ``SEGMENT`` characters) for one pass
@@ -20,8 +21,6 @@ other columns of the input are not read.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,18 +28,17 @@ from pyspark.sql import functions as F
 
 from riskflow.llm.common import code_points, ready_for_python
 
-Q = 6
+Q = 7
 BUDGET = 0.1
 SEGMENT = 120
 BLOCK_SEGMENTS = 5_000
-_SPACE = re.compile(r"\s+")
-_MASK_BITS = 20
+_LEAD_BITS = 20
 
 SCHEMA = "doc_id long, item_id long, segment int, start long, length int, edits int"
 
 
 def normalize(text: str | None) -> str:
-    return _SPACE.sub(" ", text or "").strip().lower()
+    return " ".join((text or "").split()).lower()
 
 
 def segments(text: str, size: int = SEGMENT) -> list[str]:
@@ -83,39 +81,73 @@ class Index:
         owner = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
         place = np.concatenate([*(np.arange(len(h)) for h in hashes), np.zeros(0, np.int64)]).astype(np.int64)
         order = np.argsort(flat, kind="stable")
-        self.hash, self.owner, self.place = flat[order], owner[order], place[order]
-        self.bits = np.zeros(1 << _MASK_BITS, bool)
-        self.bits[(self.hash >> np.uint64(64 - _MASK_BITS)).astype(np.int64)] = True
+        self.hash, self.owner, self.place = flat[order], owner[order].astype(np.int64), place[order]
+        # Where the hashes with each leading bit pattern begin.
+        lead = (self.hash >> np.uint64(64 - _LEAD_BITS)).astype(np.int64)
+        self.begin = np.searchsorted(lead, np.arange((1 << _LEAD_BITS) + 1)).astype(np.int32)
+        self.masks = [self._char_masks(c) for c in self.codes]
+
+    @staticmethod
+    def _char_masks(codes: np.ndarray) -> dict[int, int]:
+        masks: dict[int, int] = {}
+        for i, c in enumerate(codes.tolist()):
+            masks[c] = masks.get(c, 0) | 1 << i
+        return masks
 
     def hits(self, u: np.ndarray):
         """(position in the text, segment, position in the segment) of every shared q-gram."""
         h = gram_hashes(u.astype(np.uint64), self.q)
-        at = np.flatnonzero(self.bits[(h >> np.uint64(64 - _MASK_BITS)).astype(np.int64)])
-        lo = np.searchsorted(self.hash, h[at], "left")
-        n = np.searchsorted(self.hash, h[at], "right") - lo
-        at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
-        entry = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else lo
-        return np.repeat(at, n), self.owner[entry], self.place[entry]
+        lead = (h >> np.uint64(64 - _LEAD_BITS)).astype(np.int64)
+        lo, n = self.begin[lead], self.begin[lead + 1] - self.begin[lead]
+        at = np.flatnonzero(n)
+        lo, n = lo[at].astype(np.int64), n[at].astype(np.int64)
+        entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        at = np.repeat(at, n)
+        same = self.hash[entry] == h[at]
+        return at[same], self.owner[entry[same]], self.place[entry[same]]
 
     def candidates(self, u: np.ndarray):
-        """Bands that reach the lemma's bound: (segment, first diagonal, last diagonal)."""
+        """Bands that reach the lemma's bound: (segment, first diagonal, last diagonal).
+
+        A segment's q-gram counts once in each half of a band, however often the text repeats it there.
+        """
         at, owner, place = self.hits(u)
+        enough = np.bincount(owner, minlength=len(self.parts))[owner] >= self.least[owner]
+        at, owner, place = at[enough], owner[enough], place[enough]
         if not len(at):
             return []
-        diagonal = at - place
         width = self.edits[owner] + 1  # two neighbouring halves make a band of 2k + 2 diagonals
         offset = 2 * SEGMENT + 2
-        half = (diagonal + offset) // width
-        keys, count = np.unique(owner.astype(np.int64) << 40 | half, return_counts=True)
+        half = (at - place + offset) // width
+        key = np.sort((owner << 32 | half) << 8 | place)
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])] >> 8
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        keys, count = key[first], np.diff(np.append(first, len(key)))
         nxt = np.minimum(np.searchsorted(keys, keys + 1), len(keys) - 1)
         both = count + np.where(keys[nxt] == keys + 1, count[nxt], 0)
         found = []
-        for i in np.flatnonzero(both >= self.least[keys >> 40]):
-            s, k = int(keys[i] >> 40), int(self.edits[keys[i] >> 40])
-            first = int(keys[i] & ((1 << 40) - 1)) * (k + 1) - offset
+        for i in np.flatnonzero(both >= self.least[keys >> 32]):
+            s, k = int(keys[i] >> 32), int(self.edits[keys[i] >> 32])
+            first = int(keys[i] & 0xFFFFFFFF) * (k + 1) - offset
             found.append((s, first, first + 2 * (k + 1) - 1))
         return found
 
+    def reachable(self, text: str, segment: int, first: int, last: int) -> bool:
+        """Whether some passage of the band's region is within the budget, by bit-parallel edit distance."""
+        k, m = int(self.edits[segment]), len(self.codes[segment])
+        masks, top, full = self.masks[segment], 1 << m - 1, (1 << m) - 1
+        plus, minus, cost = full, 0, m
+        for c in map(ord, text[max(0, first - k):max(0, last + m + 2 * k)]):
+            eq = masks.get(c, 0)
+            x = (((eq & plus) + plus) ^ plus) | eq | minus
+            up, down = minus | ~(x | plus) & full, plus & x
+            cost += bool(up & top) - bool(down & top)
+            if cost <= k:
+                return True
+            up, down = up << 1 & full, down << 1 & full
+            plus, minus = down | ~(x | up) & full, up & x
+        return False
+
     def align(self, u: np.ndarray, segment: int, first: int, last: int) -> tuple[int, int, int] | None:
         """Banded alignment of a segment with the passages on diagonals first..last, k more on each side.
 
@@ -168,7 +200,10 @@ class Index:
                 continue
             part = self.parts[s][2]
             exact = norm.find(part, max(0, first), max(0, last + len(part)))  # an alignment without edits
-            got = (0, exact, len(part)) if exact >= 0 else self.align(u, s, first, last)
+            if exact >= 0:
+                got = (0, exact, len(part))
+            else:
+                got = self.align(u, s, first, last) if self.reachable(norm, s, first, last) else None
             if got and (s not in best or got < best[s]):
                 best[s] = got
         return [(self.parts[s][0], self.parts[s][1], start, length, edits)
