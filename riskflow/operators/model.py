@@ -30,6 +30,7 @@ from riskflow.session import materialize
 TEST_FRACTION = 0.3
 PRECISION_K = 50
 GBT_SEED = 42
+GBT_ITERATIONS = 200
 
 
 @dataclass
@@ -91,7 +92,7 @@ def require_two_classes(df: DataFrame, label: str = "label") -> None:
         raise ModelError("need both classes present to train")
 
 
-def fit_gbt(train: DataFrame, features=FEATURE_COLUMNS, label: str = "label", max_iter: int = 20,
+def fit_gbt(train: DataFrame, features=FEATURE_COLUMNS, label: str = "label", max_iter: int = GBT_ITERATIONS,
             seed: int = GBT_SEED, max_depth: int = 5):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
@@ -128,7 +129,7 @@ def score(model, df: DataFrame, model_version: str, scored_at: _dt.datetime | No
 
 
 def train_and_evaluate(features: DataFrame, k: int = PRECISION_K, test_fraction: float = TEST_FRACTION,
-                       max_iter: int = 20, seed: int = GBT_SEED, key: str = "wallet_id"):
+                       max_iter: int = GBT_ITERATIONS, seed: int = GBT_SEED, key: str = "wallet_id"):
     """Drop unknown labels -> two-class check -> time split -> GBT -> (model, EvalReport)."""
     labelled = features.na.drop(subset=["label"])
     require_two_classes(labelled)

@@ -88,11 +88,16 @@ def freshness(metrics: DataFrame, now: _dt.datetime, metric: str = "silver_rows_
 
 
 def zero_row_days(metrics: DataFrame, until: _dt.date, metric: str = "silver_rows_written",
-                  limit: float = ZERO_ROW_LIMIT) -> DataFrame:
-    """(day, rows, breach) for every day from the first metric day to ``until``."""
+                  limit: float = ZERO_ROW_LIMIT, since: _dt.date | None = None) -> DataFrame:
+    """(day, rows, breach) for every day from ``since`` to ``until``.
+
+    Without ``since`` the days begin with the first metric day; with it, days
+    are breaches even where no metric was ever written.
+    """
     m = metrics.where(F.col("metric_name") == metric)
     daily = m.groupBy(F.col("metric_date").alias("day")).agg(F.sum("metric_value").alias("rows"))
-    spine = m.agg(F.min("metric_date").alias("d0")).select(
+    first = F.min("metric_date") if since is None else F.lit(since).cast("date")
+    spine = m.agg(F.count(F.lit(1)), first.alias("d0")).select(
         F.explode(F.sequence(F.col("d0"), F.lit(until).cast("date"))).alias("day")
     )
     return spine.join(daily, "day", "left").select(

@@ -198,11 +198,11 @@ ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TRUNCATED_PAYLOAD_CHARS = 30
 
 
-def event_payloads(events: DataFrame) -> DataFrame:
+def event_payloads(events: DataFrame, cut_errors: bool = False) -> DataFrame:
     """Events as JSON text in a ``value`` column (what a broker would carry).
 
-    Payloads of 'error' events arrive truncated (unparseable), so the parser's
-    corrupt branch sees real rows. Also keeps ``ts`` for ordering files.
+    ``cut_errors``: payloads of 'error' events arrive truncated (unparseable), so the
+    parser's corrupt branch sees real rows. Also keeps ``ts`` for ordering files.
     """
     ts = F.col("ts")
     body = F.concat(
@@ -215,7 +215,9 @@ def event_payloads(events: DataFrame) -> DataFrame:
         F.lit('","produced_ts":"'), F.date_format(ts + F.expr("INTERVAL 2 SECONDS"), ISO_MICROS),
         F.lit('"}'),
     )
-    payload = F.when(F.col("event_type") == "error", F.substring(body, 1, TRUNCATED_PAYLOAD_CHARS)).otherwise(body)
+    payload = body
+    if cut_errors:
+        payload = F.when(F.col("event_type") == "error", F.substring(body, 1, TRUNCATED_PAYLOAD_CHARS)).otherwise(body)
     return events.select(payload.alias("value"), ts, F.col("event_type"))
 
 

@@ -138,7 +138,7 @@ FROM (SELECT raw,
 
 @register("json_event_parse", "B8 H14 H15 H16 A18 B7", SQL_PARSED)
 def json_event_parse(spark, sf):
-    return EVS.parse_events(D.event_payloads(D.table(spark, sf, "events")).select("value"))
+    return EVS.parse_events(D.event_payloads(D.table(spark, sf, "events"), cut_errors=True).select("value"))
 
 
 @register(
@@ -186,10 +186,10 @@ def velocity_upsert_replay(spark, sf):
     later = velocity_features(tx.where(F.col("event_ts") >= cut - F.expr("INTERVAL 5 DAYS")), "10 minutes",
                               exact_distinct=True)
     day = F.to_date("window_start")
-    T.upsert_partitions(spark, f"{work}/t", first.withColumn("window_date", day), ["wallet_id", "window_start"],
+    T.upsert_partitions(spark, f"{work}/t", first.withColumn("window_date", day), ["wallet_id", "window_start", "window_date"],
                         ["window_date"], f"{work}/s0")
     for i in (1, 2):  # the same batch twice: replay is a no-op
-        T.upsert_partitions(spark, f"{work}/t", later.withColumn("window_date", day), ["wallet_id", "window_start"],
+        T.upsert_partitions(spark, f"{work}/t", later.withColumn("window_date", day), ["wallet_id", "window_start", "window_date"],
                             ["window_date"], f"{work}/s{i}")
     return spark.read.parquet(f"{work}/t")
 
@@ -231,15 +231,16 @@ STREAM_GROUPS = 3
 FILES_PER_GROUP = 4
 
 
-def _write_stream_input(spark, sf, path: str, duplicate_purchases: bool = False, order=None) -> None:
-    """Payload files by time group: group g (a third of the days) is written as exactly
+def _write_stream_input(spark, sf, path: str, duplicate_purchases: bool = False, order=None,
+                        cut_errors: bool = False) -> None:
+    """Payload files by time group: group g (a third of the days, the outer ones without a bound) is written as exactly
     FILES_PER_GROUP files after the previous group, so each micro-batch is one whole group.
     ``order`` changes the arrival order of the groups (late data)."""
-    pl = D.event_payloads(D.table(spark, sf, "events"))
+    pl = D.event_payloads(D.table(spark, sf, "events"), cut_errors=cut_errors)
     if duplicate_purchases:  # redelivered messages
         pl = pl.unionByName(pl.where(F.col("event_type") == "purchase"))
     day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
-    grp = F.least(F.floor(day / F.lit(31.0 / STREAM_GROUPS)), F.lit(STREAM_GROUPS - 1))
+    grp = F.greatest(F.least(F.floor(day / F.lit(31.0 / STREAM_GROUPS)), F.lit(STREAM_GROUPS - 1)), F.lit(0))
     for g in (order or range(STREAM_GROUPS)):
         (pl.where(grp == g).select("value").repartition(FILES_PER_GROUP)
          .write.mode("append").text(path))
@@ -247,7 +248,7 @@ def _write_stream_input(spark, sf, path: str, duplicate_purchases: bool = False,
 
 def _run_stream(spark, sf, dedupe_key=None, duplicate=False, dead_letter=False, order=None):
     work = scratch_path(spark, "stream")
-    _write_stream_input(spark, sf, f"{work}/in", duplicate, order)
+    _write_stream_input(spark, sf, f"{work}/in", duplicate, order, cut_errors=dead_letter)
     raw = EVS.event_stream(spark, f"{work}/in", max_files_per_trigger=FILES_PER_GROUP)
     h = VS.run_stream(raw, f"{work}/velocity", f"{work}/ckpt", f"{work}/dead" if dead_letter else None,
                       available_now=True, dedupe_key=dedupe_key, staging_root=f"{work}/stage")

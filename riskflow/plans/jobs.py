@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,9 +63,15 @@ class LakePaths:
         return f"{self.root}/_staging/{name}-{uuid.uuid4().hex[:10]}"
 
 
-def _dates_of(df: DataFrame) -> list:
-    # One row per landed date: bounded by the calendar, not by the data.
-    return sorted(r[0] for r in df.select(PARTITION).distinct().collect())
+def _audited(df: DataFrame, contract: C.Contract, now, n_dates: int):
+    """Audit of a run; the contract's row bound holds for each landed day on its own."""
+    if n_dates == 1 or contract.row_count_max is None:
+        return C.audit(df, contract, now=now, halt=True)
+    report = C.audit(df, replace(contract, row_count_max=None), now=now, halt=True)
+    over = df.groupBy(PARTITION).count().where(F.col("count") > contract.row_count_max)
+    if not over.isEmpty():
+        raise DataQualityError(f"a day has more than {contract.row_count_max} rows", report)
+    return report
 
 
 def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_date=None,
@@ -84,18 +90,26 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
     extract = FS.read_extract(spark, extract_path, fmt, extract_schema, extract_options)
     T.land_partition(extract, lake.bronze, logical_date, PARTITION, None if logical_date else date_from)
 
+    # The dates of this run, once: bounded by the calendar. None: rows without a readable date.
+    if logical_date is not None:
+        landed = [logical_date]
+    else:
+        landed = [r[0] for r in extract.select(T.date_or_null(F.col(date_from))).distinct().collect()]
+    dates = sorted(d for d in landed if d is not None)
+    result.dates = dates
+
     # 2. audit the landed rows; a breach halts before anything is published
     def this_run(df: DataFrame) -> DataFrame:
-        """Only the partitions landed by this run (one broadcast row per landed date)."""
+        """Only the partitions landed by this run (a literal partition filter)."""
         if logical_date is not None:
             return df
-        landed = extract.select(F.to_date(F.col(date_from)).alias(PARTITION)).distinct()
-        return df.join(F.broadcast(landed), PARTITION, "left_semi")
+        mine = F.col(PARTITION).isin(dates) if dates else F.lit(False)
+        return df.where(mine | F.col(PARTITION).isNull() if None in landed else mine)
 
     bronze = this_run(FS.read_partition(spark, lake.bronze, logical_date, PARTITION))
     norm = C.normalize(bronze, contract)
     if audit_on == "raw":
-        result.audit = C.audit(norm, contract, now=now, halt=True)
+        result.audit = _audited(norm, contract, now, len(landed))
 
     # 3. silver + quarantine (dedupe within each day's batch), counts observed on the writes
     tagged = C.with_breaches(norm, contract)
@@ -104,19 +118,23 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
     order = [F.col(contract.event_time).desc()] + [F.col(c).asc() for c in ("wallet_id",) if c in clean.columns]
     silver = latest_per_key(clean, [*contract.key, PARTITION], order)
     if audit_on == "silver":
-        result.audit = C.audit(silver, contract, now=now, halt=True)
+        result.audit = _audited(silver, contract, now, len(landed))
+    # A date that has no rows (any more) must not keep those of an earlier run.
+    for table in (lake.silver, lake.quarantine):
+        T.clear_partitions(spark, table, PARTITION, landed)
     result.silver_rows = T.overwrite_partitions(silver, lake.silver, PARTITION, count_rows=True)
     result.quarantine_rows = T.overwrite_partitions(quarantine, lake.quarantine, PARTITION, count_rows=True)
 
     # 4. run metrics per day from the written partitions (a count per partition; keyed upsert,
     #    so a rerun replaces its own rows)
     silver_back = this_run(FS.read_partition(spark, lake.silver, logical_date, PARTITION, silver.schema))
-    result.dates = _dates_of(silver_back) if logical_date is None else [logical_date]
     per_day = silver_back.groupBy(F.col(PARTITION).alias("metric_date")).agg(
         F.count(F.lit(1)).cast("double").alias("silver_rows_written"))
     if FS.path_exists(spark, lake.quarantine):
         q_back = this_run(FS.read_partition(spark, lake.quarantine, logical_date, PARTITION, quarantine.schema))
-        q_day = q_back.groupBy(F.col(PARTITION).alias("metric_date")).agg(
+        # Rows without a date count for the run's last date.
+        day = F.coalesce(F.col(PARTITION), F.lit(max(dates) if dates else None).cast("date"))
+        q_day = q_back.groupBy(day.alias("metric_date")).agg(
             F.count(F.lit(1)).cast("double").alias("quarantine_rows_written"))
         per_day = per_day.join(q_day, "metric_date", "full_outer")
     else:
@@ -135,7 +153,10 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
     dim_table = T.Scd2Table(spark, lake.dim)
     batch_id = str(max(result.dates)) if result.dates else None
     if updates is not None and batch_id is not None:
-        dim_table.apply(updates, batch_id, tie=tie if tie in updates.columns else None)
+        # Only what was known by the end of the run's last date: a backfill never sees later tiers.
+        end = F.lit(max(dates)).cast("date") + F.expr("INTERVAL 1 DAY")
+        known = updates.where(F.col("snapshot_ts") < end.cast("timestamp_ntz"))
+        dim_table.apply(known, batch_id, tie=tie if tie in updates.columns else None)
     result.dim_version = batch_id
     dim = dim_table.read(as_of=batch_id)
 
@@ -163,7 +184,10 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
     if failures:
         raise DataQualityError(f"mart tests failed: {failures}")
 
-    # 8. publish: replace exactly the staged date partitions
+    # 8. publish: replace the run's date partitions; those without rows are emptied
+    filled = {n.split("=", 1)[1] for n in FS.list_dirs(spark, staged) if n.startswith(f"{PARTITION}=")}
+    T.clear_partitions(spark, lake.fact, PARTITION, [d for d in landed if d is not None
+                                                     and FS.partition_value(d) not in filled])
     result.fact_rows = T.overwrite_partitions(staged_fact, lake.fact, PARTITION, count_rows=True)
     result.published = lake.fact
     return result

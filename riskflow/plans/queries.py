@@ -619,7 +619,7 @@ def risk_tier_q(spark, sf):
 
 def _trained(spark, sf):
     feats = materialize(_model_features(spark, sf, exact=False), "model-features")
-    model, report = M.train_and_evaluate(feats, k=M.PRECISION_K, max_iter=10)
+    model, report = M.train_and_evaluate(feats, k=M.PRECISION_K)
     return feats, model, report
 
 

@@ -13,6 +13,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from riskflow.errors import ConfigError
+
 # Settings every riskflow job relies on. Event times are UTC wall-clock
 # values; pinning the session zone keeps NTZ <-> TIMESTAMP casts exact.
 SESSION_DEFAULTS = {
@@ -52,7 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: local runs and tests only. A cluster names a shared folder.
+        # Local runs and tests only: on a cluster each executor would write to its own disk.
+        if not sc.master.startswith("local"):
+            raise ConfigError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="riskflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

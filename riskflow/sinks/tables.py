@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.session import materialize, scratch_path
-from riskflow.sources.files import list_dirs, partition_value, path_exists
+from riskflow.sources.files import NULL_PARTITION, list_dirs, partition_path, partition_value, path_exists, remove
 
 
 def overwrite_partitions(df: DataFrame, root: str, partition_cols, fmt: str = "parquet",
@@ -54,18 +54,29 @@ def overwrite_partitions(df: DataFrame, root: str, partition_cols, fmt: str = "p
     return int(obs.get["rows"]) if obs is not None else None
 
 
+def clear_partitions(spark: SparkSession, root: str, partition_col: str, values) -> None:
+    """Remove the folders of these partition values (None: the NULL partition) where they exist."""
+    for v in values:
+        remove(spark, partition_path(root, NULL_PARTITION if v is None else v, partition_col))
+
+
+def date_or_null(col):
+    """The date of a column; NULL where its text is no date."""
+    return col.try_cast("date")
+
+
 def land_partition(df: DataFrame, root: str, logical_date=None, partition_col: str = "ingest_date",
                    date_from: str | None = None) -> str:
     """Land an extract into date partitions; rerun = same result.
 
     With ``logical_date`` the whole frame lands in that one partition; with
     ``date_from`` each row lands by the date of that column (multi-day backfill
-    in one write).
+    in one write); rows whose text is no date land in the NULL partition.
     """
     if logical_date is not None:
         out = df.withColumn(partition_col, F.lit(partition_value(logical_date)).cast("date"))
     elif date_from is not None:
-        out = df.withColumn(partition_col, F.to_date(F.col(date_from)))
+        out = df.withColumn(partition_col, date_or_null(F.col(date_from)))
     else:
         raise ValueError("land_partition needs logical_date or date_from")
     overwrite_partitions(out, root, partition_col)
@@ -92,7 +103,7 @@ def create_partitioned_table(spark: SparkSession, table: str, root: str, schema_
 def materialize_view(df: DataFrame, name: str, as_table: bool = False) -> DataFrame:
     """Expose a model as a temp view, or as a table in the session catalog."""
     if as_table:
-        df.writeTo(name).createOrReplace()
+        df.write.mode("overwrite").saveAsTable(name)
         return df.sparkSession.table(name)
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
@@ -109,27 +120,38 @@ def upsert_partitions(spark: SparkSession, root: str, updates: DataFrame, keys,
                       staging_root: str | None = None) -> None:
     """Keyed upsert into a partitioned file table, rewriting only touched partitions.
 
+    Where the partition columns are not among the keys, a key may have changed
+    its partition: the keys are then looked up in the whole table (their
+    columns only), and the partitions they left are rewritten as well.
+
     The touched partition values are few (one batch); the new partition
     contents are staged first because a plan may not overwrite what it reads.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     pcols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
-    updates = updates.cache()  # used for the touched set and the rewrite
-    try:
-        if updates.isEmpty():
-            return
-        if not path_exists(spark, root):
-            overwrite_partitions(updates, root, pcols)
-            return
-        touched = updates.select(*pcols).distinct()
-        target = spark.read.schema(updates.schema).parquet(root)
-        current = target.join(F.broadcast(touched), pcols, "left_semi")  # touched set: one row per partition
-        merged = upsert_frame(current.select(*updates.columns), updates, keys)
-        stage = staging_root or scratch_path(spark, "upsert-stage")
-        merged.write.mode("overwrite").partitionBy(*pcols).parquet(stage)
-        overwrite_partitions(spark.read.parquet(stage).select(*updates.columns), root, pcols)
-    finally:
-        updates.unpersist()
+    updates = materialize(updates, "upsert-batch")  # used for the touched set and the rewrite
+    if updates.isEmpty():
+        return
+    if not path_exists(spark, root):
+        overwrite_partitions(updates, root, pcols)
+        return
+    touched = updates.select(*pcols).distinct()
+    target = spark.read.schema(updates.schema).parquet(root)
+    left = []  # partitions that a key was in: at most the partitions of the table
+    if not set(pcols) <= set(keys):
+        held = target.select(*dict.fromkeys([*keys, *pcols])).join(updates.select(*keys).distinct(), keys, "left_semi")
+        held = held.select(*pcols).distinct()
+        left = held.collect()
+        touched = touched.unionByName(held).distinct()
+    current = target.join(touched, pcols, "left_semi")
+    merged = upsert_frame(current.select(*updates.columns), updates, keys)
+    stage = staging_root or scratch_path(spark, "upsert-stage")
+    merged.write.mode("overwrite").partitionBy(*pcols).parquet(stage)
+    overwrite_partitions(spark.read.schema(updates.schema).parquet(stage), root, pcols)
+    for row in left:
+        folder = "/".join(f"{c}={NULL_PARTITION if row[c] is None else partition_value(row[c])}" for c in pcols)
+        if not path_exists(spark, f"{stage}/{folder}"):
+            remove(spark, f"{root}/{folder}")
 
 
 def merge_sql(table: str, source_view: str, keys) -> str:

@@ -25,6 +25,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+# Fixed value: the folder name of Spark's partition writer for a NULL value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a table, if it exists."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def list_dirs(spark: SparkSession, path: str) -> list:
     """Names of sub-directories of ``path`` ([] if it does not exist)."""
     fs, p = _fs(spark, path)

@@ -46,7 +46,7 @@ def make_upsert(target_root: str, staging_root: str | None = None):
             PARTITION_COL, F.to_date(F.col("window_start"))
         )
         stage = None if staging_root is None else f"{staging_root.rstrip('/')}/batch={batch_id}"
-        upsert_partitions(batch.sparkSession, target_root, cleaned, list(UPSERT_KEYS), [PARTITION_COL], stage)
+        upsert_partitions(batch.sparkSession, target_root, cleaned, [*UPSERT_KEYS, PARTITION_COL], [PARTITION_COL], stage)
 
     return _upsert
 

@@ -99,3 +99,35 @@ def test_spread_scan_follows_size(spark, work):
     assert big.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism,
                                              -(-FS.path_bytes(spark, f"{work}/big") // FS.SPREAD_BYTES_PER_PARTITION))
     assert big.count() == 50_000
+
+
+def test_scratch_folder_must_be_shared_off_local():
+    from types import SimpleNamespace
+
+    from riskflow.errors import ConfigError
+    from riskflow.session import ensure_checkpoint_dir
+
+    faked = SimpleNamespace(sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None),
+                            conf=SimpleNamespace(get=lambda key, default=None: default))
+    with pytest.raises(ConfigError):
+        ensure_checkpoint_dir(faked)
+
+
+def test_upsert_moves_a_key_to_its_new_partition(spark, work):
+    from riskflow.sinks.tables import upsert_partitions
+
+    schema = "k string, v int, p string"
+    upsert_partitions(spark, f"{work}/t", spark.createDataFrame([("k1", 1, "p1"), ("k2", 1, "p2"), ("k3", 1, "p2")], schema), ["k"], ["p"])
+    upsert_partitions(spark, f"{work}/t", spark.createDataFrame([("k1", 2, "p2"), ("k3", 2, "p3")], schema), ["k"], ["p"])
+    got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(f"{work}/t").collect())
+    assert got == [("k1", 2, "p2"), ("k2", 1, "p2"), ("k3", 2, "p3")]
+
+
+def test_missing_metrics_are_breaches_from_the_given_day(spark):
+    import datetime as dt
+
+    from riskflow.operators.opsmetrics import zero_row_days
+
+    none = spark.createDataFrame([], "metric_name string, metric_value double, metric_date date, written_at timestamp_ntz")
+    got = zero_row_days(none, dt.date(2024, 1, 3), since=dt.date(2024, 1, 1)).collect()
+    assert len(got) == 3 and all(r.breach for r in got)

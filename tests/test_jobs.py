@@ -100,3 +100,42 @@ def test_csv_extract_with_schema(spark, work):
     res = J.run_batch(spark, f"{work}/csv", f"{work}/lake", dt.date(2026, 7, 1), now=NOW, audit_on="silver",
                       fmt="csv", extract_schema=RAW, extract_options={"header": "true"})
     assert (res.silver_rows, res.quarantine_rows, res.fact_rows) == (1, 1, 1)
+
+
+def test_unreadable_times_are_quarantined_and_corrected_rerun_leaves_nothing(spark, work):
+    lake = f"{work}/lake"
+    rows = [("t1", "w1", "c1", "2026-07-01 10:00:00", "1", "BTC"), ("t2", "w1", "c1", None, "1", "BTC"),
+            ("t3", "w1", "c1", "garbage", "1", "BTC"), ("t4", "w1", "c1", "2026-07-02 10:00:00", "1", "DOGE")]
+    kw = dict(now=NOW, written_at=NOW, audit_on="silver")
+    res = J.run_batch(spark, extract(spark, f"{work}/a", rows), lake, **kw)
+    assert (res.silver_rows, res.quarantine_rows, res.fact_rows) == (1, 3, 1)  # rows in = clean + quarantine
+    # Corrected extract: the bad rows of the same dates are gone, one date has a clean row now.
+    fixed = [rows[0], ("t2", "w1", "c1", "2026-07-01 11:00:00", "1", "BTC"), ("t4", "w1", "c1", "2026-07-02 10:00:00", "1", "ETH"),
+             ("t5", "w1", "c1", None, "1", "ETH")]
+    res = J.run_batch(spark, extract(spark, f"{work}/b", fixed), lake, **kw)
+    assert (res.silver_rows, res.quarantine_rows) == (3, 1)
+    quarantine = spark.read.parquet(f"{lake}/silver/quarantine")
+    assert [r.tx_id for r in quarantine.collect()] == ["t5"]
+    # A date whose rows all turn bad loses its published rows.
+    res = J.run_batch(spark, extract(spark, f"{work}/c", [
+        ("t4", "w1", "c1", "2026-07-02 10:00:00", "1", "DOGE"), ("t9", "w1", "c1", "2026-07-03 10:00:00", "1", "BTC")]), lake, **kw)
+    assert (res.silver_rows, res.quarantine_rows) == (1, 1)
+    assert {r.tx_id for r in J.published_fact(spark, lake).collect()} == {"t1", "t2", "t9"}
+
+
+def test_backfill_does_not_see_later_tiers(spark, work):
+    updates = spark.createDataFrame([("w1", "LOW", dt.datetime(2023, 1, 1), 1), ("w1", "HIGH", dt.datetime(2026, 7, 2), 2)], UPD)
+    days = {dt.date(2026, 7, d): extract(spark, f"{work}/d{d}", [(f"t{d}", "w1", "c1", f"2026-07-0{d} 10:00:00", "1", "BTC")])
+            for d in (1, 2)}
+    J.backfill(spark, days, f"{work}/lake", updates=updates, now=NOW, written_at=NOW)
+    got = {r.tx_id: r.wallet_risk_tier_at_event for r in J.published_fact(spark, f"{work}/lake").collect()}
+    assert got == {"t1": "LOW", "t2": "HIGH"}
+
+
+def test_row_bound_holds_per_day(spark, work):
+    from dataclasses import replace
+
+    x = extract(spark, f"{work}/x", [(f"t{i}", "w1", "c1", f"2026-07-0{1 + i % 2} 10:00:00", "1", "BTC") for i in range(4)])
+    J.run_batch(spark, x, f"{work}/ok", contract=replace(TX_CONTRACT, row_count_max=2), now=NOW)
+    with pytest.raises(DataQualityError):
+        J.run_batch(spark, x, f"{work}/over", contract=replace(TX_CONTRACT, row_count_max=1), now=NOW)
