@@ -27,9 +27,6 @@ from riskflow.session import default_parallelism, ensure_checkpoint_dir, materia
 
 PID, MID, LOCAL = "_rf_pid", "_rf_mid", "_rf_local"
 
-# Largest per-(partition, group) block table broadcast to the rows (~50 bytes a row).
-BROADCAST_BLOCKS_MAX = 200_000
-
 
 def _cols(order):
     return [F.col(o) if isinstance(o, str) else o for o in order]
@@ -104,10 +101,8 @@ def group_positions(df: DataFrame, groups, order, pos_col: str = "position", par
     w = Window.partitionBy(*groups).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)  # <= P rows per group
     blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
     blocks = materialize(blocks, "group-blocks")
-    small = blocks.count() <= BROADCAST_BLOCKS_MAX
-    right = F.broadcast(blocks) if small else blocks
     return (
-        laid.join(right, [PID, *groups], "inner")
+        laid.join(blocks, [PID, *groups], "inner")
         .withColumn(pos_col, F.col("_before") + (F.col(LOCAL) - F.col("_first")) + F.lit(1))
         .drop(PID, LOCAL, "_first", "_before")
     )

@@ -2,11 +2,12 @@
 
 A key that holds a large share of one side sends all its rows to one
 reducer. ``hot_keys`` finds keys above a row threshold with one partial
-aggregate; the result has at most ``rows / threshold`` entries, and that
-bound is checked before it is broadcast. ``salted_join`` spreads each hot
-key's rows on the big side over ``buckets`` sub-keys (a deterministic hash
-of the row, so a retried task routes rows the same way) and copies the
-small side's matching rows to every sub-key. Cold keys keep sub-key 0.
+aggregate; the result has at most ``rows / threshold`` entries and is written
+once, so Spark joins it by its known size. ``salted_join`` spreads each hot
+key's rows on the big side over sub-keys (a deterministic hash of the row, so
+a retried task routes rows the same way) and copies the small side's matching
+rows to every sub-key. Cold keys keep sub-key 0. Rows without a key match
+nothing and are spread by their hash.
 """
 
 from __future__ import annotations
@@ -20,14 +21,14 @@ from riskflow.session import materialize
 SALT = "_rf_salt"
 N_SALT = "_rf_nsalt"
 
-# Broadcast ceiling for the hot-key table (rows); beyond it we leave skew to AQE.
-MAX_HOT_KEYS = 100_000
+# Sub-keys for rows without a key, which need no partner.
+NO_KEY_SALTS = 1 << 16
 
 
 def hot_keys(df: DataFrame, keys, min_rows: int, buckets_per_rows: int | None = None) -> DataFrame:
     """Keys with at least ``min_rows`` rows, with a salt fan-out per key.
 
-    Fan-out = ceil(rows / buckets_per_rows) (default: ``min_rows``), capped at 512.
+    Fan-out = ceil(rows / buckets_per_rows) (default: ``min_rows``).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     per = buckets_per_rows or min_rows
@@ -35,7 +36,7 @@ def hot_keys(df: DataFrame, keys, min_rows: int, buckets_per_rows: int | None =
         df.groupBy(*keys)
         .count()
         .where(F.col("count") >= F.lit(min_rows))
-        .select(*keys, F.least(F.ceil(F.col("count") / F.lit(per)), F.lit(512)).cast("int").alias(N_SALT))
+        .select(*keys, F.ceil(F.col("count") / F.lit(per)).cast("int").alias(N_SALT))
     )
 
 
@@ -54,27 +55,14 @@ def salted_join(big: DataFrame, small: DataFrame, keys, how: str, extra_cond=Non
             raise ConfigError("salted_join needs hot keys or min_rows")
         hot = hot_keys(big, keys, min_rows)
     hot = materialize(hot, "hot-keys")
-    n_hot = hot.count()
-    if n_hot > MAX_HOT_KEYS:
-        # Too many to broadcast safely: plain join, AQE splits skewed partitions.
-        hot = None
-    b = big
-    s = small
-    if hot is not None and n_hot > 0:
-        hb = F.broadcast(hot)
-        row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-        b = big.join(hb, keys, "left").withColumn(
-            SALT, F.when(F.col(N_SALT).isNull(), F.lit(0)).otherwise(F.pmod(row_hash, F.col(N_SALT))).cast("int")
-        ).drop(N_SALT)
-        s = small.join(hb, keys, "left").withColumn(
-            SALT,
-            F.explode(
-                F.when(F.col(N_SALT).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col(N_SALT) - 1))
-            ),
-        ).drop(N_SALT)
-    else:
-        b = big.withColumn(SALT, F.lit(0))
-        s = small.withColumn(SALT, F.lit(0))
+    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    no_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    b = big.join(hot, keys, "left").withColumn(
+        SALT, F.when(no_key, F.pmod(row_hash, F.lit(NO_KEY_SALTS))).otherwise(
+            F.coalesce(F.pmod(row_hash, F.col(N_SALT)), F.lit(0))).cast("int")
+    ).drop(N_SALT)
+    s = small.join(hot, keys, "left").withColumn(
+        SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(N_SALT), F.lit(1)) - 1))).drop(N_SALT)
     bb, ss = b.alias("_b"), s.alias("_s")
     cond = None
     for k in keys + [SALT]:

@@ -19,9 +19,11 @@ from riskflow.plans.queries import (
     SQL_TIER,
     SQL_TX,
     SQL_TX_BREACH,
+    _close_sql,
     _events_tx,
     _velocity_sql,
     _with,
+    estimate_checked,
 )
 from riskflow.plans.registry import register
 from riskflow.session import scratch_path
@@ -224,7 +226,7 @@ def score_table_upsert(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# Streams (rows-only: the stream's HLL distinct and watermark make SQL twins inexact)
+# Streams (their estimated distinct count is held against the exact one; the rest has a SQL twin)
 # ---------------------------------------------------------------------------
 
 STREAM_GROUPS = 3
@@ -256,25 +258,36 @@ def _run_stream(spark, sf, dedupe_key=None, duplicate=False, dead_letter=False,
     return work
 
 
-@register("stream_velocity", "I1 I2 I3 I4 I6 I7 I8 A9 A19 N5 (rows-only)")
+def _stream_table(spark, sf, work):
+    """The table the stream wrote, wall-clock windows, with its estimates checked against the batch operator."""
+    out = VS.read_velocity_table(spark, f"{work}/velocity").withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+    exact = velocity_features(D.transactions(D.table(spark, sf, "events")), "10 minutes", exact_distinct=True)
+    return estimate_checked(out, exact, ["window_start", "wallet_id"])
+
+
+_STREAM_SQL = _close_sql(_velocity_sql("10 minutes"))
+_GROUP_SQL = (f"least(greatest(floor(date_diff('day', DATE '2024-01-01', CAST(window_start AS DATE)) / (31.0 / {STREAM_GROUPS})), 0), "
+              f"{STREAM_GROUPS - 1})")
+
+
+@register("stream_velocity", "I1 I2 I3 I4 I6 I7 I8 I10 A9 A19 N5", _STREAM_SQL)
 def stream_velocity(spark, sf):
-    work = _run_stream(spark, sf)
-    return VS.read_velocity_table(spark, f"{work}/velocity")
+    return _stream_table(spark, sf, _run_stream(spark, sf))
 
 
-@register("stream_velocity_dedupe", "I1 I3 D5 (redelivered events dropped by key; rows-only)")
+@register("stream_velocity_dedupe", "I1 I3 D5 (redelivered events dropped by key)", _STREAM_SQL)
 def stream_velocity_dedupe(spark, sf):
-    work = _run_stream(spark, sf, dedupe_key="tx_id", duplicate=True)
-    return VS.read_velocity_table(spark, f"{work}/velocity")
+    return _stream_table(spark, sf, _run_stream(spark, sf, dedupe_key="tx_id", duplicate=True))
 
 
-@register("stream_velocity_late", "I5 I1 (days arrive out of order; those behind the watermark are dropped; rows-only)")
+@register("stream_velocity_late", "I5 I1 (days arrive out of order; those behind the watermark are dropped)",
+          f"SELECT * FROM ({_STREAM_SQL}) WHERE {_GROUP_SQL} <> 1")
 def stream_velocity_late(spark, sf):
     # Arrival: last third of the days, then the first, then the middle third. The watermark
     # takes effect one batch late, so the first third still counts; the middle third arrives
     # behind the watermark set by the last third and is dropped.
-    work = _run_stream(spark, sf, order=[2, 0, 1])
-    return VS.read_velocity_table(spark, f"{work}/velocity")
+    return _stream_table(spark, sf, _run_stream(spark, sf, order=[2, 0, 1]))
 
 
 @register("stream_dead_letter", "A18 I9 (corrupt payloads kept)",

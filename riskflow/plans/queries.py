@@ -254,9 +254,27 @@ def velocity_1day(spark, sf):
     return velocity_features(_events_tx(spark, sf), "1 day", exact_distinct=True)
 
 
-@register("velocity_10min_hll", "D5a D8a (HLL++ distinct, rows-only)")
+# Estimated counts are compared with exact ones: within three standard errors of five per cent, and one.
+ESTIMATE_CLOSE = "abs(distinct_counterparties - exact_count) <= 1 + 0.15 * exact_count"
+
+
+def estimate_checked(estimated, exact, keys):
+    """``estimated`` with its distinct count, which SQL can't reproduce, replaced by whether it is close to the exact one."""
+    known = exact.select(*keys, F.col("distinct_counterparties").alias("exact_count"))
+    rest = [c for c in estimated.columns if c != "distinct_counterparties"]
+    return estimated.join(known, keys, "left").select(
+        *rest, F.coalesce(F.expr(ESTIMATE_CLOSE), F.lit(False)).alias("distinct_counterparties_close"))
+
+
+def _close_sql(sql: str) -> str:
+    return f"SELECT * EXCLUDE (distinct_counterparties), TRUE AS distinct_counterparties_close FROM ({sql})"
+
+
+@register("velocity_10min_hll", "D5a D8a (HLL++ distinct, held against the exact count)", _close_sql(_velocity_sql("10 minutes")))
 def velocity_10min_hll(spark, sf):
-    return velocity_features(_events_tx(spark, sf), "10 minutes", exact_distinct=False)
+    tx = _events_tx(spark, sf)
+    return estimate_checked(velocity_features(tx, "10 minutes", exact_distinct=False),
+                            velocity_features(tx, "10 minutes", exact_distinct=True), ["window_start", "wallet_id"])
 
 
 # ---------------------------------------------------------------------------
@@ -512,9 +530,11 @@ def wallet_features_lineitem(spark, sf):
     return _model_features(spark, sf).withColumn("avg_value", F.round("avg_value", 6))
 
 
-@register("wallet_features_hll", "D2a D8a (HLL++ distinct, rows-only)")
+@register("wallet_features_hll", "D2a D8a (HLL sketches, held against the exact count)",
+          _close_sql("WITH " + _feature_sql(SQL_TX, SQL_LABELS) + "\nSELECT * FROM feats"))
 def wallet_features_hll(spark, sf):
-    return _event_features(spark, sf, exact=False)
+    rounded = _event_features(spark, sf, exact=False).withColumn("avg_value", F.round("avg_value", 6))
+    return estimate_checked(rounded, _event_features(spark, sf), ["wallet_id"])
 
 
 @register(

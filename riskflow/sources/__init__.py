@@ -1,4 +1,4 @@
-from riskflow.sources.events import EVENT_SCHEMA_DDL, dead_letters, event_stream, good_events, parse_events
+from riskflow.sources.events import PAYLOAD_CONTRACT, dead_letters, event_stream, good_events, parse_events
 from riskflow.sources.files import (
     list_dirs,
     partition_path,
@@ -12,7 +12,7 @@ from riskflow.sources.files import (
 from riskflow.sources.graph import adapt_transactions, class_labels, load_labelled_graph
 
 __all__ = [
-    "EVENT_SCHEMA_DDL",
+    "PAYLOAD_CONTRACT",
     "parse_events",
     "good_events",
     "dead_letters",
