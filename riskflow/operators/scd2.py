@@ -146,26 +146,33 @@ def scd2_apply_batches(dims: DataFrame, updates: DataFrame, batch_col: str, key:
 
 def scd2_rebuild(updates: DataFrame, batch_col: str, key: str = "wallet_id", attrs=("risk_tier",),
                  ts: str = "snapshot_ts", tie: str | None = None) -> DataFrame:
-    """Final dimension from all batches at once (no per-batch rewrite).
+    """Final dimension from all batches at once (no per-batch rewrite), equal to applying them in order.
 
-    Step 1 reduces every (key, batch) to one row before any per-key window,
-    so the window over one key's versions holds at most one row per batch.
+    Every (key, batch) is first reduced to one row; a key's rows are then folded
+    in batch order with the rule of ``scd2_step``: a snapshot opens a version if
+    its attributes differ from the open one's and it is newer. A key's array
+    holds at most one entry per batch.
     """
     attrs = list(attrs)
     latest = latest_snapshots(updates.where(F.col(key).isNotNull()), [key, batch_col], ts, tie)
-    w = Window.partitionBy(key).orderBy(batch_col)
-    prev_same = F.lit(True)
-    for a in attrs:
-        prev_same = prev_same & F.lag(F.col(a)).over(w).eqNullSafe(F.col(a))
-    first = F.lag(F.lit(1)).over(w).isNull()
-    changed = latest.withColumn("_keep", first | ~prev_same).where("_keep").drop("_keep")
-    w2 = Window.partitionBy(key).orderBy(batch_col)
-    return changed.select(
+    entry = F.struct(F.col(batch_col).alias("batch"), F.col(ts).alias("since"), F.struct(*attrs).alias("attrs"))
+    per_key = latest.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_seen"))
+
+    def fold(versions, x):
+        last = F.get(versions, F.size(versions) - 1)
+        stale = F.coalesce(x["since"] <= last["since"], F.lit(False))
+        opens = (F.size(versions) == 0) | (~x["attrs"].eqNullSafe(last["attrs"]) & ~stale)
+        return F.when(opens, F.concat(versions, F.array(x))).otherwise(versions)
+
+    versions = per_key.withColumn("_kept", F.aggregate("_seen", F.slice("_seen", 1, 0), fold))
+    rows = versions.select(key, "_kept", F.posexplode("_kept").alias("_at", "_v"))
+    return rows.select(
         key,
-        *attrs,
-        F.col(ts).alias(VALID_FROM),
-        F.lead(F.col(ts)).over(w2).alias(VALID_TO),
-    ).withColumn(IS_CURRENT, F.col(VALID_TO).isNull())
+        *[F.col(f"_v.attrs.{a}").alias(a) for a in attrs],
+        F.col("_v.since").alias(VALID_FROM),
+        F.get("_kept", F.col("_at") + 1)["since"].alias(VALID_TO),
+        (F.col("_at") == F.size("_kept") - 1).alias(IS_CURRENT),
+    )
 
 
 def point_in_time_join(facts: DataFrame, dims: DataFrame, key: str = "wallet_id", ts: str = "event_ts",

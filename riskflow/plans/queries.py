@@ -643,17 +643,34 @@ def _trained(spark, sf):
     return feats, model, report
 
 
-@register("gbt_score", "K2 K6 A16 H20 (rows-only: model output)")
-def gbt_score_q(spark, sf):
-    feats, model, _ = _trained(spark, sf)
-    return M.score(model, feats, "gbt-v1", SCORED_AT)
+def _in_unit(c):
+    return F.coalesce(F.col(c).between(0.0, 1.0), F.lit(False))
 
 
-@register("model_eval", "K5 L8 D13a (rows-only: model output)")
+@register("gbt_score", "K2 K6 A16 H20 (the score itself is model output: its range is checked)",
+          "WITH " + _feature_sql(SQL_FACT_TX_LABELLED, None) + f"""
+SELECT wallet_id, 'gbt-v1' AS model_version, TIMESTAMP '{SCORED_AT}' AS scored_at, TRUE AS score_in_range FROM feats""")
+def gbt_score_q(spark, sf):
+    feats, model, _ = _trained(spark, sf)
+    scored = M.score(model, feats, "gbt-v1", SCORED_AT)
+    return scored.withColumn("score_in_range", _in_unit("fraud_score")).drop("fraud_score")
+
+
+@register("model_eval", "K5 L8 D13a (sizes and split are exact; the two metrics' range is checked)",
+          "WITH " + _feature_sql(SQL_FACT_TX_LABELLED, None) + f""",
+  r AS (SELECT first_seen_ts, row_number() OVER (ORDER BY first_seen_ts, wallet_id) - 1 AS place, count(*) OVER () AS n
+        FROM feats WHERE label IS NOT NULL),
+  c AS (SELECT *, CAST(floor(n * (1.0::DOUBLE - 0.3::DOUBLE)) AS BIGINT) AS cut FROM r)
+SELECT CAST(least({M.PRECISION_K}, max(n - cut)) AS INTEGER) AS k, (SELECT count(*) FROM feats) AS wallets_scored,
+       max(cut) AS n_train, max(n - cut) AS n_test,
+       strftime(max(first_seen_ts) FILTER (place < cut), '%Y-%m-%d %H:%M:%S') AS split_ts,
+       TRUE AS pr_auc_in_range, TRUE AS precision_in_range
+FROM c""")
 def model_eval_q(spark, sf):
     feats, model, report = _trained(spark, sf)
-    scores = M.score(model, feats, "gbt-v1", SCORED_AT)
-    return SV.kpis(scores, report)
+    row = SV.kpis(M.score(model, feats, "gbt-v1", SCORED_AT), report)
+    return row.withColumns({"pr_auc_in_range": _in_unit("pr_auc"), "precision_in_range": _in_unit("precision_at_k")}).drop(
+        "pr_auc", "precision_at_k")
 
 
 def _analyst_views(spark, sf, prefix):

@@ -25,6 +25,26 @@ def test_wallet_features(spark):
     assert out["w2"].label == 0 and out["w3"].label is None
 
 
+def test_wallet_features_read_rows_once(spark):
+    rows = spark.range(500).select(
+        F.col("id").cast("string").alias("tx_id"), F.lit("w").alias("wallet_id"), (F.col("id") % 7).cast("string").alias("counterparty_id"),
+        (F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(days=(F.col("id") % 11).cast("int"))).alias("event_ts"),
+        F.col("id").cast("decimal(38,8)").alias("value"))
+    for exact in (True, False):
+        out = FE.wallet_features(rows, exact_distinct=exact)
+        r = out.first()
+        assert (r.tx_count, r.distinct_counterparties, r.active_days, r.avg_value) == (500, 7, 11, 249.5)
+        assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_wallet_features_of_missing_values(spark):
+    rows = spark.createDataFrame([("t1", "w", None, None, None), ("t2", "w", None, None, None)], TX)
+    for exact in (True, False):
+        r = FE.wallet_features(rows, exact_distinct=exact).first()
+        assert (r.tx_count, r.total_value, r.avg_value, r.distinct_counterparties, r.active_days) == (2, None, None, 0, 0)
+    assert FE.wallet_features(rows.limit(0)).count() == 0
+
+
 def mart(spark, n=400):
     base = dt.datetime(2026, 1, 1)
     ids = spark.range(n)

@@ -34,7 +34,7 @@ def test_query_matches_oracle(spark, duck, name):
     cols, rows = df.columns, [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(rows) >= 0
+        assert rows  # held against brute force in the tests of the operator
         return
     cur = duck.execute(sql)
     ocols = [d[0] for d in cur.description]

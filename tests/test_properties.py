@@ -53,13 +53,13 @@ snapshot = st.tuples(st.sampled_from(["w1", "w2", "w3"]), st.sampled_from(["LOW"
 
 
 @SETTINGS
-@given(st.lists(st.lists(snapshot, min_size=1, max_size=4), min_size=1, max_size=4))
-def test_incremental_scd2_equals_rebuild(spark, batches):
+@given(st.lists(st.lists(snapshot, min_size=1, max_size=4), min_size=1, max_size=4), st.permutations(range(4)))
+def test_incremental_scd2_equals_rebuild(spark, batches, months):
     rows, tie = [], 0
     for b, batch in enumerate(batches):
         for w, t, day in batch:
-            # snapshots of batch b fall in month b+1, so batches are ordered in time
-            rows.append((w, t, dt.datetime(2026, b + 1, 1 + day), tie, b))
+            # a batch's snapshots fall in one month; batches may arrive in any order of time
+            rows.append((w, t, dt.datetime(2026, months[b] + 1, 1 + day), tie, b))
             tie += 1
     u = spark.createDataFrame(rows, "wallet_id string, risk_tier string, snapshot_ts timestamp_ntz, tie long, "
                                     "batch int")
