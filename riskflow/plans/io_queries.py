@@ -14,6 +14,7 @@ from riskflow.operators.velocity import velocity_features
 from riskflow.plans import domain as D
 from riskflow.plans import jobs as J
 from riskflow.plans.queries import (
+    SQL_LABELS,
     SQL_NORM,
     SQL_RAW,
     SQL_TIER,
@@ -21,6 +22,7 @@ from riskflow.plans.queries import (
     SQL_TX_BREACH,
     _close_sql,
     _events_tx,
+    _feature_sql,
     _velocity_sql,
     _with,
     estimate_checked,
@@ -305,15 +307,44 @@ def stream_dead_letter(spark, sf):
 JOB_NOW = "2024-02-01 00:00:00"
 
 
-@register(
-    "batch_job_fact",
-    "N1 N2 N3 N4 A1 A10 A11 A15 A17 J7 M1 (published fact after all gates)",
-    _with(SQL_RAW, SQL_NORM) + f""",
+_SQL_SILVER = f""",
   silver AS (
     SELECT * EXCLUDE (rn) FROM (
       SELECT *, CAST(event_ts AS DATE) AS ingest_date,
              row_number() OVER (PARTITION BY tx_id, CAST(event_ts AS DATE) ORDER BY event_ts DESC, wallet_id) AS rn
-      FROM norm WHERE {SQL_TX_BREACH} = '') WHERE rn = 1),
+      FROM norm WHERE {SQL_TX_BREACH} = '') WHERE rn = 1)"""
+
+
+def _run_job(spark, sf, **options):
+    """One run of the batch job over all of ``events``; (result, lake root)."""
+    import datetime as dt
+
+    work = scratch_path(spark, "batch-job")
+    D.raw_transactions(D.table(spark, sf, "events")).write.parquet(f"{work}/extract")
+    now = dt.datetime.fromisoformat(JOB_NOW)
+    updates = D.tier_updates(D.table(spark, sf, "orders"))
+    result = J.run_batch(spark, f"{work}/extract", f"{work}/lake", None, D.EVENTS_CONTRACT, updates, now=now, written_at=now,
+                         **options)
+    return result, f"{work}/lake"
+
+
+@register(
+    "feature_mart_sink",
+    "A17 N1 K7 D14a (feature mart written by the batch job)",
+    _with(SQL_RAW, SQL_NORM) + _SQL_SILVER + ",\n  "
+    + _feature_sql("tx AS (SELECT * FROM silver)", SQL_LABELS)
+    + "\nSELECT *, (SELECT count(*) FROM feats) AS rows_observed FROM feats",
+)
+def feature_mart_sink(spark, sf):
+    result, lake = _run_job(spark, sf, labels=D.transaction_labels(D.table(spark, sf, "events")), exact_distinct=True)
+    mart = J.feature_mart(spark, lake, max(result.dates))
+    return mart.withColumns({"avg_value": F.round("avg_value", 6), "rows_observed": F.lit(result.mart_rows).cast("long")})
+
+
+@register(
+    "batch_job_fact",
+    "N1 N2 N3 N4 A1 A10 A11 A15 J7 M1 (published fact after all gates)",
+    _with(SQL_RAW, SQL_NORM) + _SQL_SILVER + f""",
   upd AS (SELECT 'w-' || o_custkey AS wallet_id, {SQL_TIER} AS risk_tier, o_orderdate AS snapshot_ts,
                  o_orderkey AS tie FROM orders),
   latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY wallet_id
@@ -322,11 +353,5 @@ SELECT s.*, l.risk_tier AS wallet_risk_tier_at_event
 FROM silver s LEFT JOIN latest l ON l.wallet_id = s.wallet_id AND s.event_ts >= l.snapshot_ts""",
 )
 def batch_job_fact(spark, sf):
-    import datetime as dt
-
-    work = scratch_path(spark, "batch-job")
-    D.raw_transactions(D.table(spark, sf, "events")).write.parquet(f"{work}/extract")
-    updates = D.tier_updates(D.table(spark, sf, "orders"))
-    J.run_batch(spark, f"{work}/extract", f"{work}/lake", None, D.EVENTS_CONTRACT, updates,
-                now=dt.datetime.fromisoformat(JOB_NOW), written_at=dt.datetime.fromisoformat(JOB_NOW))
-    return J.published_fact(spark, f"{work}/lake")
+    _, lake = _run_job(spark, sf)
+    return J.published_fact(spark, lake)

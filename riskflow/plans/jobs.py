@@ -2,7 +2,7 @@
 
 ``run_batch``: land -> audit (halt) -> silver + quarantine -> run metrics ->
 SCD2 dimension -> point-in-time fact (staged) -> table tests (halt) ->
-publish. Every write is partition-scoped and idempotent, so a rerun of the
+publish -> feature mart. Every write is partition-scoped and idempotent, so a rerun of the
 same dates gives the same tables and leaves other dates alone. With
 ``logical_date=None`` one run covers every date in the extract (one pass
 per stage instead of one job per day).
@@ -13,6 +13,7 @@ Lake layout under ``lake_root``:
   silver/quarantine/ingest_date=...        rule-breaking rows + reasons
   gold/dim_wallet/{closed,current}/batch=  SCD2 dimension, history appended per batch
   gold/fact_transaction/ingest_date=...    published fact
+  gold/fact_wallet_features/as_of=...      feature mart over all silver rows up to the run's last date
   ops/run_metrics/metric_date=...          counts per run
   _staging/...                             unpublished outputs
 """
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from riskflow.errors import DataQualityError
 from riskflow.operators import checks as K
 from riskflow.operators import contract as C
+from riskflow.operators import features as FE
 from riskflow.operators import opsmetrics as OM
 from riskflow.operators import scd2 as S
 from riskflow.operators.dedupe import latest_per_key
@@ -36,6 +38,7 @@ from riskflow.sinks import tables as T
 from riskflow.sources import files as FS
 
 PARTITION = "ingest_date"
+MART_PARTITION = "as_of"
 
 
 @dataclass
@@ -45,6 +48,7 @@ class BatchResult:
     silver_rows: int = 0
     quarantine_rows: int = 0
     fact_rows: int = 0
+    mart_rows: int = 0
     dim_version: str | None = None
     published: str = ""
 
@@ -57,6 +61,7 @@ class LakePaths:
         self.quarantine = f"{self.root}/silver/quarantine"
         self.dim = f"{self.root}/gold/dim_wallet"
         self.fact = f"{self.root}/gold/fact_transaction"
+        self.mart = f"{self.root}/gold/fact_wallet_features"
         self.metrics = f"{self.root}/ops/run_metrics"
 
     def staging(self, name: str) -> str:
@@ -78,11 +83,13 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
               contract: C.Contract = C.TX_CONTRACT, updates: DataFrame | None = None, now=None,
               fmt: str = "parquet", date_from: str = "event_ts", tie: str | None = "tie",
               written_at: _dt.datetime | None = None, audit_on: str = "raw",
-              extract_schema=None, extract_options: dict | None = None) -> BatchResult:
+              extract_schema=None, extract_options: dict | None = None, labels: DataFrame | None = None,
+              exact_distinct: bool = False) -> BatchResult:
     """``audit_on``: 'raw' audits the landed rows (duplicates/negatives halt the day, as the
     original job does); 'silver' audits what would be published, after quarantine and dedupe.
     ``fmt`` / ``extract_schema`` / ``extract_options``: how the raw extract is read (an explicit
-    schema avoids an inference pass over text extracts)."""
+    schema avoids an inference pass over text extracts).
+    ``labels`` (tx_id, fraud_label) and ``exact_distinct`` are those of the feature mart."""
     lake = LakePaths(lake_root)
     result = BatchResult()
 
@@ -190,6 +197,14 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
                                                      and FS.partition_value(d) not in filled])
     result.fact_rows = T.overwrite_partitions(staged_fact, lake.fact, PARTITION, count_rows=True)
     result.published = lake.fact
+
+    # 9. feature mart as of the run's last date, from the published silver rows
+    if dates:
+        known_tx = FS.read_partition(spark, lake.silver, None, PARTITION, silver.schema).where(F.col(PARTITION) <= F.lit(max(dates)))
+        mart = FE.wallet_features(known_tx, labels, exact_distinct)
+        T.clear_partitions(spark, lake.mart, MART_PARTITION, [max(dates)])
+        result.mart_rows = T.overwrite_partitions(mart.withColumn(MART_PARTITION, F.lit(max(dates)).cast("date")), lake.mart,
+                                                  MART_PARTITION, count_rows=True)
     return result
 
 
@@ -200,3 +215,8 @@ def backfill(spark: SparkSession, extracts: dict, lake_root: str, **kwargs) -> l
 
 def published_fact(spark: SparkSession, lake_root: str) -> DataFrame:
     return spark.read.parquet(LakePaths(lake_root).fact)
+
+
+def feature_mart(spark: SparkSession, lake_root: str, as_of) -> DataFrame:
+    """The mart that the run ending on ``as_of`` wrote."""
+    return FS.read_partition(spark, LakePaths(lake_root).mart, as_of, MART_PARTITION).drop(MART_PARTITION)

@@ -19,7 +19,7 @@ IMPL = {
     "A11": "sinks.tables.overwrite_partitions (quarantine)", "A12": "sinks.tables.upsert_frame, upsert_partitions, merge_sql",
     "A13": "operators.scd2.scd2_step (closed rows)", "A14": "operators.scd2.scd2_step (opened rows)",
     "A15": "operators.scd2.scd2_apply_batches, sinks.tables.Scd2Table", "A16": "operators.model.score -> upsert sink",
-    "A17": "plans.jobs.run_batch (published tables)", "A18": "sources.events.dead_letters, streaming dead-letter query",
+    "A17": "plans.jobs.run_batch, feature_mart", "A18": "sources.events.dead_letters, streaming dead-letter query",
     "A19": "streaming.velocity_stream.run_stream (checkpointLocation)", "A20": "sinks.tables.materialize_view, serving.register_masked_views",
     "B1": "operators.contract.normalize", "B2": "operators.contract.split_quarantine, breach_reasons",
     "B3": "operators.contract.breach_reasons (null rules)", "B4": "operators.contract.breach_reasons (non-negative)",

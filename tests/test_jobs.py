@@ -41,6 +41,10 @@ def test_backfill_rerun_and_publish(spark, work):
     assert m.count() == 4  # 2 metrics x 2 days, not duplicated by the rerun
     q = spark.read.parquet(f"{lake}/silver/quarantine").first()
     assert q.breach_reasons == "unaccepted_asset"
+    # The mart of a day knows the silver rows up to that day, also when the day is rerun later.
+    for day, n, total in ((1, 1, 99.0), (2, 2, 106.0)):
+        mart = J.feature_mart(spark, lake, dt.date(2026, 7, day)).collect()
+        assert [(r.wallet_id, r.tx_count, r.total_value, r.active_days) for r in mart] == [("w1", n, total, day)]
 
 
 def test_audit_breach_halts_before_publish(spark, work):
