@@ -22,6 +22,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from riskflow.errors import ConfigError
 from riskflow.session import materialize, scratch_path
 from riskflow.sources.files import NULL_PARTITION, list_dirs, partition_path, partition_value, path_exists, remove
 
@@ -167,6 +168,7 @@ def merge_sql(table: str, source_view: str, keys) -> str:
 class Scd2Table:
     """An SCD2 dimension stored per applied batch, never rewriting history.
 
+    ``<root>/updates/batch=<id>`` that batch's snapshots, one row per key
     ``<root>/closed/batch=<id>``  rows closed by that batch (history grows by appends)
     ``<root>/current/batch=<id>`` the current rows after that batch
 
@@ -174,9 +176,16 @@ class Scd2Table:
     batch before ``batch_id``, so its cost follows the number of current rows
     and the batch size, not the history. Closed rows are written first; a
     batch counts as committed once its current folder exists. Rerunning a
-    batch id recomputes from the same predecessor and overwrites the same two
+    batch id recomputes from the same predecessor and overwrites the same
     folders, so reruns are idempotent. Batch ids must sort in apply order
     (e.g. ISO dates or zero-padded numbers).
+
+    A committed batch always stands on the committed ones before it: where an
+    older batch comes late, or its rerun leaves other current rows than
+    before, the later batches are uncommitted first and folded again from
+    their stored snapshots. An interrupted run is taken up by the next
+    ``apply``. To rewrite a long history use ``scd2_rebuild``: here every
+    changed batch costs one step per later batch.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: str = "wallet_id", attrs=("risk_tier",)):
@@ -229,9 +238,38 @@ class Scd2Table:
         return cur.unionByName(closed)
 
     def apply(self, updates: DataFrame, batch_id: str, ts: str = "snapshot_ts", tie: str | None = None) -> None:
-        from riskflow.operators.scd2 import IS_CURRENT, scd2_step
-
-        step = scd2_step(self._current(before=batch_id), updates, self.key, self.attrs, ts, tie)
+        from riskflow.operators.scd2 import VALID_FROM, latest_snapshots
+
+        lost = [b for b in self.batches() if b > batch_id and b not in self._ids("updates")]
+        if lost:
+            raise ConfigError(f"batches {lost} hold no snapshots to fold again after {batch_id}")
+        reduced = latest_snapshots(updates.where(F.col(self.key).isNotNull()), [self.key], ts, tie)
+        reduced.select(self.key, *self.attrs, F.col(ts).cast(self._schema()[VALID_FROM].dataType).alias(VALID_FROM)) \
+            .write.mode("overwrite").parquet(f"{self.root}/updates/batch={batch_id}")
+        for b in self._ids("updates"):  # one step each for this batch and those not committed
+            if b == batch_id or b not in self.batches():
+                self._fold(b)
+
+    def _fold(self, batch_id: str) -> None:
+        from riskflow.operators.scd2 import IS_CURRENT, VALID_FROM, scd2_step
+
+        schema = self._schema()
+        fields = [schema[c] for c in (self.key, *self.attrs, VALID_FROM)]
+        updates = self.spark.read.schema(type(schema)(fields)).parquet(f"{self.root}/updates/batch={batch_id}")
+        updates = updates.withColumnRenamed(VALID_FROM, "snapshot_ts")
+        step = scd2_step(self._current(before=batch_id), updates, self.key, self.attrs, reduced=True)
         step = materialize(step, "scd2-step")  # one computation feeds both writes
+        later = [b for b in self.batches() if b > batch_id]
+        if later and self._moved(batch_id, step.where(F.col(IS_CURRENT))):
+            for b in reversed(later):
+                remove(self.spark, f"{self.root}/current/batch={b}")
         step.where(~F.col(IS_CURRENT)).write.mode("overwrite").parquet(f"{self.root}/closed/batch={batch_id}")
         step.where(F.col(IS_CURRENT)).write.mode("overwrite").parquet(f"{self.root}/current/batch={batch_id}")
+
+    def _moved(self, batch_id: str, current: DataFrame) -> bool:
+        """Whether the batch's committed current rows, if any, differ from ``current``."""
+        if batch_id not in self.batches():
+            return True
+        held = self.spark.read.schema(self._schema()).parquet(f"{self.root}/current/batch={batch_id}")
+        both = held.withColumn("_n", F.lit(1)).unionByName(current.withColumn("_n", F.lit(-1)))
+        return not both.groupBy(*held.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0").isEmpty()

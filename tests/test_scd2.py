@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskflow.operators import checks as K
@@ -121,6 +122,43 @@ def test_scd2_table_batches_and_rerun(spark, work):
     assert rows(t.read(as_of="2026-01-15")) == [("w1", "LOW", d(1), None, True), ("w2", "HIGH", d(1), None, True)]
 
 
+def test_scd2_table_folds_later_batches_again(spark, work):
+    from riskflow.sinks.tables import Scd2Table
+
+    first, second, third = [("w1", "LOW", d(1))], [("w1", "HIGH", d(2)), ("w2", "LOW", d(2))], [("w1", "LOW", d(3))]
+    t = Scd2Table(spark, f"{work}/dim-again")
+    for batch_id, batch in (("1", first), ("3", third), ("2", second)):  # the second comes late
+        t.apply(upd(spark, batch), batch_id, tie="tie")
+    assert rows(t.read()) == rows(apply_all(spark, [first, second, third]))
+    first = [("w1", "HIGH", d(1)), ("w3", "LOW", d(1))]
+    t.apply(upd(spark, first), "1", tie="tie")  # corrected rerun
+    assert rows(t.read()) == rows(apply_all(spark, [first, second, third]))
+    assert rows(t.read(as_of="1")) == [("w1", "HIGH", d(1), None, True), ("w3", "LOW", d(1), None, True)]
+
+
+def test_scd2_table_takes_up_an_interrupted_replay(spark, work, monkeypatch):
+    from riskflow.sinks.tables import Scd2Table
+
+    first, second, third = [("w1", "LOW", d(1))], [("w1", "HIGH", d(2))], [("w1", "LOW", d(3))]
+    t = Scd2Table(spark, f"{work}/dim-cut")
+    for batch_id, batch in (("1", first), ("2", second), ("3", third)):
+        t.apply(upd(spark, batch), batch_id, tie="tie")
+    first = [("w1", "HIGH", d(1))]
+    fold = t._fold
+
+    def cut(batch_id):
+        if batch_id == "2":
+            raise RuntimeError("lost")
+        fold(batch_id)
+
+    monkeypatch.setattr(t, "_fold", cut)
+    with pytest.raises(RuntimeError):
+        t.apply(upd(spark, first), "1", tie="tie")
+    assert t.batches() == ["1"]
+    Scd2Table(spark, f"{work}/dim-cut").apply(upd(spark, []), "4", tie="tie")
+    assert rows(t.read()) == rows(apply_all(spark, [first, second, third]))
+
+
 def test_apply_batches_keeps_history_out_of_the_loop(spark):
     batches = [[("w1", "LOW", d(1))], [("w1", "HIGH", d(2))], [("w1", "LOW", d(3))]]
     flat = [(w, t, ts, b) for b, batch in enumerate(batches) for (w, t, ts) in batch]
