@@ -176,14 +176,15 @@ def scd2_rebuild(updates: DataFrame, batch_col: str, key: str = "wallet_id", att
 
 
 def point_in_time_join(facts: DataFrame, dims: DataFrame, key: str = "wallet_id", ts: str = "event_ts",
-                       attrs=("risk_tier",), rename: dict | None = None, skew_min_rows: int | None = None
-                       ) -> DataFrame:
+                       attrs=("risk_tier",), rename: dict | None = None, skew_min_rows: int | None = None,
+                       skew_share: float | None = None) -> DataFrame:
     """Left join each fact to the dimension version valid at its event time.
 
     Condition: same key, ``valid_from <= ts`` and (``valid_to`` NULL or
     ``ts < valid_to``). Facts without a version keep NULL attributes. Plans as
     an equi hash join on the key with the range as a residual filter; with
-    ``skew_min_rows`` hot keys are salted first (see operators.skew).
+    ``skew_min_rows`` (or ``skew_share`` of all facts) hot keys are salted first
+    (see operators.skew).
     """
     rename = rename or {}
     d = dims.select(key, *attrs, VALID_FROM, VALID_TO)
@@ -192,8 +193,8 @@ def point_in_time_join(facts: DataFrame, dims: DataFrame, key: str = "wallet_id"
         t = F.col(f"{b}.{ts}")
         return (t >= F.col(f"{s}.{VALID_FROM}")) & (F.col(f"{s}.{VALID_TO}").isNull() | (t < F.col(f"{s}.{VALID_TO}")))
 
-    if skew_min_rows:
-        out = salted_join(facts, d, [key], "left", cond, min_rows=skew_min_rows)
+    if skew_min_rows or skew_share:
+        out = salted_join(facts, d, [key], "left", cond, min_rows=skew_min_rows, share=skew_share)
     else:
         f, s = facts.alias("_f"), d.alias("_d")
         out = f.join(s, (F.col(f"_f.{key}") == F.col(f"_d.{key}")) & cond("_f", "_d"), "left").select(

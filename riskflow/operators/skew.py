@@ -25,35 +25,40 @@ N_SALT = "_rf_nsalt"
 NO_KEY_SALTS = 1 << 16
 
 
-def hot_keys(df: DataFrame, keys, min_rows: int, buckets_per_rows: int | None = None) -> DataFrame:
-    """Keys with at least ``min_rows`` rows, with a salt fan-out per key.
+def hot_keys(df: DataFrame, keys, min_rows: int | None = None, share: float | None = None) -> DataFrame:
+    """Keys with at least ``min_rows`` rows, with the salt fan-out ceil(rows / min_rows) per key.
 
-    Fan-out = ceil(rows / buckets_per_rows) (default: ``min_rows``).
+    ``share`` gives the threshold as a part of all rows instead; the total
+    comes from the same counts, so ``df`` is read once.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    per = buckets_per_rows or min_rows
+    counts = df.groupBy(*keys).count()
+    if min_rows is None:
+        counts = materialize(counts, "key-counts")
+        total = counts.agg(F.sum("count")).first()[0] or 0
+        min_rows = max(1, int(total * share))
     return (
-        df.groupBy(*keys)
-        .count()
+        counts
         .where(F.col("count") >= F.lit(min_rows))
-        .select(*keys, F.ceil(F.col("count") / F.lit(per)).cast("int").alias(N_SALT))
+        .select(*keys, F.ceil(F.col("count") / F.lit(min_rows)).cast("int").alias(N_SALT))
     )
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys, how: str, extra_cond=None,
-                hot: DataFrame | None = None, min_rows: int | None = None) -> DataFrame:
+                hot: DataFrame | None = None, min_rows: int | None = None,
+                share: float | None = None) -> DataFrame:
     """Join ``big`` to ``small`` on ``keys`` (+ ``extra_cond(big_alias, small_alias)``).
 
     ``how`` is 'inner' or 'left' (big side preserved). Hot keys come from
-    ``hot`` or are computed from ``big`` with ``min_rows``.
+    ``hot`` or are computed from ``big`` with ``min_rows`` or ``share``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how not in ("inner", "left"):
         raise ConfigError(f"salted_join supports inner/left, not {how}")
     if hot is None:
-        if not min_rows:
-            raise ConfigError("salted_join needs hot keys or min_rows")
-        hot = hot_keys(big, keys, min_rows)
+        if not min_rows and not share:
+            raise ConfigError("salted_join needs hot keys, min_rows or share")
+        hot = hot_keys(big, keys, min_rows, share)
     hot = materialize(hot, "hot-keys")
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
     no_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))

@@ -401,13 +401,13 @@ def scd2_checks_doubled(spark, sf):
 
 def _fact_pit(spark, sf, salted: bool = False):
     facts = D.fact_transactions(D.table(spark, sf, "lineitem"), D.table(spark, sf, "orders"))
-    dim = _dim_yearly(spark, sf)
-    skew = None
-    if salted:
-        # Hot = more rows than an average shuffle partition holds.
-        skew = max(1, facts.count() // int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return S.point_in_time_join(facts, dim, rename={"risk_tier": "wallet_risk_tier_at_event"},
-                                skew_min_rows=skew)
+    return S.point_in_time_join(facts, _dim_yearly(spark, sf), rename={"risk_tier": "wallet_risk_tier_at_event"},
+                                skew_share=_partition_share(spark) if salted else None)
+
+
+def _partition_share(spark) -> float:
+    """Hot = more rows than an average shuffle partition holds."""
+    return 1 / int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 _PIT_SQL = "WITH" + _sql_dim("dim", SQL_YEAR_BATCH) + ",\n  " + SQL_FACTS + ",\n  " + SQL_PIT + "\n"
@@ -423,6 +423,20 @@ def fact_point_in_time_salted(spark, sf):
     return _fact_pit(spark, sf, salted=True)
 
 
+# Pooled wallets, one per order status: each holds about a third of all facts.
+@register(
+    "fact_point_in_time_pooled",
+    "C2 (hot wallets salted)",
+    _PIT_SQL.replace("o_custkey", "o_orderstatus") + "SELECT * FROM pit",
+)
+def fact_point_in_time_pooled(spark, sf):
+    orders = D.table(spark, sf, "orders").withColumn("o_custkey", F.col("o_orderstatus"))
+    updates = D.tier_updates(orders).withColumn("batch", F.year("snapshot_ts"))
+    return S.point_in_time_join(D.fact_transactions(D.table(spark, sf, "lineitem"), orders),
+                                S.scd2_rebuild(updates, "batch", tie="tie"),
+                                rename={"risk_tier": "wallet_risk_tier_at_event"}, skew_share=_partition_share(spark))
+
+
 @register(
     "dq_not_null_fact",
     "J8",

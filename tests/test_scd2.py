@@ -106,6 +106,14 @@ def test_salted_join_equals_plain(spark):
     assert sorted(map(tuple, plain)) == sorted(map(tuple, salted))
 
 
+def test_hot_keys_by_share(spark):
+    from riskflow.operators.skew import N_SALT, hot_keys
+
+    df = spark.createDataFrame([("a",)] * 50 + [("b",)] * 30 + [(f"c{i}",) for i in range(20)], "k string")
+    assert {r.k: r[N_SALT] for r in hot_keys(df, "k", share=0.2).collect()} == {"a": 3, "b": 2}
+    assert hot_keys(df.where("false"), "k", share=0.2).isEmpty()
+
+
 def test_scd2_table_batches_and_rerun(spark, work):
     from riskflow.sinks.tables import Scd2Table
 
