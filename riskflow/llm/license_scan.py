@@ -5,16 +5,18 @@ characters of the text with A-Z lower-cased.
 
 Base scan: the places where the words of a known phrase stand one after another.
 
-Similarity join: a block (a line) of the document meets a template if it holds
+Similarity join: a block is any run of consecutive words of the whole text, as
+long as the template plus a quarter (at least two words), at every position;
+line breaks and comment marks are no words, so a wrapped notice is one run, and
+words scattered over a long text are none. A block meets a template if it holds
 at least ``containment`` of the template's distinct words. The join is exact.
 Template words are ordered by their frequency over all documents, rarest
-first; a block can only meet a template T with the least overlap
-a = ceil(containment * |T|) if
-- it has a or more template words (length filter),
-- the first |T| - a + 1 words of T and the first |B| - a + 1 words of the block
-  share a word (prefix filter), and
-- the words left from that place on suffice for a (positional filter).
-Candidates are verified on the full word sets.
+first; with the least overlap a = ceil(containment * |T|),
+- a block that meets T holds one of the first |T| - a + 1 words of T (prefix
+  filter), so only blocks around places of these words are looked at;
+- the words less than a block's length away from such a place hold a or more
+  words of T (length filter).
+The blocks around the places left are verified one by one.
 
 Only words of the templates count, so the frequency table has at most as many
 rows as the templates have words; it is the only result that passes the driver.
@@ -82,16 +84,20 @@ def _literals(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
+def block_words(text: str) -> int:
+    """Words of a block for a template: a quarter more than the template has, at least two more."""
+    n = len(words_of(text))
+    return n + max(2, -(-n // 4))
+
+
 def template_table(frequency: dict[str, int], templates=None, containment: float = CONTAINMENT):
-    """Rank of every template word and, per template, its label, ordered ranks, least overlap and prefix length."""
-    sets = [(label, sorted(set(words_of(text)))) for label, text in templates or TEMPLATES]
-    order = sorted({w for _, s in sets for w in s}, key=lambda w: (frequency.get(w, 0), w))
-    rank = {w: i for i, w in enumerate(order)}
+    """Per template: label, distinct words (rarest first), least overlap, prefix length and words of a block."""
     rows = []
-    for label, s in sets:
-        least = math.ceil(containment * len(s) - 1e-9)
-        rows.append((label, sorted(rank[w] for w in s), least, len(s) - least + 1))
-    return rank, rows
+    for label, text in templates or TEMPLATES:
+        words = sorted(set(words_of(text)), key=lambda w: (frequency.get(w, 0), w))
+        least = math.ceil(containment * len(words) - 1e-9)
+        rows.append((label, words, least, len(words) - least + 1, block_words(text)))
+    return rows
 
 
 def word_frequency(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
@@ -101,35 +107,34 @@ def word_frequency(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 
 
 def similar_blocks(docs: DataFrame, templates=None, containment: float = CONTAINMENT) -> DataFrame:
-    """doc_id, text_hash, line, label and score of every block that meets a template."""
+    """doc_id, text_hash, at (first word), template, label and score of every block that meets a template."""
     spark = docs.sparkSession
     vocabulary = sorted({w for _, text in templates or TEMPLATES for w in words_of(text)})
-    rank, rows = template_table(word_frequency(docs, vocabulary), templates, containment)
-    word_at = sorted(rank, key=rank.get)
-    starters = sorted({word_at[r] for _, ranks, _, prefix in rows for r in ranks[:prefix]})
-    least = min(r[2] for r in rows)
+    rows = template_table(word_frequency(docs, vocabulary), templates, containment)
+    starters = sorted({w for _, words, _, prefix, _ in rows for w in words[:prefix]})
+    reach = max(r[4] for r in rows) - 1
     # At most one row per template word: bounded by the templates.
     prefixes = spark.createDataFrame(
-        [(r, p, t, label, ranks, a) for t, (label, ranks, a, prefix) in enumerate(rows)
-         for p, r in enumerate(ranks[:prefix])],
-        "rank int, p int, template int, label string, t_ranks array<int>, least int")
-    ranks_of = F.create_map(*[v for w, r in rank.items() for v in (F.lit(w), F.lit(r))])
-    lines = (docs.where(F.arrays_overlap(_words(F.col("text")), _literals(starters)))
-             .select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line", "block"))
-             .withColumn("words", _words(F.col("block")))
-             .where(F.arrays_overlap("words", _literals(starters))))
-    blocks = lines.select("doc_id", "text_hash", "line", F.array_sort(F.transform(
-        F.array_intersect("words", _literals(vocabulary)), lambda w: F.element_at(ranks_of, w))).alias("ranks"))
-    starts = (blocks.where(F.size("ranks") >= least)
-              .select("*", F.posexplode("ranks").alias("q", "rank"))
-              .where(F.col("q") <= F.size("ranks") - least))
-    size_b, size_t = F.size("ranks"), F.size("t_ranks")
-    met = (starts.join(F.broadcast(prefixes), "rank")
-           .where((size_b >= F.col("least")) & (F.col("q") <= size_b - F.col("least"))
-                  & (F.least(size_t - F.col("p"), size_b - F.col("q")) >= F.col("least"))))
-    overlap = F.size(F.array_intersect("ranks", "t_ranks"))
+        [(w, t, label, words, least, size) for t, (label, words, least, prefix, size) in enumerate(rows)
+         for w in words[:prefix]],
+        "starter string, template int, label string, t_words array<string>, least int, block_size int")
+    held = (docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _words(F.col("text")).alias("words"))
+            .where(F.arrays_overlap("words", _literals(starters))))
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).isin(starters))
+    # Each place goes on with the words within reach only, not with the whole text.
+    near = held.select("doc_id", "text_hash", F.explode(F.transform(places, lambda i: F.struct(
+        F.get("words", i).alias("starter"), i.alias("place"), F.greatest(i - reach, F.lit(0)).alias("low"),
+        F.slice("words", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + reach + 1).alias("near")))).alias("n"))
+    first = F.greatest(F.col("place") - F.col("block_size") + 1, F.lit(0))
+    met = (near.select("doc_id", "text_hash", "n.*").join(F.broadcast(prefixes), "starter")
+           .withColumn("near", F.slice("near", first - F.col("low") + 1, F.col("place") - first + F.col("block_size")))
+           .where(F.size(F.array_intersect("near", "t_words")) >= F.col("least"))
+           .select("doc_id", "text_hash", "template", "label", "t_words", "least", "block_size", "near", first.alias("first"),
+                   F.explode(F.sequence(first, F.col("place"))).alias("at"))
+           .withColumn("block", F.slice("near", F.col("at") - F.col("first") + 1, F.col("block_size"))))
+    overlap = F.size(F.array_intersect("t_words", "block"))
     return (met.where(overlap >= F.col("least"))
-            .select("doc_id", "text_hash", "line", "template", "label", (overlap / size_t).alias("score")).distinct())
+            .select("doc_id", "text_hash", "at", "template", "label", (overlap / F.size("t_words")).alias("score")).distinct())
 
 
 def _places(words: Column, phrase: str) -> Column:

@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import random
 
 import duckdb
 import pytest
@@ -173,6 +174,55 @@ def test_license_scan_of_odd_rows(spark):
     assert license_scan.scan(_docs(spark, [])).count() == 0
 
 
+MIT_GRANT = """/*
+ * Permission is hereby granted, free of charge, to any person obtaining a copy
+ * of this software and associated documentation files (the "Software"), to deal
+ * in the Software without restriction, including without limitation the rights
+ */"""
+GPL_GRANT = """# This program is free software: you can redistribute it and/or modify it
+# under the terms of the GNU General Public License as published by the Free
+# Software Foundation, either version {} of the License, or (at your option)
+# any later version."""
+BSD_CLAUSE = """// Redistribution and use in source and binary forms, with or without
+// modification, are permitted provided that the following conditions are met:"""
+APACHE_LAW = """ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+
+
+def _met_brute(text, templates, containment=license_scan.CONTAINMENT):
+    words, met = license_scan.words_of(text), set()
+    for t, (_, template) in enumerate(templates):
+        size, known = license_scan.block_words(template), set(license_scan.words_of(template))
+        for at in range(len(words)):
+            common = len(known & set(words[at:at + size]))
+            if common >= containment * len(known) - 1e-9:
+                met.add((t, at, common / len(known)))
+    return met
+
+
+def test_wrapped_notices_and_very_long_lines(spark):
+    mit = license_scan.words_of(license_scan.TEMPLATES[1][1])
+    scattered = " ".join(f"{w} " + "filler " * 300 for w in mit)
+    rows = [(1, MIT_GRANT), (2, GPL_GRANT.format(3)), (3, BSD_CLAUSE), (4, APACHE_LAW), (5, scattered),
+            (6, scattered + MIT_GRANT.replace("\n", " ") + " filler" * 5000)]
+    got = {r["doc_id"]: r["labels"].split(",") for r in license_scan.scan(_docs(spark, rows)).collect()}
+    assert (got[1], got[3], got[4], got[5], got[6]) == (["mit"], ["bsd"], ["apache-2"], [""], ["mit"])
+    assert "gpl-3" in got[2]
+
+
+def test_blocks_equal_brute_force(spark):
+    rng = random.Random(11)
+    templates = [("a", "one two three four five six seven eight nine ten eleven"), ("b", "one two two three"),
+                 ("c", "red green blue one"), ("d", "single")]
+    pool = "one two three four five six seven eight nine ten eleven red green blue single x y z".split()
+    rows = [(i, " ".join(rng.choice(pool[:rng.randrange(1, 19)]) for _ in range(rng.randrange(60)))) for i in range(80)]
+    rows += [(100 + i, "x " * i + templates[0][1].replace(" ", "\n", i) + " z" * (5 - i)) for i in range(6)]
+    found = license_scan.similar_blocks(_docs(spark, rows).select("doc_id", "text"), templates).collect()
+    got = {(r["doc_id"], r["template"], r["at"], r["score"]) for r in found}
+    assert got == {(i, *m) for i, text in rows for m in _met_brute(text, templates)}
+
+
 def test_secrets_found_and_replaced(spark):
     key = "0a9f8e7d6c5b4a39281706f5e4d3c2b1a0ffeedd"
     rows = [(i, f'some words here token = "{i:04d}{key[4:]}" and more') for i in range(300, 340)]
