@@ -9,7 +9,8 @@ Similarity join: a block is any run of consecutive words of the whole text, as
 long as the template plus a quarter (at least two words), at every position;
 line breaks and comment marks are no words, so a wrapped notice is one run, and
 words scattered over a long text are none. A block meets a template if it holds
-at least ``containment`` of the template's distinct words. The join is exact.
+at least ``containment`` of the template's distinct words and, where the label
+has siblings, the phrases that tell it from them (``MARKS``). The join is exact.
 Template words are ordered by their frequency over all documents, rarest
 first; with the least overlap a = ceil(containment * |T|),
 - a block that meets T holds one of the first |T| - a + 1 words of T (prefix
@@ -67,6 +68,15 @@ TEMPLATES = [
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
             "that the following conditions are met"),
 ]
+# What tells sibling licenses apart. A block meets a template of the label only if every phrase of one
+# of these groups stands in it, its words one after another.
+MARKS = {
+    "cc-by-nc": [("by nc 4",), ("attribution noncommercial 4",)],
+    "cc-by": [("attribution 4",)],
+    "gpl-2": [("gnu general public license", "version 2")],
+    "gpl-3": [("gnu general public license", "version 3")],
+    "lgpl": [("gnu lesser general public license",)],
+}
 CONTAINMENT = 0.9
 
 
@@ -115,9 +125,9 @@ def similar_blocks(docs: DataFrame, templates=None, containment: float = CONTAIN
     reach = max(r[4] for r in rows) - 1
     # At most one row per template word: bounded by the templates.
     prefixes = spark.createDataFrame(
-        [(w, t, label, words, least, size) for t, (label, words, least, prefix, size) in enumerate(rows)
+        [(w, t, label, words, least, size, [list(group) for group in MARKS.get(label, [()])]) for t, (label, words, least, prefix, size) in enumerate(rows)
          for w in words[:prefix]],
-        "starter string, template int, label string, t_words array<string>, least int, block_size int")
+        "starter string, template int, label string, t_words array<string>, least int, block_size int, marks array<array<string>>")
     held = (docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _words(F.col("text")).alias("words"))
             .where(F.arrays_overlap("words", _literals(starters))))
     places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).isin(starters))
@@ -129,11 +139,14 @@ def similar_blocks(docs: DataFrame, templates=None, containment: float = CONTAIN
     met = (near.select("doc_id", "text_hash", "n.*").join(F.broadcast(prefixes), "starter")
            .withColumn("near", F.slice("near", first - F.col("low") + 1, F.col("place") - first + F.col("block_size")))
            .where(F.size(F.array_intersect("near", "t_words")) >= F.col("least"))
-           .select("doc_id", "text_hash", "template", "label", "t_words", "least", "block_size", "near", first.alias("first"),
+           .select("doc_id", "text_hash", "template", "label", "t_words", "least", "block_size", "marks", "near", first.alias("first"),
                    F.explode(F.sequence(first, F.col("place"))).alias("at"))
            .withColumn("block", F.slice("near", F.col("at") - F.col("first") + 1, F.col("block_size"))))
     overlap = F.size(F.array_intersect("t_words", "block"))
-    return (met.where(overlap >= F.col("least"))
+    spelled = F.concat(F.lit(" "), F.array_join("block", " "), F.lit(" "))
+    marked = F.exists("marks", lambda group: F.forall(group, lambda phrase: F.contains(
+        spelled, F.concat(F.lit(" "), phrase, F.lit(" ")))))
+    return (met.where((overlap >= F.col("least")) & marked)
             .select("doc_id", "text_hash", "at", "template", "label", (overlap / F.size("t_words")).alias("score")).distinct())
 
 

@@ -211,6 +211,20 @@ def test_wrapped_notices_and_very_long_lines(spark):
     assert "gpl-3" in got[2]
 
 
+def test_siblings_get_only_their_own_label(spark):
+    cc = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    lesser = GPL_GRANT.replace("GNU General", "GNU Lesser General")
+    notices = [(cc.format(""), "cc-by"), (cc.format("-NonCommercial"), "cc-by-nc"), (cc.format("-ShareAlike"), ""),
+               (cc.format("-NonCommercial-ShareAlike"), ""), (GPL_GRANT.format(2), "gpl-2"), (GPL_GRANT.format(3), "gpl-3"),
+               (lesser.format(3), "lgpl"), (lesser.format("2.1"), "lgpl"), (GPL_GRANT.replace("GNU", "GNU Affero").format(3), ""),
+               (GPL_GRANT.format(2) + "\n" + lesser.format(3), "gpl-2,lgpl"), (MIT_GRANT, "mit"), (BSD_CLAUSE, "bsd"),
+               (APACHE_LAW, "apache-2")]
+    notices += [(text, label) for label, text in license_scan.TEMPLATES]
+    rows = [(i, text) for i, (text, _) in enumerate(notices)]
+    got = {r["doc_id"]: r["labels"] for r in license_scan.scan(_docs(spark, rows)).collect()}
+    assert [(notices[i], got[i]) for i in got if got[i] != notices[i][1]] == []
+
+
 def test_blocks_equal_brute_force(spark):
     rng = random.Random(11)
     templates = [("a", "one two three four five six seven eight nine ten eleven"), ("b", "one two two three"),
