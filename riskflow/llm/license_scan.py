@@ -67,15 +67,67 @@ TEMPLATES = [
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
             "that the following conditions are met"),
+    # Short notices: up to nine distinct words, so all of them are needed.
+    ("mit", "Licensed under the MIT License"),
+    ("mit", "MIT License Copyright (c)"),
+    ("mit", "SPDX-License-Identifier: MIT"),
+    ("apache-2", "Apache License 2.0"),
+    ("apache-2", "Apache License, Version 2.0"),
+    ("apache-2", "SPDX-License-Identifier: Apache-2.0"),
+    ("cc-by-nc", "Creative Commons Attribution-NonCommercial 4.0"),
+    ("cc-by-nc", "Creative Commons Attribution-Non-Commercial 4.0"),
+    ("cc-by-nc", "CC BY-NC 4.0"),
+    ("cc0", "CC0 1.0"),
+    ("cc0", "Creative Commons Zero"),
+    ("cc0", "Creative Commons CC0"),
+    ("gpl-2", "GNU General Public License, version 2"),
+    ("gpl-2", "GNU General Public License v2"),
+    ("gpl-2", "GNU GPL version 2"),
+    ("gpl-2", "GNU GPL v2"),
+    ("gpl-2", "under the GPLv2"),
+    ("gpl-2", "SPDX-License-Identifier: GPL-2.0"),
+    ("gpl-3", "GNU General Public License, version 3"),
+    ("gpl-3", "GNU General Public License v3"),
+    ("gpl-3", "GNU GPL version 3"),
+    ("gpl-3", "GNU GPL v3"),
+    ("gpl-3", "under the GPLv3"),
+    ("gpl-3", "SPDX-License-Identifier: GPL-3.0"),
+    ("lgpl", "GNU Lesser General Public License"),
+    ("lgpl", "GNU Library General Public License"),
+    ("lgpl", "GNU LGPL"),
+    ("lgpl", "under the LGPL"),
+    ("lgpl", "SPDX-License-Identifier: LGPL"),
+    ("mpl-2", "Mozilla Public License, version 2.0"),
+    ("mpl-2", "Mozilla Public License, v. 2.0"),
+    ("mpl-2", "Mozilla Public License 2.0"),
+    ("mpl-2", "SPDX-License-Identifier: MPL-2.0"),
+    ("bsd", "under the BSD License"),
+    ("bsd", "BSD 2-Clause License"),
+    ("bsd", "BSD 3-Clause License"),
+    ("bsd", "SPDX-License-Identifier: BSD"),
+]
+# Short notices whose words all stand in a sibling's notice, so that only the marks tell them apart (the
+# DuckDB twin has no marks and goes without them).
+MARKED_TEMPLATES = [
+    ("cc-by", "Creative Commons Attribution 4.0"),
+    ("cc-by", "CC BY 4.0"),
 ]
 # What tells sibling licenses apart. A block meets a template of the label only if every phrase of one
 # of these groups stands in it, its words one after another.
 MARKS = {
-    "cc-by-nc": [("by nc 4",), ("attribution noncommercial 4",)],
-    "cc-by": [("attribution 4",)],
-    "gpl-2": [("gnu general public license", "version 2")],
-    "gpl-3": [("gnu general public license", "version 3")],
-    "lgpl": [("gnu lesser general public license",)],
+    "mit": [("mit license",), ("identifier mit",), ("permission is hereby granted",)],
+    "apache-2": [("apache license version 2",), ("apache license 2",), ("identifier apache 2",), ("licenses license 2",),
+                 ("required by applicable law",)],
+    "cc-by-nc": [("by nc 4",), ("attribution noncommercial 4",), ("attribution non commercial 4",)],
+    "cc-by": [("cc by 4",), ("commons attribution 4",)],
+    "cc0": [("cc0 1",), ("commons zero",), ("commons cc0",), ("extent possible under law",)],
+    "gpl-2": [("gnu general public license", "version 2"), ("gnu general public license v2",), ("gnu gpl", "version 2"),
+              ("gnu gpl v2",), ("gplv2",), ("identifier gpl 2",)],
+    "gpl-3": [("gnu general public license", "version 3"), ("gnu general public license v3",), ("gnu gpl", "version 3"),
+              ("gnu gpl v3",), ("gplv3",), ("identifier gpl 3",)],
+    "lgpl": [("gnu lesser general public license",), ("gnu library general public license",), ("gnu lgpl",),
+             ("the lgpl",), ("identifier lgpl",)],
+    "mpl-2": [("mozilla public license", "2 0"), ("identifier mpl 2",)],
 }
 CONTAINMENT = 0.9
 
@@ -103,7 +155,7 @@ def block_words(text: str) -> int:
 def template_table(frequency: dict[str, int], templates=None, containment: float = CONTAINMENT):
     """Per template: label, distinct words (rarest first), least overlap, prefix length and words of a block."""
     rows = []
-    for label, text in templates or TEMPLATES:
+    for label, text in templates or TEMPLATES + MARKED_TEMPLATES:
         words = sorted(set(words_of(text)), key=lambda w: (frequency.get(w, 0), w))
         least = math.ceil(containment * len(words) - 1e-9)
         rows.append((label, words, least, len(words) - least + 1, block_words(text)))
@@ -119,7 +171,7 @@ def word_frequency(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 def similar_blocks(docs: DataFrame, templates=None, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, text_hash, at (first word), template, label and score of every block that meets a template."""
     spark = docs.sparkSession
-    vocabulary = sorted({w for _, text in templates or TEMPLATES for w in words_of(text)})
+    vocabulary = sorted({w for _, text in templates or TEMPLATES + MARKED_TEMPLATES for w in words_of(text)})
     rows = template_table(word_frequency(docs, vocabulary), templates, containment)
     starters = sorted({w for _, words, _, prefix, _ in rows for w in words[:prefix]})
     reach = max(r[4] for r in rows) - 1

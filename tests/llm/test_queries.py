@@ -225,6 +225,33 @@ def test_siblings_get_only_their_own_label(spark):
     assert [(notices[i], got[i]) for i in got if got[i] != notices[i][1]] == []
 
 
+SHORT = [
+    ("This work is licensed under the GNU General Public License, version 3.", "gpl-3"),
+    ("Licensed under the GNU General Public License v2 or later", "gpl-2"),
+    ("released under version 2 of the GNU General Public License", "gpl-2"),
+    ("This is free software under the GNU GPL, version 3.", "gpl-3"), ("This code is under the GPLv2.", "gpl-2"),
+    ("licensed under the GNU Lesser General\nPublic License, version 2.1", "lgpl"), ("under the LGPL", "lgpl"),
+    ("licensed under the Mozilla Public License 2.0", "mpl-2"), ("Mozilla Public License, version 2.0", "mpl-2"),
+    ("Use is governed by the 3-clause BSD license.", "bsd"), ("available under the BSD license", "bsd"),
+    ("Dedicated to the public under CC0 1.0 Universal", "cc0"), ("Creative Commons Zero", "cc0"),
+    ("MIT License\n\nCopyright (c) 2020 Somebody", "mit"), ("the Apache License 2.0", "apache-2"),
+    ("Text under CC BY 4.0", "cc-by"), ("Creative Commons Attribution 4.0", "cc-by"),
+    ("Creative Commons Attribution-NonCommercial 4.0", "cc-by-nc"),
+    ("// SPDX-License-Identifier: GPL-2.0-only", "gpl-2"), ("# SPDX-License-Identifier: LGPL-2.1-or-later", "lgpl"),
+    ("SPDX-License-Identifier: MIT", "mit"), ("SPDX-License-Identifier: Apache-2.0", "apache-2"),
+    ("SPDX-License-Identifier: BSD-3-Clause", "bsd"), ("SPDX-License-Identifier: MPL-2.0", "mpl-2"),
+    ("GNU Affero General Public License, version 3", ""), ("Creative Commons Attribution-ShareAlike 4.0", ""),
+    ("the general public may read version 3 of this GNU page", ""), ("the MIT campus", "")]
+
+
+def test_short_notices_without_base_places(spark):
+    found = license_scan.scan(_docs(spark, [(i, text) for i, (text, _) in enumerate(SHORT)])).collect()
+    assert all(r["n_base"] == 0 for r in found)
+    assert [(SHORT[r["doc_id"]], r["labels"]) for r in found if r["labels"] != SHORT[r["doc_id"]][1]] == []
+    rows = license_scan.scan(spark.read.parquet(f"{os.path.dirname(SF)}/sf0.01/documents.parquet")).where("labels like '%gpl-3%'")
+    assert {(r["n_base"], r["labels"]) for r in rows.collect()} == {(0, "gpl-3")}
+
+
 def test_blocks_equal_brute_force(spark):
     rng = random.Random(11)
     templates = [("a", "one two three four five six seven eight nine ten eleven"), ("b", "one two two three"),
