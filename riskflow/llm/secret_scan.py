@@ -21,7 +21,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from riskflow.session import materialize
@@ -33,8 +32,12 @@ MARK = "[SECRET]"
 MAX_FINDINGS = 10_000
 TREES, DEPTH, SEED = 30, 8, 17
 NEAR_CHARS = 48  # neighbouring words are looked for this far to the left
+AFTER_CHARS = 8  # and the text this far to the right; no candidate is shorter
+REACH = NEAR_CHARS // 8  # so many candidates before one hold NEAR_CHARS together
 
 # Formats of well-known credentials and words around (no) secrets.
+ASSIGNED = r"""[:=]\s*["']?$"""
+TO_LAST = r"""^["']?[ \t]*([:=]\s*)?["']?$"""  # all that stands between a name and its value
 KNOWN_FORMAT = (r"^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_\-]{20,}"
                 r"|xox[baprs]-[A-Za-z0-9\-]{10,}|glpat-[A-Za-z0-9_\-]{20}|AIza[A-Za-z0-9_\-]{35})$")
 SECRET_WORDS = r"(?i)(secret|token|passw(or)?d|passwd|pwd|api.?key|access.?key|bearer|credential|private|auth)"
@@ -60,25 +63,47 @@ FEATURES = ["length", "changes", "digits", "uppers", "symbols", "hexadecimal", "
             "syllables", "dictionary", "test_path", "path_depth", "assigned", "quoted", "secret_near", "harmless_near",
             "placeholder"]
 
-_FINDING = T.ArrayType(T.StructType([T.StructField("cand", T.StringType()), T.StructField("before", T.StringType()),
-                                     T.StructField("after", T.StringType())]))
-
-
 def _share(c: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(c, pattern, "")) / F.length(c)
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, nth, start (code points), the candidate and the text around it."""
+    """doc_id, text_hash, nth, start (code points), the candidate, the text around it and its neighbouring words.
+
+    The words are those since the candidate before; an assigned candidate's also go further left, as its name can be a
+    candidate of its own, up to the last assigned value.
+    """
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "text", "coalesce(source, '') source").where("text is not null")
     found = docs.where(F.col("text").rlike(CANDIDATE)).select(
         "doc_id", "source", F.xxhash64("text").alias("text_hash"),
         F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("cands"), F.split("text", CANDIDATE, -1).alias("parts"))
-    zipped = F.arrays_zip("cands", F.slice("parts", F.lit(1), F.size("cands")),
-                          F.slice("parts", F.lit(2), F.size("cands"))).cast(_FINDING)
-    each = found.select("doc_id", "source", "text_hash", F.posexplode(zipped).alias("nth", "f")).select(
-        "doc_id", "source", "text_hash", "nth", "f.cand", F.length("f.before").alias("gap"),
-        F.right("f.before", F.lit(NEAR_CHARS)).alias("before"), F.left("f.after", F.lit(8)).alias("after"))
+    # The text is part 0, candidate 0, part 1, ... Other candidates count as text around a candidate: the last NEAR_CHARS
+    # before it lie in its own part and the REACH pairs of part and candidate before that.
+    found = found.withColumn("pairs", F.arrays_zip(F.col("parts").alias("part"), F.col("cands").alias("cand")))
+
+    def around(pair, nth):
+        earlier, after = F.greatest(nth - REACH, F.lit(0)), F.get("pairs", nth + 1)
+        return F.struct(
+            pair["cand"].alias("cand"), F.length(pair["part"]).alias("gap"), F.right(pair["part"], F.lit(NEAR_CHARS)).alias("own"),
+            F.transform(F.slice("pairs", earlier + 1, nth - earlier), lambda f: F.struct(
+                F.right(f["part"], F.lit(NEAR_CHARS)).alias("part"), F.right(f["cand"], F.lit(NEAR_CHARS)).alias("cand"))).alias("pairs"),
+            F.left(F.concat(after["part"], F.coalesce(after["cand"], F.lit(""))), F.lit(AFTER_CHARS)).alias("after"))
+
+    def text_of(pairs):
+        return F.aggregate(pairs, F.lit(""), lambda out, f: F.concat(out, f["part"], f["cand"]))
+
+    # An assigned value ends the words that can name the next one, unless the next is assigned to it.
+    since_value = F.aggregate("pairs", F.lit(""), lambda out, f: F.when(
+        F.concat(out, f["part"]).rlike(ASSIGNED), "").otherwise(F.concat(out, f["part"], f["cand"])))
+    own, before = F.col("own"), F.right(F.concat(text_of("pairs"), F.col("own")), F.lit(NEAR_CHARS))
+    to_last = F.when((F.col("since") == "") & own.rlike(TO_LAST), F.get("pairs", F.size("pairs") - 1)["cand"])
+    words = F.right(F.concat("since", F.coalesce(to_last, F.lit("")), own), F.lit(NEAR_CHARS))
+    each = (found.select("doc_id", "source", "text_hash", F.posexplode(F.transform(
+                F.slice("pairs", F.lit(1), F.size("cands")), around)).alias("nth", "f"))
+            .select("doc_id", "source", "text_hash", "nth", "f.*")
+            .withColumns({"before": before, "since": since_value})
+            .withColumn("words", F.when(F.col("before").rlike(ASSIGNED), words).otherwise(own))
+            .drop("pairs", "own", "since"))
     each = each.dropDuplicates(["doc_id", "text_hash", "nth"])
     so_far = Window.partitionBy("doc_id", "text_hash").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     return each.withColumn("start", F.sum(F.col("gap") + F.length("cand")).over(so_far) - F.length("cand"))
@@ -89,7 +114,7 @@ def with_features(found: DataFrame) -> DataFrame:
     c, low = F.col("cand"), F.lower("cand")
     changes = F.regexp_count(c, F.lit(r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])"
                                       r"|(?<=[^A-Za-z0-9])(?=[A-Za-z0-9])"))
-    near = F.col("before")
+    near, words = F.col("before"), F.col("words")
     numbers = {
         "length": F.log1p(F.length(c)),
         "changes": changes / F.length(c),
@@ -103,10 +128,10 @@ def with_features(found: DataFrame) -> DataFrame:
         "dictionary": 1 - _share(low, "|".join(sorted((w for w in DICTIONARY if len(w) > 3), key=len, reverse=True))),
         "test_path": F.col("source").rlike(TEST_PATH),
         "path_depth": F.regexp_count(F.col("source"), F.lit("/")),
-        "assigned": near.rlike(r"""[:=]\s*["']?$"""),
+        "assigned": near.rlike(ASSIGNED),
         "quoted": near.rlike("""["']$""") & F.col("after").rlike("""^["']"""),
-        "secret_near": near.rlike(SECRET_WORDS),
-        "harmless_near": near.rlike(HARMLESS_WORDS),
+        "secret_near": words.rlike(SECRET_WORDS),
+        "harmless_near": words.rlike(HARMLESS_WORDS),
         "placeholder": c.rlike(PLACEHOLDER),
     }
     return found.select("*", *[F.coalesce(numbers[f].cast("double"), F.lit(0.0)).alias(f) for f in FEATURES])

@@ -280,6 +280,33 @@ def test_secrets_found_and_replaced(spark):
     assert secret_scan.findings(_docs(spark, [])).count() == 0
 
 
+NAMES = ["AWS_SECRET_ACCESS_KEY={}", 'aws_secret_access_key = "{}"', "DATABASE_PASSWORD_PRODUCTION: {}", '"client_secret_production": "{}",',
+         "export GITHUB_ACCESS_TOKEN='{}'", "STRIPE_SECRET_KEY={}", "# note: aws_secret_access_key = '{}'"]
+
+
+def test_secrets_behind_long_names(spark):
+    rng = random.Random(4)
+    chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    rows = {}
+    for i in range(60):  # every third value has no digits
+        value = "".join(rng.choice(chars + "0123456789" * (i % 3 > 0)) for _ in range(32))
+        rows[i] = ("some prose\n" + NAMES[i % 7].format(value) + "\nmore prose", value)
+    for i in range(60):
+        digest = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        rows[100 + i] = (f"release_checksum_value = {digest} and a veryveryverylongwordwithoutdigits", None)
+    rows[200] = ("MY_API_SECRET_VALUE=" + "Zk4" * 9 + "\nRELEASE_CHECKSUM_VALUE=" + "0a9f8e7d6c5b4a39" * 2, "Zk4" * 9)
+    docs = _docs(spark, [(i, text) for i, (text, _) in rows.items()])
+    near = secret_scan.candidates(docs).collect()
+    for r in near:
+        text, end = rows[r["doc_id"]][0], r["start"] + len(r["cand"])
+        assert r["before"] == text[max(r["start"] - secret_scan.NEAR_CHARS, 0):r["start"]]
+        assert r["after"] == text[end:end + secret_scan.AFTER_CHARS]
+    got = {}
+    for r in secret_scan.findings(docs).where("is_secret").collect():
+        got.setdefault(r["doc_id"], []).append(r["cand"])
+    assert got == {i: [value] for i, (_, value) in rows.items() if value}
+
+
 def test_decontamination_stage(spark):
     item = "A benchmark question that is long enough to be found in any text that holds it word by word"
     bench = spark.createDataFrame([(1, item), (2, None), (1, item)], "item_id long, text string")
