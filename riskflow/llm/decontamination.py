@@ -9,6 +9,10 @@ The filter counts shared q-grams in overlapping diagonal bands, keeps the
 bands that reach the bound, drops those whose region is out of reach by a
 bit-parallel edit distance, and verifies the rest by banded alignment.
 
+Segments begin every third of their length, so a verbatim excerpt of
+``SEGMENT`` * 4 / 3 - 1 = 79 characters of an item holds a whole one and is found
+wherever it starts; shorter excerpts are found if they hold one within its edits.
+
 The benchmark is taken in blocks of at most ``block_segments`` segments, each
 broadcast (that many segments of at most ``SEGMENT`` characters) for one pass
 over the documents, so its size has no other bound.
@@ -30,7 +34,7 @@ from riskflow.llm.common import code_points, ready_for_python
 
 Q = 7
 BUDGET = 0.1
-SEGMENT = 120
+SEGMENT = 60
 BLOCK_SEGMENTS = 5_000
 _LEAD_BITS = 20
 
@@ -42,10 +46,13 @@ def normalize(text: str | None) -> str:
 
 
 def segments(text: str, size: int = SEGMENT) -> list[str]:
-    """Half-overlapping pieces of ``size`` characters; the last one ends with the text."""
+    """Pieces of ``size`` characters, one every third of that; the last one ends with the text.
+
+    Any passage of size + size // 3 - 1 characters holds a whole piece.
+    """
     if len(text) <= size:
         return [text] if text else []
-    starts = list(range(0, len(text) - size, size // 2)) + [len(text) - size]
+    starts = list(range(0, len(text) - size, size // 3)) + [len(text) - size]
     return [text[s:s + size] for s in starts]
 
 
@@ -117,7 +124,7 @@ class Index:
         if not len(at):
             return []
         width = self.edits[owner] + 1  # two neighbouring halves make a band of 2k + 2 diagonals
-        offset = 2 * SEGMENT + 2
+        offset = 1 << 8  # more than any place
         half = (at - place + offset) // width
         key = np.sort((owner << 32 | half) << 8 | place)
         key = key[np.concatenate([[True], key[1:] != key[:-1]])] >> 8
@@ -217,7 +224,7 @@ def _blocks(benchmark: DataFrame, block_segments: int, size: int):
     for row in rows.orderBy("item_id", "text").toLocalIterator():
         text = normalize(row["text"])
         block.append((row["item_id"], text))
-        n += len(text) // (size // 2) + 1
+        n += len(text) // (size // 3) + 1
         if n >= block_segments:
             yield block
             block, n = [], 0

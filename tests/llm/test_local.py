@@ -136,6 +136,21 @@ def test_decontamination_equals_brute_force():
                 assert edits == least and _edits(part, norm[start:start + length]) == edits
 
 
+def test_excerpts_are_found_wherever_they_start():
+    rng = random.Random(8)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+
+    item = prose(60)
+    index = decontamination.Index([(1, item)])
+    size = decontamination.SEGMENT + decontamination.SEGMENT // 3 - 1
+    assert size == 79
+    missed = [at for at in range(len(item) - size + 1)
+              if not index.matches(prose(20) + " " + item[at:at + size] + " " + prose(20))]
+    assert missed == [] and index.matches(prose(200)) == []
+
+
 def test_decontamination_of_odd_texts():
     index = decontamination.Index([(1, "abc"), (2, ""), (3, "Some benchmark question with a long enough text in it")])
     assert index.matches(None) == [] and index.matches("") == []
