@@ -27,6 +27,7 @@ Defined cases: rows that share a doc_id count as one document (linked if any of
 them is); null texts and texts without words have n_shingles 0 and are linked
 with nothing; a null doc_id is linked with nothing (component_id null, kept);
 an empty table gives an empty result; other columns of the input are not read.
+``keep_one`` tells the different texts of one id apart, each as a document.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskflow.llm.common import ready_for_python
+from riskflow.operators.ranking import global_positions
 from riskflow.session import materialize
 
 SUB = 10
@@ -342,10 +344,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, sub: int
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` without those whose group has a smaller doc_id; of repeated rows one stays."""
-    marked = near_duplicates(docs, **options).where("kept and doc_id is not null")
-    kept = materialize(marked.groupBy("doc_id").agg(F.count("*").alias("rows_of_id")), "kept")
     named = docs.where(docs["doc_id"].isNotNull())
-    out = named.join(kept, named["doc_id"] == kept["doc_id"], "left_semi")
-    if kept.where("rows_of_id > 1").limit(1).count():
-        out = out.dropDuplicates(["doc_id"])
+    texts = named.select(F.col("doc_id").cast("long").alias("of_id"), F.xxhash64("text").alias("text_hash"))
+    several = materialize(texts.groupBy("of_id").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high"))
+                          .where("low <> high").select("of_id"), "ids-of-several-texts")
+    if several.limit(1).count():
+        out = _keep_one_text(named, texts, **options)
+    else:
+        marked = near_duplicates(docs, **options).where("kept and doc_id is not null")
+        kept = materialize(marked.groupBy("doc_id").agg(F.count("*").alias("rows_of_id")), "kept")
+        out = named.join(kept, named["doc_id"] == kept["doc_id"], "left_semi")
+        if kept.where("rows_of_id > 1").limit(1).count():
+            out = out.dropDuplicates(["doc_id"])
     return out.unionByName(docs.where(docs["doc_id"].isNull()))
+
+
+def _keep_one_text(named: DataFrame, texts: DataFrame, **options) -> DataFrame:
+    """``keep_one`` where ids repeat with different texts: each text of an id stands under a number of its own.
+
+    The numbers follow doc_id, then the text's hash, so the smallest doc_id of a group stays.
+    """
+    numbered = materialize(global_positions(texts.distinct(), ["of_id", "text_hash"], "number"), "numbered-texts")
+    same = (named["doc_id"].cast("long") == numbered["of_id"]) & (F.xxhash64(named["text"]) == numbered["text_hash"])
+    each = named.join(numbered, same).select(F.col("number").alias("doc_id"), named["text"])
+    marked = near_duplicates(each, **options).where("kept").select("doc_id").distinct()
+    kept = materialize(numbered.join(marked, numbered["number"] == marked["doc_id"], "left_semi"), "kept")
+    same = (named["doc_id"].cast("long") == kept["of_id"]) & (F.xxhash64(named["text"]) == kept["text_hash"])
+    return named.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])

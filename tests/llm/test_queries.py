@@ -162,6 +162,18 @@ def test_near_duplicates_of_odd_rows(spark):
     assert kept.columns[-1] == "kept" and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "3", "4", "5", "6", "7", "None"]
 
 
+def test_one_of_each_group_stays_though_ids_repeat(spark):
+    rng = random.Random(6)
+    a, b, c, d = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(200)) for _ in range(4))
+    near = a.rsplit(" ", 3)[0] + " another few words"
+    # 5 holds two clean texts; 7 a near copy of 5's and a clean text; 9 one text twice; 3 and 8 are null and empty.
+    rows = [(5, a), (5, b), (7, near), (7, c), (9, d), (9, d), (3, None), (3, "alone"), (8, ""), (None, a)]
+    for parts in (1, 4):
+        got = near_dedup.keep_one(_docs(spark, rows).repartition(parts))
+        assert _rows(got.select("doc_id", "text")) == _rows(_docs(
+            spark, [(5, a), (5, b), (7, c), (9, d), (3, None), (3, "alone"), (8, ""), (None, a)]).select("doc_id", "text"))
+
+
 def test_license_scan_of_odd_rows(spark):
     rows = ODD + [(20, "Under THE mit license under the mit license"), (21, "cc by-nc; apache license, version 2.0"),
                   (22, "line one\nRedistribution and use in source and binary forms, with or without modification, are permitted "
