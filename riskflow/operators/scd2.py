@@ -20,10 +20,13 @@ are ordered by an explicit tie column.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.errors import ConfigError
 from riskflow.operators.dedupe import latest_per_key
 from riskflow.operators.skew import salted_join
 from riskflow.session import materialize, scratch_path
@@ -175,16 +178,60 @@ def scd2_rebuild(updates: DataFrame, batch_col: str, key: str = "wallet_id", att
     )
 
 
+def time_range(rows: DataFrame, ts: str = "event_ts") -> DataFrame:
+    """One row (first, last) of a time column; over a Parquet scan the footers answer it."""
+    return rows.agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
+
+
+# Bins of rows without a time lie far below any real one.
+_NO_TIME = 1 << 40
+_NO_TIME_BINS = 1 << 16
+
+
+def _bin(ts: Column, width: dt.timedelta) -> Column:
+    """Number of the time bin: monotonic in time, so a version covers all bins from its first to its last."""
+    micros, step = F.unix_micros(ts.cast("timestamp")), F.lit(width // dt.timedelta(microseconds=1)).cast("long")
+    return F.call_function("div", micros - F.pmod(micros, step), step)
+
+
+def _binned_join(facts: DataFrame, versions: DataFrame, key: str, ts: str, cond, width: dt.timedelta, span: DataFrame) -> DataFrame:
+    first, last = span.first()
+    if first is None:  # no fact has a time, so none meets a version
+        first = last = dt.datetime(1970, 1, 1)
+        versions = versions.where(F.lit(False))
+    kind = dict(versions.dtypes)[VALID_FROM]
+    first, last = (F.lit(t).cast(kind) for t in (first, last))
+    end = F.least(F.coalesce(F.col(VALID_TO), last), last)
+    low, high = _bin(F.greatest(F.col(VALID_FROM), first), width), _bin(end, width)
+    covered = versions.where((F.col(VALID_FROM) <= last) & (end >= first)).withColumn(
+        "_bin", F.explode(F.when(low <= high, F.sequence(low, high))))
+    spread = -F.lit(_NO_TIME) - F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(_NO_TIME_BINS))
+    binned = facts.withColumn("_bin", F.coalesce(_bin(F.col(ts), width), spread))
+    f, d = binned.alias("_f"), covered.alias("_d")
+    on = (F.col(f"_f.{key}") == F.col(f"_d.{key}")) & (F.col("_f._bin") == F.col("_d._bin")) & cond("_f", "_d")
+    return f.join(d, on, "left").select(*[F.col(f"_f.{c}") for c in facts.columns],
+                                        *[F.col(f"_d.{c}") for c in versions.columns if c != key])
+
+
 def point_in_time_join(facts: DataFrame, dims: DataFrame, key: str = "wallet_id", ts: str = "event_ts",
                        attrs=("risk_tier",), rename: dict | None = None, skew_min_rows: int | None = None,
-                       skew_share: float | None = None) -> DataFrame:
+                       skew_share: float | None = None, bin_width: dt.timedelta | None = None,
+                       span: DataFrame | None = None) -> DataFrame:
     """Left join each fact to the dimension version valid at its event time.
 
     Condition: same key, ``valid_from <= ts`` and (``valid_to`` NULL or
-    ``ts < valid_to``). Facts without a version keep NULL attributes. Plans as
-    an equi hash join on the key with the range as a residual filter; with
-    ``skew_min_rows`` (or ``skew_share`` of all facts) hot keys are salted first
-    (see operators.skew).
+    ``ts < valid_to``). Facts without a version keep NULL attributes.
+
+    ``bin_width``: join on (key, time bin) with the range as a residual. A
+    version is copied to every bin of this width that it covers between the
+    first and the last fact (``span``, else found from the facts; both ends may
+    also lie further out), so a key's copies are at most its versions plus the
+    bins. A hot key is dealt over its bins without being counted first, and
+    both sides of the join are exchanges, which AQE can split further. Facts
+    without a time meet no version and are spread by their hash.
+
+    Without it the join is on the key alone; with ``skew_min_rows`` (or
+    ``skew_share`` of all facts) hot keys are salted first (see operators.skew).
     """
     rename = rename or {}
     d = dims.select(key, *attrs, VALID_FROM, VALID_TO)
@@ -193,7 +240,11 @@ def point_in_time_join(facts: DataFrame, dims: DataFrame, key: str = "wallet_id"
         t = F.col(f"{b}.{ts}")
         return (t >= F.col(f"{s}.{VALID_FROM}")) & (F.col(f"{s}.{VALID_TO}").isNull() | (t < F.col(f"{s}.{VALID_TO}")))
 
-    if skew_min_rows or skew_share:
+    if bin_width is not None:
+        if bin_width <= dt.timedelta(0):
+            raise ConfigError("bin_width must be positive")
+        out = _binned_join(facts, d, key, ts, cond, bin_width, span if span is not None else time_range(facts, ts))
+    elif skew_min_rows or skew_share:
         out = salted_join(facts, d, [key], "left", cond, min_rows=skew_min_rows, share=skew_share)
     else:
         f, s = facts.alias("_f"), d.alias("_d")

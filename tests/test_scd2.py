@@ -172,3 +172,68 @@ def test_apply_batches_keeps_history_out_of_the_loop(spark):
     flat = [(w, t, ts, b) for b, batch in enumerate(batches) for (w, t, ts) in batch]
     u = spark.createDataFrame([(w, t, ts, i, b) for i, (w, t, ts, b) in enumerate(flat)], UPD + ", batch int")
     assert rows(S.scd2_apply_batches(S.empty_dimension(spark), u, "batch", tie="tie")) == rows(apply_all(spark, batches))
+
+
+FACT = "tx_id string, wallet_id string, event_ts timestamp_ntz"
+DIM = "wallet_id string, risk_tier string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean"
+
+
+def _tiers(spark, facts, dims, **how):
+    return sorted((r.tx_id, r.risk_tier) for r in S.point_in_time_join(facts, dims, **how).collect())
+
+
+@pytest.mark.parametrize("hours", [1, 36, 24 * 90])
+def test_binned_join_equals_the_join_on_the_key(spark, hours):
+    import random
+
+    rng = random.Random(hours)
+    times = [dt.datetime(1969, 12, 1) + dt.timedelta(hours=rng.randint(0, 2400)) for _ in range(200)]
+    facts = spark.createDataFrame([(f"t{i}", rng.choice(["w1", "w2", "w3", None]), rng.choice([t, t, t, None])) for i, t in enumerate(times)], FACT)
+    bounds = [dt.datetime(1969, 11, 1) + dt.timedelta(hours=400 * k) for k in range(9)]
+    versions = [("w1", f"v{k}", a, b, b is None) for k, (a, b) in enumerate(zip(bounds, [*bounds[1:], None], strict=True))]
+    versions += [("w2", "late", dt.datetime(2030, 1, 1), None, True), ("w2", "early", dt.datetime(1900, 1, 1), dt.datetime(1969, 12, 20), False),
+                 ("w3", "empty", bounds[3], bounds[3], False), ("w3", "odd", None, None, True), ("w3", "back", bounds[5], bounds[4], False)]
+    dims = spark.createDataFrame(versions, DIM)
+    plain = _tiers(spark, facts, dims)
+    assert _tiers(spark, facts, dims, bin_width=dt.timedelta(hours=hours)) == plain
+    wide = spark.createDataFrame([(dt.datetime(1960, 1, 1), dt.datetime(1971, 1, 1))], "first timestamp_ntz, last timestamp_ntz")
+    assert _tiers(spark, facts, dims, bin_width=dt.timedelta(hours=hours * 24), span=wide) == plain
+    assert _tiers(spark, facts.where("false"), dims, bin_width=dt.timedelta(hours=hours)) == []
+    timeless = facts.withColumn("event_ts", F.lit(None).cast("timestamp_ntz"))
+    assert {t for _, t in _tiers(spark, timeless, dims, bin_width=dt.timedelta(hours=hours))} == {None}
+
+
+def test_a_hot_wallet_is_dealt_over_its_bins(spark):
+    n = 40_000
+    day = F.make_dt_interval(days=(F.col("id") % 365).cast("int"))
+    facts = spark.range(n).select(
+        F.col("id").cast("string").alias("tx_id"),
+        F.when(F.col("id") % 10 < 7, "hot").otherwise(F.concat(F.lit("w"), F.col("id").cast("string"))).alias("wallet_id"),
+        (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + day).alias("event_ts"))
+    # Fresh from a shuffle, as a rebuilt dimension is.
+    dims = S.scd2_rebuild(facts.select("wallet_id", F.lit("LOW").alias("risk_tier"), F.lit(dt.datetime(2023, 1, 1)).cast("timestamp_ntz")
+                                       .alias("snapshot_ts"), F.lit(1).alias("batch")).distinct(), "batch")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    aqe = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set(aqe, "false")
+    try:
+        joined = S.point_in_time_join(facts, dims, bin_width=dt.timedelta(days=1))
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert sum(sizes) == n and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        plain = S.point_in_time_join(facts, dims)
+        sizes = [r["count"] for r in plain.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert max(sizes) > 0.7 * n  # what the join on the key alone does
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.conf.unset(aqe)
+
+
+def test_bin_width_must_be_positive(spark):
+    from riskflow.errors import ConfigError
+
+    with pytest.raises(ConfigError):
+        S.point_in_time_join(spark.createDataFrame([], FACT), S.empty_dimension(spark), bin_width=dt.timedelta(0))
