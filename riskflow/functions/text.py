@@ -14,10 +14,24 @@ def ts_text(col: Column) -> Column:
 
 
 def value_text(col: Column) -> Column:
-    """A number as plain text (integers as integers, doubles in shortest form)."""
+    """A number as plain text."""
     return col.cast("string")
 
 
+# A double is printed without an exponent from the first up to the second.
+PLAIN_FROM, PLAIN_UPTO = 1e-4, 1e16
+
+
+def double_text(col: Column) -> Column:
+    """A double in full, with its shortest digits: '9000.0', '47.2133333', '12345678.9', '1.0E17'."""
+    x = col.cast("double")
+    short = x.cast("string")
+    plain = F.rtrim(short.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    plain = F.when(F.endswith(plain, F.lit(".")), F.concat(plain, F.lit("0"))).otherwise(plain)
+    within = (F.abs(x) >= PLAIN_FROM) & (F.abs(x) < PLAIN_UPTO)
+    return F.when(F.contains(short, F.lit("E")) & within, plain).otherwise(short)
+
+
 def fixed3(col: Column) -> Column:
     """A double with three decimals, as the score fact prints it."""
     return F.format_string("%.3f", col.cast("double"))

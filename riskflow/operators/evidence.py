@@ -5,8 +5,11 @@ Facts are rows, not per-wallet lists: (wallet_id, fact_no, fact). Sources:
   2 history   'risk_tier <t> from <valid_from> to <valid_to | now>'   (by valid_from)
   3 score     'fraud_score = <0.000> (model <version>)'   (latest score per wallet)
   4 alerts    'alert: window <start> tx_count=<n> total_value=<v>'   (by window start)
-Numbering uses ``ranking.group_positions`` so a wallet with a huge history or
-alert list is numbered by several tasks, never gathered into one.
+A fact's number is the size of the sections before its own plus its position
+there. Sizes are counts per wallet; positions come from narrow rows (wallet,
+time and the few typed columns of the section) by ``ranking.group_positions``, so
+a wallet with a huge history or alert list is numbered by several tasks. Text is
+built last: no sort or range exchange carries it.
 
 A wallet is *found* when the feature mart or the dimension has it (a score or
 alerts alone do not count). Unknown wallets get the fixed refusal line.
@@ -15,10 +18,13 @@ Reports are rows too: (wallet_id, line_no, line).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.functions.text import fixed3, ts_text, value_text
+from riskflow.functions.text import double_text, fixed3, ts_text, value_text
 from riskflow.operators.dedupe import latest_per_key
 from riskflow.operators.ranking import group_positions
 from riskflow.session import materialize
@@ -31,45 +37,45 @@ DEFAULT_QUESTION = "Why was this wallet flagged?"
 REPORT_HEADER = "Analysis for wallet "
 REPORT_CLOSING = "Assessment: based solely on the facts above."
 
-FACT_COLUMNS = ["wallet_id", "section", "sort_ts", "sort_i", "fact"]
+SECTIONS = ("features", "history", "score", "alerts")
 
 
-def _feature_value_text(col: str, dtype: str):
+def _value(col: str, dtype: str):
     c = F.col(col)
     if dtype in ("double", "float") or dtype.startswith("decimal"):
-        # Six decimals at most, printed in shortest form ('9000.0', '47.213333').
-        return value_text(F.round(c.cast("double"), 6))
+        return double_text(c)
     if dtype.startswith("timestamp"):
         return ts_text(c)
     return value_text(c)
 
 
+def feature_names(features: DataFrame, key: str = "wallet_id") -> list:
+    """The mart columns that evidence shows, in their order."""
+    return [c for c in features.columns if c not in set(MASKED_FIELDS) | set(HIDDEN_FIELDS) | {key}]
+
+
 def feature_facts(features: DataFrame, key: str = "wallet_id") -> DataFrame:
+    """(wallet_id, place, fact); ``place`` is the 1-based position within the section, as in the other sections."""
     dtypes = dict(features.dtypes)
-    cols = [c for c in features.columns if c not in set(MASKED_FIELDS) | set(HIDDEN_FIELDS) | {key}]
     entries = [
-        F.struct(F.lit(i).alias("sort_i"),
-                 F.concat(F.lit(f"feature {c} = "), F.coalesce(_feature_value_text(c, dtypes[c]), F.lit("None")))
-                 .alias("fact"))
-        for i, c in enumerate(cols)
+        F.struct(F.lit(i).cast("long").alias("place"),
+                 F.concat(F.lit(f"feature {c} = "), F.coalesce(_value(c, dtypes[c]), F.lit("None"))).alias("fact"))
+        for i, c in enumerate(feature_names(features, key), 1)
     ]
-    return features.select(F.col(key).alias("wallet_id"), F.explode(F.array(*entries)).alias("_e")).select(
-        "wallet_id", F.lit(1).alias("section"), F.lit(None).cast("timestamp_ntz").alias("sort_ts"),
-        "_e.sort_i", "_e.fact",
-    )
+    return features.select(F.col(key).alias("wallet_id"), F.explode(F.array(*entries)).alias("_e")).select("wallet_id", "_e.*")
 
 
 def history_facts(dims: DataFrame, key: str = "wallet_id", attr: str = "risk_tier") -> DataFrame:
-    d = dims.drop(*[c for c in MASKED_FIELDS if c in dims.columns])
-    return d.select(
-        F.col(key).alias("wallet_id"),
-        F.lit(2).alias("section"),
-        F.col("valid_from").cast("timestamp_ntz").alias("sort_ts"),
-        F.lit(0).alias("sort_i"),
+    rows = dims.select(F.col(key).alias("wallet_id"), F.coalesce(F.col(attr), F.lit("None")).alias("tier"),
+                       F.col("valid_from").cast("timestamp_ntz").alias("since"), F.col("valid_to").alias("until"))
+    # In the order of the texts: by start, then by what the fact says ("now" comes after any time).
+    order = [F.col("since").asc_nulls_first(), "tier", F.col("until").asc_nulls_last()]
+    return group_positions(rows, ["wallet_id"], order, "place").select(
+        "wallet_id", "place",
         F.concat(
-            F.lit(f"{attr} "), F.coalesce(F.col(attr), F.lit("None")),
-            F.lit(" from "), ts_text(F.col("valid_from")),
-            F.lit(" to "), F.coalesce(ts_text(F.col("valid_to")), F.lit("now")),
+            F.lit(f"{attr} "), "tier",
+            F.lit(" from "), ts_text(F.col("since")),
+            F.lit(" to "), F.coalesce(ts_text(F.col("until")), F.lit("now")),
         ).alias("fact"),
     )
 
@@ -79,74 +85,76 @@ def score_facts(scores: DataFrame, key: str = "wallet_id") -> DataFrame:
     latest = latest_per_key(scores, [key], order) if order else scores
     return latest.select(
         F.col(key).alias("wallet_id"),
-        F.lit(3).alias("section"),
-        F.lit(None).cast("timestamp_ntz").alias("sort_ts"),
-        F.lit(0).alias("sort_i"),
+        F.lit(1).cast("long").alias("place"),
         F.concat(F.lit("fraud_score = "), fixed3(F.col("fraud_score")),
                  F.lit(" (model "), F.col("model_version"), F.lit(")")).alias("fact"),
     )
 
 
 def alert_facts(alerts: DataFrame, key: str = "wallet_id") -> DataFrame:
-    return alerts.select(
-        F.col(key).alias("wallet_id"),
-        F.lit(4).alias("section"),
-        F.col("window_start").cast("timestamp_ntz").alias("sort_ts"),
-        F.lit(0).alias("sort_i"),
+    rows = alerts.select(F.col(key).alias("wallet_id"), F.col("window_start").cast("timestamp_ntz").alias("since"), "tx_count",
+                         F.col("total_value").cast("double").alias("total"))
+    return group_positions(rows, ["wallet_id"], [F.col("since").asc_nulls_first(), "tx_count", "total"], "place").select(
+        "wallet_id", "place",
         F.concat(
-            F.lit("alert: window "), ts_text(F.col("window_start")),
+            F.lit("alert: window "), ts_text(F.col("since")),
             F.lit(" tx_count="), value_text(F.col("tx_count")),
-            F.lit(" total_value="), value_text(F.col("total_value").cast("double")),
+            F.lit(" total_value="), double_text(F.col("total")),
         ).alias("fact"),
     )
 
 
+def section_sizes(features: DataFrame, dims: DataFrame, scores: DataFrame | None = None,
+                  alerts: DataFrame | None = None, key: str = "wallet_id") -> DataFrame:
+    """One row per wallet that any source knows: how many facts each section gives it."""
+    n_features = len(feature_names(features, key))
+    held = {"features": (features, F.lit(n_features)), "history": (dims, F.count(F.lit(1))),
+            "score": (scores, F.lit(1)), "alerts": (alerts, F.count(F.lit(1)))}
+    out = None
+    for section in SECTIONS:
+        rows, size = held[section]
+        if rows is None:
+            continue
+        own = rows.groupBy(F.col(key).alias("wallet_id")).agg(size.cast("long").alias(section))
+        out = own if out is None else out.join(own, "wallet_id", "full_outer")
+    names = [c for c in SECTIONS if c in out.columns]
+    return out.select("wallet_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in names],
+                      *[F.lit(0).cast("long").alias(c) for c in SECTIONS if c not in names])
+
+
 def evidence_facts(features: DataFrame, dims: DataFrame, scores: DataFrame | None = None,
                    alerts: DataFrame | None = None, key: str = "wallet_id") -> DataFrame:
     """(wallet_id, fact_no, fact) for every wallet any source knows, in the fixed order."""
-    parts = [feature_facts(features, key), history_facts(dims, key)]
+    sizes = materialize(section_sizes(features, dims, scores, alerts, key), "evidence-sizes")
+    parts = {"features": feature_facts(features, key), "history": history_facts(dims, key)}
     if scores is not None:
-        parts.append(score_facts(scores, key))
+        parts["score"] = score_facts(scores, key)
     if alerts is not None:
-        parts.append(alert_facts(alerts, key))
-    facts = parts[0]
-    for p in parts[1:]:
-        facts = facts.unionByName(p)
-    numbered = group_positions(facts, ["wallet_id"], ["section", "sort_ts", "sort_i", "fact"], "fact_no")
-    return numbered.select("wallet_id", "fact_no", "fact")
+        parts["alerts"] = alert_facts(alerts, key)
+    out = None
+    for section, facts in parts.items():
+        before = [F.col(c) for c in SECTIONS[:SECTIONS.index(section)]]
+        if before:
+            offset = sizes.where(F.col(section) > 0).select("wallet_id", reduce(add, before).alias("_before"))
+            facts = facts.join(offset, "wallet_id").withColumn("place", F.col("place") + F.col("_before"))
+        facts = facts.select("wallet_id", F.col("place").alias("fact_no"), "fact")
+        out = facts if out is None else out.unionByName(facts)
+    return out
 
 
 def wallet_evidence(wallets: DataFrame, features: DataFrame, dims: DataFrame, scores: DataFrame | None = None,
                     alerts: DataFrame | None = None, key: str = "wallet_id") -> DataFrame:
-    """Per requested wallet: found flag and how many facts each source gives.
-
-    Multi-row sources are counted per wallet first (partial aggregates), so
-    every join below is one row per wallet on each side.
-    """
+    """Per requested wallet: found flag and how many facts each source gives (one row per wallet on each side)."""
     w = wallets.select(F.col(key).alias("wallet_id")).distinct()
-    feat = features.select(F.col(key).alias("wallet_id")).distinct().withColumn("_has_f", F.lit(True))
-    n_feat = len([c for c in features.columns if c not in set(MASKED_FIELDS) | set(HIDDEN_FIELDS) | {key}])
-    hist = dims.groupBy(F.col(key).alias("wallet_id")).agg(F.count(F.lit(1)).alias("n_history"))
-    out = w.join(feat, "wallet_id", "left").join(hist, "wallet_id", "left")
-    if scores is not None:
-        sc = scores.select(F.col(key).alias("wallet_id")).distinct().withColumn("_has_s", F.lit(True))
-        out = out.join(sc, "wallet_id", "left")
-    else:
-        out = out.withColumn("_has_s", F.lit(None).cast("boolean"))
-    if alerts is not None:
-        al = alerts.groupBy(F.col(key).alias("wallet_id")).agg(F.count(F.lit(1)).alias("n_alerts"))
-        out = out.join(al, "wallet_id", "left")
-    else:
-        out = out.withColumn("n_alerts", F.lit(None).cast("long"))
-    has_f = F.coalesce(F.col("_has_f"), F.lit(False))
-    n_hist = F.coalesce(F.col("n_history"), F.lit(0)).cast("long")
-    return out.select(
+    known = w.join(section_sizes(features, dims, scores, alerts, key), "wallet_id", "left")
+    size = {c: F.coalesce(c, F.lit(0)).cast("long") for c in SECTIONS}
+    return known.select(
         "wallet_id",
-        (has_f | (n_hist > 0)).alias("found"),
-        F.when(has_f, F.lit(n_feat)).otherwise(F.lit(0)).cast("long").alias("n_features"),
-        n_hist.alias("n_history"),
-        F.coalesce(F.col("_has_s"), F.lit(False)).alias("has_score"),
-        F.coalesce(F.col("n_alerts"), F.lit(0)).cast("long").alias("n_alerts"),
+        ((size["features"] > 0) | (size["history"] > 0)).alias("found"),
+        size["features"].alias("n_features"),
+        size["history"].alias("n_history"),
+        (size["score"] > 0).alias("has_score"),
+        size["alerts"].alias("n_alerts"),
     )
 
 

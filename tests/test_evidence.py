@@ -60,3 +60,24 @@ def test_explain_named_wallets(spark):
     assert out["w-404"] == EV.REFUSAL
     assert out["w-1"].split("\n")[-2] == "Question: Why?"
     assert "  [5] fraud_score = 0.870 (model gbt-v1)" in out["w-1"]
+
+
+def test_numbers_are_printed_in_full(spark):
+    from riskflow.functions.text import double_text
+    from pyspark.sql import functions as F
+
+    known = {9000.0: "9000.0", 47.2133333333: "47.2133333333", 12345678.9: "12345678.9", 1e7: "10000000.0", 0.0001: "0.0001",
+             0.00012345: "0.00012345", 123456789012345.6: "123456789012345.6", -2.5e8: "-250000000.0", 1e17: "1.0E17", 0.0: "0.0"}
+    rows = spark.createDataFrame([(x,) for x in known], "x double").select("x", double_text(F.col("x")).alias("t"))
+    assert {r.x: r.t for r in rows.collect()} == known
+
+
+def test_places_follow_the_sections_of_each_wallet(spark):
+    _, feats, dims, scores, alerts = inputs(spark)
+    more = spark.createDataFrame([("w-2", dt.datetime(2026, 2, 3, k), k, 1.0) for k in (5, 3, 4)], alerts.schema)
+    only_score = spark.createDataFrame([("w-3", 0.5, "v")], scores.schema)
+    facts = EV.evidence_facts(feats, dims, scores.unionByName(only_score), alerts.unionByName(more)).collect()
+    of = lambda w: [f for _, f in sorted((r.fact_no, r.fact) for r in facts if r.wallet_id == w)]
+    assert [r.fact_no for r in sorted(facts, key=lambda r: r.fact_no) if r.wallet_id == "w-2"] == [1, 2, 3]
+    assert [f[-24:-22] for f in of("w-2")] == ["03", "04", "05"] or [" tx_count=3 " in f for f in of("w-2")] == [True, False, False]
+    assert of("w-3") == ["fraud_score = 0.500 (model v)"] and len(of("w-1")) == 6
