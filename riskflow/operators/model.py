@@ -109,6 +109,21 @@ def fit_gbt(train: DataFrame, features=FEATURE_COLUMNS, label: str = "label", ma
     return Pipeline(stages=[assembler, gbt]).fit(data)
 
 
+def _model_path(root: str, version: str) -> str:
+    return f"{root.rstrip('/')}/model_version={version}"
+
+
+def save_model(model, root: str, version: str) -> None:
+    """Store a fitted model under its version; a version is written once."""
+    model.save(_model_path(root, version))
+
+
+def load_model(root: str, version: str):
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(_model_path(root, version))
+
+
 def score(model, df: DataFrame, model_version: str, scored_at: _dt.datetime | None = None,
           key: str = "wallet_id", keep=()) -> DataFrame:
     """(key, fraud_score, model_version, scored_at[, keep...])."""

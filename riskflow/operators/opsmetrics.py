@@ -1,9 +1,9 @@
 """Run metrics as data, and the alarm rules as queries over them.
 
-Metrics rows: (metric_name, metric_value, metric_date, written_at); names
-must be in ``METRIC_NAMES`` (a typo would never alarm). Write counts come
-from ``Observation`` on the writes (``sinks.tables.overwrite_partitions``), so
-recording them costs no second pass. The rules: freshness (age of the last
+Metrics rows: (metric_name, metric_value, metric_date, source, written_at);
+names must be in ``METRIC_NAMES`` (a typo would never alarm). The batch job
+writes its rows after it has published, the stream one row per micro-batch
+(observed while the batch is written). The rules: freshness (age of the last
 silver write against an injected now; no metric at all is a breach) and
 zero-row days (a day spine left-joined to daily sums; a missing day is a
 breach).
@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.errors import ConfigError
+from riskflow.sinks.keyed import KeyedTable
 
 # Metric names the alarms watch, and the alarm limits.
 METRIC_NAMES = (
@@ -30,7 +31,8 @@ METRIC_NAMES = (
 FRESHNESS_LIMIT_HOURS = 26
 ZERO_ROW_LIMIT = 1
 
-METRICS_SCHEMA = "metric_name string, metric_value double, metric_date date, written_at timestamp_ntz"
+# ``source`` tells writers of one metric and date apart: "batch", or a stream with the number of its micro-batch.
+METRICS_SCHEMA = "metric_name string, metric_value double, metric_date date, source string, written_at timestamp_ntz"
 
 
 def check_metric_name(name: str) -> str:
@@ -39,27 +41,21 @@ def check_metric_name(name: str) -> str:
     return name
 
 
-def daily_metrics_from_split(tagged: DataFrame, day_col: str, breach_col: str = "breach_reasons",
-                             written_lag_hours: int = 26) -> DataFrame:
-    """Metric rows per day from a breach-tagged frame (what the daily job would have logged).
+def metrics_table(spark: SparkSession, root: str) -> KeyedTable:
+    """The stored metrics: a writer replaces its own value of a metric and date, and no other."""
+    return KeyedTable(spark, root, ["metric_name", "metric_date", "source"], "metric_date", buckets=1)
 
-    written_at = day + ``written_lag_hours`` (the job closing a day runs after it).
+
+def metric_rows(per_date: DataFrame, names, written_at: _dt.datetime | None = None, source: str = "batch") -> DataFrame:
+    """Metric rows of a frame (metric_date, one column per metric name); a missing value is no row.
+
+    ``written_at`` is the time of the run unless given.
     """
-    per_day = tagged.groupBy(F.col(day_col).alias("metric_date")).agg(
-        F.count_if(F.col(breach_col) == "").alias("silver_rows_written"),
-        F.count_if(F.col(breach_col) != "").alias("quarantine_rows_written"),
-    )
-    written = (F.col("metric_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(written_lag_hours)))
-    return per_day.select(
-        F.explode(F.array(
-            F.struct(F.lit("silver_rows_written").alias("metric_name"),
-                     F.col("silver_rows_written").cast("double").alias("metric_value")),
-            F.struct(F.lit("quarantine_rows_written").alias("metric_name"),
-                     F.col("quarantine_rows_written").cast("double").alias("metric_value")),
-        )).alias("m"),
-        "metric_date",
-        written.alias("written_at"),
-    ).select("m.metric_name", "m.metric_value", "metric_date", "written_at")
+    stamp = F.lit(written_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
+    pairs = F.array(*[F.struct(F.lit(check_metric_name(n)).alias("metric_name"), F.col(n).cast("double").alias("metric_value"))
+                      for n in names])
+    return (per_date.select(F.explode(pairs).alias("m"), "metric_date")
+            .select("m.*", "metric_date", F.lit(source).alias("source"), stamp.alias("written_at")).where("metric_value IS NOT NULL"))
 
 
 def daily_trend(metrics: DataFrame) -> DataFrame:

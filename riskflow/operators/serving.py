@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskflow.functions.scoring import HIGH_RISK_THRESHOLD, risk_tier
 from riskflow.operators.model import top_k
+from riskflow.sinks.keyed import KeyedTable
 
 # Columns hidden from analysts per table.
 FACT_MASK = ("wallet_id", "counterparty_id")
@@ -37,11 +38,14 @@ def top_risk(scores: DataFrame, k: int = TOP_RISK_K, score: str = "fraud_score",
     return top_k(scores, k, score, key)
 
 
-def publish_scores(spark, scores: DataFrame, root: str, staging_root: str | None = None) -> None:
-    """Upsert scores keyed (wallet_id, model_version); each model version is one partition."""
-    from riskflow.sinks.tables import upsert_partitions
+def score_table(spark, root: str) -> KeyedTable:
+    """Scores keyed (wallet_id, model_version); each model version is one partition."""
+    return KeyedTable(spark, root, ["wallet_id", "model_version"], "model_version")
 
-    upsert_partitions(spark, root, scores, ["wallet_id", "model_version"], ["model_version"], staging_root)
+
+def publish_scores(spark, scores: DataFrame, root: str) -> int:
+    """Upsert scores into the score table; rows written."""
+    return score_table(spark, root).upsert(scores)
 
 
 def kpis(scores: DataFrame, report=None) -> DataFrame:

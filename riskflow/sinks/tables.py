@@ -6,13 +6,10 @@ All writes go through Spark's writer API. Reruns are safe:
     leaves other dates alone;
   * ``Scd2Table`` writes each applied batch's closed and current rows under
     ``batch=<id>``; a rerun of a batch overwrites the same folders;
-  * ``upsert_partitions`` rewrites only the partitions an update batch touches
-    (copy-on-write): target rows whose key is in the batch are replaced, new
-    keys are added. Applying the same batch twice gives the same table.
+  * ``upsert_frame`` is the pure form of a keyed upsert; stored tables take
+    upserts as appends (``sinks.keyed``).
 
 Single writer per table is assumed (as for any file table without a lock).
-If the session's catalog supports row-level MERGE, ``merge_sql`` gives the
-statement to use instead.
 """
 
 from __future__ import annotations
@@ -23,8 +20,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.errors import ConfigError
-from riskflow.session import materialize, scratch_path
-from riskflow.sources.files import NULL_PARTITION, list_dirs, partition_path, partition_value, path_exists, remove
+from riskflow.session import materialize
+from riskflow.sources.files import list_dirs, partition_value, remove
 
 
 def overwrite_partitions(df: DataFrame, root: str, partition_cols, fmt: str = "parquet",
@@ -55,12 +52,6 @@ def overwrite_partitions(df: DataFrame, root: str, partition_cols, fmt: str = "p
     return int(obs.get["rows"]) if obs is not None else None
 
 
-def clear_partitions(spark: SparkSession, root: str, partition_col: str, values) -> None:
-    """Remove the folders of these partition values (None: the NULL partition) where they exist."""
-    for v in values:
-        remove(spark, partition_path(root, NULL_PARTITION if v is None else v, partition_col))
-
-
 def date_or_null(col):
     """The date of a column; NULL where its text is no date."""
     return col.try_cast("date")
@@ -84,13 +75,22 @@ def land_partition(df: DataFrame, root: str, logical_date=None, partition_col: s
     return root if logical_date is None else f"{root.rstrip('/')}/{partition_col}={partition_value(logical_date)}"
 
 
+def partition_clause(value, partition_col: str) -> str:
+    """``PARTITION (...)`` of one value; None is the NULL partition."""
+    return f"PARTITION ({partition_col} = {'NULL' if value is None else repr(partition_value(value))})"
+
+
+def register_partitions(spark: SparkSession, table: str, locations: dict, partition_col: str = "ingest_date") -> None:
+    """Add the partitions of ``{value: location}`` to a catalog table by one statement; existing ones are fine."""
+    if locations:
+        parts = " ".join(f"{partition_clause(v, partition_col)} LOCATION '{place}'" for v, place in locations.items())
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+
+
 def register_partition(spark: SparkSession, table: str, logical_date, location: str,
                        partition_col: str = "ingest_date") -> None:
     """Add one partition to a catalog table; an existing partition is fine."""
-    spark.sql(
-        f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({partition_col} = '{partition_value(logical_date)}') "
-        f"LOCATION '{location}'"
-    )
+    register_partitions(spark, table, {logical_date: location}, partition_col)
 
 
 def create_partitioned_table(spark: SparkSession, table: str, root: str, schema_ddl: str,
@@ -117,54 +117,6 @@ def upsert_frame(target: DataFrame, updates: DataFrame, keys) -> DataFrame:
     return kept.unionByName(updates.select(*target.columns))
 
 
-def upsert_partitions(spark: SparkSession, root: str, updates: DataFrame, keys, partition_cols,
-                      staging_root: str | None = None) -> None:
-    """Keyed upsert into a partitioned file table, rewriting only touched partitions.
-
-    Where the partition columns are not among the keys, a key may have changed
-    its partition: the keys are then looked up in the whole table (their
-    columns only), and the partitions they left are rewritten as well.
-
-    The touched partition values are few (one batch); the new partition
-    contents are staged first because a plan may not overwrite what it reads.
-    """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    pcols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
-    updates = materialize(updates, "upsert-batch")  # used for the touched set and the rewrite
-    if updates.isEmpty():
-        return
-    if not path_exists(spark, root):
-        overwrite_partitions(updates, root, pcols)
-        return
-    touched = updates.select(*pcols).distinct()
-    target = spark.read.schema(updates.schema).parquet(root)
-    left = []  # partitions that a key was in: at most the partitions of the table
-    if not set(pcols) <= set(keys):
-        held = target.select(*dict.fromkeys([*keys, *pcols])).join(updates.select(*keys).distinct(), keys, "left_semi")
-        held = held.select(*pcols).distinct()
-        left = held.collect()
-        touched = touched.unionByName(held).distinct()
-    current = target.join(touched, pcols, "left_semi")
-    merged = upsert_frame(current.select(*updates.columns), updates, keys)
-    stage = staging_root or scratch_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").partitionBy(*pcols).parquet(stage)
-    overwrite_partitions(spark.read.schema(updates.schema).parquet(stage), root, pcols)
-    for row in left:
-        folder = "/".join(f"{c}={NULL_PARTITION if row[c] is None else partition_value(row[c])}" for c in pcols)
-        if not path_exists(spark, f"{stage}/{folder}"):
-            remove(spark, f"{root}/{folder}")
-
-
-def merge_sql(table: str, source_view: str, keys) -> str:
-    """MERGE statement for catalogs with row-level operations."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    return (
-        f"MERGE INTO {table} AS t USING {source_view} AS s ON {on} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-    )
-
-
 class Scd2Table:
     """An SCD2 dimension stored per applied batch, never rewriting history.
 

@@ -7,6 +7,7 @@ so the same code works for local paths, HDFS and object stores.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,13 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def remove_file(spark: SparkSession, url: str) -> None:
+    """Delete a data file by its URL, as ``input_file_name`` gives it (special characters escaped)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(url))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
+
+
 def list_dirs(spark: SparkSession, path: str) -> list:
     """Names of sub-directories of ``path`` ([] if it does not exist)."""
     fs, p = _fs(spark, path)
@@ -43,6 +51,39 @@ def list_dirs(spark: SparkSession, path: str) -> list:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str) -> list:
+    """Names of the files in a folder ([] if it does not exist)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete or absent: written beside its place and renamed."""
+    fs, p = _fs(spark, path)
+    part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_tmp-{uuid.uuid4().hex}")
+    out = fs.create(part)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(part, p):
+        fs.delete(part, False)
+        raise IngestionError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, p = _fs(spark, path)
+    n = int(fs.getFileStatus(p).getLen())
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, n)).decode()
+    finally:
+        stream.close()
+
+
 def validate_source(spark: SparkSession, path: str) -> list:
     """Data files of an extract (a file or a folder); zero-byte and hidden files skipped.
 
@@ -72,44 +113,10 @@ def read_extract(spark: SparkSession, path: str, fmt: str = "parquet", schema=No
     return reader.load(files)
 
 
-# Bytes of (compressed) input per spread partition; small tables are left alone.
-SPREAD_BYTES_PER_PARTITION = 256 * 1024
-
-
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Total file bytes under ``path`` (driver-side listing, no job)."""
-    fs, p = _fs(spark, path)
-    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
-
-
-def spread_scan(df: DataFrame, size_bytes=None, max_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer input splits than its size and the cluster warrant.
-
-    Parquet splits only at row-group boundaries, so a file written as one big
-    row group is read by one task and everything before the first shuffle runs
-    single-threaded. Target = min(parallelism, size / 256 KB): a well-split
-    table (the normal case at scale) and a small lookup table are returned
-    unchanged. Counting splits is driver-side planning (no job); ``size_bytes``
-    may be a callable, evaluated only when the table has fewer splits than the
-    parallelism (so a large table is never listed twice). The spread is a
-    round-robin repartition (sorted first, so a retried task sees the same
-    rows); filters and column pruning still reach the scan.
-    """
-    try:
-        cap = max_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as is
-        return df
-    if splits >= cap:
-        return df
-    size = size_bytes() if callable(size_bytes) else size_bytes
-    want = cap if size is None else min(cap, -(-size // SPREAD_BYTES_PER_PARTITION))
-    return df.repartition(want) if splits < want else df
-
-
-def read_table(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """A Parquet table as it is split; ``partitions`` deals its rows over that many tasks first."""
     df = spark.read.parquet(path)
-    return spread_scan(df, lambda: path_bytes(spark, path)) if spread else df
+    return df.repartition(partitions) if partitions else df
 
 
 def partition_value(d) -> str:

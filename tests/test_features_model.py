@@ -102,3 +102,60 @@ def test_model_beats_base_rate_and_scores(spark):
 def test_two_classes_required(spark):
     with pytest.raises(ModelError):
         M.train_and_evaluate(mart(spark).withColumn("label", F.lit(1)))
+
+
+def _tree(node):
+    """A function of the features from a tree's node of the Java model."""
+    if node.getClass().getSimpleName() == "LeafNode":
+        value = node.prediction()
+        return lambda x: value
+    split, left, right = node.split(), _tree(node.leftChild()), _tree(node.rightChild())
+    at, threshold = split.featureIndex(), split.threshold()
+    return lambda x: left(x) if x[at] <= threshold else right(x)
+
+
+def test_scores_are_those_of_the_trees_and_survive_storage(spark, work):
+    import math
+
+    feats = mart(spark)
+    model, _ = M.train_and_evaluate(feats, k=30, max_iter=4)
+    M.save_model(model, f"{work}/models", "v1")
+    loaded = M.load_model(f"{work}/models", "v1")
+    gbt = loaded.stages[-1]
+    trees = [(_tree(t._java_obj.rootNode()), w) for t, w in zip(gbt.trees, gbt.treeWeights, strict=True)]
+    scored = {r.wallet_id: r.fraud_score for r in M.score(loaded, feats, "v1", dt.datetime(2026, 2, 1)).collect()}
+    for r in feats.select("wallet_id", *FE.FEATURE_COLUMNS).collect():
+        margin = sum(w * f([float(r[c]) for c in FE.FEATURE_COLUMNS]) for f, w in trees)
+        assert abs(scored[r.wallet_id] - 1 / (1 + math.exp(-2 * margin))) < 1e-12
+
+
+def test_scores_go_through_their_table_into_evidence(spark, work):
+    from riskflow.operators import evidence as EV
+    from riskflow.operators import serving as SV
+    from riskflow.operators.scd2 import empty_dimension
+
+    feats = mart(spark, 60)
+    model, _ = M.train_and_evaluate(feats, k=30, max_iter=2)
+    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    for version in ("v1", "v2"):
+        SV.publish_scores(spark, M.score(model, feats, version), work)
+    SV.publish_scores(spark, M.score(model, feats.limit(10), "v2"), work)  # rescored wallets replace their rows
+    table = SV.score_table(spark, work).read()
+    assert table.count() == 120
+    assert table.agg(F.min("scored_at")).first()[0] >= started - dt.timedelta(seconds=1)  # the time of the run
+    facts = EV.evidence_facts(feats, empty_dimension(spark), table).where("fact LIKE 'fraud_score%'").collect()
+    scores = {r.wallet_id: r.fraud_score for r in table.where("model_version = 'v2'").collect()}
+    assert {r.wallet_id: (r.fact_no, r.fact) for r in facts} == {
+        w: (7, f"fraud_score = {s:.3f} (model v2)") for w, s in scores.items()}
+
+
+def test_states_of_two_days_fold_to_the_whole(spark):
+    rows = spark.range(300).select(
+        F.col("id").cast("string").alias("tx_id"), (F.col("id") % 3).cast("string").alias("wallet_id"),
+        (F.col("id") % 7).cast("string").alias("counterparty_id"),
+        (F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("id") % 90).cast("int"))).alias("event_ts"),
+        F.col("id").cast("decimal(38,8)").alias("value"), F.when(F.col("id") % 50 == 0, "ILLICIT").otherwise("LICIT").alias("fraud_label"))
+    early = F.col("event_ts") < F.lit(dt.datetime(2026, 1, 2, 12)).cast("timestamp_ntz")  # a day that lies in both parts
+    for exact in (True, False):
+        parts = FE.day_states(rows.where(early), exact_distinct=exact).unionByName(FE.day_states(rows.where(~early), exact_distinct=exact))
+        assert sorted(FE.fold_states(parts).collect()) == sorted(FE.wallet_features(rows, exact_distinct=exact).collect())

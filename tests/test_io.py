@@ -69,36 +69,30 @@ def test_register_partition_twice(spark, work):
     spark.sql("DROP TABLE bronze_tx_test")
 
 
-def test_upsert_partitions_replay(spark, work):
-    schema = "k long, v string, d date"
-    tgt = spark.createDataFrame([(1, "a", dt.date(2026, 1, 1)), (2, "b", dt.date(2026, 1, 2))], schema)
-    upd = spark.createDataFrame([(2, "B", dt.date(2026, 1, 2)), (3, "c", dt.date(2026, 1, 2))], schema)
-    T.upsert_partitions(spark, f"{work}/t", tgt, ["k"], ["d"], f"{work}/s0")
-    for i in (1, 2):
-        T.upsert_partitions(spark, f"{work}/t", upd, ["k"], ["d"], f"{work}/s{i}")
-        got = sorted((r.k, r.v) for r in spark.read.parquet(f"{work}/t").collect())
-        assert got == [(1, "a"), (2, "B"), (3, "c")]
-
-
 def test_upsert_frame(spark):
     t = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
     u = spark.createDataFrame([(2, "B"), (3, "c")], "k long, v string")
     assert sorted(map(tuple, T.upsert_frame(t, u, "k").collect())) == [(1, "a"), (2, "B"), (3, "c")]
 
 
-def test_merge_sql_text():
-    assert T.merge_sql("t", "s", ["a", "b"]).startswith("MERGE INTO t AS t USING s AS s ON t.a = s.a AND t.b = s.b")
+def test_tables_are_read_as_they_are_split(spark, work):
+    spark.range(50_000).selectExpr("id", "cast(id * 7 as string) s").coalesce(1).write.parquet(f"{work}/one")
+    assert FS.read_table(spark, f"{work}/one").rdd.getNumPartitions() == 1
+    dealt = FS.read_table(spark, f"{work}/one", partitions=5)
+    assert dealt.rdd.getNumPartitions() == 5 and dealt.count() == 50_000
 
 
-def test_spread_scan_follows_size(spark, work):
-    spark.range(50_000).selectExpr("id", "cast(id * 7 as string) s").coalesce(1).write.parquet(f"{work}/big")
-    spark.range(10).coalesce(1).write.parquet(f"{work}/small")
-    big = FS.read_table(spark, f"{work}/big")
-    small = FS.read_table(spark, f"{work}/small")
-    assert small.rdd.getNumPartitions() == 1  # a lookup table is not spread
-    assert big.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism,
-                                             -(-FS.path_bytes(spark, f"{work}/big") // FS.SPREAD_BYTES_PER_PARTITION))
-    assert big.count() == 50_000
+def test_partitions_are_registered_by_one_statement(spark, work, monkeypatch):
+    root = f"{work}/t"
+    T.land_partition(extract(spark, 2, "a"), root, dt.date(2026, 7, 1))
+    T.land_partition(extract(spark, 3, "b"), root, dt.date(2026, 7, 2))
+    T.create_partitioned_table(spark, "bronze_tx_many", root, "tx_id string")
+    sent = []
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, run=type(spark).sql: (sent.append(text), run(self, text))[1])
+    T.register_partitions(spark, "bronze_tx_many", {f"2026-07-0{k}": f"{root}/ingest_date=2026-07-0{k}" for k in (1, 2)})
+    assert len(sent) == 1
+    assert spark.table("bronze_tx_many").count() == 5
+    spark.sql("DROP TABLE bronze_tx_many")
 
 
 def test_scratch_folder_must_be_shared_off_local():
@@ -113,16 +107,6 @@ def test_scratch_folder_must_be_shared_off_local():
         ensure_checkpoint_dir(faked)
 
 
-def test_upsert_moves_a_key_to_its_new_partition(spark, work):
-    from riskflow.sinks.tables import upsert_partitions
-
-    schema = "k string, v int, p string"
-    upsert_partitions(spark, f"{work}/t", spark.createDataFrame([("k1", 1, "p1"), ("k2", 1, "p2"), ("k3", 1, "p2")], schema), ["k"], ["p"])
-    upsert_partitions(spark, f"{work}/t", spark.createDataFrame([("k1", 2, "p2"), ("k3", 2, "p3")], schema), ["k"], ["p"])
-    got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(f"{work}/t").collect())
-    assert got == [("k1", 2, "p2"), ("k2", 1, "p2"), ("k3", 2, "p3")]
-
-
 def test_missing_metrics_are_breaches_from_the_given_day(spark):
     import datetime as dt
 

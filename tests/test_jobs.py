@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from riskflow.errors import DataQualityError
 from riskflow.operators.contract import TX_CONTRACT
 from riskflow.plans import jobs as J
-from riskflow.sources.files import path_exists
+from riskflow.sinks.lake import PublishedLake
 
 RAW = "tx_id string, wallet_id string, counterparty_id string, event_ts string, value string, asset string"
 UPD = "wallet_id string, risk_tier string, snapshot_ts timestamp_ntz, tie long"
@@ -37,9 +37,9 @@ def test_backfill_rerun_and_publish(spark, work):
     fact = {r.tx_id: r for r in J.published_fact(spark, lake).collect()}
     assert set(fact) == {"t1", "t3"} and float(fact["t1"].value) == 99.0
     assert fact["t3"].wallet_risk_tier_at_event == "LOW"
-    m = spark.read.parquet(f"{lake}/ops/run_metrics")
+    m = J.run_metrics(spark, lake).where("metric_name IN ('silver_rows_written', 'quarantine_rows_written')")
     assert m.count() == 4  # 2 metrics x 2 days, not duplicated by the rerun
-    q = spark.read.parquet(f"{lake}/silver/quarantine").first()
+    q = J.lake_table(spark, lake, "quarantine").first()
     assert q.breach_reasons == "unaccepted_asset"
     # The mart of a day knows the silver rows up to that day, also when the day is rerun later.
     for day, n, total in ((1, 1, 99.0), (2, 2, 106.0)):
@@ -51,8 +51,8 @@ def test_audit_breach_halts_before_publish(spark, work):
     x = extract(spark, f"{work}/bad", [("t1", "w1", "c1", "2027-01-01 00:00:00", "1", "BTC")])
     with pytest.raises(DataQualityError):
         J.run_batch(spark, x, f"{work}/lake", dt.date(2026, 7, 1), TX_CONTRACT, now=NOW)
-    assert not path_exists(spark, f"{work}/lake/silver/transactions")
-    assert not path_exists(spark, f"{work}/lake/gold/fact_transaction")
+    assert not PublishedLake(spark, f"{work}/lake").has("silver")
+    assert not PublishedLake(spark, f"{work}/lake").has("fact")
 
 
 def test_raw_audit_halts_on_duplicates(spark, work):
@@ -70,7 +70,7 @@ def test_run_only_touches_its_dates(spark, work):
     res = J.run_batch(spark, x2, lake, None, now=NOW, written_at=NOW)
     assert res.dates == [dt.date(2026, 7, 2)] and res.fact_rows == 1  # day 1 not republished
     m = {(r.metric_name, str(r.metric_date)): r.metric_value
-         for r in spark.read.parquet(f"{lake}/ops/run_metrics").collect()}
+         for r in J.run_metrics(spark, lake).collect()}
     assert m[("silver_rows_written", "2026-07-01")] == 1.0
     assert m[("quarantine_rows_written", "2026-07-01")] == 0.0
     assert (m[("silver_rows_written", "2026-07-02")], m[("quarantine_rows_written", "2026-07-02")]) == (1.0, 1.0)
@@ -88,7 +88,7 @@ def test_mart_tests_halt_on_duplicate_fact_rows(spark, work):
     with pytest.raises(DataQualityError) as e:
         J.run_batch(spark, x, f"{work}/lake", dt.date(2026, 7, 1), loose, now=NOW, audit_on="silver")
     assert "tx_id not unique" in str(e.value)
-    assert not path_exists(spark, f"{work}/lake/gold/fact_transaction")
+    assert not PublishedLake(spark, f"{work}/lake").has("fact")
 
 
 def test_csv_extract_with_schema(spark, work):
@@ -118,7 +118,7 @@ def test_unreadable_times_are_quarantined_and_corrected_rerun_leaves_nothing(spa
              ("t5", "w1", "c1", None, "1", "ETH")]
     res = J.run_batch(spark, extract(spark, f"{work}/b", fixed), lake, **kw)
     assert (res.silver_rows, res.quarantine_rows) == (3, 1)
-    quarantine = spark.read.parquet(f"{lake}/silver/quarantine")
+    quarantine = J.lake_table(spark, lake, "quarantine")
     assert [r.tx_id for r in quarantine.collect()] == ["t5"]
     # A date whose rows all turn bad loses its published rows.
     res = J.run_batch(spark, extract(spark, f"{work}/c", [
@@ -143,3 +143,98 @@ def test_row_bound_holds_per_day(spark, work):
     J.run_batch(spark, x, f"{work}/ok", contract=replace(TX_CONTRACT, row_count_max=2), now=NOW)
     with pytest.raises(DataQualityError):
         J.run_batch(spark, x, f"{work}/over", contract=replace(TX_CONTRACT, row_count_max=1), now=NOW)
+
+
+class Lost(Exception):
+    pass
+
+
+def _visible(spark, lake):
+    store = PublishedLake(spark, lake)
+    return {t: sorted(map(str, store.read(t).collect())) for t in (J.SILVER, J.QUARANTINE, J.FACT, J.STATES, J.MART)}
+
+
+@pytest.mark.parametrize("at", ["silver", "quarantine", "dimension", "fact", "tests", "wallet_day_states", "wallet_features", "publish"])
+def test_a_run_that_fails_anywhere_leaves_the_old_day_whole(spark, work, monkeypatch, at):
+    lake = f"{work}/lake"
+    kw = dict(now=NOW, written_at=NOW, audit_on="silver",
+              updates=spark.createDataFrame([("w1", "LOW", dt.datetime(2026, 6, 1), 1)], UPD))
+    J.run_batch(spark, day1(spark, work), lake, dt.date(2026, 7, 1), **kw)
+    before = _visible(spark, lake)
+    again = extract(spark, f"{work}/x2", [("t7", "w9", "c1", "2026-07-01 10:00:00", "7", "ETH"),
+                                          ("t8", "w9", "c1", "2026-07-01 10:00:00", "7", "DOGE")])
+
+    def fail(*args, **kwargs):
+        raise Lost
+
+    with monkeypatch.context() as m:
+        stage = PublishedLake.stage
+        if at == "dimension":
+            m.setattr(J.TB.Scd2Table, "apply", fail)
+        elif at == "tests":
+            m.setattr(J, "_table_tests", fail)
+        elif at == "publish":
+            m.setattr(PublishedLake, "publish", fail)
+        else:
+            m.setattr(PublishedLake, "stage", lambda self, run, table, rows, col: fail() if table == at else stage(self, run, table, rows, col))
+        with pytest.raises(Lost):
+            J.run_batch(spark, again, lake, dt.date(2026, 7, 1), **kw)
+    assert _visible(spark, lake) == before
+    J.run_batch(spark, again, lake, dt.date(2026, 7, 1), **kw)
+    assert [r.tx_id for r in J.published_fact(spark, lake).collect()] == ["t7"]
+
+
+def test_the_fact_is_written_once_and_old_runs_are_vacuumed(spark, work):
+    lake = f"{work}/lake"
+    for _ in range(2):
+        J.run_batch(spark, day1(spark, work), lake, dt.date(2026, 7, 1), now=NOW, written_at=NOW, audit_on="silver")
+    before, store = _visible(spark, lake), PublishedLake(spark, lake)
+    plan = store.read(J.FACT)._jdf.queryExecution().executedPlan().toString()
+    assert "CatalogFileIndex" in plan or "InMemoryFileIndex" in plan
+    assert store.vacuum() > 0 and _visible(spark, lake) == before and store.vacuum() == 0
+
+
+def test_a_new_session_finds_the_published_tables(spark, work):
+    from riskflow.sinks import lake as L
+
+    lake = f"{work}/lake"
+    J.run_batch(spark, day1(spark, work), lake, dt.date(2026, 7, 1), now=NOW, written_at=NOW, audit_on="silver")
+    before = _visible(spark, lake)
+    L._CATALOG.clear()  # what another driver would know
+    assert _visible(spark, lake) == before
+
+
+def test_the_mart_of_a_later_run_reads_states_not_silver(spark, work, monkeypatch):
+    lake, seen = f"{work}/lake", []
+    J.run_batch(spark, extract(spark, f"{work}/a", [("t1", "w1", "c1", "2026-07-01 10:00:00", "1", "BTC")]), lake, None, now=NOW, written_at=NOW)
+    stage = PublishedLake.stage
+
+    def spy(self, run, table, rows, col):
+        if table == J.MART:
+            seen.append((run, rows.inputFiles()))
+        return stage(self, run, table, rows, col)
+
+    monkeypatch.setattr(PublishedLake, "stage", spy)
+    J.run_batch(spark, extract(spark, f"{work}/b", [("t2", "w1", "c2", "2026-07-02 10:00:00", "2", "BTC")]), lake, None, now=NOW, written_at=NOW)
+    (run, files), = seen
+    assert files and all(f"/{J.STATES}/" in f for f in files)  # the fold scans states alone
+    mart = J.feature_mart(spark, lake, dt.date(2026, 7, 2)).first()
+    assert (mart.tx_count, mart.total_value, mart.active_days, mart.distinct_counterparties) == (2, 3.0, 2, 2)
+
+
+def test_metrics_of_a_run(spark, work):
+    lake = f"{work}/lake"
+    J.run_batch(spark, day1(spark, work), lake, dt.date(2026, 7, 1), now=NOW, written_at=NOW, audit_on="silver")
+    m = {r.metric_name: (r.metric_value, r.written_at) for r in J.run_metrics(spark, lake).collect()}
+    assert {k: v[0] for k, v in m.items() if k != "silver_age_hours"} == {
+        "silver_rows_written": 1.0, "quarantine_rows_written": 1.0, "gold_rows_written": 1.0}
+    assert m["silver_age_hours"] == ((NOW - dt.datetime(2026, 7, 1, 11)).total_seconds() / 3600, NOW)
+    assert J.run_metrics(spark, f"{work}/none").count() == 0
+
+
+def test_row_bound_names_the_days(spark, work):
+    from dataclasses import replace
+
+    x = extract(spark, f"{work}/x", [(f"t{i}", "w1", "c1", f"2026-07-0{1 + i % 2} 10:00:00", "1", "BTC") for i in range(3)])
+    with pytest.raises(DataQualityError, match="2026-07-01"):
+        J.run_batch(spark, x, f"{work}/over", contract=replace(TX_CONTRACT, row_count_max=1), now=NOW)

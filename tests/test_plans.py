@@ -37,28 +37,70 @@ def test_partition_pruning(spark, work):
     assert "PartitionFilters: [isnotnull(ingest_date" in p
 
 
-def test_registered_queries_have_no_python_udfs(spark):
+def test_clean_rows_build_no_reasons(spark):
+    from riskflow.operators import contract as C
+
+    norm = C.normalize(D.raw_transactions(D.table(spark, SF, "events")), D.EVENTS_CONTRACT)
+    clean, bad = C.split_quarantine(norm, D.EVENTS_CONTRACT)
+    for word in ("concat_ws", "array_join", "null_tx_id"):
+        assert word not in plan(clean)
+    assert "array_join" in plan(bad)
+
+
+def test_no_range_exchange_carries_fact_text(spark, monkeypatch):
+    """Positions are found on narrow rows: what is laid out by range has no text of facts."""
+    from riskflow.operators import evidence as EV
+    from riskflow.operators import ranking as R
+    from riskflow.plans import queries as Q
+
+    laid, layout = [], R.range_layout
+
+    def spy(df, order, partitions=None):
+        laid.append((df.columns, plan(df)))
+        return layout(df, order, partitions)
+
+    monkeypatch.setattr(R, "range_layout", spy)
+    _, feats, dims, scores, alerts = Q._evidence_inputs(spark, SF)
+    facts = EV.evidence_facts(feats, dims, scores, alerts)
+    assert len(laid) == 2  # history and alerts
+    for columns, text in laid:
+        assert "fact" not in columns and "risk_tier  from" not in text and "alert: window" not in text
+    assert "rangepartitioning" not in plan(facts)
+
+
+def test_seen_keys_are_not_shuffled(spark, work):
+    from riskflow.sinks.seen import SeenKeys
+
+    seen = SeenKeys(spark, "seen_plan", f"{work}/keys")
+    rows = spark.range(2000).selectExpr("cast(id as string) tx_id", "'w' wallet_id", "timestamp_ntz'2026-07-01 10:00:00' event_ts",
+                                        "date'2026-07-01' ingest_date")
+    seen.record(rows)
+    seen.record(rows)  # a rerun of the day replaces its keys
+    assert spark.table("seen_plan").count() == 2000
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        new = rows.withColumn("ingest_date", F.lit(dt.date(2026, 7, 2))).where("cast(tx_id as int) >= 1500").unionByName(
+            rows.selectExpr("concat('n', tx_id) tx_id", "wallet_id", "event_ts", "date'2026-07-02' ingest_date"))
+        kept = seen.unseen(new, [dt.date(2026, 7, 2)])
+        joined = plan(kept)
+        side = joined[joined.index("SortMergeJoin"):].split("FileScan parquet spark_catalog.default.seen_plan")[0]
+        # The stored side lies after the last exchange of the plan's text: only the new rows are dealt.
+        assert "Bucketed: true" in joined and "Exchange" not in side.rsplit("Range (", 1)[1]
+        assert kept.count() == 2000 and seen.unseen(rows, [dt.date(2026, 7, 1)]).count() == 2000
+    finally:
+        spark.conf.set(limit, before)
+        spark.sql("DROP TABLE seen_plan")
+
+
+def test_registered_queries_have_no_python_udfs_and_no_cross_joins(spark):
+    """Every wallet query, the costly ones too: no Python on the main path, and every join is on keys."""
     import __spark_entry__ as E
+    from riskflow.plans.registry import all_queries
 
-    skip = {"gbt_score", "model_eval", "stream_velocity", "stream_velocity_dedupe", "stream_dead_letter",
-            "batch_job_fact", "bronze_land_and_scan", "velocity_upsert_replay", "csv_adapt_graph", "label_map",
-            "scd2_yearly_batches", "time_split", "evidence_facts", "wallet_report", "average_precision",
-            "fact_point_in_time_salted", "scd2_two_batches", "scd2_checks_doubled"}
-    for name, fn in E.queries().items():
-        if name in skip:
-            continue
-        p = plan(fn(spark, SF))
-        assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
-
-
-def test_no_cross_or_nested_loop_joins(spark):
-    """Every registered query joins on keys; none plans a cartesian or nested-loop join."""
-    import __spark_entry__ as E
-
-    slow = {"gbt_score", "model_eval", "stream_velocity", "stream_velocity_dedupe", "stream_dead_letter",
-            "batch_job_fact", "scd2_yearly_batches", "score_table_upsert", "velocity_upsert_replay"}
-    for name, fn in E.queries().items():
-        if name in slow:
-            continue
-        p = plan(fn(spark, SF))
+    for name in all_queries():  # the wallet queries; those of llm may use Arrow batches
+        p = plan(E.queries()[name](spark, SF))
+        for word in ("BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas"):
+            assert word not in p, name
         assert "CartesianProduct" not in p and "NestedLoopJoin" not in p, name

@@ -106,3 +106,71 @@ def test_registered_late_stream_drops_exactly_the_late_days(spark):
     late = {tuple(r) for r in q["stream_velocity_late"](spark, sf).select(*key).collect()}
     group = lambda ts: min(int((ts.date() - dt.date(2024, 1, 1)).days // (31.0 / 3)), 2)
     assert late == {r for r in in_order if group(r[1]) != 1}
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def _exact(spark):
+    from riskflow.plans import domain as D
+
+    return velocity_features(D.transactions(D.table(spark, SF, "events")), "10 minutes", exact_distinct=True)
+
+
+def _close(estimated, exact, keys):
+    """The estimate is within three standard errors of five per cent, and one; every other column is exact."""
+    rest = [c for c in exact.columns if c != "distinct_counterparties"]
+    assert sorted(map(str, estimated.select(*rest).collect())) == sorted(map(str, exact.select(*rest).collect()))
+    both = estimated.select(*keys, F.col("distinct_counterparties").alias("e")).join(
+        exact.select(*keys, F.col("distinct_counterparties").alias("x")), keys)
+    assert both.where("abs(e - x) > 1 + 0.15 * x").isEmpty() and both.count() == exact.count()
+
+
+def test_registered_streams_equal_the_batch_operator(spark):
+    import __spark_entry__ as E
+
+    for name in ("stream_velocity", "stream_velocity_dedupe"):
+        _close(E.queries()[name](spark, SF), _exact(spark), ["wallet_id", "window_start"])
+    late = E.queries()["stream_velocity_late"](spark, SF)
+    kept = late.select("wallet_id", "window_start")
+    _close(late, _exact(spark).join(kept, ["wallet_id", "window_start"], "left_semi").select(*late.columns), ["wallet_id", "window_start"])
+
+
+def test_estimates_of_the_batch_queries_are_close(spark):
+    import __spark_entry__ as E
+
+    q = E.queries()
+    _close(q["velocity_10min_hll"](spark, SF), _exact(spark), ["wallet_id", "window_start"])
+    _close(q["wallet_features_hll"](spark, SF), q["wallet_features"](spark, SF), ["wallet_id"])
+
+
+def test_a_query_stopped_at_work_goes_on_from_its_checkpoint(spark, work):
+    lines = [payload(f"t{i}", f"w{i % 3}", f"2026-07-01 10:{i:02d}:00", float(i)) for i in range(40)]
+    _write_batches(local_path(f"{work}/in"), [lines[k:k + 5] for k in range(0, 40, 5)])
+    raw = event_stream(spark, f"{work}/in", max_files_per_trigger=1)
+    running = run_stream(raw, f"{work}/out", f"{work}/ckpt", available_now=False, metrics_root=f"{work}/metrics")
+    deadline = time.time() + 120
+    while running.features.lastProgress is None and time.time() < deadline:
+        time.sleep(0.2)
+    running.stop()  # in the middle of the files
+    state = local_path(f"{work}/ckpt/velocity/state")
+    written = [f for _, _, files in os.walk(state) for f in files]
+    assert any(f.endswith(".changelog") for f in written)
+    run_stream(raw, f"{work}/out", f"{work}/ckpt", metrics_root=f"{work}/metrics").await_all()
+    got = {(r.wallet_id, r.window_start.strftime("%H:%M")): r.tx_count for r in read_velocity_table(spark, f"{work}/out").collect()}
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    assert got == {(r.wallet_id, r.window_start.strftime("%H:%M")): r.tx_count for r in velocity_features(parse_events(df)).collect()}
+
+    from riskflow.operators.opsmetrics import metrics_table
+
+    rows = metrics_table(spark, f"{work}/metrics").read().collect()
+    assert {r.metric_name for r in rows} == {"stream_batch_rows"}
+    assert len({r.source for r in rows}) >= 8  # one value per micro-batch
+
+
+def test_the_session_keeps_its_state_store_setting(spark, work):
+    from riskflow.streaming.velocity_stream import STATE_SETTINGS
+
+    before = {k: spark.conf.get(k, None) for k in STATE_SETTINGS}
+    _run(spark, work, [[payload("a", "w1", "2026-07-01 10:01:00")]])
+    assert {k: spark.conf.get(k, None) for k in STATE_SETTINGS} == before
