@@ -1,12 +1,16 @@
 """Byte-level BPE encoding and decoding with the tiktoken library and a local rank file.
 
 Long texts are cut at boundaries that no match of the split pattern can cross,
-so pieces encode to the same ids as the whole text. Decoding joins the raw
-bytes of the ids.
+so pieces encode to the same ids as the whole text. A piece that stays long
+(white space, letters or digits without end) is split by the ``regex`` module
+and its matches are encoded one by one, since the library's own splitter fails
+on matches of some hundred thousand characters. Decoding joins the raw bytes of
+the ids.
 
 Defined cases: a null text encodes as the empty text (no ids); repeated rows
-give repeated results; an empty table gives an empty result; other columns of
-the input are not read.
+give repeated results; very long texts, and runs of one kind of character in
+them, encode as any other; an empty table gives an empty result; other columns
+of the input are not read.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +29,12 @@ from pyspark.sql import DataFrame
 from riskflow.llm.common import ready_for_python
 
 PIECE_CHARS = 1 << 16
+LONG_PIECE = 1 << 17  # beyond it the library's splitter is not used
 
 # A blank between two other characters that are no white space: no match of the
 # pattern spans "non-space, blank", and what ends there needs no look at the rest.
 _SAFE = regex.compile(r"(?<=\S) (?=\S)")
+_split = cache(regex.compile)
 
 SCHEMA = "doc_id long, n_tokens long, ids binary, decoded_sha256 string"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()),
@@ -54,10 +61,21 @@ def pieces(text: str, size: int = PIECE_CHARS):
 
 
 def encode(enc: tiktoken.Encoding, text: str, size: int = PIECE_CHARS) -> np.ndarray:
-    parts = [np.array(enc.encode_ordinary(p), "<u4") for p in pieces(text, size)]
+    parts = []
+    for p in pieces(text, size):
+        if len(p) <= LONG_PIECE:
+            parts.append(np.array(enc.encode_ordinary(p), "<u4"))
+        else:
+            ids = chain.from_iterable(encode_match(enc, m.group()) for m in _split(enc._pat_str).finditer(p))
+            parts.append(np.fromiter(ids, "<u4"))
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
+def encode_match(enc: tiktoken.Encoding, match: str) -> list[int]:
+    """The ids of one match of the split pattern."""
+    return enc._encode_single_piece(match)
+
+
 def decode(enc: tiktoken.Encoding, ids: np.ndarray) -> bytes:
     return enc.decode_bytes(ids.tolist())
 

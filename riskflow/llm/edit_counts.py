@@ -6,20 +6,24 @@ edit re-splits and re-encodes only from the pre-token that holds the last
 characters before it to the first boundary behind it at which the old split
 continues, and renews the sums above the touched leaves.
 
-Defined cases: a null text counts as empty; null edits are no edits; an edit
-with a null replacement deletes; spans are clipped to the text; edits of a
-document apply one after the other, each in the coordinates of the text so
-far; repeated rows give repeated results; an empty table gives an empty result;
-other columns of the input are not read.
+Defined cases: a null text counts as empty; null edits, and null elements among
+them, are no edits; a null start or length is 0, and an edit with a null
+replacement deletes; spans are clipped to the text; edits of a document apply
+one after the other, each in the coordinates of the text so far; a run of one
+kind of character is one pre-token whatever its length; repeated rows give
+repeated results; an empty table gives an empty result; other columns of the
+input are not read.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate, chain
+
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from riskflow.llm.byte_bpe import encoding
+from riskflow.llm.byte_bpe import encode_match, encoding
 from riskflow.llm.common import ready_for_python
 
 LEAF = 128
@@ -38,7 +42,7 @@ class TokenCounts(dict):
         self._enc = enc
 
     def __missing__(self, piece: str) -> int:
-        n = len(self._enc.encode_ordinary(piece))
+        n = len(encode_match(self._enc, piece))
         if len(piece) <= 64:
             if len(self) >= _CACHE:
                 self.clear()
@@ -47,88 +51,127 @@ class TokenCounts(dict):
 
 
 class TokenTree:
-    """Token count of one text that is kept up to date under edits."""
+    """Token count of one text that is kept up to date under edits.
+
+    A leaf holds its stretch of text, and the characters and tokens of each of
+    its pre-tokens. An edit reads the leaves it touches; a leaf that grows
+    beyond twice LEAF pre-tokens is cut into several.
+    """
 
     def __init__(self, text: str, split: regex.Pattern, counts: TokenCounts):
-        self.text, self._split, self._counts = text, split, counts
+        self._split, self._counts = split, counts
         pieces = split.findall(text)
-        sizes, tokens = [len(p) for p in pieces], [counts[p] for p in pieces]
-        self._leaves = [(sizes[i:i + LEAF], tokens[i:i + LEAF]) for i in range(0, len(pieces), LEAF)] or [([], [])]
+        self._leaves = self._cut(pieces, [len(p) for p in pieces], [counts[p] for p in pieces]) or [("", [], [])]
+        self._build()
+        self.reencoded = 0
+
+    @staticmethod
+    def _cut(pieces: list[str], sizes: list[int], tokens: list[int]) -> list[tuple]:
+        return [("".join(pieces[i:i + LEAF]), sizes[i:i + LEAF], tokens[i:i + LEAF]) for i in range(0, len(pieces), LEAF)]
+
+    def _build(self) -> None:
+        """The inner nodes over the leaves as they are."""
         self._width = 1 << (len(self._leaves) - 1).bit_length()
         self._chars, self._tokens = [0] * (2 * self._width), [0] * (2 * self._width)
-        for i, (s, t) in enumerate(self._leaves):
-            self._chars[self._width + i], self._tokens[self._width + i] = sum(s), sum(t)
+        for i, (text, _, tokens) in enumerate(self._leaves):
+            self._chars[self._width + i], self._tokens[self._width + i] = len(text), sum(tokens)
         for node in range(self._width - 1, 0, -1):
             self._sum(node)
-        self.reencoded = 0
 
     @property
     def total(self) -> int:
         return self._tokens[1]
 
+    @property
+    def chars(self) -> int:
+        return self._chars[1]
+
+    @property
+    def text(self) -> str:
+        return "".join(leaf[0] for leaf in self._leaves)
+
     def _sum(self, node: int) -> None:
         self._chars[node] = self._chars[2 * node] + self._chars[2 * node + 1]
         self._tokens[node] = self._tokens[2 * node] + self._tokens[2 * node + 1]
 
-    def _store(self, leaf: int, sizes: list[int], tokens: list[int]) -> None:
-        self._leaves[leaf] = (sizes, tokens)
-        node = self._width + leaf
-        self._chars[node], self._tokens[node] = sum(sizes), sum(tokens)
-        while node > 1:
-            node //= 2
-            self._sum(node)
+    def _replace(self, first: int, last: int, pieces: list[str], sizes: list[int], tokens: list[int]) -> None:
+        """These pre-tokens in place of the leaves first to last."""
+        if first == last and len(pieces) <= 2 * LEAF:
+            self._leaves[first] = ("".join(pieces), sizes, tokens)
+            node = self._width + first
+            self._chars[node], self._tokens[node] = len(self._leaves[first][0]), sum(tokens)
+            while node > 1:
+                node //= 2
+                self._sum(node)
+        else:
+            self._leaves[first:last + 1] = self._cut(pieces, sizes, tokens)
+            self._leaves = self._leaves or [("", [], [])]
+            self._build()
 
-    def _locate(self, position: int) -> tuple[int, int, int]:
-        """(leaf, number in it, start) of the pre-token that holds a position, the last one for the end."""
+    def _locate(self, position: int) -> tuple[int, int]:
+        """(leaf, its start) that holds a position, the last leaf for the end."""
         node, start = 1, 0
         while node < self._width:
             node *= 2
-            if position - start >= self._chars[node] and node + 1 < 2 * self._width and self._chars[node + 1]:
+            if position - start >= self._chars[node] and self._chars[node + 1]:
                 start += self._chars[node]
                 node += 1
-        leaf = node - self._width
-        sizes = self._leaves[leaf][0]
-        for k, size in enumerate(sizes):
-            if position < start + size or k == len(sizes) - 1:
-                return leaf, k, start
-            start += size
-        return leaf, 0, start
+        return min(node - self._width, len(self._leaves) - 1), start
 
     def edit(self, start: int, length: int, replacement: str) -> None:
-        start = max(0, min(start, len(self.text)))
-        end = min(len(self.text), start + max(0, length))
+        start = max(0, min(start, self.chars))
+        end = min(self.chars, start + max(0, length))
         shift = len(replacement) - (end - start)
-        self.text = self.text[:start] + replacement + self.text[end:]
-        first, skip, at = self._locate(max(0, start - CONTEXT))
-        leaf, k, old = first, skip, at  # the old split, read along
-        new_sizes, new_tokens, done = [], [], at
-        for match in self._split.finditer(self.text, at):
-            if done >= start + len(replacement):
-                while old < done - shift and leaf < len(self._leaves):
-                    if k < len(self._leaves[leaf][0]):
-                        old += self._leaves[leaf][0][k]
-                        k += 1
-                    else:
-                        leaf, k = leaf + 1, 0
-                if old == done - shift and old >= end:
+        first, base = self._locate(max(0, start - CONTEXT))
+        last, _ = self._locate(end)
+        # From the leaf's pre-token that holds the characters before the edit; all places below count from the leaf's start.
+        kept, at = 0, 0
+        for size in self._leaves[first][1][:-1]:
+            if base + at + size > max(0, start - CONTEXT):
+                break
+            kept, at = kept + 1, at + size
+        new, done = [], at  # pre-tokens found anew, and where they end
+        while True:
+            old = "".join(leaf[0] for leaf in self._leaves[first:last + 1])
+            window = old[:start - base] + replacement + old[end - base:]
+            whole = last == len(self._leaves) - 1
+            ends = set(accumulate(chain.from_iterable(leaf[1] for leaf in self._leaves[first:last + 1])))
+            behind = start - base + len(replacement)
+            met = False
+            for match in self._split.finditer(window, done):
+                if done >= behind and done - shift >= end - base and done - shift in ends:
+                    met = True
                     break
-            piece = match.group()
-            new_sizes.append(len(piece))
-            new_tokens.append(self._counts[piece])
-            done = match.end()
-        else:
-            leaf, k = len(self._leaves), 0  # all of the old split is replaced
+                if not whole and match.end() > len(window) - CONTEXT:
+                    break  # the match might go on behind the window
+                new.append(match.group())
+                done = match.end()
+            if met or whole:
+                break
+            if done >= behind and done - shift >= end - base and done - shift in ends:
+                met = True
+                break
+            last = min(len(self._leaves) - 1, last + (last - first + 1))
         self.reencoded += done - at
-        head = self._leaves[first]
-        sizes, tokens = head[0][:skip] + new_sizes, head[1][:skip] + new_tokens
-        if leaf == first:
-            sizes, tokens = sizes + head[0][k:], tokens + head[1][k:]
-        self._store(first, sizes, tokens)
-        for between in range(first + 1, min(leaf, len(self._leaves))):
-            self._store(between, [], [])
-        if first < leaf < len(self._leaves):
-            s, t = self._leaves[leaf]
-            self._store(leaf, s[k:], t[k:])
+        head, sizes, tokens = self._leaves[first]
+        pieces = _pieces(head, sizes)[:kept] + new
+        sizes, tokens = sizes[:kept] + [len(p) for p in new], tokens[:kept] + [self._counts[p] for p in new]
+        reached = 0
+        if met:  # the old split goes on from here
+            for leaf in range(first, last + 1):
+                text, leaf_sizes, leaf_tokens = self._leaves[leaf]
+                if reached + len(text) > done - shift:
+                    k = next(i for i, e in enumerate(accumulate(leaf_sizes, initial=reached)) if e == done - shift)
+                    pieces += _pieces(text, leaf_sizes)[k:]
+                    sizes, tokens = sizes + leaf_sizes[k:], tokens + leaf_tokens[k:]
+                    last = leaf
+                    break
+                reached += len(text)
+        self._replace(first, last, pieces, sizes, tokens)
+
+
+def _pieces(text: str, sizes: list[int]) -> list[str]:
+    return [text[e - n:e] for n, e in zip(sizes, accumulate(sizes), strict=True)]
 
 
 def count_edited(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
@@ -147,9 +190,10 @@ def count_edited(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
             for doc_id, text, edits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tree = TokenTree(text or "", split, counts)
                 before = tree.total
-                for e in edits or []:
-                    tree.edit(e["start"], e["length"], e["replacement"] or "")
-                out.append((doc_id, before, len(edits or []), tree.total, len(tree.text), tree.reencoded))
+                edits = [e for e in edits or [] if e is not None]
+                for e in edits:
+                    tree.edit(e["start"] or 0, e["length"] or 0, e["replacement"] or "")
+                out.append((doc_id, before, len(edits), tree.total, tree.chars, tree.reencoded))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)],
                                              schema=schema)
 

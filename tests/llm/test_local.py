@@ -49,6 +49,55 @@ def test_edits_of_a_long_text_touch_little():
     assert tree.total == len(ENC.encode_ordinary(text)) and tree.reencoded < 20 * 60
 
 
+def test_a_large_insertion_leaves_small_leaves():
+    split, counts = regex.compile(PATTERN), edit_counts.TokenCounts(ENC)
+    tree = edit_counts.TokenTree("start end", split, counts)
+    tree.edit(5, 0, " ab1 cd2" * 50_000)
+    assert max(len(leaf[1]) for leaf in tree._leaves) <= 2 * edit_counts.LEAF
+    before = tree.reencoded
+    tree.edit(200_000, 3, "xyz")
+    assert tree.reencoded - before < 100
+    text = tree.text
+    for at in (0, 123_456, 399_000):
+        tree.edit(at, 100_000, "")
+        text = text[:at] + text[at + 100_000:]
+    assert tree.text == text and tree.total == len(ENC.encode_ordinary(text)) and tree.chars == len(text)
+
+
+@given(st.integers(0, 10**6), st.lists(st.tuples(st.integers(0, 3000), st.integers(0, 900), TEXTS), max_size=6))
+@settings(max_examples=60, deadline=None)
+def test_edits_over_many_leaves_equal_full_counts(seed, edits):
+    rng = random.Random(seed)
+    text = "".join(rng.choice(["ab ", "  ", "\n", "x1", "'ll", "é!", " " * 40, "q" * 40]) for _ in range(600))
+    tree = edit_counts.TokenTree(text, regex.compile(PATTERN), edit_counts.TokenCounts(ENC))
+    for start, length, new in edits:
+        start = min(start, len(text))
+        text = text[:start] + new + text[start + length:]
+        tree.edit(start, length, new)
+        assert tree.text == text and tree.total == len(ENC.encode_ordinary(text))
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "a", "7", "漢", "!", "\t "])
+def test_runs_of_two_million_characters(unit):
+    run = unit * (2_000_000 // len(unit))
+    for text in (run, f"word {run}word", f"{run} x"):
+        ids = byte_bpe.encode(ENC, text)
+        assert byte_bpe.decode(ENC, ids) == text.encode()
+        tree = edit_counts.TokenTree(text, regex.compile(PATTERN), edit_counts.TokenCounts(ENC))
+        assert tree.total == len(ids)
+    # The same ids as the library gives where its splitter still works.
+    short = f"word {unit * 20_000}word"
+    assert byte_bpe.encode(ENC, short, 100).tolist() == ENC.encode_ordinary(short)
+
+
+def test_long_pieces_are_split_as_the_library_does(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "LONG_PIECE", 10)
+    rng = random.Random(8)
+    for _ in range(300):
+        text = "".join(rng.choice("ab é'sl 1\n\t漢!x") for _ in range(rng.randrange(200)))
+        assert byte_bpe.encode(ENC, text, 50).tolist() == ENC.encode_ordinary(text)
+
+
 def _zip(zip64):
     sink = io.BytesIO()
     close, sink.close = sink.close, lambda: None

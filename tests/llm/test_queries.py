@@ -55,6 +55,21 @@ def test_byte_bpe_and_edits_on_odd_rows(spark):
     assert byte_bpe.tokenize(_docs(spark, []), ranks, pattern).count() == 0
 
 
+def test_null_parts_of_edits_and_long_white_space(spark):
+    ranks, pattern = byte_bpe.default_tokenizer()
+    enc = byte_bpe.encoding(ranks, pattern)
+    rows = [(1, "abc def", [None]), (2, "abc def", [(None, 3, "x")]), (3, "abc def", [(4, None, "x")]), (4, None, [(None, None, None)]),
+            (5, " " * 1_000_000, [(10, 5, "word"), None]), (6, "\n" * 1_000_000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, edits array<struct<start:long,length:long,replacement:string>>")
+    got = {r["doc_id"]: r for r in edit_counts.count_edited(docs, ranks, pattern).collect()}
+    assert {i: (got[i]["n_edits"], got[i]["edited_chars"]) for i in got} == {
+        1: (0, 7), 2: (1, 5), 3: (1, 8), 4: (1, 0), 5: (1, 999_999), 6: (0, 1_000_000)}
+    assert got[2]["edited_tokens"] == len(enc.encode_ordinary("x def")) and got[3]["edited_tokens"] == len(enc.encode_ordinary("abc xdef"))
+    done = {r["doc_id"]: r for r in byte_bpe.tokenize(docs.select("doc_id", "text"), ranks, pattern).collect()}
+    assert done[5]["decoded_sha256"] == hashlib.sha256(b" " * 1_000_000).hexdigest() and done[5]["n_tokens"] == got[5]["n_tokens"]
+    assert byte_bpe.token_ids(docs.drop("edits"), ranks, pattern).count() == 6
+
+
 def test_fingerprints_follow_the_next_document(spark):
     rows = [(i * 7 % 101, f"text {i} " * (i % 9)) for i in range(101)] + [(None, "first of all"), (50, "twice"), (200, "")]
     got = bucket_digest.fingerprints(_docs(spark, rows).repartition(5)).collect()
