@@ -279,6 +279,51 @@ def test_short_notices_without_base_places(spark):
     assert {(r["n_base"], r["labels"]) for r in rows.collect()} == {(0, "gpl-3")}
 
 
+TOLD = [
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", "apache-2,mit"), ("SPDX-License-Identifier: (GPL-2.0-only OR MIT)", "gpl-2,mit"),
+    ("SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception", "apache-2"), ("SPDX-License-Identifier: BSD-3-Clause AND MIT", "bsd,mit"),
+    (GPL_GRANT.format(3) + "\nEclipse Public License version 2", "gpl-3"), ("Licensed under GPL-3.0", "gpl-3"), ("License: MIT", "mit"),
+    ("licensed under Apache 2.0", "apache-2"), ("License: CC-BY-4.0", "cc-by"), ("licensed under CC BY-NC 4.0", "cc-by-nc"),
+    ("SPDX-License-Identifier: GPL-2.0-only\n# Copyright MIT 2020", "gpl-2"), ("GNU General Public License. Eclipse Public License, version 2", "")]
+
+
+def test_expressions_and_neighbouring_licenses(spark):
+    found = license_scan.scan(_docs(spark, [(i, text) for i, (text, _) in enumerate(TOLD)])).collect()
+    assert [(TOLD[r["doc_id"]], r["labels"]) for r in found if r["labels"] != TOLD[r["doc_id"]][1]] == []
+
+
+def test_repetitive_texts_of_many_megabytes(spark):
+    unit = "under the gplv2 "
+    rows = [(1, unit * (4_000_000 // len(unit))), (2, "x" * 20_000_000), (3, "under the mit license " * 100_000), (4, " " * 3_000_000 + "cc by nc")]
+    got = {r["doc_id"]: r for r in license_scan.scan(_docs(spark, rows)).collect()}
+    assert (got[1]["labels"], got[1]["n_words"]) == ("gpl-2", 3 * (4_000_000 // len(unit)))
+    assert (got[2]["labels"], got[2]["n_words"]) == ("", 1)
+    assert (got[3]["labels"], got[3]["n_base"], got[3]["last_word"]) == ("mit", 100_000, 4 * 99_999)
+    assert (got[4]["labels"], got[4]["first_word"]) == ("cc-by-nc", 0)
+
+
+@pytest.mark.parametrize("piece", [16, 512])
+def test_blocks_over_the_ends_of_pieces(spark, monkeypatch, piece):
+    monkeypatch.setattr(license_scan, "SHORT_CHARS", 0)
+    monkeypatch.setattr(license_scan, "PIECE_WORDS", piece)
+    monkeypatch.setattr(license_scan, "_PIECE", license_scan._PIECE.replace("512", str(piece)))
+    rng = random.Random(3)
+    templates = [("a", "one two three four five six seven eight nine"), ("b", "one [two three]"), ("c", "[four] ... six")]
+    pool = "one two three four five six seven eight nine x, y-z é".split()
+    rows = [(i, "-- " * (i % 2) + rng.choice([" ", "\n", "; "]).join(rng.choice(pool) for _ in range(rng.randrange(10, 90))) + "!" * (i % 3)) for i in range(40)]
+    if piece == 512:
+        rows = [(i, " ".join(t for _, t in rows[i:] + rows[:i])) for i in range(3)]
+    found = license_scan.similar_blocks(_docs(spark, rows).select("doc_id", "text"), templates).collect()
+    want = set()
+    for i, text in rows:
+        words = license_scan.words_of(text)
+        for t, at, score in _met_brute(text, templates):
+            block = " " + " ".join(words[at:at + license_scan.block_words(templates[t][1])]) + " "
+            if all(f" {p} " in block for p in license_scan.required_phrases(templates[t][1])):
+                want.add((i, t, at, score))
+    assert {(r["doc_id"], r["template"], r["at"], r["score"]) for r in found} == want and want
+
+
 def test_blocks_equal_brute_force(spark):
     rng = random.Random(11)
     templates = [("a", "one two three four five six seven eight nine ten eleven"), ("b", "one two two three"),
