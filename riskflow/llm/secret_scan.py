@@ -1,12 +1,21 @@
 """Secret scans: candidate strings, and a random forest that removes false positives.
 
-DataFrame functions and MLlib only. Candidates are long runs of key characters
-and values assigned by ``:`` or ``=``. The forest sees the candidate's length,
-its character transitions and classes, how much of it dictionary words cover,
-the path (source) it came from and the neighbouring words. It is trained on
-labelled findings; where none are given, findings of well-known formats and
-contexts are labelled by rule (``label_by_format``). Training uses at most
-``max_findings`` findings of each label in a fixed hash order.
+DataFrame functions and MLlib only. Candidates are passwords in URLs, tokens of
+several parts, values assigned by ``:`` or ``=``, and long runs of key
+characters. The forest sees the candidate's length, its character transitions
+and classes, how much of it dictionary words cover, the path (source) it came
+from and the neighbouring words (those of the labelled findings' NEAR_WORDS most
+frequent ones that stand before it). The dictionary is the table's own: the
+DICTIONARY_WORDS words that most documents hold.
+
+The forest is trained on labelled findings (doc_id, start, label). Where none
+are given, findings are labelled by rule (``label_by_rule``) from what the forest
+does not see: formats of well-known credentials, the punctuation around a
+candidate, lists of telling words and placeholders. So the forest does not get
+the rule's own columns: it has to find what the labelled strings and their
+surroundings have in common, and decides for all other findings by it. Strings
+of a well-known format count as secrets whatever the forest says. Training uses
+at most ``max_findings`` findings of each label in a fixed hash order.
 
 Defined cases: null and empty texts have no findings; a null source counts as
 empty; rows that repeat an id and text are scanned once; without findings of
@@ -16,8 +25,9 @@ empty result; other columns of the input are not read.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import CountVectorizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,12 +35,16 @@ from pyspark.sql.window import Window
 
 from riskflow.session import materialize
 
-# A value after ":" or "=", or a long run of key characters.
-CANDIDATE = (r"""(?<=[:=]\s{0,2}["']?)[^\s"',;]{8,}"""
+# In this order: the password of a URL, a token of several parts, a value after ":" or "=" (but not a URL's host or port),
+# a long run of key characters.
+CANDIDATE = (r"""(?<=://[^\s/:@"']{0,64}:)[^\s/:@"']{4,}(?=@)"""
+             r"""|(?<![A-Za-z0-9+/_=\-.])[A-Za-z0-9_\-]{10,}(?:\.[A-Za-z0-9_\-]{10,}){1,3}(?![A-Za-z0-9_\-.])"""
+             r"""|(?<=[:=]\s{0,2}["']?)(?<!://[^\s/]{0,128}:)(?!//|[A-Za-z][A-Za-z0-9+.\-]*://)[^\s"',;]{8,}"""
              r"""|(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9+/_\-]{16,}={0,2}""")
 MARK = "[SECRET]"
 MAX_FINDINGS = 10_000
-TREES, DEPTH, SEED = 30, 8, 17
+TREES, DEPTH, SEED = 40, 10, 17
+NEAR_COUNT = 6  # so many words before a candidate
 NEAR_CHARS = 48  # neighbouring words are looked for this far to the left
 AFTER_CHARS = 8  # and the text this far to the right; no candidate is shorter
 REACH = NEAR_CHARS // 8  # so many candidates before one hold NEAR_CHARS together
@@ -38,30 +52,29 @@ REACH = NEAR_CHARS // 8  # so many candidates before one hold NEAR_CHARS togethe
 # Formats of well-known credentials and words around (no) secrets.
 ASSIGNED = r"""[:=]\s*["']?$"""
 TO_LAST = r"""^["']?[ \t]*([:=]\s*)?["']?$"""  # all that stands between a name and its value
-KNOWN_FORMAT = (r"^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_\-]{20,}"
+KNOWN_FORMAT = (r"^(eyJ[A-Za-z0-9_\-]{8,}(\.[A-Za-z0-9_\-]{8,}){2}|(AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_\-]{20,}"
                 r"|xox[baprs]-[A-Za-z0-9\-]{10,}|glpat-[A-Za-z0-9_\-]{20}|AIza[A-Za-z0-9_\-]{35})$")
 SECRET_WORDS = r"(?i)(secret|token|passw(or)?d|passwd|pwd|api.?key|access.?key|bearer|credential|private|auth)"
 HARMLESS_WORDS = r"(?i)(sha-?(1|256|512)|md5|commit|checksum|digest|hash|uuid|guid|isbn|card|phone|etag|integrity)"
 PLACEHOLDER = r"(?i)(example|sample|dummy|placeholder|changeme|your[_\-]?|xxxx|1234567|<|>|\$\{|\*\*\*)"
 TEST_PATH = r"(?i)(test|example|sample|fixture|mock|doc)"
-DICTIONARY = (
-    "about access account address admin after again answer apple author balance because before bucket build buffer "
-    "change client cloud column config connect content control count country create current data database default "
-    "delete demo deploy device document domain email encode error event example export family field file filter first "
-    "format from function general group hello host house http image import index input install into key language "
-    "length letter library license light line link list local login machine main manager master message method "
-    "model module money name network never node number object office option order output package page parameter "
-    "parse party password path people phone place point policy power private process product program project proxy "
-    "public query question random read record region release remote report request response result return right "
-    "sample save school script search secret section select sequence server service session setting simple size "
-    "small software source space start state static status storage string style system table target team template "
-    "test that this time title token tool total type under update upload user utility value version view water "
-    "where which window with word work world write year"
-).split()
-
-FEATURES = ["length", "changes", "digits", "uppers", "symbols", "hexadecimal", "all_digits", "distinct_chars",
-            "syllables", "dictionary", "test_path", "path_depth", "assigned", "quoted", "secret_near", "harmless_near",
-            "placeholder"]
+URL_PASSWORD = r"""://[^\s/:@"']{0,64}:$"""
+DICTIONARY_WORDS = 1_000
+NEAR_WORDS = 200
+_LETTERS = r"[a-z]{4,16}"
+
+FEATURES = ["length", "changes", "digits", "uppers", "symbols", "hexadecimal", "distinct_chars", "syllables", "dictionary",
+            "test_path", "path_depth"]
+CONTEXT = ["assigned", "secret_near", "harmless_near", "placeholder", "known_format", "url_password", "all_digits"]
+
+
+def dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> list[str]:
+    """The words (4 to 16 letters) that most documents hold, ties in alphabetical order; only they pass the driver."""
+    held = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(rf"(?<![a-z0-9]){_LETTERS}(?![a-z0-9])"),
+                                                                       F.lit(0)))).alias("word"))
+    found = held.groupBy("word").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.col("n").desc(), "word").limit(words)
+    return [r["word"] for r in found.collect()]
+
 
 def _share(c: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(c, pattern, "")) / F.length(c)
@@ -109,12 +122,13 @@ def candidates(docs: DataFrame) -> DataFrame:
     return each.withColumn("start", F.sum(F.col("gap") + F.length("cand")).over(so_far) - F.length("cand"))
 
 
-def with_features(found: DataFrame) -> DataFrame:
-    """The candidates with the numbers that the forest sees."""
+def with_features(found: DataFrame, known_words: list[str]) -> DataFrame:
+    """The candidates with the numbers that the forest sees (FEATURES), the words before them, and those of the rule (CONTEXT)."""
     c, low = F.col("cand"), F.lower("cand")
     changes = F.regexp_count(c, F.lit(r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])"
                                       r"|(?<=[^A-Za-z0-9])(?=[A-Za-z0-9])"))
-    near, words = F.col("before"), F.col("words")
+    before, words = F.col("before"), F.col("words")
+    covered = 1 - _share(low, "|".join(sorted(known_words, key=lambda w: (-len(w), w)))) if known_words else F.lit(0.0)
     numbers = {
         "length": F.log1p(F.length(c)),
         "changes": changes / F.length(c),
@@ -122,62 +136,74 @@ def with_features(found: DataFrame) -> DataFrame:
         "uppers": _share(c, "[^A-Z]"),
         "symbols": _share(c, "[A-Za-z0-9]"),
         "hexadecimal": c.rlike("^([0-9a-f]+|[0-9A-F]+)$"),
-        "all_digits": c.rlike("^[0-9]+$"),
         "distinct_chars": F.size(F.array_distinct(F.split(c, ""))) / F.length(c),
         "syllables": F.regexp_count(low, F.lit("[bcdfghj-np-tv-z][aeiouy]")) / F.length(c),
-        "dictionary": 1 - _share(low, "|".join(sorted((w for w in DICTIONARY if len(w) > 3), key=len, reverse=True))),
+        "dictionary": covered,
         "test_path": F.col("source").rlike(TEST_PATH),
         "path_depth": F.regexp_count(F.col("source"), F.lit("/")),
-        "assigned": near.rlike(ASSIGNED),
-        "quoted": near.rlike("""["']$""") & F.col("after").rlike("""^["']"""),
+        "assigned": before.rlike(ASSIGNED),
         "secret_near": words.rlike(SECRET_WORDS),
         "harmless_near": words.rlike(HARMLESS_WORDS),
         "placeholder": c.rlike(PLACEHOLDER),
+        "known_format": c.rlike(KNOWN_FORMAT),
+        "url_password": before.rlike(URL_PASSWORD),
+        "all_digits": c.rlike("^[0-9]+$"),
     }
-    return found.select("*", *[F.coalesce(numbers[f].cast("double"), F.lit(0.0)).alias(f) for f in FEATURES])
-
-
-def label_by_format() -> Column:
-    """1 for findings that formats and context prove, 0 for harmless ones, null for the rest."""
-    c = F.col("cand")
-    is_key = c.rlike(KNOWN_FORMAT) | ((F.col("secret_near") == 1) & (F.col("assigned") == 1) & (F.col("placeholder") == 0)
-                                      & (F.col("dictionary") < 0.6) & (F.col("distinct_chars") > 0.1))
-    harmless = ((F.col("all_digits") == 1) | (F.col("placeholder") == 1) | (F.col("harmless_near") == 1)
-                | ((F.col("digits") == 0) & (F.col("secret_near") == 0)))
+    near = F.filter(F.split(F.lower(F.regexp_replace("words", "(?<=[a-z])(?=[A-Z])", " ")), "[^a-z]+"), lambda w: F.length(w) > 1)
+    return found.select("*", *[F.coalesce(numbers[f].cast("double"), F.lit(0.0)).alias(f) for f in FEATURES + CONTEXT],
+                        F.slice(F.reverse(near), 1, NEAR_COUNT).alias("near_words"))
+
+
+def label_by_rule() -> Column:
+    """1 for findings that format and context prove, 0 for harmless ones, null for the rest; from CONTEXT columns alone."""
+    holds = {c: F.col(c) == 1 for c in CONTEXT}
+    named = holds["secret_near"] & holds["assigned"] & ~holds["harmless_near"]
+    is_key = (holds["known_format"] | holds["url_password"] | named) & ~holds["placeholder"] & ~holds["all_digits"]
+    harmless = (holds["placeholder"] | holds["harmless_near"] | holds["all_digits"]
+                | ~(holds["secret_near"] | holds["assigned"] | holds["known_format"]))
     return F.when(is_key, 1.0).when(harmless, 0.0)
 
 
-def _assembled(found: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=FEATURES, outputCol="forest_input").transform(found)
-
-
 def train(labelled: DataFrame, max_findings: int = MAX_FINDINGS):
-    """Forest over findings with features and a ``label`` (0 or 1); None without both labels."""
+    """Words model and forest over findings with features and a ``label`` (0 or 1); None without both labels."""
     order = F.xxhash64("cand", "before", "nth")
     parts = [labelled.where(F.col("label") == v).orderBy(order, "doc_id", "text_hash", "nth").limit(max_findings)
              for v in (0.0, 1.0)]
-    sample = materialize(parts[0].unionByName(parts[1]).select("label", *FEATURES).coalesce(1), "labelled-findings")
+    sample = materialize(parts[0].unionByName(parts[1]).select("label", "near_words", *FEATURES).coalesce(1), "labelled-findings")
     if sample.select("label").distinct().count() < 2:
         return None
-    forest = RandomForestClassifier(featuresCol="forest_input", labelCol="label", numTrees=TREES, maxDepth=DEPTH,
-                                    seed=SEED)
-    return forest.fit(_assembled(sample))
+    stages = []
+    if not sample.where(F.size("near_words") > 0).isEmpty():
+        stages.append(CountVectorizer(inputCol="near_words", outputCol="near_counts", vocabSize=NEAR_WORDS, binary=True))
+    stages.append(VectorAssembler(inputCols=FEATURES + (["near_counts"] if stages else []), outputCol="forest_input"))
+    stages.append(RandomForestClassifier(featuresCol="forest_input", labelCol="label", numTrees=TREES, maxDepth=DEPTH,
+                                         featureSubsetStrategy="onethird", seed=SEED))
+    return Pipeline(stages=stages).fit(sample)
 
 
 def scored(found: DataFrame, forest) -> DataFrame:
     """The findings with score (0 to 1) and is_secret."""
     if forest is None:
-        out = found.withColumn("score", F.coalesce(label_by_format(), F.lit(0.0)))
+        out = found.withColumn("score", F.coalesce(label_by_rule(), F.lit(0.0)))
     else:
-        out = forest.transform(_assembled(found)).withColumn(
-            "score", vector_to_array("probability")[1])
+        out = forest.transform(found).withColumn("score", vector_to_array("probability")[1])
+        proven = (F.col("known_format") == 1) & (F.col("placeholder") == 0)
+        out = out.withColumn("score", F.when(proven, 1.0).otherwise(F.col("score")))
     return out.withColumn("is_secret", F.col("score") >= 0.5)
 
 
 def findings(docs: DataFrame, labelled: DataFrame | None = None, max_findings: int = MAX_FINDINGS) -> DataFrame:
-    """Scored findings of all documents; one pass over the texts, the candidates are written once."""
-    found = materialize(with_features(candidates(docs)), "candidates")
-    known = found.withColumn("label", label_by_format()).where("label is not null") if labelled is None else labelled
+    """Scored findings of all documents; the candidates are written once.
+
+    ``labelled``: (doc_id, start, label) of findings known to be secrets (1) or harmless (0).
+    """
+    found = materialize(with_features(candidates(docs), dictionary(docs)), "candidates")
+    if labelled is None:
+        known = found.withColumn("label", label_by_rule()).where("label is not null")
+    else:
+        of = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("start").cast("long").alias("start"),
+                             F.col("label").cast("double").alias("label")).distinct()
+        known = found.join(of, ["doc_id", "start"])
     return scored(found, train(known, max_findings))
 
 

@@ -379,6 +379,65 @@ def test_secrets_behind_long_names(spark):
     assert got == {i: [value] for i, (_, value) in rows.items() if value}
 
 
+def _planted_findings(rng, n):
+    """Documents with one finding each: (id, text, source, start, label)."""
+    letters, out = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", []
+    prose = "the report of the committee was read and the members agreed to meet again in the spring".split()
+    secret = ["db_password = '{}'", "API_TOKEN={}", "client_secret: {}", "postgres://admin:{}@db.internal:5432/app", "passphrase = \"{}\"",
+              "the service credential is {} as agreed", "x-session-signature: {}"]
+    harmless = ["commit {} by the author", "sha256 = {}", "trace_identifier={}", "etag: {}", "build {} finished", "cache_key = '{}'",
+                "see node {} of the graph"]
+    for i in range(n):
+        label = int(rng.random() < 0.5)
+        if label:
+            value = "".join(rng.choice(letters) for _ in range(rng.randint(18, 40)))
+        else:
+            value = "".join(rng.choice(rng.choice(["0123456789abcdef", "0123456789"])) for _ in range(rng.randint(18, 40)))
+            if rng.random() < 0.3:
+                value = "-".join(rng.sample(prose, 4))
+        form = rng.choice(secret if label else harmless)
+        head = " ".join(rng.choices(prose, k=rng.randint(3, 30))) + "\n" + form[:form.index("{}")]
+        tail = form[form.index("{}") + 2:] + "\n" + " ".join(rng.choices(prose, k=8))
+        out.append((i, head + value + tail, rng.choice(["src/app/config.py", "docs/guide.md", "tests/data.txt"]), len(head), label))
+    return out
+
+
+def test_labelled_findings_teach_the_forest(spark):
+    rows = _planted_findings(random.Random(12), 1200)
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, source string")
+    known = spark.createDataFrame([(r[0], r[3], r[4]) for r in rows if r[0] % 2 == 0], "doc_id long, start int, label int")
+    found = {(r["doc_id"], r["start"]): r["is_secret"] for r in secret_scan.findings(docs, labelled=known).collect()}
+    held = [(found[r[0], r[3]], r[4]) for r in rows if r[0] % 2 and (r[0], r[3]) in found]
+    assert len(held) > 0.97 * len(rows) / 2  # nearly every planted string is a candidate
+    hits = sum(1 for got, label in held if got and label)
+    assert hits / sum(1 for got, _ in held if got) >= 0.9
+    assert hits / sum(r[4] for r in rows if r[0] % 2) >= 0.9  # strings that are no candidates count as missed
+
+
+def test_the_rule_and_the_forest_share_no_column():
+    assert not set(secret_scan.FEATURES) & set(secret_scan.CONTEXT)
+    names = str(secret_scan.label_by_rule.__code__.co_consts) + str(secret_scan.CONTEXT)
+    assert not any(f"'{f}'" in names for f in secret_scan.FEATURES)
+
+
+def test_passwords_in_urls_and_tokens_of_parts(spark):
+    rng = random.Random(9)
+    word = lambda k: "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(k))
+    rows = {}
+    for i in range(60):
+        password, token = word(12), f"eyJ{word(20)}.eyJ{word(30)}.{word(43)}"
+        rows[i] = ((f"DATABASE=postgres://admin:{password}@db.host:5432/app?x=1", password) if i % 2 else
+                   (f"Authorization: Bearer {token}", token))
+        rows[100 + i] = (f"see https://example{i}.org:8080/some/path and checksum {word(16).lower()}00", None)
+    found = secret_scan.findings(_docs(spark, [(i, text) for i, (text, _) in rows.items()])).where("is_secret").collect()
+    got = {}
+    for r in found:
+        got.setdefault(r["doc_id"], []).append(r["cand"])
+    assert got == {i: [value] for i, (_, value) in rows.items() if value}
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(_docs(spark, [(i, text) for i, (text, _) in rows.items()])).collect()}
+    assert clean[0] == "Authorization: Bearer [SECRET]" and clean[1] == "DATABASE=postgres://admin:[SECRET]@db.host:5432/app?x=1"
+
+
 def test_decontamination_stage(spark):
     item = "A benchmark question that is long enough to be found in any text that holds it word by word"
     bench = spark.createDataFrame([(1, item), (2, None), (1, item)], "item_id long, text string")
