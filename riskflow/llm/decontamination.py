@@ -17,7 +17,9 @@ The benchmark is taken in blocks of at most ``block_segments`` segments, each
 broadcast (that many segments of at most ``SEGMENT`` characters) for one pass
 over the documents, so its size has no other bound.
 
-Defined cases: null and empty texts match nothing; an item shorter than q
+Defined cases: null and empty texts match nothing; very long texts are searched
+whole, one document at a time, in time that grows with the text and with the
+passages that nearly match; an item shorter than q
 characters once normalized matches only documents that equal it; an empty benchmark or table gives an empty
 result; repeated items and repeated rows each give their own result rows;
 other columns of the input are not read.
@@ -37,6 +39,7 @@ BUDGET = 0.1
 SEGMENT = 60
 BLOCK_SEGMENTS = 5_000
 _LEAD_BITS = 20
+_MOST_CHARS = 1 << 8  # places in a segment are packed in eight bits
 
 SCHEMA = "doc_id long, item_id long, segment int, start long, length int, edits int"
 
@@ -71,6 +74,8 @@ class Index:
     """The q-grams of a block of segments, sorted by hash, behind a bit table."""
 
     def __init__(self, items: list[tuple[int, str]], q: int = Q, budget: float = BUDGET, size: int = SEGMENT):
+        if not 3 <= size < _MOST_CHARS:
+            raise ValueError(f"a segment has 3 to {_MOST_CHARS - 1} characters")
         self.q = q
         self.parts = [(item, n, p) for item, text in items for n, p in enumerate(segments(text, size))]
         self.codes = [code_points(p).astype(np.int64) for _, _, p in self.parts]
@@ -124,7 +129,7 @@ class Index:
         if not len(at):
             return []
         width = self.edits[owner] + 1  # two neighbouring halves make a band of 2k + 2 diagonals
-        offset = 1 << 8  # more than any place
+        offset = _MOST_CHARS
         half = (at - place + offset) // width
         key = np.sort((owner << 32 | half) << 8 | place)
         key = key[np.concatenate([[True], key[1:] != key[:-1]])] >> 8

@@ -143,10 +143,52 @@ def test_digest_of_equal_and_unlike_texts():
     assert bucket_digest.digest(b"") != bucket_digest.digest(b"xy")
 
 
-def test_digest_counts_chunks_as_the_whole(monkeypatch):
+def _digest_brute(data: bytes) -> bytes:
+    """Windows, triplets, buckets and quartiles written out, one at a time."""
+    counts = [0] * 128
+    m = 0xFFFFFFFF
+    for at in range(len(data) - 4):
+        w = data[at:at + 5]
+        for salt, (i, j) in enumerate([(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4)]):
+            h = (w[0] * 0x9E3779B1 & m) ^ (w[i] * 0x85EBCA6B & m) ^ (w[j] * 0xC2B2AE35 & m)
+            h = (h + salt * 0x27D4EB2F) * 0x2C1B3C6D & m
+            counts[h >> 25] += 1
+    ordered = sorted(counts)
+    cuts = ordered[31], ordered[63], ordered[95]
+    codes = [sum(c > q for q in cuts) for c in counts]
+    length, step = 0, 1.25
+    while length < 255 and (len(data) + 1) >= step ** (length + 1) * (1 - 1e-12):
+        length += 1
+    return bytes([length]) + bytes(sum(codes[4 * k + i] << 2 * i for i in range(4)) for k in range(32))
+
+
+def _difference_brute(a: bytes, b: bytes) -> int:
+    total = min(48, 2 * abs(a[0] - b[0]))
+    for x, y in zip(a[1:], b[1:], strict=True):
+        total += sum((0, 1, 2, 6)[abs((x >> s & 3) - (y >> s & 3))] for s in (0, 2, 4, 6))
+    return min(total, 300)
+
+
+@pytest.mark.parametrize("size", [0, 1, 4, 5, 6, 40, 700, 5000])
+def test_digests_and_scores_equal_brute_force(size):
+    rng = random.Random(size)
+    a, b = (bytes(rng.choice(b"abcdefgh \n\xc3\xa9") for _ in range(size + k)) for k in (0, 3))
+    for x in (a, b):
+        assert bucket_digest.digest(x) == _digest_brute(x)
+    p, q = bucket_digest.digest(a), bucket_digest.digest(b)
+    assert bucket_digest.difference(p, q) == _difference_brute(p, q)
+    assert bucket_digest.likeness(p, q) == 1 - _difference_brute(p, q) / 300
+
+
+def test_very_long_texts_have_the_digest_of_all_their_windows():
     data = np.random.default_rng(1).integers(0, 256, (1 << 20) + 5000).astype(np.uint8).tobytes()
-    whole = bucket_digest._counts(data)
-    assert whole.sum() == 6 * (len(data) - 4)
+    parts = sum((bucket_digest._counts(data[at:at + 70_004]) for at in range(0, len(data) - 4, 70_000)), np.zeros(128, np.int64))
+    assert (bucket_digest._counts(data) == parts).all()
+
+
+def test_segments_must_fit_their_packing():
+    with pytest.raises(ValueError):
+        decontamination.Index([(1, "x" * 600)], size=256)
 
 
 def _edits(p, u):

@@ -106,6 +106,21 @@ def test_language_and_quality_on_odd_rows(spark):
     assert {r["score"] for r in quality_ranking.scored(docs, none).collect()} == {0.5}
 
 
+def test_quality_of_odd_rows_with_a_trained_model(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    model = quality_ranking.train(docs, spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality"))
+    odd = spark.createDataFrame([(i, t, 0.25, "x") for i, t in [*ODD, (8, "y " * 400_000)]], "doc_id long, text string, score double, predicted string")
+    got = quality_ranking.scored(odd.select("doc_id", "text"), model).collect()
+    assert len(got) == len(ODD) + 1 and all(0.0 <= r["score"] <= 1.0 for r in got)
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r["doc_id"], set()).add(r["score"])
+    assert by_id[1] == by_id[2] and all(len(v) == 1 for v in by_id.values())  # null as empty, equal rows alike
+    assert quality_ranking.scored(odd.limit(0).select("doc_id", "text"), model).count() == 0
+    nulls = spark.createDataFrame([(None, 1), (0, None), (0, 1), (1, 0)], "doc_id long, quality int")
+    assert quality_ranking.scored(docs, quality_ranking.train(docs, nulls)).count() == docs.count()
+
+
 def test_warc_of_odd_pages(spark):
     long = "x" * 100
     rows = [(5, None, long), (3, "http://a b/\r\n", long), (3, "u", long), (9, "u", "é" * 50), (1, "u", None), (2, "u", ""),
