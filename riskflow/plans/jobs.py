@@ -22,6 +22,7 @@ wallet_day_states (by ingest_date), wallet_features (the mart, by as_of).
 from __future__ import annotations
 
 import datetime as _dt
+import time
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -110,6 +111,7 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
     schema avoids an inference pass over text extracts).
     ``labels`` (tx_id, fraud_label) and ``exact_distinct`` are those of the feature mart; all runs
     of a lake use the same, as their day states are folded together."""
+    started = time.monotonic()
     paths, store = LakePaths(lake_root), PublishedLake(spark, lake_root)
     run = store.new_run()
     result = BatchResult(run=run)
@@ -184,14 +186,15 @@ def run_batch(spark: SparkSession, extract_path: str, lake_root: str, logical_da
 
     # 8. run metrics per day (a count per staged partition; a rerun replaces its own rows)
     stamp = written_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    _write_metrics(spark, paths, silver_rows, store.staged(run, QUARANTINE, quarantine.schema), staged_fact, contract, dates, stamp)
+    _write_metrics(spark, paths, silver_rows, store.staged(run, QUARANTINE, quarantine.schema), staged_fact, contract, dates, stamp,
+                   started)
     FS.remove(spark, store.place(run, "normalized"))
     return result
 
 
 def _write_metrics(spark: SparkSession, paths: LakePaths, silver: DataFrame, quarantine: DataFrame, fact: DataFrame,
-                   contract: C.Contract, dates: list, written_at: _dt.datetime) -> None:
-    """Every date of the run has its row counts, 0 where a table has none; rows without a date count for the last one."""
+                   contract: C.Contract, dates: list, written_at: _dt.datetime, started: float) -> None:
+    """Every date of the run has its row counts, 0 where a table has none; rows without a date, and the run's seconds, count for the last."""
     day = F.coalesce(F.col(PARTITION), F.lit(max(dates) if dates else None).cast("date")).alias("metric_date")
 
     def counted(df: DataFrame, name: str) -> DataFrame:
@@ -203,7 +206,10 @@ def _write_metrics(spark: SparkSession, paths: LakePaths, silver: DataFrame, qua
     for name, df in counts.items():
         per_day = per_day.join(counted(df, name), "metric_date", "left")
     per_day = per_day.na.fill(0, list(counts)).join(silver.groupBy(day).agg(age.alias("silver_age_hours")), "metric_date", "left")
-    OM.metrics_table(spark, paths.metrics).upsert(OM.metric_rows(per_day, [*counts, "silver_age_hours"], written_at))
+    seconds = F.when(F.col("metric_date") == F.lit(max(dates) if dates else None), F.lit(time.monotonic() - started))
+    per_day = per_day.withColumn("dag_task_duration_seconds", seconds)
+    OM.metrics_table(spark, paths.metrics).upsert(
+        OM.metric_rows(per_day, [*counts, "silver_age_hours", "dag_task_duration_seconds"], written_at))
 
 
 def backfill(spark: SparkSession, extracts: dict, lake_root: str, **kwargs) -> list:

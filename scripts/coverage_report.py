@@ -13,15 +13,15 @@ from riskflow.plans.registry import all_queries  # noqa: E402
 
 IMPL = {
     "A1": "sinks.tables.land_partition / overwrite_partitions", "A2": "sources.files.validate_source, read_extract",
-    "A4": "sinks.tables.register_partition, create_partitioned_table", "A5": "sources.files.read_partition",
+    "A4": "sinks.tables.register_partitions (one statement), create_partitioned_table", "A5": "sources.files.read_partition",
     "A6": "sources.files.read_headerless_csv", "A7": "sources.files.read_header_csv",
-    "A9": "sources.events.event_stream / kafka_stream", "A10": "sinks.tables.overwrite_partitions (silver)",
-    "A11": "sinks.tables.overwrite_partitions (quarantine)", "A12": "sinks.tables.upsert_frame, upsert_partitions, merge_sql",
+    "A9": "sources.events.event_stream / kafka_stream", "A10": "sinks.lake.PublishedLake (silver), sinks.tables.overwrite_partitions",
+    "A11": "sinks.lake.PublishedLake (quarantine)", "A12": "sinks.keyed.KeyedTable, sinks.tables.upsert_frame",
     "A13": "operators.scd2.scd2_step (closed rows)", "A14": "operators.scd2.scd2_step (opened rows)",
-    "A15": "operators.scd2.scd2_apply_batches, sinks.tables.Scd2Table", "A16": "operators.model.score -> upsert sink",
-    "A17": "plans.jobs.run_batch, feature_mart", "A18": "sources.events.dead_letters, streaming dead-letter query",
-    "A19": "streaming.velocity_stream.run_stream (checkpointLocation)", "A20": "sinks.tables.materialize_view, serving.register_masked_views",
-    "B1": "operators.contract.normalize", "B2": "operators.contract.split_quarantine, breach_reasons",
+    "A15": "operators.scd2.scd2_apply_batches, sinks.tables.Scd2Table", "A16": "operators.model.score -> operators.serving.publish_scores (KeyedTable)",
+    "A17": "plans.jobs.run_batch (day states folded), feature_mart", "A18": "sources.events.dead_letters, streaming dead-letter query",
+    "A19": "streaming.velocity_stream.run_stream (checkpointLocation, RocksDB changelog)", "A20": "sinks.tables.materialize_view (view and table), serving.register_masked_views",
+    "B1": "operators.contract.normalize", "B2": "operators.contract.split_quarantine, breaks_contract, breach_reasons",
     "B3": "operators.contract.breach_reasons (null rules)", "B4": "operators.contract.breach_reasons (non-negative)",
     "B5": "operators.contract.breach_reasons (accepted values)", "B6": "plans.queries.silver_chain, plans.jobs.run_batch",
     "B7": "sources.events.good_events", "B8": "sources.events.parse_events", "B9": "operators.scd2.point_in_time_join input (typed facts)",
@@ -29,16 +29,16 @@ IMPL = {
     "B13": "operators.serving.masked_view (DIM_MASK)", "B14": "operators.evidence (MASKED_FIELDS)",
     "B15": "operators.evidence (HIDDEN_FIELDS)", "B16": "operators.model.train_and_evaluate (na.drop label)",
     "B17": "functions.scoring.risk_tier",
-    "C1": "operators.scd2.scd2_step (full outer join)", "C2": "operators.scd2.point_in_time_join",
+    "C1": "operators.scd2.scd2_step (full outer join)", "C2": "operators.scd2.point_in_time_join (time bins; salted; on the key)",
     "C3": "operators.features.wallet_features (label feed join)", "C4": "operators.features (one aggregate, label column)",
-    "C5": "operators.checks.relationship_violations, scd2 open pass", "C6": "sinks.tables.upsert_partitions (wallet, window)",
+    "C5": "operators.checks.relationship_violations, sinks.seen.SeenKeys, scd2 open pass", "C6": "sinks.keyed.KeyedTable (wallet, window)",
     "C7": "operators.scd2.scd2_step (current rows only)", "C8": "operators.evidence.wallet_evidence",
     "D1a": "operators.contract.audit_frame", "D2a": "operators.features.wallet_features", "D3a": "operators.features (count_if labels)",
     "D4a": "operators.features.wallet_labels_expr", "D5a": "operators.velocity.velocity_features", "D6a": "count / count(col)",
     "D7a": "count_distinct", "D8a": "approx_count_distinct", "D9a": "sum/avg/max/min", "D10a": "count_if",
     "D11a": "count_distinct(to_date)", "D12a": "operators.checks.unique_violations, scd2_breaches",
-    "D13a": "operators.model.require_two_classes", "D14a": "sinks.tables.overwrite_partitions(count_rows) (Observation)",
-    "E1": "operators.dedupe.dedupe_transactions / latest_per_key", "E2": "operators.scd2.latest_snapshots",
+    "D13a": "operators.model.require_two_classes", "D14a": "Observation on every write (sinks.lake, sinks.keyed, sinks.tables)",
+    "E1": "operators.dedupe.dedupe_transactions / latest_per_key, sinks.seen.SeenKeys (across days)", "E2": "operators.scd2.latest_snapshots",
     "E3": "operators.dedupe.collapse_upsert_keys", "E4": "operators.checks.scd2_breaches (lead)",
     "F1": "operators.model.time_split (ranking.global_positions)", "F2": "operators.model.precision_at_k / top_k",
     "F3": "operators.serving.top_risk", "F4": "operators.evidence.history_facts (ordered by valid_from)",
@@ -57,28 +57,28 @@ IMPL = {
     "J9": "operators.checks.unique_violations", "J10": "operators.checks.scd2_breaches (overlaps)",
     "J11": "operators.checks.scd2_breaches (multiple current)", "J12": "operators.checks.relationship_violations, accepted_values_violations",
     "K1": "operators.model.time_split", "K2": "operators.model.fit_gbt", "K3": "operators.model.average_precision",
-    "K4": "operators.model.precision_at_k", "K5": "operators.model.EvalReport, serving.kpis", "K6": "operators.model.score",
-    "K7": "operators.features.wallet_features",
-    "L1": "operators.evidence.evidence_facts", "L2": "operators.evidence.wallet_evidence (found)", "L3": "operators.evidence (fact order)",
+    "K4": "operators.model.precision_at_k", "K5": "operators.model.EvalReport, serving.kpis", "K6": "operators.model.score, save_model, load_model",
+    "K7": "operators.features.day_states, fold_states, wallet_features",
+    "L1": "operators.evidence.evidence_facts", "L2": "operators.evidence.wallet_evidence (found)", "L3": "operators.evidence.section_sizes + positions",
     "L4": "operators.evidence.report_lines (REFUSAL)", "L5": "operators.evidence.report_lines", "L6": "operators.evidence.explain_wallets, explain",
     "L7": "operators.serving.top_risk", "L8": "operators.serving.kpis", "L9": "operators.serving.register_masked_views",
-    "M1": "plans.jobs.run_batch (run_metrics upsert, opsmetrics.check_metric_name)", "M2": "operators.opsmetrics.freshness", "M3": "operators.opsmetrics.zero_row_days",
+    "M1": "plans.jobs.run_batch, streaming make_upsert -> operators.opsmetrics.metrics_table", "M2": "operators.opsmetrics.freshness", "M3": "operators.opsmetrics.zero_row_days",
     "M4": "operators.opsmetrics.daily_trend",
-    "N1": "plans.jobs.run_batch", "N2": "plans.jobs.run_batch (audit halt)", "N3": "plans.jobs.run_batch (staged publish)",
+    "N1": "plans.jobs.run_batch", "N2": "plans.jobs.run_batch (audit halt)", "N3": "sinks.lake.PublishedLake.publish (one switch per run)",
     "N4": "plans.jobs.backfill / run_batch(logical_date=None)", "N5": "streaming.velocity_stream.run_stream",
 }
 
 TESTS = {
     "A1": "test_io::test_land_rerun_same_rows_and_other_date_kept", "A2": "test_io::test_missing_or_empty_source, test_zero_byte_files_skipped",
-    "A4": "test_io::test_register_partition_twice", "A12": "test_io::test_upsert_partitions_replay, test_stream::test_replayed_batch_is_noop",
+    "A4": "test_io::test_register_partition_twice", "A12": "test_keyed, test_stream::test_replayed_batch_is_noop",
     "A15": "test_scd2::test_scd2_table_batches_and_rerun", "B2": "test_contract::test_quarantine_rules_and_no_row_lost",
-    "C2": "test_scd2::test_point_in_time_edges, test_salted_join_equals_plain", "E1": "test_contract::test_dedupe_keeps_latest",
+    "C2": "test_scd2::test_binned_join_equals_the_join_on_the_key, test_a_hot_wallet_is_dealt_over_its_bins", "E1": "test_contract::test_dedupe_keeps_latest",
     "I5": "test_stream::test_late_event_filter_lags_one_batch", "I10": "test_stream::test_stream_equals_batch_on_ordered_input",
     "D5a": "test_stream::test_window_math", "E3": "test_stream::test_key_collapse", "J7": "test_contract::test_audit_halts",
     "J10": "test_scd2::test_checks_flag_overlap_and_multi_current", "K1": "test_features_model::test_time_split_no_leakage",
-    "K2": "test_features_model::test_model_beats_base_rate_and_scores", "K3": "test_features_model::test_average_precision_with_ties",
+    "K2": "test_features_model::test_model_beats_base_rate_and_scores, test_scores_are_those_of_the_trees_and_survive_storage", "K3": "test_features_model::test_average_precision_with_ties",
     "K4": "test_features_model::test_precision_at_k", "L1": "test_evidence::test_facts_exact_and_ordered",
-    "L4": "test_evidence::test_report_and_refusal", "L6": "test_evidence::test_explain_named_wallets", "N2": "test_jobs::test_audit_breach_halts_before_publish",
+    "L4": "test_evidence::test_report_and_refusal", "L6": "test_evidence::test_explain_named_wallets", "N2": "test_jobs::test_audit_breach_halts_before_publish", "N3": "test_jobs::test_a_run_that_fails_anywhere_leaves_the_old_day_whole", "I7": "test_stream::test_a_query_stopped_at_work_goes_on_from_its_checkpoint",
     "N4": "test_jobs::test_backfill_rerun_and_publish", "D5": "test_stream::test_duplicates_counted_unless_deduped",
     "G3": "test_contract::test_audit_schema_error",
 }

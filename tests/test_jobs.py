@@ -226,6 +226,7 @@ def test_metrics_of_a_run(spark, work):
     lake = f"{work}/lake"
     J.run_batch(spark, day1(spark, work), lake, dt.date(2026, 7, 1), now=NOW, written_at=NOW, audit_on="silver")
     m = {r.metric_name: (r.metric_value, r.written_at) for r in J.run_metrics(spark, lake).collect()}
+    assert m.pop("dag_task_duration_seconds")[0] > 0
     assert {k: v[0] for k, v in m.items() if k != "silver_age_hours"} == {
         "silver_rows_written": 1.0, "quarantine_rows_written": 1.0, "gold_rows_written": 1.0}
     assert m["silver_age_hours"] == ((NOW - dt.datetime(2026, 7, 1, 11)).total_seconds() / 3600, NOW)
