@@ -154,8 +154,7 @@ def _visible(spark, lake):
     return {t: sorted(map(str, store.read(t).collect())) for t in (J.SILVER, J.QUARANTINE, J.FACT, J.STATES, J.MART)}
 
 
-@pytest.mark.parametrize("at", ["silver", "quarantine", "dimension", "fact", "tests", "wallet_day_states", "wallet_features", "publish"])
-def test_a_run_that_fails_anywhere_leaves_the_old_day_whole(spark, work, monkeypatch, at):
+def test_a_run_that_fails_anywhere_leaves_the_old_day_whole(spark, work, monkeypatch):
     lake = f"{work}/lake"
     kw = dict(now=NOW, written_at=NOW, audit_on="silver",
               updates=spark.createDataFrame([("w1", "LOW", dt.datetime(2026, 6, 1), 1)], UPD))
@@ -167,19 +166,21 @@ def test_a_run_that_fails_anywhere_leaves_the_old_day_whole(spark, work, monkeyp
     def fail(*args, **kwargs):
         raise Lost
 
-    with monkeypatch.context() as m:
-        stage = PublishedLake.stage
-        if at == "dimension":
-            m.setattr(J.TB.Scd2Table, "apply", fail)
-        elif at == "tests":
-            m.setattr(J, "_table_tests", fail)
-        elif at == "publish":
-            m.setattr(PublishedLake, "publish", fail)
-        else:
-            m.setattr(PublishedLake, "stage", lambda self, run, table, rows, col: fail() if table == at else stage(self, run, table, rows, col))
-        with pytest.raises(Lost):
-            J.run_batch(spark, again, lake, dt.date(2026, 7, 1), **kw)
-    assert _visible(spark, lake) == before
+    stage = PublishedLake.stage
+    for at in ("silver", "quarantine", "dimension", "fact", "tests", "wallet_day_states", "wallet_features", "publish"):
+        with monkeypatch.context() as m:
+            if at == "dimension":
+                m.setattr(J.TB.Scd2Table, "apply", fail)
+            elif at == "tests":
+                m.setattr(J, "_table_tests", fail)
+            elif at == "publish":
+                m.setattr(PublishedLake, "publish", fail)
+            else:
+                m.setattr(PublishedLake, "stage", lambda self, run, table, rows, col, at=at: (
+                    fail() if table == at else stage(self, run, table, rows, col)))
+            with pytest.raises(Lost):
+                J.run_batch(spark, again, lake, dt.date(2026, 7, 1), **kw)
+        assert _visible(spark, lake) == before, at
     J.run_batch(spark, again, lake, dt.date(2026, 7, 1), **kw)
     assert [r.tx_id for r in J.published_fact(spark, lake).collect()] == ["t7"]
 

@@ -92,15 +92,3 @@ def test_seen_keys_are_not_shuffled(spark, work):
     finally:
         spark.conf.set(limit, before)
         spark.sql("DROP TABLE seen_plan")
-
-
-def test_registered_queries_have_no_python_udfs_and_no_cross_joins(spark):
-    """Every wallet query, the costly ones too: no Python on the main path, and every join is on keys."""
-    import __spark_entry__ as E
-    from riskflow.plans.registry import all_queries
-
-    for name in all_queries():  # the wallet queries; those of llm may use Arrow batches
-        p = plan(E.queries()[name](spark, SF))
-        for word in ("BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas"):
-            assert word not in p, name
-        assert "CartesianProduct" not in p and "NestedLoopJoin" not in p, name
