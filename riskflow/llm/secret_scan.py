@@ -37,8 +37,9 @@ from riskflow.session import materialize
 
 # In this order: the password of a URL, a token of several parts, a value after ":" or "=" (but not a URL's host or port),
 # a long run of key characters.
-CANDIDATE = (r"""(?<=://[^\s/:@"']{0,64}:)[^\s/:@"']{4,}(?=@)"""
-             r"""|(?<![A-Za-z0-9+/_=\-.])[A-Za-z0-9_\-]{10,}(?:\.[A-Za-z0-9_\-]{10,}){1,3}(?![A-Za-z0-9_\-.])"""
+# Long looks back come after a one-character look, and runs that can't end elsewhere are possessive.
+CANDIDATE = (r"""(?<=:)(?<=://[^\s/:@"']{0,64}:)[^\s/:@"']{4,}+(?=@)"""
+             r"""|(?<![A-Za-z0-9+/_=\-.])[A-Za-z0-9_\-]{10,}+(?:\.[A-Za-z0-9_\-]{10,}+){1,3}(?![A-Za-z0-9_\-.])"""
              r"""|(?<=[:=]\s{0,2}["']?)(?<!://[^\s/]{0,128}:)(?!//|[A-Za-z][A-Za-z0-9+.\-]*://)[^\s"',;]{8,}"""
              r"""|(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9+/_\-]{16,}={0,2}""")
 MARK = "[SECRET]"
