@@ -21,7 +21,10 @@ From tables to components, without listing all pairs of a table entry:
    prefix filter on their shingles, rarest first, across components, with an
    exact bound on bit maps of the sets as part of the join. So every
    two nodes of an entry end in one component or are proven not to be linked.
-Every candidate is confirmed on the full sets.
+Every candidate is confirmed on the full sets. Those are made where the texts
+lie, for the ids that a filter of bounded size answers (``id_filter``); an id
+too many costs its set, nothing else. Likewise ``keep_one`` shuffles only the
+texts whose id may be among those that go.
 
 Defined cases: rows that share a doc_id count as one document (linked if any of
 them is); null texts and texts without words have n_shingles 0 and are linked
@@ -41,7 +44,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from riskflow.llm import id_filter
 from riskflow.llm.common import ready_for_python
+from riskflow.llm.id_filter import IdFilter
 from riskflow.operators.ranking import global_positions
 from riskflow.session import materialize
 
@@ -120,10 +125,14 @@ def signatures(docs: DataFrame, words: int, sub: int, width: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, keys array<long>")
 
 
-def _sets(docs: DataFrame, words: int) -> DataFrame:
+def _sets(docs: DataFrame, words: int, wanted: IdFilter) -> DataFrame:
+    """Full sets of the documents that the filter answers; the texts are read where they lie, not shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+
     def run(batches):
         cache = WordHashes()
         for batch in batches:
+            batch = batch.filter(pa.array(shared.value.holds(batch.column(0)), pa.bool_()))
             sets = [shingle_set(t, words, cache).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "members"])
 
@@ -276,8 +285,8 @@ def links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, sub: int,
                                                    F.min(F.struct("node", "n")).alias("lead")).where("size > 1"), "entry-sizes")
     members = materialize(entries.join(sizes.select("key", "size", F.col("lead.node").alias("y"), F.col("lead.n").alias("yn")),
                                        "key"), "members")
-    involved = members.select(F.col("node").alias("wanted")).distinct()
-    sets = materialize(_sets(docs.join(involved, F.col("doc_id") == F.col("wanted"), "left_semi"), words), "sets")
+    involved = materialize(members.select("node").distinct(), "involved")
+    sets = materialize(_sets(docs, words, id_filter.build(involved)), "sets")
 
     star = _pair(members.where("node <> y").select(F.col("node").alias("x"), F.col("n").alias("xn"), "y", "yn"), percent)
     done = materialize(star, "star")
@@ -351,14 +360,26 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     if several.limit(1).count():
         out = _keep_one_text(named, texts, **options)
     else:
-        marked = near_duplicates(docs, **options).where("kept and doc_id is not null")
-        kept = materialize(marked.groupBy("doc_id").agg(F.count("*").alias("rows_of_id")), "kept")
-        out = named.join(kept, named["doc_id"] == kept["doc_id"], "left_semi")
-        if kept.where("rows_of_id > 1").limit(1).count():
-            out = out.dropDuplicates(["doc_id"])
+        out = _keep_one_id(named, near_duplicates(docs, **options).where("doc_id is not null"))
     return out.unionByName(docs.where(docs["doc_id"].isNull()))
 
 
+def _keep_one_id(named: DataFrame, marked: DataFrame) -> DataFrame:
+    """``keep_one`` where an id has one text.
+
+    Only rows whose id may have to go or is repeated are shuffled to the exact list of those ids; a filter of that list
+    lets the others through where they lie.
+    """
+    special = materialize(marked.groupBy("doc_id").agg(F.bool_or("kept").alias("stays"), F.count("*").alias("rows_of_id"))
+                          .where("not stays or rows_of_id > 1").select(F.col("doc_id").alias("special_id"), "stays"), "special")
+    known = id_filter.build(special.select("special_id"))
+    maybe = id_filter.matching(named, "doc_id", known)
+    same = maybe["doc_id"].cast("long") == special["special_id"]
+    again = maybe.join(special.where("stays"), same, "left_semi").dropDuplicates(["doc_id"])
+    return (id_filter.matching(named, "doc_id", known, wanted=False)
+            .unionByName(maybe.join(special, same, "left_anti")).unionByName(again))
+
+
 def _keep_one_text(named: DataFrame, texts: DataFrame, **options) -> DataFrame:
     """``keep_one`` where ids repeat with different texts: each text of an id stands under a number of its own.
 
