@@ -240,3 +240,18 @@ def test_row_bound_names_the_days(spark, work):
     x = extract(spark, f"{work}/x", [(f"t{i}", "w1", "c1", f"2026-07-0{1 + i % 2} 10:00:00", "1", "BTC") for i in range(3)])
     with pytest.raises(DataQualityError, match="2026-07-01"):
         J.run_batch(spark, x, f"{work}/over", contract=replace(TX_CONTRACT, row_count_max=1), now=NOW)
+
+
+def test_the_fact_join_of_a_run_copies_and_broadcasts_no_versions(spark, work, monkeypatch):
+    plans, stage = {}, PublishedLake.stage
+
+    def spy(self, run, table, rows, col):
+        plans[table] = rows._jdf.queryExecution().executedPlan().toString()
+        return stage(self, run, table, rows, col)
+
+    monkeypatch.setattr(PublishedLake, "stage", spy)
+    x = extract(spark, f"{work}/x", [(f"t{k}", f"w{k % 3}", "c1", f"2026-07-{k:02d} 10:00:00", "1", "BTC") for k in range(1, 29)])
+    updates = spark.createDataFrame([(f"w{k}", "LOW", dt.datetime(2026, 6, 1), k) for k in range(3)], UPD)
+    J.run_batch(spark, x, f"{work}/lake", None, updates=updates, now=NOW, written_at=NOW)
+    assert "Generate" not in plans[J.FACT] and "BroadcastHashJoin" not in plans[J.FACT]
+    assert {r.wallet_risk_tier_at_event for r in J.published_fact(spark, f"{work}/lake").collect()} == {"LOW"}

@@ -237,3 +237,22 @@ def test_bin_width_must_be_positive(spark):
 
     with pytest.raises(ConfigError):
         S.point_in_time_join(spark.createDataFrame([], FACT), S.empty_dimension(spark), bin_width=dt.timedelta(0))
+
+
+def test_the_join_on_the_key_sends_each_version_once_and_none_to_the_driver(spark):
+    facts = spark.createDataFrame([("t1", "w1", d(5)), ("t2", "w1", d(1)), ("t3", None, d(5)), ("t4", "w2", None), ("t5", "w9", d(5))], FACT)
+    u = spark.createDataFrame([("w1", "LOW", d(2), 1, 1), ("w1", "HIGH", d(4), 2, 2), ("w2", "LOW", d(2), 3, 1)], UPD + ", batch int")
+    joined = S.point_in_time_join(facts, S.scd2_rebuild(u, "batch", tie="tie"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    top = plan[:plan.index("ShuffledHashJoin")] + plan[plan.index("ShuffledHashJoin"):].split("HashAggregate")[0]
+    assert "BroadcastHashJoin" not in plan and "_bin" not in plan
+    assert plan.count("hashpartitioning(greatest") == 1 and "Sort " not in top  # an exchange of its own, also behind one on the key
+    assert sorted((r.tx_id, r.risk_tier) for r in joined.collect()) == [("t1", "HIGH"), ("t2", None), ("t3", None), ("t4", None), ("t5", None)]
+
+
+def test_binned_copies_are_not_broadcast(spark):
+    facts = spark.createDataFrame([("t1", "w1", d(5))], FACT)
+    dims = spark.createDataFrame([("w1", "LOW", d(1), None, True)], DIM)
+    joined = S.point_in_time_join(facts, dims, bin_width=dt.timedelta(hours=1))
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert [r.risk_tier for r in joined.collect()] == ["LOW"]
