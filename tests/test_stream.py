@@ -174,3 +174,31 @@ def test_the_session_keeps_its_state_store_setting(spark, work):
     before = {k: spark.conf.get(k, None) for k in STATE_SETTINGS}
     _run(spark, work, [[payload("a", "w1", "2026-07-01 10:01:00")]])
     assert {k: spark.conf.get(k, None) for k in STATE_SETTINGS} == before
+
+
+def test_an_estimate_that_is_not_close_gives_way_to_the_exact_count(spark):
+    from riskflow.plans.queries import held_to_exact
+
+    cols = "wallet_id string, tx_count long, distinct_counterparties long"
+    estimated = spark.createDataFrame([("a", 9, 11), ("b", 9, 20), (None, 9, 30), ("d", 9, 5)], cols)
+    exact = spark.createDataFrame([("a", 9, 10), ("b", 9, 10), (None, 9, 10)], cols)
+    got = {r.wallet_id: r.distinct_counterparties for r in held_to_exact(estimated, exact, ["wallet_id"]).collect()}
+    assert got == {"a": 11, "b": 10, None: 10, "d": 5}
+
+
+def test_estimates_have_twins_that_give_them_digit_by_digit(spark):
+    """More counterparties per group than the tables have in ten minutes: the registers' collisions show."""
+    import duckdb
+
+    from riskflow.plans.queries import SQL_TX, _registers_sql, _with
+
+    ids = spark.range(150).select(F.concat(F.lit("w-"), F.col("id").cast("string")).alias("counterparty_id"))
+    rows = ids.crossJoin(spark.range(1, 40).withColumnRenamed("id", "g")).where(F.pmod(F.xxhash64("counterparty_id", "g"), F.lit(40)) < F.col("g"))
+    want = {r.g: (r.e, r.x) for r in rows.groupBy("g").agg(F.approx_count_distinct("counterparty_id").alias("e"), F.count("*").alias("x")).collect()}
+    assert any(e != x for e, x in want.values())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pairs (g INT, counterparty_id VARCHAR)")
+    con.executemany("INSERT INTO pairs VALUES (?, ?)", [(r.g, r.counterparty_id) for r in rows.collect()])
+    sql = _with(SQL_TX.replace(SQL_TX, "tx AS (SELECT DISTINCT counterparty_id FROM pairs)"), _registers_sql()) + (
+        "SELECT g, CAST(round(512 * ln(512 / (512 - count(DISTINCT register)))) AS BIGINT) FROM pairs JOIN registers USING (counterparty_id) GROUP BY g")
+    assert {g: e for g, e in con.execute(sql).fetchall()} == {g: e for g, (e, _) in want.items()}
