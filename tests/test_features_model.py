@@ -159,3 +159,18 @@ def test_states_of_two_days_fold_to_the_whole(spark):
     for exact in (True, False):
         parts = FE.day_states(rows.where(early), exact_distinct=exact).unionByName(FE.day_states(rows.where(~early), exact_distinct=exact))
         assert sorted(FE.fold_states(parts).collect()) == sorted(FE.wallet_features(rows, exact_distinct=exact).collect())
+
+
+def test_the_customer_meets_the_orders_before_the_line_items(spark):
+    from riskflow.plans import domain as D
+
+    li = spark.createDataFrame([(1, 1, 7, dt.datetime(2024, 1, 1), 5.0), (1, 2, 7, dt.datetime(2024, 1, 2), 5.0), (2, 1, 7, dt.datetime(2024, 1, 1), 5.0),
+                                (3, 1, 7, dt.datetime(2024, 1, 1), 5.0), (9, 1, 7, dt.datetime(2024, 1, 1), 5.0)],
+                               "l_orderkey long, l_linenumber int, l_suppkey long, l_shipdate timestamp_ntz, l_extendedprice double")
+    od = spark.createDataFrame([(1, 10), (2, 11), (3, None)], "o_orderkey long, o_custkey long")
+    cu = spark.createDataFrame([(10, -1.0, "BUILDING"), (12, 1.0, "BUILDING")], "c_custkey long, c_acctbal double, c_mktsegment string")
+    out = D.labelled_fact_transactions(li, od, cu)
+    assert sorted((r.tx_id, r.wallet_id or "", r.fraud_label or "") for r in out.collect()) == [
+        ("1-1", "w-10", "ILLICIT"), ("1-2", "w-10", "ILLICIT"), ("2-1", "w-11", ""), ("3-1", "", "")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Join LeftOuter")  # the customer lies below
