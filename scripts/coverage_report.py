@@ -29,7 +29,7 @@ IMPL = {
     "B13": "operators.serving.masked_view (DIM_MASK)", "B14": "operators.evidence (MASKED_FIELDS)",
     "B15": "operators.evidence (HIDDEN_FIELDS)", "B16": "operators.model.train_and_evaluate (na.drop label)",
     "B17": "functions.scoring.risk_tier",
-    "C1": "operators.scd2.scd2_step (full outer join)", "C2": "operators.scd2.point_in_time_join (time bins; salted; on the key)",
+    "C1": "operators.scd2.scd2_step (full outer join)", "C2": "operators.scd2.point_in_time_join (on the key; salted; time bins)",
     "C3": "operators.features.wallet_features (label feed join)", "C4": "operators.features (one aggregate, label column)",
     "C5": "operators.checks.relationship_violations, sinks.seen.SeenKeys, scd2 open pass", "C6": "sinks.keyed.KeyedTable (wallet, window)",
     "C7": "operators.scd2.scd2_step (current rows only)", "C8": "operators.evidence.wallet_evidence",
