@@ -174,3 +174,14 @@ def test_the_customer_meets_the_orders_before_the_line_items(spark):
         ("1-1", "w-10", "ILLICIT"), ("1-2", "w-10", "ILLICIT"), ("2-1", "w-11", ""), ("3-1", "", "")]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join Inner") < plan.index("Join LeftOuter")  # the customer lies below
+
+
+def test_a_label_feed_is_never_broadcast(spark):
+    cols = "tx_id string, wallet_id string, event_ts timestamp_ntz, value decimal(38,8), counterparty_id string"
+    at = dt.datetime(2026, 1, 1)
+    rows = spark.createDataFrame([("a", "w", at, None, "x"), ("b", "w", at, None, "y"), (None, "v", at, None, "x")], cols)
+    labels = spark.createDataFrame([("a", "ILLICIT"), ("a", "LICIT"), (None, "ILLICIT")], "tx_id string, fraud_label string")
+    out = FE.with_labels(rows, labels)
+    assert sorted((r.tx_id or "", r.fraud_label or "") for r in out.collect()) == [("", ""), ("a", "ILLICIT"), ("a", "LICIT"), ("b", "")]
+    for df in (out, FE.day_states(rows, labels, exact_distinct=True), FE.wallet_features(rows, labels)):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
