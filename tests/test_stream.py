@@ -202,3 +202,16 @@ def test_estimates_have_twins_that_give_them_digit_by_digit(spark):
     sql = _with(SQL_TX.replace(SQL_TX, "tx AS (SELECT DISTINCT counterparty_id FROM pairs)"), _registers_sql()) + (
         "SELECT g, CAST(round(512 * ln(512 / (512 - count(DISTINCT register)))) AS BIGINT) FROM pairs JOIN registers USING (counterparty_id) GROUP BY g")
     assert {g: e for g, e in con.execute(sql).fetchall()} == {g: e for g, (e, _) in want.items()}
+
+
+def test_estimates_come_with_whether_they_are_close(spark):
+    import __spark_entry__ as E
+    from riskflow.plans.queries import held_to_exact
+
+    cols = "wallet_id string, distinct_counterparties long"
+    estimated = spark.createDataFrame([("a", 11), ("b", 20), (None, 30), ("d", 5)], cols)
+    exact = spark.createDataFrame([("a", 10), ("b", 10), (None, 30)], cols)
+    got = {r.wallet_id: r[1:] for r in held_to_exact(estimated, exact, ["wallet_id"], flagged=True).collect()}
+    assert got == {"a": (11, True), "b": (10, False), None: (30, True), "d": (5, False)}
+    for name in ("wallet_features_hll", "stream_velocity", "stream_velocity_dedupe"):
+        assert E.queries()[name](spark, SF).columns[-1] == "distinct_counterparties_close"
