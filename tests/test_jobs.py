@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from riskflow.errors import DataQualityError
 from riskflow.operators.contract import TX_CONTRACT
 from riskflow.plans import jobs as J
+from riskflow.plans.registry import all_queries
 from riskflow.sinks.lake import PublishedLake
 
 RAW = "tx_id string, wallet_id string, counterparty_id string, event_ts string, value string, asset string"
@@ -255,3 +256,27 @@ def test_the_fact_join_of_a_run_copies_and_broadcasts_no_versions(spark, work, m
     J.run_batch(spark, x, f"{work}/lake", None, updates=updates, now=NOW, written_at=NOW)
     assert "Generate" not in plans[J.FACT] and "BroadcastHashJoin" not in plans[J.FACT]
     assert {r.wallet_risk_tier_at_event for r in J.published_fact(spark, f"{work}/lake").collect()} == {"LOW"}
+
+
+@pytest.mark.parametrize("name, want", [
+    ("freshness_check", [(dt.datetime(2024, 2, 1, 12), dt.datetime(2024, 2, 1), 12.0, False)]),
+])
+def test_a_query_on_run_metrics_broadcasts_no_table_of_the_run(spark, work, monkeypatch, name, want):
+    plans, stage = {}, PublishedLake.stage
+
+    def spy(self, run, table, rows, col):
+        plans[table] = rows._jdf.queryExecution().executedPlan().toString()
+        return stage(self, run, table, rows, col)
+
+    monkeypatch.setattr(PublishedLake, "stage", spy)
+    events = [(k, dt.datetime(2024, 1, k, 10), k % 3, "click", 1.0) for k in range(1, 29)]
+    events += [(100 + k, dt.datetime(2024, 1, k, 11), k % 3, "error", 1.0) for k in range(2, 29, 2)]  # quarantined
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double") \
+        .write.parquet(f"{work}/events.parquet")
+    spark.createDataFrame([(k, k, dt.datetime(2023, 6, 1), "1-URGENT") for k in range(3)],
+                          "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string") \
+        .write.parquet(f"{work}/orders.parquet")
+    got = all_queries()[name].build(spark, work)
+    assert sorted(tuple(r) for r in got.collect()) == want
+    assert {J.SILVER, J.QUARANTINE, J.FACT, J.STATES, J.MART} == set(plans)
+    assert not [t for t, plan in plans.items() if "Broadcast" in plan]
