@@ -260,6 +260,7 @@ def test_the_fact_join_of_a_run_copies_and_broadcasts_no_versions(spark, work, m
 
 @pytest.mark.parametrize("name, want", [
     ("freshness_check", [(dt.datetime(2024, 2, 1, 12), dt.datetime(2024, 2, 1), 12.0, False)]),
+    ("quarantine_trend", [(dt.date(2024, 1, k), 1, int(k % 2 == 0)) for k in range(1, 29)]),
 ])
 def test_a_query_on_run_metrics_broadcasts_no_table_of_the_run(spark, work, monkeypatch, name, want):
     plans, stage = {}, PublishedLake.stage
