@@ -32,7 +32,7 @@ ODD = [(1, None), (2, ""), (3, "a"), (3, "a"), (None, "no id here at all"), (4,
 def test_oracle(spark, name):
     got = QUERIES[name](spark, SF)
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.sql(ORACLES[name])
     cols = sorted(got.columns)
